@@ -110,7 +110,20 @@ def mode_probs(df: DataFrame, col: str, model: Mixture, prefix: str = "p_",
     return res.drop(*[f"__s{k}" for k in idx], *[f"__e{k}" for k in idx], "__best", "__z")
 
 
+def lookup(idx: Column, values: Sequence) -> Column:
+    """``values[idx]`` for a 0-based integer column: one constant array, no CASE chain.
+
+    Out-of-range or null indexes give null.
+    """
+    arr = F.array(*[F.lit(v) for v in values])
+    i = idx.cast("int")
+    return F.when((i >= 0) & (i < F.lit(len(values))), F.element_at(arr, i + F.lit(1)))
+
+
 def _select_by_mode(mode: Column, values: dict[int, float]) -> Column:
+    keys = sorted(values)
+    if keys == list(range(len(keys))):
+        return lookup(mode, [float(values[k]) for k in keys])
     expr = None
     for k, v in values.items():
         expr = F.when(mode == F.lit(k), _lit(v)) if expr is None else expr.when(mode == F.lit(k), _lit(v))
