@@ -60,9 +60,8 @@ def decode_numeric(value: Column, slot: Column, code: ColumnCode, overflow: Colu
 
 
 def _dlookup(idx: Column, values: list) -> Column:
-    arr = F.array(*[F.lit(None).cast("double") if v is None else F.lit(float(v)) for v in values])
-    i = idx.cast("int")
-    return F.when((i >= 0) & (i < F.lit(len(values))), F.element_at(arr, i + F.lit(1)))
+    vals = [None if v is None else float(v) for v in values]
+    return lookup(idx, vals).cast("double")
 
 
 def decode(enc: DataFrame, encoder: Encoder, key: str, keep: Sequence[str] = (), suffix: str = "") -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from modenorm.functions.rng import keyed_uniform
 from modenorm.operators.model import DEFAULT_EPS, Mixture, significant_modes
-from modenorm.operators.score import CLIP, PROB_FLOOR, SCALE_SDS, clip, is_valid, lookup, mode_scores
+from modenorm.operators.score import CLIP, PROB_FLOOR, SCALE_SDS, clip, fence, is_valid, lookup, mode_scores
 
 # Category tables up to this many rows are broadcast into the encode/decode joins.
 BROADCAST_CATEGORIES = 100_000
@@ -201,7 +201,7 @@ def draw_position(df: DataFrame, x: Column, model: Mixture, key: Column, seed: i
     df = df.withColumn(out, F.when(is_valid(x), expr.otherwise(F.lit(len(kept) - 1))).cast("int"))
     tmp = ([f"{p}s{k}" for k in range(model.k)] + [f"{p}e{k}" for k in range(model.k)]
            + [f"{p}q{k}" for k in kept] + [f"{p}c{k}" for k in kept] + [f"{p}b", f"{p}z", f"{p}qz", f"{p}t"])
-    return df.drop(*tmp)
+    return fence(df.drop(*tmp), "draw")
 
 
 def _mode_of_position(pos: Column, kept: Sequence[int]) -> Column:

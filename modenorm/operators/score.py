@@ -111,13 +111,34 @@ def mode_probs(df: DataFrame, col: str, model: Mixture, prefix: str = "p_",
 
 
 def lookup(idx: Column, values: Sequence) -> Column:
-    """``values[idx]`` for a 0-based integer column: one constant array, no CASE chain.
+    """``values[idx]`` for a 0-based integer column via one constant map.
 
-    Out-of-range or null indexes give null.
+    The index is referenced once (no CASE chain), so substituting a deep
+    expression for it stays linear.  Unknown or null indexes give null.
     """
-    arr = F.array(*[F.lit(v) for v in values])
-    i = idx.cast("int")
-    return F.when((i >= 0) & (i < F.lit(len(values))), F.element_at(arr, i + F.lit(1)))
+    pairs = []
+    for i, v in enumerate(values):
+        if v is None:
+            continue
+        pairs += [F.lit(i), F.lit(v)]
+    if not pairs:
+        return F.lit(None)
+    return F.try_element_at(F.create_map(*pairs), idx.cast("int"))
+
+
+def fence(df: DataFrame, prefix: str = "modenorm") -> DataFrame:
+    """Optimizer fence after a deep chain of derived columns.
+
+    Catalyst pushes filters through projections by substituting every alias
+    with its expression; over a chain whose columns each reuse several
+    earlier ones (softmax -> cumulative sums -> draw) that substitution grows
+    exponentially.  Predicates are not pushed through the ``CollectMetrics``
+    node of ``observe``, which otherwise costs nothing; it records the row
+    count as an observed metric.
+    """
+    import uuid
+
+    return df.observe(f"{prefix}_{uuid.uuid4().hex[:12]}", F.count(F.lit(1)).alias("rows"))
 
 
 def _select_by_mode(mode: Column, values: dict[int, float]) -> Column:
@@ -236,4 +257,4 @@ def sample_mode(df: DataFrame, col: str, model: Mixture, key: str | Column, seed
         cond = F.col(f"__c{k}") > target
         expr = F.when(cond, F.lit(k)) if expr is None else expr.when(cond, F.lit(k))
     res = df3.withColumn(out, F.when(F.col(f"__pp{kept[0]}").isNotNull(), expr.otherwise(F.lit(kept[-1]))).cast("int"))
-    return res.drop(*[f"__pp{k}" for k in kept], *[f"__c{k}" for k in kept], "__u")
+    return fence(res.drop(*[f"__pp{k}" for k in kept], *[f"__c{k}" for k in kept], "__u"), "sample_mode")
