@@ -49,3 +49,56 @@ def keyed_normal_sql(key_sql: str, seed: int, mean: float = 0.0, sd: float = 1.0
     if mean == 0.0 and sd == 1.0:
         return z
     return f"({float(mean)!r}::DOUBLE + {float(sd)!r}::DOUBLE * {z})"
+
+
+def keyed_normal_pairs(key: str | Column, seed: int, n: int) -> list[Column]:
+    """``n`` independent N(0,1) draws with one md5 per two draws.
+
+    Pair ``j`` hashes ``key|seed+j``; hex digits 1-8 and 9-16 give two
+    uniforms, and Box-Muller's cosine and sine outputs give two normals.
+    The caller should materialise the digests (see ``noise_digests``).
+    """
+    out = []
+    for j in range((n + 1) // 2):
+        h = F.md5(F.concat(_col(key).cast("string"), F.lit(f"|{int(seed) + j}")))
+        out += _pair_from_digest(h)
+    return out[:n]
+
+
+def _pair_from_digest(h: Column) -> list[Column]:
+    u1 = (F.conv(F.substring(h, 1, 8), 16, 10).cast("double") + F.lit(0.5)) / F.lit(TWO_32)
+    u2 = (F.conv(F.substring(h, 9, 8), 16, 10).cast("double") + F.lit(0.5)) / F.lit(TWO_32)
+    r = F.sqrt(F.lit(-2.0) * F.log(u1))
+    return [r * F.cos(F.lit(2.0 * math.pi) * u2), r * F.sin(F.lit(2.0 * math.pi) * u2)]
+
+
+def pair_digest(key: str | Column, seed: int, j: int) -> Column:
+    return F.md5(F.concat(_col(key).cast("string"), F.lit(f"|{int(seed) + j}")))
+
+
+def normals_from_digest(h: Column) -> list[Column]:
+    return _pair_from_digest(h)
+
+
+def keyed_normal_pair_sql(key_sql: str, seed: int, j: int) -> tuple[str, str]:
+    """DuckDB twin of pair ``j`` of :func:`keyed_normal_pairs`."""
+    h = f"md5(CAST({key_sql} AS VARCHAR) || '|{int(seed) + j}')"
+    u1 = f"(((('0x' || substr({h}, 1, 8))::BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE)"
+    u2 = f"(((('0x' || substr({h}, 9, 8))::BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE)"
+    r = f"sqrt(-2.0::DOUBLE * ln({u1}))"
+    return (f"({r} * cos({2.0 * math.pi!r}::DOUBLE * {u2}))", f"({r} * sin({2.0 * math.pi!r}::DOUBLE * {u2}))")
+
+
+def hash64_normal_pair(key: str | Column, seed: int, j: int) -> list[Column]:
+    """Two N(0,1) draws from Spark's ``xxhash64(key, seed+j)``: arithmetic only, no strings.
+
+    Equally a pure function of (key, seed); faster than md5, but Spark-specific
+    (no twin in other engines).
+    """
+    h = F.xxhash64(_col(key), F.lit(int(seed) + j))
+    hi = F.shiftrightunsigned(h, 32)
+    lo = h.bitwiseAND(F.lit(0xFFFFFFFF))
+    u1 = (hi.cast("double") + F.lit(0.5)) / F.lit(TWO_32)
+    u2 = (lo.cast("double") + F.lit(0.5)) / F.lit(TWO_32)
+    r = F.sqrt(F.lit(-2.0) * F.log(u1))
+    return [r * F.cos(F.lit(2.0 * math.pi) * u2), r * F.sin(F.lit(2.0 * math.pi) * u2)]

@@ -272,7 +272,8 @@ def _e_frame(inp: DataFrame, states: dict[int, FitState]) -> DataFrame:
 def prepare_input(df: DataFrame, targets: Sequence[Target], compress: str | bool = "auto"):
     """Long-form fit input, global statistics and (optionally) duplicate compression.
 
-    Returns the persisted ``(t, x, w)`` frame and the per-target statistics.
+    Returns the persisted ``(t, x, w)`` frame, the per-target statistics and
+    whether duplicates were compressed.
     """
     long_df = long_input(df, targets)
     stats = _stats(long_df, len(targets))
@@ -285,8 +286,7 @@ def prepare_input(df: DataFrame, targets: Sequence[Target], compress: str | bool
     else:
         inp = long_df.withColumn("w", F.lit(1.0))
     inp = inp.persist(StorageLevel.MEMORY_AND_DISK)
-    inp.count()
-    return inp, stats
+    return inp, stats, bool(compress)
 
 
 def _hard_stats(x, w, xc, centres, k):
@@ -372,7 +372,7 @@ def fit_targets(df: DataFrame, targets: Sequence[Target], k: int = DEFAULT_K, ga
     """
     if not targets:
         return {}
-    inp, stats = prepare_input(df, targets, compress)
+    inp, stats, compressed = prepare_input(df, targets, compress)
     try:
         states: dict[int, FitState] = {}
         centres: dict[int, list[float]] = {}
@@ -383,7 +383,8 @@ def fit_targets(df: DataFrame, targets: Sequence[Target], k: int = DEFAULT_K, ga
             c0 = float(st["sd"]) ** 2 if st["sd"] is not None and st["n"] > 1 else 0.0
             states[t] = FitState(name=tg.name, k=k, m0=float(st["mean"]), c0=c0, total=float(st["n"]))
             centres[t] = _lloyd_1d([float(v) for v in st["sketch"]], k)
-        sizes = stats_rows = {r["t"]: r["rows"] for r in inp.groupBy("t").agg(F.count(F.lit(1)).alias("rows")).collect()}
+        # Rows per target after compression (distinct values, approximately) decide the plan.
+        sizes = {t: (stats[t]["nd"] if compressed else stats[t]["n"]) for t in states}
         if max(sizes.values()) <= local_rows:
             init = {t: (st.m0, st.c0, st.total, centres[t], st.name) for t, st in states.items()}
             solved = (inp.groupBy("t")
@@ -395,7 +396,6 @@ def fit_targets(df: DataFrame, targets: Sequence[Target], k: int = DEFAULT_K, ga
                 st.dof, st.var = list(r["nu"]), list(r["var"])
                 st.n_iter, st.converged, st.lower_bound = r["n_iter"], r["converged"], r["lower_bound"]
             return {st.name: st for st in states.values()}
-        del stats_rows
         init = _init_pass(inp, centres, {t: s.m0 for t, s in states.items()}, k)
         for t, st in states.items():
             r = init[t]

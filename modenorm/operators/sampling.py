@@ -60,13 +60,23 @@ def sample_n(df: DataFrame, n: int = DEFAULT_SAMPLE_ROWS, seed: int = DEFAULT_SE
     frac = n / total
     # Expected survivors total*tau; a 8-sigma margin makes a retry practically never needed.
     tau = min(1.0, frac + 8.0 * math.sqrt(frac / total) + 16.0 / total)
+    from pyspark import StorageLevel
+
+    from modenorm.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
     while True:
-        cand = tagged.where(F.col("__u") < F.lit(tau))
+        # The candidate set is bounded (about n rows): keep it so the scan runs once.
+        cand = tagged.where(F.col("__u") < F.lit(tau)).persist(StorageLevel.MEMORY_AND_DISK)
         if tau >= 1.0 or cand.count() >= n:
             break
+        cand.unpersist()
         tau = min(1.0, tau * 2.0)
     order = [F.col("__u")] + keys
-    return cand.orderBy(*order).limit(n).drop("__u")
+    # n rows, written to the shared checkpoint folder: later jobs reuse it and lineage is cut.
+    out = cand.orderBy(*order).limit(n).drop("__u").checkpoint(eager=True)
+    cand.unpersist()
+    return out
 
 
 def head_n(df: DataFrame, n: int, order_by: str | Sequence[str] | None = None) -> DataFrame:

@@ -21,7 +21,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modenorm.functions.rng import keyed_normal
+from pyspark.sql import Window
+
+from modenorm.functions.rng import hash64_normal_pair, normals_from_digest, pair_digest
 from modenorm.operators.ordstats import dense_index
 from modenorm.operators.profile import _bytes_expr, numeric_columns
 
@@ -67,10 +69,16 @@ def replicate(df: DataFrame, target: int, chunk: int = DEFAULT_CHUNK, order_by:
     if n == 0:
         raise ValueError("cannot replicate an empty table")
     order = list(order_by) if order_by else list(df.columns)
-    base = dense_index(df, order, out="__src")
     cols = [F.col(f"`{c}`") for c in df.columns]
+    small = n <= BROADCAST_BASE_ROWS and nbytes <= BROADCAST_BASE_BYTES
     if strategy == "auto":
-        strategy = "broadcast" if n <= BROADCAST_BASE_ROWS and nbytes <= BROADCAST_BASE_BYTES else "explode"
+        strategy = "broadcast" if small else "explode"
+    if small:
+        # Size checked above: a single ordered window over the (bounded) base is cheap.
+        w = Window.orderBy(*[F.col(f"`{c}`") for c in order])
+        base = df.withColumn("__src", (F.row_number().over(w) - 1).cast("long"))
+    else:
+        base = dense_index(df, order, out="__src")
     if strategy == "broadcast":
         parts = partitions or max(1, math.ceil(target / ROWS_PER_PARTITION))
         ids = spark.range(0, int(target), 1, parts)
@@ -95,11 +103,40 @@ def replicate(df: DataFrame, target: int, chunk: int = DEFAULT_CHUNK, order_by:
 
 
 def add_noise(df: DataFrame, cols: Sequence[str], sd: float = DEFAULT_NOISE_SD, seed: int = 42,
-              key: str = "id") -> DataFrame:
-    """C4: ``col + N(0, sd)`` on every listed column (cast to double), keyed by (key, seed, column)."""
-    return df.withColumns({
-        c: F.col(f"`{c}`").cast("double") + keyed_normal(F.col(f"`{key}`"), seed + 2 * i, 0.0, sd)
-        for i, c in enumerate(cols)})
+              key: str = "id", method: str = "keyed") -> DataFrame:
+    """C4: ``col + N(0, sd)`` on every listed column (cast to double).
+
+    ``keyed`` (default): columns 2j and 2j+1 share one md5 of ``key|seed+j``
+    (Box-Muller cosine / sine), so draws depend only on (key, seed) -- the
+    same under retries, repartitioning and in other engines.  ``hash64``:
+    the same pairing on Spark's ``xxhash64(key, seed+j)`` -- equally keyed and
+    several times cheaper, but Spark-specific.  ``fast``:
+    Spark's ``randn`` (seeded per partition; reproducible only while the
+    input partitioning is the same).
+    """
+    cols = list(cols)
+    if not cols:
+        return df
+    if method == "fast":
+        return df.withColumns({c: F.col(f"`{c}`").cast("double") + F.lit(float(sd)) * F.randn(seed + i)
+                               for i, c in enumerate(cols)})
+    if method == "hash64":
+        noise = {}
+        for j in range((len(cols) + 1) // 2):
+            pair = hash64_normal_pair(F.col(f"`{key}`"), seed, j)
+            for t, c in enumerate(cols[2 * j: 2 * j + 2]):
+                noise[c] = F.col(f"`{c}`").cast("double") + F.lit(float(sd)) * pair[t]
+        return df.withColumns(noise)
+    if method != "keyed":
+        raise ValueError(f"unknown noise method {method!r}")
+    digests = {f"__h{j}": pair_digest(F.col(f"`{key}`"), seed, j) for j in range((len(cols) + 1) // 2)}
+    cur = df.withColumns(digests)
+    noise = {}
+    for j in range((len(cols) + 1) // 2):
+        pair = normals_from_digest(F.col(f"__h{j}"))
+        for t, c in enumerate(cols[2 * j: 2 * j + 2]):
+            noise[c] = F.col(f"`{c}`").cast("double") + F.lit(float(sd)) * pair[t]
+    return cur.withColumns(noise).drop(*digests)
 
 
 def union_all(dfs: Sequence[DataFrame]) -> DataFrame:
@@ -114,7 +151,7 @@ def union_all(dfs: Sequence[DataFrame]) -> DataFrame:
 
 def scale_up(spark: SparkSession, src: str, dst: str, target: int, chunk: int = DEFAULT_CHUNK,
              sd: float = DEFAULT_NOISE_SD, seed: int = 42, exclude: Sequence[str] = (),
-             order_by: Sequence[str] | None = None, fmt: str = "csv") -> None:
+             order_by: Sequence[str] | None = None, fmt: str = "csv", noise: str = "hash64") -> None:
     """Read (CSV or Parquet) -> drop index column -> replicate -> noise -> one folder per chunk."""
     from modenorm.sources.io import drop_index_cols, read_csv, read_table, write_chunks
 
@@ -122,5 +159,5 @@ def scale_up(spark: SparkSession, src: str, dst: str, target: int, chunk: int =
     base = drop_index_cols(base)
     num = numeric_columns(base, exclude=exclude)
     rep = replicate(base, target, chunk, order_by=order_by)
-    noisy = add_noise(rep, num, sd=sd, seed=seed, key="id")
+    noisy = add_noise(rep, num, sd=sd, seed=seed, key="id", method=noise)
     write_chunks(noisy.drop("pos"), dst, chunk_col="chunk")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from modenorm.functions.rng import keyed_normal_sql
+from modenorm.functions.rng import keyed_normal_pair_sql
 from modenorm.operators.fit import fit_modes
 from modenorm.operators.model import model_frame
 from modenorm.operators.plugin import NumpyModeScaler, apply_transformer
@@ -50,8 +50,8 @@ def c3_replicate(spark, sf_dir):
 
 
 @register("c4_noise", _REPL_SQL + f"""
-SELECT id, {q6(f"n_nationkey + {keyed_normal_sql('id', NOISE_SEED, 0.0, 0.01)}")} AS n_nationkey,
-       {q6(f"n_regionkey + {keyed_normal_sql('id', NOISE_SEED + 2, 0.0, 0.01)}")} AS n_regionkey, n_name FROM rep""")
+SELECT id, {q6(f"n_nationkey + {d(0.01)} * {keyed_normal_pair_sql('id', NOISE_SEED, 0)[0]}")} AS n_nationkey,
+       {q6(f"n_regionkey + {d(0.01)} * {keyed_normal_pair_sql('id', NOISE_SEED, 0)[1]}")} AS n_regionkey, n_name FROM rep""")
 def c4_noise(spark, sf_dir):
     nation = table(spark, sf_dir, "nation")
     rep = replicate(nation, _target(spark, sf_dir), CHUNK, order_by=["n_nationkey"])

@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "modenorm") -> SparkSession:
+              app_name: str = "modenorm", checkpoint: str | None = None) -> SparkSession:
     master = master or os.environ.get("MODENORM_MASTER") or "local[*]"
     builder = (
         SparkSession.builder.master(master)
@@ -31,6 +31,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     )
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if checkpoint:
+        builder = builder.config("spark.checkpoint.dir", checkpoint)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -42,15 +44,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` must point at shared storage; a
     machine-local folder is only used when nothing is configured (tests).
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        path = spark.sparkContext.getCheckpointDir()
+        try:
+            path = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001 - not readable as a SQL conf
+            path = None
     if not path:
         path = tempfile.mkdtemp(prefix="modenorm-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(path)
-    return path
+    sc.setCheckpointDir(path)
+    return sc.getCheckpointDir() or path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -35,7 +35,7 @@ def test_matches_dense_twin(spark, local_rows):
                          compress=False)
     st = states["value"]
     x = np.array([r[0] for r in df.collect()])
-    inp, stats = FT.prepare_input(df, [Target("value", F.col("value"))], compress=False)
+    inp, stats, _ = FT.prepare_input(df, [Target("value", F.col("value"))], compress=False)
     centres = FT._lloyd_1d([float(v) for v in stats[0]["sketch"]], 10)
     inp.unpersist()
     lab_counts = np.bincount(np.searchsorted((np.array(centres[:-1]) + np.array(centres[1:])) / 2, x), minlength=10)
