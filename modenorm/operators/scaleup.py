@@ -82,7 +82,7 @@ def replicate(df: DataFrame, target: int, chunk: int = DEFAULT_CHUNK, order_by:
     if strategy == "broadcast":
         parts = partitions or max(1, math.ceil(target / ROWS_PER_PARTITION))
         ids = spark.range(0, int(target), 1, parts)
-        ids = ids.select("id", (F.col("id") / F.lit(chunk)).cast("long").alias("chunk"),
+        ids = ids.select("id", F.expr(f"id div {int(chunk)}").alias("chunk"),
                          (F.col("id") % F.lit(chunk)).alias("pos"))
         ids = ids.withColumn("__src", F.col("pos") % F.lit(n))
         out = ids.join(F.broadcast(base), on="__src", how="inner")
@@ -93,13 +93,14 @@ def replicate(df: DataFrame, target: int, chunk: int = DEFAULT_CHUNK, order_by:
     c = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_chunks - 1).cast("long"))).alias("chunk")
     fan = base.select("*", c) if n_chunks > 0 else base.limit(0).withColumn("chunk", F.lit(0).cast("long"))
     rows_c = F.when(F.col("chunk") < F.lit(full), F.lit(chunk)).otherwise(F.lit(last)).cast("long")
-    fan = fan.withColumn("__cnt", F.when(F.col("__src") < rows_c,
-                                         F.floor((rows_c - 1 - F.col("__src")) / F.lit(n)) + 1).otherwise(0))
+    fan = fan.withColumn("__rows", rows_c)
+    fan = fan.withColumn("__cnt", F.when(F.col("__src") < F.col("__rows"),
+                                         F.expr(f"(__rows - 1 - __src) div {int(n)}") + 1).otherwise(0))
     fan = fan.where(F.col("__cnt") > 0)
     fan = fan.withColumn("__j", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("__cnt") - 1).cast("long"))))
     fan = fan.withColumn("pos", F.col("__src") + F.col("__j") * F.lit(n))
     fan = fan.withColumn("id", F.col("chunk") * F.lit(chunk) + F.col("pos"))
-    return fan.select("id", "chunk", "pos", *cols)
+    return fan.select("id", F.col("chunk").cast("long").alias("chunk"), "pos", *cols)
 
 
 def add_noise(df: DataFrame, cols: Sequence[str], sd: float = DEFAULT_NOISE_SD, seed: int = 42,

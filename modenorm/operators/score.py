@@ -90,8 +90,13 @@ def assign_mode(df: DataFrame, col: str, model: Mixture, out: str = "Mode_Assign
     x = value_col(df, col)
     idx = _mode_list(model, modes)
     df2, s = _with_scores(df, x, model, idx, "__s")
-    res = df2.withColumn(out, F.when(s[0].isNotNull(), _first_max(s, idx)).cast("int"))
-    return res.drop(*[f"__s{k}" for k in idx])
+    df3 = df2.withColumn("__best", _greatest(s))
+    whens = None
+    for c, lab in zip(s, idx):
+        cond = c == F.col("__best")
+        whens = F.when(cond, F.lit(lab)) if whens is None else whens.when(cond, F.lit(lab))
+    res = df3.withColumn(out, F.when(s[0].isNotNull(), whens.otherwise(F.lit(idx[-1]))).cast("int"))
+    return res.drop(*[f"__s{k}" for k in idx], "__best")
 
 
 def mode_probs(df: DataFrame, col: str, model: Mixture, prefix: str = "p_",
