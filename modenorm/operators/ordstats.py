@@ -11,6 +11,7 @@ its offset plus its position inside the partition.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -52,29 +53,130 @@ def dense_index(df: DataFrame, order_by: Sequence[str | Column], group_by: Seque
     return res.drop("__tb", "__pid", "__mid", "__mid0", "__off")
 
 
+def _brackets(probs: Sequence[float], n: int, qs: dict, eps: float):
+    """Wanted ranks of each p and the sketch bracket around each rank."""
+    targets, brackets = [], {}
+    for p in probs:
+        pos = p * (n - 1)
+        lo, hi = int(math.floor(pos)), int(math.ceil(pos))
+        targets.append((p, lo, hi, pos - lo))
+        for rank in (lo, hi):
+            brackets[rank] = (qs[min(1.0, max(0.0, p - eps))], qs[min(1.0, max(0.0, p + eps))])
+    return targets, brackets
+
+
+def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int = 10000,
+                     max_collect: int = 50_000, max_rounds: int = 8) -> DataFrame:
+    """Exact linear-interpolated quantiles of several numeric columns (NaN and null ignored).
+
+    Refinement from bounded sketches, no shuffle of the data and no write:
+    1. one aggregate: per column the count and ``percentile_approx`` at
+       ``p +- 3/accuracy`` (its rank error is at most n/accuracy, so the exact
+       order statistic lies inside the bracket);
+    2. one aggregate: rows below and inside every bracket (checks the bracket);
+    3. one aggregate: for brackets with at most ``max_collect`` values, the
+       k-th smallest value inside, ``element_at(sort_array(collect_list))``;
+       a bracket with equal ends is its own answer; larger brackets are
+       narrowed with a sketch restricted to them and the round repeats.
+    Brackets that fail their count check fall back to :func:`dense_index`.
+    Returns (column, p, quantile).
+    """
+    spark = df.sparkSession
+    eps = 3.0 / accuracy
+    ext = sorted({min(1.0, max(0.0, q)) for p in probs for q in (p - eps, p + eps)})
+
+    def val(c: str):
+        x = F.col(f"`{c}`").cast("double")
+        return F.when(~F.isnan(x), x)
+
+    aggs = []
+    for i, c in enumerate(cols):
+        aggs += [F.count(val(c)).alias(f"n{i}"), F.percentile_approx(val(c), ext, accuracy).alias(f"q{i}")]
+    first = df.agg(*aggs).first()
+    targets: dict[int, list] = {}
+    pending: dict[tuple[int, int], tuple[float, float]] = {}
+    found: dict[tuple[int, int], float] = {}
+    for i, _c in enumerate(cols):
+        n = first[f"n{i}"]
+        if not n:
+            continue
+        qs = dict(zip(ext, first[f"q{i}"]))
+        targets[i], br = _brackets(probs, n, qs, eps)
+        for rank, b in br.items():
+            pending[(i, rank)] = b
+    for _round in range(max_rounds):
+        if not pending:
+            break
+        keys = list(pending)
+        aggs = []
+        for j, (i, rank) in enumerate(keys):
+            lo_v, hi_v = pending[(i, rank)]
+            x = val(cols[i])
+            aggs += [F.count_if(x < F.lit(lo_v)).alias(f"b{j}"),
+                     F.count_if((x >= F.lit(lo_v)) & (x <= F.lit(hi_v))).alias(f"c{j}")]
+        counts = df.agg(*aggs).first()
+        picks, refine, missed = [], [], []
+        for j, key in enumerate(keys):
+            below, inside = counts[f"b{j}"], counts[f"c{j}"]
+            lo_v, hi_v = pending[key]
+            if not (below <= key[1] < below + inside):
+                missed.append(key)
+            elif lo_v == hi_v:
+                found[key] = lo_v
+                del pending[key]
+            elif inside <= max_collect:
+                picks.append((key, key[1] - below))
+            else:
+                refine.append((key, below, inside))
+        if picks:
+            aggs = []
+            for j, ((i, rank), k) in enumerate(picks):
+                lo_v, hi_v = pending[(i, rank)]
+                x = val(cols[i])
+                inside = F.when((x >= F.lit(lo_v)) & (x <= F.lit(hi_v)), x)
+                aggs.append(F.element_at(F.sort_array(F.collect_list(inside)), k + 1).alias(f"v{j}"))
+            got = df.agg(*aggs).first()
+            for j, (key, _k) in enumerate(picks):
+                found[key] = got[f"v{j}"]
+                del pending[key]
+        if missed:
+            break
+        for (i, rank), below, inside in refine:
+            lo_v, hi_v = pending[(i, rank)]
+            x = val(cols[i])
+            q = (rank - below) / max(inside - 1, 1)
+            qq = sorted({min(1.0, max(0.0, q - eps)), min(1.0, max(0.0, q + eps))})
+            vals = df.where((x >= F.lit(lo_v)) & (x <= F.lit(hi_v))).agg(
+                F.percentile_approx(x, qq, accuracy).alias("qs")).first()["qs"]
+            pending[(i, rank)] = (vals[0], vals[-1])
+    for (i, rank) in list(pending):
+        # Fallback for what the sketches did not pin down: distributed dense index.
+        x = val(cols[i])
+        idx = dense_index(df.select(x.alias("v")).where(F.col("v").isNotNull()), ["v"])
+        found[(i, rank)] = idx.where(F.col("idx") == F.lit(rank)).first()["v"]
+        del pending[(i, rank)]
+    out = []
+    for i, ts in targets.items():
+        for p, lo, hi, frac in ts:
+            v_lo, v_hi = found[(i, lo)], found[(i, hi)]
+            out.append((cols[i], float(p), v_lo + (v_hi - v_lo) * frac))
+    return spark.createDataFrame(out, "column string, p double, quantile double")
+
+
 def exact_quantiles(long_df: DataFrame, group: str, value: str, probs: Sequence[float],
-                    partitions: int | None = None) -> DataFrame:
-    """Linear-interpolated quantiles (as ``quantile_cont`` / ``percentile``) per group.
+                    accuracy: int = 10000, max_collect: int = 50_000) -> DataFrame:
+    """Exact quantiles per group of a long (group, value) table: one column per group value.
 
-    ``long_df`` holds (group, value) rows; null and NaN values are ignored.
-    Returns (group, prob, quantile).
+    The groups are few (columns of a table, modes of a model): they are
+    listed with one distinct aggregate and each becomes a filtered column of
+    the same passes.  Returns (group, prob, quantile).
     """
-    clean = long_df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v")).where(
-        F.col("v").isNotNull() & ~F.isnan(F.col("v")))
-    n = clean.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
-    # Target ranks: floor and ceil of p*(n-1) per group and p (tiny table: groups x probs).
-    targets = (n.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-               .withColumn("pos", F.col("p") * (F.col("n") - 1))
-               .withColumn("lo", F.floor("pos").cast("long"))
-               .withColumn("hi", F.ceil("pos").cast("long"))
-               .withColumn("frac", F.col("pos") - F.col("lo")))
-    wanted = (targets.select("g", F.col("lo").alias("idx"))
-              .union(targets.select("g", F.col("hi").alias("idx"))).distinct())
-    indexed = dense_index(clean, ["v"], group_by=["g"], partitions=partitions)
-    picked = indexed.join(F.broadcast(wanted), on=["g", "idx"], how="inner").select("g", "idx", "v")
-    lo = picked.select("g", F.col("idx").alias("lo"), F.col("v").alias("v_lo"))
-    hi = picked.select("g", F.col("idx").alias("hi"), F.col("v").alias("v_hi"))
-    res = (targets.join(lo, on=["g", "lo"]).join(hi, on=["g", "hi"])
-           .select(F.col("g").alias(group), "p",
-                   (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("quantile")))
-    return res
+    groups = [r[0] for r in long_df.select(group).distinct().collect()]
+    names = [f"g{i}" for i in range(len(groups))]
+    wide = long_df.select(*[F.when(F.col(group) == F.lit(g), F.col(value).cast("double")).alias(nm)
+                            for g, nm in zip(groups, names)])
+    q = column_quantiles(wide, names, probs, accuracy=accuracy, max_collect=max_collect).collect()
+    by_name = dict(zip(names, groups))
+    gtype = long_df.schema[group].dataType.simpleString()
+    rows = [(by_name[r["column"]], r["p"], r["quantile"]) for r in q]
+    return long_df.sparkSession.createDataFrame(rows, f"{group} {gtype}, p double, quantile double")

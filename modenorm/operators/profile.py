@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from modenorm.operators.ordstats import exact_quantiles
+from modenorm.operators.ordstats import column_quantiles
+from modenorm.sources.io import balanced
 
 QUANTILES = (0.25, 0.5, 0.75)
 DESCRIBE_METRICS = ("count", "mean", "std", "min", "25%", "50%", "75%", "max")
@@ -107,50 +108,67 @@ def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = False) -> DataFrame:
     """Count, mean, std, min, 25%, 50%, 75%, max per numeric column (long form)."""
     cols = numeric_columns(df) if cols is None else list(cols)
+    spark = df.sparkSession
     if not cols:
-        return df.sparkSession.createDataFrame([], "column string, metric string, value double")
-    wide = df.agg(*_describe_aggs(df, cols, exact))
-    parts = []
-    for i, c in enumerate(cols):
-        parts += [f"'{c}', 'count', count_{i}", f"'{c}', 'mean', mean_{i}", f"'{c}', 'std', std_{i}",
-                  f"'{c}', 'min', min_{i}", f"'{c}', 'max', max_{i}"]
+        return spark.createDataFrame([], "column string, metric string, value double")
+    src, spread = balanced(df.select(*[_q(c) for c in cols]))
+    if exact and spread:
+        src = src.persist()
+    try:
+        wide = src.agg(*_describe_aggs(src, cols, exact))
+        parts = []
+        for i, c in enumerate(cols):
+            parts += [f"'{c}', 'count', count_{i}", f"'{c}', 'mean', mean_{i}", f"'{c}', 'std', std_{i}",
+                      f"'{c}', 'min', min_{i}", f"'{c}', 'max', max_{i}"]
+            if not exact:
+                parts += [f"'{c}', '{int(p * 100)}%', q_{i}[{j}]" for j, p in enumerate(QUANTILES)]
+        base = wide.selectExpr(f"stack({len(parts)}, {', '.join(parts)}) as (column, metric, value)")
         if not exact:
-            parts += [f"'{c}', '{int(p * 100)}%', q_{i}[{j}]" for j, p in enumerate(QUANTILES)]
-    rows = len(parts)
-    base = wide.selectExpr(f"stack({rows}, {', '.join(parts)}) as (column, metric, value)")
-    if not exact:
-        return base
-    q = exact_quantiles(_long_values(df, cols), "column", "v", QUANTILES)
-    q = q.select("column", F.concat((F.col("p") * 100).cast("int").cast("string"), F.lit("%")).alias("metric"),
-                 F.col("quantile").alias("value"))
-    return base.unionByName(q)
+            return base
+        q = column_quantiles(src, cols, QUANTILES)
+        q = q.select("column", F.concat((F.col("p") * 100).cast("int").cast("string"), F.lit("%")).alias("metric"),
+                     F.col("quantile").alias("value"))
+        # The report is a few rows per column: materialise it before releasing the spread input.
+        return spark.createDataFrame(base.unionByName(q).collect(), "column string, metric string, value double")
+    finally:
+        if exact and spread:
+            src.unpersist()
 
 
 def profile(df: DataFrame, exact: bool = False) -> DataFrame:
     """Full report as (section, column, metric, value), one aggregate pass (+ quantiles)."""
+    spark = df.sparkSession
     cols = numeric_columns(df)
-    aggs = [F.count(F.lit(1)).cast("double").alias("__rows")]
-    total = None
-    for c in df.columns:
-        e = _bytes_expr(df, c)
-        total = e if total is None else total + e
-    aggs.append((F.coalesce(F.sum(total), F.lit(0)) / F.lit(1024.0 * 1024.0)).alias("__mb"))
-    aggs += [missing_expr(df, c).cast("double").alias(f"miss_{i}") for i, c in enumerate(df.columns)]
-    aggs += _describe_aggs(df, cols, exact)
-    wide = df.agg(*aggs)
-    parts = ["'rows', '', 'rows', __rows", "'size', '', 'mb', __mb"]
-    parts += [f"'missing', '{c}', 'missing', miss_{i}" for i, c in enumerate(df.columns)]
-    for i, c in enumerate(cols):
-        parts += [f"'describe', '{c}', 'count', count_{i}", f"'describe', '{c}', 'mean', mean_{i}",
-                  f"'describe', '{c}', 'std', std_{i}", f"'describe', '{c}', 'min', min_{i}",
-                  f"'describe', '{c}', 'max', max_{i}"]
-        if not exact:
-            parts += [f"'describe', '{c}', '{int(p * 100)}%', q_{i}[{j}]" for j, p in enumerate(QUANTILES)]
-    base = wide.selectExpr(f"stack({len(parts)}, {', '.join(parts)}) as (section, column, metric, value)")
-    if not exact or not cols:
-        return base
-    q = exact_quantiles(_long_values(df, cols), "column", "v", QUANTILES)
-    q = q.select(F.lit("describe").alias("section"), "column",
-                 F.concat((F.col("p") * 100).cast("int").cast("string"), F.lit("%")).alias("metric"),
-                 F.col("quantile").alias("value"))
-    return base.unionByName(q)
+    src, spread = balanced(df)
+    if exact and spread:
+        src = src.persist()
+    try:
+        aggs = [F.count(F.lit(1)).cast("double").alias("__rows")]
+        total = None
+        for c in src.columns:
+            e = _bytes_expr(src, c)
+            total = e if total is None else total + e
+        aggs.append((F.coalesce(F.sum(total), F.lit(0)) / F.lit(1024.0 * 1024.0)).alias("__mb"))
+        aggs += [missing_expr(src, c).cast("double").alias(f"miss_{i}") for i, c in enumerate(src.columns)]
+        aggs += _describe_aggs(src, cols, exact)
+        wide = src.agg(*aggs)
+        parts = ["'rows', '', 'rows', __rows", "'size', '', 'mb', __mb"]
+        parts += [f"'missing', '{c}', 'missing', miss_{i}" for i, c in enumerate(src.columns)]
+        for i, c in enumerate(cols):
+            parts += [f"'describe', '{c}', 'count', count_{i}", f"'describe', '{c}', 'mean', mean_{i}",
+                      f"'describe', '{c}', 'std', std_{i}", f"'describe', '{c}', 'min', min_{i}",
+                      f"'describe', '{c}', 'max', max_{i}"]
+            if not exact:
+                parts += [f"'describe', '{c}', '{int(p * 100)}%', q_{i}[{j}]" for j, p in enumerate(QUANTILES)]
+        base = wide.selectExpr(f"stack({len(parts)}, {', '.join(parts)}) as (section, column, metric, value)")
+        if not exact or not cols:
+            return base
+        q = column_quantiles(src, cols, QUANTILES)
+        q = q.select(F.lit("describe").alias("section"), "column",
+                     F.concat((F.col("p") * 100).cast("int").cast("string"), F.lit("%")).alias("metric"),
+                     F.col("quantile").alias("value"))
+        return spark.createDataFrame(base.unionByName(q).collect(),
+                                     "section string, column string, metric string, value double")
+    finally:
+        if exact and spread:
+            src.unpersist()

@@ -146,3 +146,18 @@ def write_per_source(df: DataFrame, path: str, prefix: str = "transformed_", mod
     """A10: one output folder per input file, named ``source_file=<prefix><name>``."""
     tagged = df.withColumn("source_file", F.concat(F.lit(prefix), F.col("_metadata.file_name")))
     write_table(tagged.sortWithinPartitions("source_file"), path, mode=mode, partition_by=["source_file"])
+
+
+def balanced(df: DataFrame, min_fraction: float = 0.5) -> tuple[DataFrame, bool]:
+    """Spread an under-split input over the cluster's cores.
+
+    A file of one row group scans as one task, and every per-row operator
+    after it runs on one core.  When the scan has fewer partitions than
+    ``min_fraction`` x default parallelism (planning only, nothing is read),
+    the rows are round-robin repartitioned; large inputs (more splits than
+    cores) are returned unchanged.  Returns (frame, whether it was spread).
+    """
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= par * min_fraction:
+        return df, False
+    return df.repartition(par), True
