@@ -276,10 +276,27 @@ def fit_encoder(df: DataFrame, specs: Sequence[ColumnSpec], key: str, sample_row
         for name, st in states.items():
             base = name.split("#")[0]
             models[name] = st.to_mixture(base, "all" if name.endswith("#all") else "main")
+    from modenorm.session import checkpoint_dir
+    from modenorm.sources.io import balanced
+
+    checkpoint_dir(df.sparkSession)
+    full, spread = balanced(df)
+    if spread:
+        full = full.persist()
+    try:
+        return _fit_codes(full, specs, key, seed, eps, models)
+    finally:
+        if spread:
+            full.unpersist()
+
+
+def _fit_codes(df: DataFrame, specs: Sequence[ColumnSpec], key: str, seed: int, eps: float,
+               models: dict[str, Mixture]) -> Encoder:
     codes: list[ColumnCode] = []
     for i, s in enumerate(specs):
         if s.kind == "categorical":
-            cats = category_index(df, s.name)
+            # Written to the shared checkpoint folder: encode/decode join it without recomputing the counts.
+            cats = category_index(df, s.name).checkpoint(eager=True)
             n_cat = cats.count()
             codes.append(ColumnCode(name=s.name, kind=s.kind, categories=cats, n_categories=n_cat,
                                     order=tuple(range(n_cat)), seed=seed + i))

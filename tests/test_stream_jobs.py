@@ -51,3 +51,17 @@ def test_normalize_job_and_model_roundtrip(spark, tmp_dir):
     assert out.count() == 1000 and "value_Transformed" in out.columns
     loaded = load_model(spark, mpath)[("value", "main")]
     assert loaded.means == model.means and loaded.sds == model.sds
+
+
+def test_fit_on_sample_without_key_and_per_file_job(spark, tmp_dir):
+    from modenorm.plans.jobs import fit_on_sample, per_file_job
+
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    a = fit_on_sample(ev, "value", sample_rows=500, max_iter=20)
+    b = fit_on_sample(ev.repartition(3), "value", sample_rows=500, max_iter=20)
+    assert a.means == b.means                 # the file-position key does not depend on partitioning
+    dst = os.path.join(tmp_dir, "per-file")
+    per_file_job(spark, f"{SF001}/events.parquet", dst, col="value", head_rows=400, max_iter=20)
+    out = spark.read.parquet(dst)
+    assert out.count() == 1000
+    assert [r[0] for r in out.select("source_file").distinct().collect()] == ["transformed_events.parquet"]
