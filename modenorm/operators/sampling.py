@@ -22,8 +22,8 @@ from modenorm.functions.rng import keyed_uniform
 # The reference samples 10,000 rows with seed 42 for the fit.
 DEFAULT_SAMPLE_ROWS = 10_000
 DEFAULT_SEED = 42
-# Small limits go straight to a per-partition top-k.
-DIRECT_TOPK_ROWS = 10_000
+# A plain per-partition top-k is used while n x partitions stays below this many rows.
+DIRECT_TOPK_MERGE_ROWS = 5_000_000
 
 
 def row_key(df: DataFrame) -> Column:
@@ -82,18 +82,22 @@ def sample_n(df: DataFrame, n: int = DEFAULT_SAMPLE_ROWS, seed: int = DEFAULT_SE
 def head_n(df: DataFrame, n: int, order_by: str | Sequence[str] | None = None) -> DataFrame:
     """B2: the first ``n`` rows by ``order_by`` (default: file order, i.e. file name then row index).
 
-    Large ``n`` first narrows the input with an approximate-quantile threshold
-    on the leading sort column (checked to keep at least ``n`` rows), so the
-    final top-k merge sees about ``n`` rows rather than ``n`` per partition.
+    When ``n`` x partitions is large, the input is first narrowed with an
+    approximate-quantile threshold on the leading sort column (checked to keep
+    at least ``n`` rows), so the final top-k merge sees about ``n`` rows rather
+    than ``n`` per partition.
     """
     if order_by is None:
         cols = [F.col("_metadata.file_name"), F.col("_metadata.row_index")]
+        # The first n rows in (file, position) order all sit at a position < n inside their file.
+        df = df.where(F.col("_metadata.row_index") < F.lit(int(n)))
         lead = None
     else:
         names = [order_by] if isinstance(order_by, str) else list(order_by)
         cols = [F.col(c) for c in names]
         lead = names[0]
-    if n <= DIRECT_TOPK_ROWS or lead is None:
+    # A top-k merges up to n rows from every partition in one task: only take it when that is small.
+    if lead is None or n * df.rdd.getNumPartitions() <= DIRECT_TOPK_MERGE_ROWS:
         return df.orderBy(*cols).limit(n)
     total = df.count()
     if n >= total:

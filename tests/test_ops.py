@@ -26,7 +26,7 @@ def test_sample_exact_and_deterministic(spark):
 
 def test_head_large_n_uses_threshold(spark):
     li = spark.read.parquet(f"{SF01}/orders.parquet")
-    got = [r[0] for r in head_n(li, 12000, "o_orderkey").select("o_orderkey").collect()]
+    got = [r[0] for r in head_n(li.repartition(600), 12000, "o_orderkey").select("o_orderkey").collect()]
     want = sorted(r[0] for r in li.select("o_orderkey").collect())[:12000]
     assert sorted(got) == want
 
