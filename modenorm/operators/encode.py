@@ -359,7 +359,7 @@ def encode(df: DataFrame, encoder: Encoder, key: str, form: str = "compact", kee
     """Encode every column of ``encoder``.
 
     Output: ``key``, ``keep`` columns, then per column ``<col>_value``/``<col>_slot``
-    (compact), or one ``encoded`` array (dense).  With ``keep_overflow`` the
+    (compact), or one ``encoded`` array (dense) or ML vector (vector).  With ``keep_overflow`` the
     raw value of clipped rows is kept in ``<col>_overflow`` (F8).
     """
     cur = df
@@ -382,6 +382,11 @@ def encode(df: DataFrame, encoder: Encoder, key: str, form: str = "compact", kee
         return res
     if form == "dense":
         return to_dense(res, encoder, key, keep)
+    if form == "vector":
+        from pyspark.ml.functions import array_to_vector
+
+        dense = to_dense(res, encoder, key, keep)
+        return dense.withColumn("encoded", array_to_vector(F.col("encoded")))
     raise ValueError(f"unknown form {form!r}")
 
 

@@ -71,3 +71,10 @@ def test_fit_encoder_end_to_end(spark):
             assert sorted(c.order) == list(range(c.n_slots))
     rep = roundtrip_report(df, encoder, "event_id", lossless=True).collect()
     assert max(r["max_abs_err"] for r in rep) < 1e-6
+
+
+def test_vector_form(spark, enc):
+    df, encoder = enc
+    vec = E.encode(df, encoder, "event_id", form="vector").orderBy("event_id").first()["encoded"]
+    dense = E.encode(df, encoder, "event_id", form="dense").orderBy("event_id").first()["encoded"]
+    assert list(vec.toArray()) == dense
