@@ -13,9 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modenorm.operators import score as S
-from modenorm.plans.fixed import (HEAVY_TAIL_EVERY, HEAVY_TAIL_FACTOR, MISSING_SENTINEL, MIXED_MODAL, SEED,
-                                  fixed_model)
+from modenorm.plans.fixed import (HEAVY_TAIL_EVERY, HEAVY_TAIL_FACTOR, MISSING_SENTINEL, MIXED_MODAL,  # noqa: F401
+                                  SEED)
 from modenorm.sources.io import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

@@ -8,8 +8,6 @@ ranks and categories are derived from the data on both sides.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import functions as F
 
 from modenorm.functions.rng import keyed_uniform_sql
@@ -210,9 +208,6 @@ def d9_layout(spark, sf_dir):
 
 
 # ----------------------------------------------------------------------------- E7-E16
-_KEPT_SQL_NOTE = "kept modes of the fixed model at these scales: 0..8"
-
-
 @register("e7_kept_probs", _with() + "SELECT event_id, " + ", ".join(
     f"{q6(f'q{k} / qz')} AS pp_{k}" for k in range(9)) + " FROM value_qz")
 def e7_kept_probs(spark, sf_dir):
