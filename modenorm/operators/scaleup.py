@@ -80,7 +80,9 @@ def replicate(df: DataFrame, target: int, chunk: int = DEFAULT_CHUNK, order_by:
     else:
         base = dense_index(df, order, out="__src")
     if strategy == "broadcast":
-        parts = partitions or max(1, math.ceil(target / ROWS_PER_PARTITION))
+        # A multiple of the cluster's parallelism, each split at most ROWS_PER_PARTITION rows.
+        par = spark.sparkContext.defaultParallelism
+        parts = partitions or max(1, par * math.ceil(target / (par * ROWS_PER_PARTITION)))
         ids = spark.range(0, int(target), 1, parts)
         ids = ids.select("id", F.expr(f"id div {int(chunk)}").alias("chunk"),
                          (F.col("id") % F.lit(chunk)).alias("pos"))
