@@ -43,7 +43,7 @@ def decode_numeric(value: Column, slot: Column, code: ColumnCode, overflow: Colu
             sd4s.append(None)
             modal_vals.append(float(code.modal[p]))
         else:
-            k = kept[p - n_modal]
+            k = kept[p - n_modal]   # only reached when the model keeps modes
             means.append(float(model.means[k]))
             sd4s.append(float(SCALE_SDS * model.sds[k]))
             modal_vals.append(None)

@@ -221,6 +221,14 @@ def _pre_columns(df: DataFrame, code: ColumnCode, key: Column, keep_overflow: bo
     x = _x(name)
     if code.kind == "categorical":
         raise ValueError("categorical columns are encoded by join")
+    if code.model is None or not code.kept:
+        # No continuous mode (every fitted value was modal): only modal slots exist.
+        modal_idx = _case(x, {float(v): i for i, v in enumerate(code.modal)})
+        modal_val = _case(x, {float(v): float(code.modal_values[i]) for i, v in enumerate(code.modal)})
+        df = df.withColumn(pre, modal_idx.cast("int")).withColumn(val, modal_val.cast("double"))
+        if keep_overflow:
+            df = df.withColumn(f"__{name}_ovf", F.lit(None).cast("double"))
+        return df
     kept = code.kept
     df = draw_position(df, x, code.model, key, code.seed, f"__{name}_pos")
     pos = F.col(f"__{name}_pos")
@@ -271,7 +279,7 @@ def fit_encoder(df: DataFrame, specs: Sequence[ColumnSpec], key: str, sample_row
                 targets.append(Target(s.name, x, is_continuous(x, s.modal)))
     if targets:
         fit_df = df if sample_rows is None else sample_n(df, sample_rows, seed, key=key)
-        states = fit_targets(fit_df, targets, k=k, max_iter=max_iter, **fit_kw)
+        states = fit_targets(fit_df, targets, k=k, max_iter=max_iter, allow_empty=True, **fit_kw)
         for name, st in states.items():
             base = name.split("#")[0]
             models[name] = st.to_mixture(base, "all" if name.endswith("#all") else "main")
@@ -300,16 +308,20 @@ def _fit_codes(df: DataFrame, specs: Sequence[ColumnSpec], key: str, seed: int,
             codes.append(ColumnCode(name=s.name, kind=s.kind, categories=cats, n_categories=n_cat,
                                     order=tuple(range(n_cat)), seed=seed + i))
             continue
-        m = models[s.name]
+        m = models.get(s.name)
+        if m is None and s.kind == "continuous":
+            raise ValueError(f"no valid values to fit for {s.name!r}")
         m_all = models.get(f"{s.name}#all") if s.kind == "mixed" else None
         mv = modal_values(m_all, s.modal) if s.kind == "mixed" else ()
         codes.append(ColumnCode(name=s.name, kind=s.kind, model=m, model_all=m_all, modal=tuple(s.modal),
                                 modal_values=mv, seed=seed + i))
     numeric = [c for c in codes if c.kind != "categorical"]
-    if numeric:
-        counts = _hard_counts(df, numeric)
-        for c in numeric:
+    fitted = [c for c in numeric if c.model is not None]
+    if fitted:
+        counts = _hard_counts(df, fitted)
+        for c in fitted:
             c.model = significant_modes(c.model, counts.get(c.name, {}), eps)
+    if numeric:
         ranks = _slot_counts(df, numeric, F.col(f"`{key}`"))
         for c in numeric:
             cnt = ranks.get(c.name, {})

@@ -361,7 +361,7 @@ DEFAULT_LOCAL_ROWS = 500_000
 def fit_targets(df: DataFrame, targets: Sequence[Target], k: int = DEFAULT_K, gamma: float = DEFAULT_GAMMA,
                 max_iter: int = DEFAULT_MAX_ITER, tol: float = DEFAULT_TOL, tol_mode: str = "absolute",
                 compress: str | bool = "auto", local_rows: int = DEFAULT_LOCAL_ROWS,
-                verbose: bool = False) -> dict[str, FitState]:
+                verbose: bool = False, allow_empty: bool = False) -> dict[str, FitState]:
     """Fit one mixture per target.
 
     Plan choice by the (checked) size of the fit input per target:
@@ -369,6 +369,9 @@ def fit_targets(df: DataFrame, targets: Sequence[Target], k: int = DEFAULT_K, ga
       reference's 10,000-row sample): one grouped-map task per target runs
       all iterations; targets run in parallel tasks;
     * large: one distributed aggregate per iteration shared by all targets.
+
+    A target without any valid value raises, or is left out of the result
+    with ``allow_empty=True``.
     """
     if not targets:
         return {}
@@ -379,10 +382,14 @@ def fit_targets(df: DataFrame, targets: Sequence[Target], k: int = DEFAULT_K, ga
         for t, tg in enumerate(targets):
             st = stats.get(t)
             if st is None or st["n"] == 0:
+                if allow_empty:
+                    continue
                 raise ValueError(f"no valid values to fit for {tg.name!r}")
             c0 = float(st["sd"]) ** 2 if st["sd"] is not None and st["n"] > 1 else 0.0
             states[t] = FitState(name=tg.name, k=k, m0=float(st["mean"]), c0=c0, total=float(st["n"]))
             centres[t] = _lloyd_1d([float(v) for v in st["sketch"]], k)
+        if not states:
+            return {}
         # Rows per target after compression (distinct values, approximately) decide the plan.
         sizes = {t: (stats[t]["nd"] if compressed else stats[t]["n"]) for t in states}
         if max(sizes.values()) <= local_rows:

@@ -78,3 +78,23 @@ def test_vector_form(spark, enc):
     vec = E.encode(df, encoder, "event_id", form="vector").orderBy("event_id").first()["encoded"]
     dense = E.encode(df, encoder, "event_id", form="dense").orderBy("event_id").first()["encoded"]
     assert list(vec.toArray()) == dense
+
+
+def test_mixed_column_without_continuous_part(spark):
+    """§2.J item 9: no kept continuous mode -> only modal slots, exact round trip."""
+    rows = [(i, 0.0 if i % 3 else -9999999.0, float(i)) for i in range(300)]
+    df = spark.createDataFrame(rows, "event_id long, x double, value double")
+    specs = [E.ColumnSpec("x", "mixed", (-9999999.0, 0.0)), E.ColumnSpec("value")]
+    encoder = E.fit_encoder(df, specs, key="event_id", max_iter=20)
+    code = encoder.column("x")
+    assert code.kept == [] and code.n_slots == 2
+    # modal values are matched by value, whatever the position of the sentinel
+    assert code.modal_values[0] == 0.0
+    rep = {r["col"]: r for r in roundtrip_report(df, encoder, "event_id").collect() if r["col"] == "x"}
+    assert rep["x"]["max_abs_err"] == 0.0 and rep["x"]["rows"] == 300
+
+
+def test_all_null_continuous_column_raises(spark):
+    df = spark.createDataFrame([(1, None), (2, None)], "event_id long, v double")
+    with pytest.raises(ValueError):
+        E.fit_encoder(df, [E.ColumnSpec("v")], key="event_id", max_iter=5)
