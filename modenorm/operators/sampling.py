@@ -97,7 +97,10 @@ def head_n(df: DataFrame, n: int, order_by: str | Sequence[str] | None = None) -
         cols = [F.col(c) for c in names]
         lead = names[0]
     # A top-k merges up to n rows from every partition in one task: only take it when that is small.
-    if lead is None or n * df.rdd.getNumPartitions() <= DIRECT_TOPK_MERGE_ROWS:
+    from modenorm.sources.io import num_partitions
+
+    parts = num_partitions(df)
+    if lead is None or (parts is not None and n * parts <= DIRECT_TOPK_MERGE_ROWS):
         return df.orderBy(*cols).limit(n)
     total = df.count()
     if n >= total:

@@ -157,7 +157,19 @@ def balanced(df: DataFrame, min_fraction: float = 0.5) -> tuple[DataFrame, bool]
     the rows are round-robin repartitioned; large inputs (more splits than
     cores) are returned unchanged.  Returns (frame, whether it was spread).
     """
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= par * min_fraction:
+    n = num_partitions(df)
+    try:
+        par = df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no SparkContext (remote session): leave the input alone
+        return df, False
+    if n is None or n >= par * min_fraction:
         return df, False
     return df.repartition(par), True
+
+
+def num_partitions(df: DataFrame) -> int | None:
+    """Planned partition count of ``df`` (planning only); None where the RDD view is unavailable."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a remote session
+        return None
