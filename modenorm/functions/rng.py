@@ -102,3 +102,22 @@ def hash64_normal_pair(key: str | Column, seed: int, j: int) -> list[Column]:
     u2 = (lo.cast("double") + F.lit(0.5)) / F.lit(TWO_32)
     r = F.sqrt(F.lit(-2.0) * F.log(u1))
     return [r * F.cos(F.lit(2.0 * math.pi) * u2), r * F.sin(F.lit(2.0 * math.pi) * u2)]
+
+
+def hash64_uniform(key: str | Column, seed: int) -> Column:
+    """Uniform on (0, 1) from the top 53 bits of Spark's ``xxhash64(key, seed)``.
+
+    A pure function of (key, seed) like :func:`keyed_uniform`, several times
+    cheaper (no string work), but Spark-specific.
+    """
+    h = F.xxhash64(_col(key), F.lit(int(seed)))
+    return (F.shiftrightunsigned(h, 11).cast("double") + F.lit(0.5)) / F.lit(float(2 ** 53))
+
+
+def uniform(key: str | Column, seed: int, rng: str = "md5") -> Column:
+    """Keyed uniform by method: ``md5`` (portable, has a SQL twin) or ``hash64`` (fast)."""
+    if rng == "md5":
+        return keyed_uniform(key, seed)
+    if rng == "hash64":
+        return hash64_uniform(key, seed)
+    raise ValueError(f"unknown rng {rng!r}")

@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from modenorm.functions.rng import keyed_uniform
+from modenorm.functions.rng import uniform
 from modenorm.operators.model import DEFAULT_EPS, Mixture, significant_modes
 from modenorm.operators.score import CLIP, PROB_FLOOR, SCALE_SDS, clip, fence, is_valid, lookup, mode_scores
 
@@ -54,6 +54,7 @@ class ColumnCode:
     n_categories: int = 0
     order: tuple[int, ...] = ()             # order[slot] = pre-slot (mode position / modal index)
     seed: int = 42
+    rng: str = "hash64"                     # keyed uniform of the mode draw: hash64 (fast) or md5 (portable)
     info: dict = field(default_factory=dict)
 
     @property
@@ -165,8 +166,13 @@ def modal_values(model_all: Mixture, modal: Sequence[float]) -> tuple[float, ...
 
 
 # --------------------------------------------------------------------------- E7, E8 (pre-slot draw)
-def draw_position(df: DataFrame, x: Column, model: Mixture, key: Column, seed: int, out: str) -> DataFrame:
-    """E7 + E8: position (within kept modes) of a mode drawn from the kept posteriors."""
+def draw_position(df: DataFrame, x: Column, model: Mixture, key: Column, seed: int, out: str,
+                  rng: str = "hash64") -> DataFrame:
+    """E7 + E8: position (within kept modes) of a mode drawn from the kept posteriors.
+
+    The uniform is keyed by (row key, seed): ``hash64`` (Spark's xxhash64,
+    default) or ``md5`` (reproducible in other engines).
+    """
     kept = model.kept_modes()
     if not kept:
         raise ValueError(f"model of {model.col!r} keeps no mode")
@@ -191,7 +197,7 @@ def draw_position(df: DataFrame, x: Column, model: Mixture, key: Column, seed: i
         acc = term if acc is None else acc + term
         cums[k] = acc
     df = df.withColumns({f"{p}c{k}": c for k, c in cums.items()})
-    target = keyed_uniform(key, seed) * F.col(f"{p}c{kept[-1]}")
+    target = uniform(key, seed, rng) * F.col(f"{p}c{kept[-1]}")
     df = df.withColumn(f"{p}t", target)
     expr = None
     for pos, k in enumerate(kept):
@@ -230,7 +236,7 @@ def _pre_columns(df: DataFrame, code: ColumnCode, key: Column, keep_overflow: bo
             df = df.withColumn(f"__{name}_ovf", F.lit(None).cast("double"))
         return df
     kept = code.kept
-    df = draw_position(df, x, code.model, key, code.seed, f"__{name}_pos")
+    df = draw_position(df, x, code.model, key, code.seed, f"__{name}_pos", rng=code.rng)
     pos = F.col(f"__{name}_pos")
     df = df.withColumn(f"__{name}_m", _mode_of_position(pos, kept))
     norm = _norm_by_mode(x, F.col(f"__{name}_m"), code.model)
@@ -256,7 +262,7 @@ def _pre_columns(df: DataFrame, code: ColumnCode, key: Column, keep_overflow: bo
 # --------------------------------------------------------------------------- fit
 def fit_encoder(df: DataFrame, specs: Sequence[ColumnSpec], key: str, sample_rows: int | None = None,
                 seed: int = 42, eps: float = DEFAULT_EPS, k: int = 10, max_iter: int = 200,
-                models: dict[str, Mixture] | None = None, **fit_kw) -> Encoder:
+                models: dict[str, Mixture] | None = None, rng: str = "hash64", **fit_kw) -> Encoder:
     """D3: fit every column; mixed columns get two models (all values; non-modal values).
 
     ``models`` may supply fitted models (``name`` -> main model, ``name#all``
@@ -278,7 +284,7 @@ def fit_encoder(df: DataFrame, specs: Sequence[ColumnSpec], key: str, sample_row
             if s.name not in models:
                 targets.append(Target(s.name, x, is_continuous(x, s.modal)))
     if targets:
-        fit_df = df if sample_rows is None else sample_n(df, sample_rows, seed, key=key)
+        fit_df = df if sample_rows is None else sample_n(df, sample_rows, seed, key=key, rng=rng)
         states = fit_targets(fit_df, targets, k=k, max_iter=max_iter, allow_empty=True, **fit_kw)
         for name, st in states.items():
             base = name.split("#")[0]
@@ -291,14 +297,14 @@ def fit_encoder(df: DataFrame, specs: Sequence[ColumnSpec], key: str, sample_row
     if spread:
         full = full.persist()
     try:
-        return _fit_codes(full, specs, key, seed, eps, models)
+        return _fit_codes(full, specs, key, seed, eps, models, rng)
     finally:
         if spread:
             full.unpersist()
 
 
 def _fit_codes(df: DataFrame, specs: Sequence[ColumnSpec], key: str, seed: int, eps: float,
-               models: dict[str, Mixture]) -> Encoder:
+               models: dict[str, Mixture], rng: str) -> Encoder:
     codes: list[ColumnCode] = []
     for i, s in enumerate(specs):
         if s.kind == "categorical":
@@ -306,7 +312,7 @@ def _fit_codes(df: DataFrame, specs: Sequence[ColumnSpec], key: str, seed: int,
             cats = category_index(df, s.name).checkpoint(eager=True)
             n_cat = cats.count()
             codes.append(ColumnCode(name=s.name, kind=s.kind, categories=cats, n_categories=n_cat,
-                                    order=tuple(range(n_cat)), seed=seed + i))
+                                    order=tuple(range(n_cat)), seed=seed + i, rng=rng))
             continue
         m = models.get(s.name)
         if m is None and s.kind == "continuous":
@@ -314,7 +320,7 @@ def _fit_codes(df: DataFrame, specs: Sequence[ColumnSpec], key: str, seed: int,
         m_all = models.get(f"{s.name}#all") if s.kind == "mixed" else None
         mv = modal_values(m_all, s.modal) if s.kind == "mixed" else ()
         codes.append(ColumnCode(name=s.name, kind=s.kind, model=m, model_all=m_all, modal=tuple(s.modal),
-                                modal_values=mv, seed=seed + i))
+                                modal_values=mv, seed=seed + i, rng=rng))
     numeric = [c for c in codes if c.kind != "categorical"]
     fitted = [c for c in numeric if c.model is not None]
     if fitted:
@@ -331,37 +337,36 @@ def _fit_codes(df: DataFrame, specs: Sequence[ColumnSpec], key: str, seed: int,
 
 
 def _hard_counts(df: DataFrame, codes: Sequence[ColumnCode]) -> dict[str, dict[int, int]]:
-    """Hard-mode counts of every main model on its own (non-modal) rows: one grouped pass."""
-    from modenorm.operators.score import _first_max
+    """Hard-mode counts of every main model on its own (non-modal) rows: one aggregate.
+
+    Scores and their maximum are materialised as columns (``assign_mode``), then
+    one conditional count per (column, mode): no generated rows, no grouping.
+    """
+    from modenorm.operators.score import assign_mode
 
-    items = []
+    cur = df
+    aggs = []
     for i, c in enumerate(codes):
-        x = _x(c.name)
-        s = mode_scores(x, c.model)
-        mode = _first_max(s, list(range(c.model.k)))
-        ok = is_valid(x) & is_continuous(x, c.modal)
-        items.append(F.when(ok, F.struct(F.lit(i).alias("c"), mode.cast("int").alias("m"))))
-    long = df.select(F.inline(F.filter(F.array(*items), lambda e: e.isNotNull())))
-    rows = long.groupBy("c", "m").agg(F.count(F.lit(1)).alias("n")).collect()
-    out: dict[str, dict[int, int]] = {}
-    for r in rows:
-        out.setdefault(codes[r["c"]].name, {})[r["m"]] = r["n"]
-    return out
+        cur = assign_mode(cur, c.name, c.model, out=f"__hm{i}")
+        ok = is_continuous(_x(c.name), c.modal)
+        aggs += [F.count_if(ok & (F.col(f"__hm{i}") == F.lit(k))).alias(f"n{i}_{k}") for k in range(c.model.k)]
+    row = cur.agg(*aggs).first()
+    return {c.name: {k: row[f"n{i}_{k}"] for k in range(c.model.k) if row[f"n{i}_{k}"]}
+            for i, c in enumerate(codes)}
 
 
 def _slot_counts(df: DataFrame, codes: Sequence[ColumnCode], key: Column) -> dict[str, dict[int, int]]:
-    """Frequency of each pre-rank slot under the encoder's draws: one grouped pass."""
+    """Frequency of each pre-rank slot under the encoder's draws: one aggregate of conditional counts."""
     cur = df
     for c in codes:
         cur = _pre_columns(cur, c, key)
-    items = [F.when(F.col(f"__{c.name}_pre").isNotNull(),
-                    F.struct(F.lit(i).alias("c"), F.col(f"__{c.name}_pre").alias("p"))) for i, c in enumerate(codes)]
-    long = cur.select(F.inline(F.filter(F.array(*items), lambda e: e.isNotNull())))
-    rows = long.groupBy("c", "p").agg(F.count(F.lit(1)).alias("n")).collect()
-    out: dict[str, dict[int, int]] = {}
-    for r in rows:
-        out.setdefault(codes[r["c"]].name, {})[r["p"]] = r["n"]
-    return out
+    aggs = [F.count_if(F.col(f"__{c.name}_pre") == F.lit(p)).alias(f"n{i}_{p}")
+            for i, c in enumerate(codes) for p in range(c.n_slots)]
+    if not aggs:
+        return {}
+    row = cur.agg(*aggs).first()
+    return {c.name: {p: row[f"n{i}_{p}"] for p in range(c.n_slots) if row[f"n{i}_{p}"]}
+            for i, c in enumerate(codes)}
 
 
 # --------------------------------------------------------------------------- encode

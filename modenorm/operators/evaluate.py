@@ -33,17 +33,31 @@ def roundtrip(df: DataFrame, encoder: Encoder, key: str, lossless: bool = False)
 
 
 def roundtrip_report(df: DataFrame, encoder: Encoder, key: str, lossless: bool = False) -> DataFrame:
-    """(col, mode, rows, clipped, max_abs_err, mean_abs_err); modal slots report mode -1."""
+    """(col, mode, rows, clipped, max_abs_err, mean_abs_err); modal slots report mode -1.
+
+    One aggregate of conditional counts / sums / maxima per (column, mode):
+    no generated rows and no grouping shuffle.
+    """
     numeric = [c for c in encoder.columns if c.kind != "categorical"]
     rt = roundtrip(df, encoder, key, lossless)
-    items = []
-    for c in numeric:
+    aggs, cells = [], []
+    for i, c in enumerate(numeric):
         x = F.col(f"`{c.name}`").cast("double")
+        valid = x.isNotNull() & ~F.isnan(x)
         err = F.abs(F.col(f"`{c.name}_restored`") - x)
-        items.append(F.when(x.isNotNull() & ~F.isnan(x), F.struct(
-            F.lit(c.name).alias("col"), F.coalesce(F.col(f"__{c.name}_mode"), F.lit(-1)).cast("int").alias("mode"),
-            F.col(f"__{c.name}_clipped").cast("int").alias("clipped"), err.alias("err"))))
-    long = rt.select(F.inline(F.filter(F.array(*items), lambda e: e.isNotNull())))
-    return long.groupBy("col", "mode").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("clipped").cast("long").alias("clipped"),
-        F.max("err").alias("max_abs_err"), F.avg("err").alias("mean_abs_err"))
+        mode = F.coalesce(F.col(f"__{c.name}_mode"), F.lit(-1))
+        clipped = F.col(f"__{c.name}_clipped")
+        for m in [-1] + list(c.kept):
+            sel = valid & (mode == F.lit(m))
+            j = len(cells)
+            cells.append((c.name, m))
+            aggs += [F.count_if(sel).alias(f"r{j}"), F.count_if(sel & clipped).alias(f"c{j}"),
+                     F.max(F.when(sel, err)).alias(f"x{j}"), F.sum(F.when(sel, err)).alias(f"s{j}")]
+    spark = df.sparkSession
+    schema = "col string, mode int, rows bigint, clipped bigint, max_abs_err double, mean_abs_err double"
+    if not aggs:
+        return spark.createDataFrame([], schema)
+    row = rt.agg(*aggs).first()
+    out = [(name, m, row[f"r{j}"], row[f"c{j}"], row[f"x{j}"], row[f"s{j}"] / row[f"r{j}"])
+           for j, (name, m) in enumerate(cells) if row[f"r{j}"]]
+    return spark.createDataFrame(out, schema)

@@ -24,11 +24,11 @@ from modenorm.sources.io import first_files, read_table, write_per_source, write
 
 
 def fit_on_sample(df: DataFrame, col: str, key: str | None = None, sample_rows: int = DEFAULT_SAMPLE_ROWS,
-                  seed: int = 42, k: int = 10, max_iter: int = DEFAULT_MAX_ITER, **kw) -> Mixture:
+                  seed: int = 42, k: int = 10, max_iter: int = DEFAULT_MAX_ITER, rng: str = "hash64",
+                  **kw) -> Mixture:
     """Fit on an exact seeded sample (only the key and the column are read)."""
-    cols = [col] if key is None else [key, col]
-    keyed = df.select(*cols) if key is not None else df.select(col, "_metadata")
-    sample = sample_n(keyed, sample_rows, seed, key=key)
+    keyed = df.select(key, col) if key is not None else df.select(col, "_metadata")
+    sample = sample_n(keyed, sample_rows, seed, key=key, rng=rng)
     return fit_modes(sample.select(col), col, k=k, max_iter=max_iter, **kw)
 
 

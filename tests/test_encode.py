@@ -98,3 +98,23 @@ def test_all_null_continuous_column_raises(spark):
     df = spark.createDataFrame([(1, None), (2, None)], "event_id long, v double")
     with pytest.raises(ValueError):
         E.fit_encoder(df, [E.ColumnSpec("v")], key="event_id", max_iter=5)
+
+
+def test_hash64_draw_is_keyed_and_follows_posteriors(spark):
+    from modenorm.operators.score import kept_probs
+    from modenorm.plans.fixed import fixed_model
+
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet").select("event_id", "value")
+    model = fixed_model("value").with_kept([True] * 9 + [False])
+    draw = E.draw_position(ev, F.col("value"), model, F.col("event_id"), 7, "pos", rng="hash64")
+    again = E.draw_position(ev.repartition(5), F.col("value"), model, F.col("event_id"), 7, "pos", rng="hash64")
+    a = dict(draw.select("event_id", "pos").collect())
+    assert a == dict(again.select("event_id", "pos").collect())
+    got = {}
+    for v in a.values():
+        got[v] = got.get(v, 0) + 1
+    pp = kept_probs(ev, "value", model, prefix="pp_")
+    expect = pp.agg(*[F.sum(f"pp_{k}").alias(str(k)) for k in range(9)]).first().asDict()
+    for k in range(9):
+        e = expect[str(k)]
+        assert abs(got.get(k, 0) - e) <= 5 * (e ** 0.5) + 5
