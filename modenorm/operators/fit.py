@@ -255,8 +255,10 @@ def _e_frame(inp: DataFrame, states: dict[int, FitState]) -> DataFrame:
     zsum = None
     for j in range(k):
         zsum = F.col(f"e{j}") if zsum is None else zsum + F.col(f"e{j}")
-    df = df.withColumn("lz", F.col("best") + F.log(zsum))
-    df = df.withColumns({f"r{j}": F.exp(F.col(f"s{j}") - F.col("lz")) for j in range(k)})
+    df = df.withColumn("zs", zsum)
+    df = df.withColumn("lz", F.col("best") + F.log(F.col("zs")))
+    # r_k = e_k / Z (no second round of exponentials); ln r_k = s_k - lz
+    df = df.withColumns({f"r{j}": F.col(f"e{j}") / F.col("zs") for j in range(k)})
     ent = None
     for j in range(k):
         term = F.col(f"r{j}") * (F.col(f"s{j}") - F.col("lz"))
