@@ -215,33 +215,34 @@ def _init_pass(inp: DataFrame, centres: dict[int, list[float]], m0: dict[int, fl
     return {r["t"]: r.asDict() for r in rows}
 
 
-def _param_frame(inp: DataFrame, states: dict[int, FitState]) -> DataFrame:
-    """Per-target parameters as a tiny table (one row per target).
+def _param_frame(inp: DataFrame, params: dict[int, tuple[float, Sequence[float], Sequence[float], Sequence[float]]]
+                 ) -> DataFrame:
+    """Per-target parameters ``t -> (m0, offsets, means, sds)`` as a tiny table (one row per target).
 
     Parameters travel as data through a broadcast hash join on ``t`` rather
     than as literals: the generated code is then identical in every
     iteration and compiled once, instead of once per pass.
     """
-    k = next(iter(states.values())).k
+    k = len(next(iter(params.values()))[1])
     rows = []
-    for t, st in states.items():
-        off, mu, sd = st.offsets(), st.means, st.sds()
-        rows.append((int(t), float(st.m0), *map(float, off), *map(float, mu), *[1.0 / v for v in sd]))
+    for t, (m0, off, mu, sd) in params.items():
+        rows.append((int(t), float(m0), *map(float, off), *map(float, mu), *[1.0 / v for v in sd]))
     names = ["t", "m0"] + [f"o{j}" for j in range(k)] + [f"mu{j}" for j in range(k)] + [f"ps{j}" for j in range(k)]
-    spark = inp.sparkSession
     schema = ", ".join(["t int"] + [f"{n} double" for n in names[1:]])
-    return spark.createDataFrame(rows, schema)
+    return inp.sparkSession.createDataFrame(rows, schema)
 
 
 def _e_pass(inp: DataFrame, states: dict[int, FitState]):
     """One E-step pass for all active targets: responsibilities -> sums and entropy."""
-    rows = _e_frame(inp, states).collect()
+    params = {t: (st.m0, st.offsets(), st.means, st.sds()) for t, st in states.items()}
+    rows = _e_frame(inp, params).collect()
     return {r["t"]: r.asDict() for r in rows}
 
 
-def _e_frame(inp: DataFrame, states: dict[int, FitState]) -> DataFrame:
-    k = next(iter(states.values())).k
-    params = _param_frame(inp, states)
+def _e_frame(inp: DataFrame, params: dict) -> DataFrame:
+    """The pass itself: (t, H, n_k, s_k, q_k) per target, sums centred on each target's m0."""
+    k = len(next(iter(params.values()))[1])
+    params = _param_frame(inp, params)
     x = F.col("x")
     src = inp.join(F.broadcast(params), on="t", how="inner")
     scores = []
@@ -452,6 +453,23 @@ def fit_modes(df: DataFrame, col: str, k: int = DEFAULT_K, gamma: float = DEFAUL
     return st.to_mixture(col, part)
 
 
+def pass_statistics(df: DataFrame, col: str, model: Mixture, center: float = 0.0) -> DataFrame:
+    """D1 one pass under a given model, with the fit's own pass code.
+
+    Returns (mode, n, s, q): ``n = sum r_k``, ``s = sum r_k (x - center)``,
+    ``q = sum r_k (x - center)^2`` over valid rows, r = posterior of mode k.
+    """
+    from modenorm.operators.score import value_col
+
+    x = value_col(df, col)
+    inp = df.select(F.lit(0).alias("t"), x.alias("x"), F.lit(1.0).alias("w")).where(
+        F.col("x").isNotNull() & ~F.isnan(F.col("x")))
+    wide = _e_frame(inp, {0: (center, model.offsets, model.means, model.sds)})
+    items = [F.struct(F.lit(j).alias("mode"), F.col(f"n{j}").alias("n"), F.col(f"s{j}").alias("s"),
+                      F.col(f"q{j}").alias("q")) for j in range(model.k)]
+    return wide.select(F.inline(F.array(*items)))
+
+
 def mode_counts(df: DataFrame, col: str, model: Mixture, modes: str = "all") -> DataFrame:
     """Rows per hard mode (K rows at most)."""
     from modenorm.operators.score import assign_mode

@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from modenorm.functions.rng import keyed_normal_pair_sql
-from modenorm.operators.fit import fit_modes
+from modenorm.operators.fit import fit_modes, pass_statistics
 from modenorm.operators.model import model_frame
 from modenorm.operators.plugin import NumpyModeScaler, apply_transformer
 from modenorm.operators.profile import numeric_columns
 from modenorm.operators.scaleup import add_noise, chunk_plan, replicate, union_all
-from modenorm.operators.score import mode_scores
 from modenorm.plans.catalog import d, q6, r6, register, sql_argmax, sql_by_mode, sql_clip, sql_scores, table
 from modenorm.plans.fixed import fixed_model
 from modenorm.plans.jobs import flagship_frame
@@ -68,28 +67,6 @@ def c5_union(spark, sf_dir):
     return union_all([ev, od])
 
 
-def suff_stats(df, col, model):
-    """D1 one pass under a given model: per mode n = sum r, mean = sum r x / n, meansq = sum r x^2 / n."""
-    x = F.col(col).cast("double")
-    s = mode_scores(x, model)
-    cur = df.select(x.alias("x"), *[sc.alias(f"s{k}") for k, sc in enumerate(s)])
-    cur = cur.withColumn("best", F.greatest(*[F.col(f"s{k}") for k in ALL]))
-    z = None
-    for k in ALL:
-        e = F.exp(F.col(f"s{k}") - F.col("best"))
-        z = e if z is None else z + e
-    cur = cur.withColumn("lz", F.col("best") + F.log(z))
-    cur = cur.withColumns({f"r{k}": F.exp(F.col(f"s{k}") - F.col("lz")) for k in ALL})
-    aggs = []
-    for k in ALL:
-        aggs += [F.sum(f"r{k}").alias(f"n{k}"), F.sum(F.col(f"r{k}") * F.col("x")).alias(f"s{k}"),
-                 F.sum(F.col(f"r{k}") * F.col("x") * F.col("x")).alias(f"q{k}")]
-    wide = cur.agg(*aggs)
-    items = [F.struct(F.lit(k).alias("mode"), F.col(f"n{k}").alias("n"), (F.col(f"s{k}") / F.col(f"n{k}")).alias("mean"),
-                      (F.col(f"q{k}") / F.col(f"n{k}")).alias("meansq")) for k in ALL]
-    return wide.select(F.inline(F.array(*items)))
-
-
 def _suff_sql():
     s = sql_scores("value", M, ALL)
     best = f"greatest({', '.join(f's{k}' for k in ALL)})"
@@ -104,8 +81,10 @@ def _suff_sql():
 
 @register("d1_suffstats", _suff_sql())
 def d1_suffstats(spark, sf_dir):
-    out = suff_stats(table(spark, sf_dir, "events"), "value", M)
-    return out.select("mode", r6("n").alias("n"), r6("mean").alias("mean"), r6("meansq").alias("meansq"))
+    """One pass of the fit's own E-step code under the fixed model (uncentred sums)."""
+    out = pass_statistics(table(spark, sf_dir, "events"), "value", M, center=0.0)
+    return out.select("mode", r6("n").alias("n"), r6(F.col("s") / F.col("n")).alias("mean"),
+                      r6(F.col("q") / F.col("n")).alias("meansq"))
 
 
 @register("d1_fit")
