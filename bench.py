@@ -70,6 +70,9 @@ def main() -> None:
     from modenorm.operators.fit import fit_modes
     warm = spark.read.parquet(f"{sf_dir}/events.parquet").select("value").limit(2000)
     fit_modes(warm, "value", max_iter=5)
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    write_chunks(add_noise(replicate(nation, 100_000, chunk=50_000), numeric_columns(nation), key="id",
+                           method="hash64").drop("pos"), f"{scratch}/warm")
 
     factor = int(os.environ.get("BENCH_SCALE", "20"))
     target = factor * n_li

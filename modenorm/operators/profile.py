@@ -100,11 +100,6 @@ def _describe_aggs(df: DataFrame, cols: Sequence[str], exact: bool) -> list[Colu
     return aggs
 
 
-def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    items = [F.struct(F.lit(c).alias("column"), _clean(df, c).alias("v")) for c in cols]
-    return df.select(F.inline(F.array(*items)))
-
-
 def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = False) -> DataFrame:
     """Count, mean, std, min, 25%, 50%, 75%, max per numeric column (long form)."""
     cols = numeric_columns(df) if cols is None else list(cols)

@@ -104,3 +104,21 @@ def test_list_sources(spark):
     df = read_table(spark, [f"{SF001}/events.parquet", f"{SF01}/events.parquet"])
     got = {r["file_name"]: r["rows"] for r in list_sources(df).collect()}
     assert got == {"events.parquet": 11000}
+
+
+def test_csv_with_schema_and_partition_sizing(spark, tmp_dir):
+    from modenorm.sources.io import set_partition_bytes
+
+    path = os.path.join(tmp_dir, "s.csv")
+    with open(path, "w") as f:
+        f.write("Unnamed: 0,Amount\n0,1.5\n1,NaN\n2,\n")
+    df = read_csv(spark, path, schema="`Unnamed: 0` int, Amount double")
+    assert df.columns == ["Amount"]
+    vals = [r[0] for r in df.collect()]
+    assert vals[0] == 1.5 and vals[1] != vals[1] and vals[2] is None    # NaN stays NaN, empty is null
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        set_partition_bytes(spark, 1024 * 1024)
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(1024 * 1024)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
