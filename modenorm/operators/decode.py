@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modenorm.operators.encode import BROADCAST_CATEGORIES, ColumnCode, Encoder, layout
+from modenorm.operators.encode import ColumnCode, Encoder, layout
 from modenorm.operators.score import SCALE_SDS, clip, lookup
 
 
@@ -78,7 +78,7 @@ def decode(enc: DataFrame, encoder: Encoder, key: str, keep: Sequence[str] = (),
         slot = F.col(f"`{c.name}_slot`")
         if c.kind == "categorical":
             cats = c.categories.select(F.col("category").alias(f"__{c.name}_cat"), F.col("slot").alias(f"__{c.name}_s"))
-            right = F.broadcast(cats) if c.n_categories <= BROADCAST_CATEGORIES else cats
+            right = F.broadcast(cats) if c.broadcast_categories() else cats
             cur = cur.join(right, slot == F.col(f"__{c.name}_s"), "left")
             outs.append(F.col(f"__{c.name}_cat").alias(f"{c.name}{suffix}"))   # F3
             continue

@@ -23,8 +23,9 @@ from modenorm.functions.rng import uniform
 from modenorm.operators.model import DEFAULT_EPS, Mixture, significant_modes
 from modenorm.operators.score import CLIP, PROB_FLOOR, SCALE_SDS, clip, fence, is_valid, lookup, mode_scores
 
-# Category tables up to this many rows are broadcast into the encode/decode joins.
+# Category tables are broadcast into the encode/decode joins only below both bounds.
 BROADCAST_CATEGORIES = 100_000
+BROADCAST_CATEGORY_BYTES = 64 * 1024 * 1024
 # Fixed value: the reference's marker for a missing value inside a mixed column.
 MISSING_SENTINEL = -9999999.0
 
@@ -52,6 +53,7 @@ class ColumnCode:
     modal_values: tuple[float, ...] = ()
     categories: DataFrame | None = None     # categorical: (category, rows, slot)
     n_categories: int = 0
+    category_bytes: int = 0
     order: tuple[int, ...] = ()             # order[slot] = pre-slot (mode position / modal index)
     seed: int = 42
     rng: str = "hash64"                     # keyed uniform of the mode draw: hash64 (fast) or md5 (portable)
@@ -67,6 +69,9 @@ class ColumnCode:
             return self.n_categories
         return len(self.modal) + len(self.kept)
 
+    def broadcast_categories(self) -> bool:
+        return self.n_categories <= BROADCAST_CATEGORIES and self.category_bytes <= BROADCAST_CATEGORY_BYTES
+
     def rank_of(self) -> dict[int, int]:
         return {pre: slot for slot, pre in enumerate(self.order)}
 
@@ -310,8 +315,11 @@ def _fit_codes(df: DataFrame, specs: Sequence[ColumnSpec], key: str, seed: int,
         if s.kind == "categorical":
             # Written to the shared checkpoint folder: encode/decode join it without recomputing the counts.
             cats = category_index(df, s.name).checkpoint(eager=True)
-            n_cat = cats.count()
+            size = cats.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(
+                F.octet_length(F.col("category").cast("string")) + F.lit(16)), F.lit(0)).alias("b")).first()
+            n_cat = size["n"]
             codes.append(ColumnCode(name=s.name, kind=s.kind, categories=cats, n_categories=n_cat,
+                                    category_bytes=int(size["b"]),
                                     order=tuple(range(n_cat)), seed=seed + i, rng=rng))
             continue
         m = models.get(s.name)
@@ -383,7 +391,7 @@ def encode(df: DataFrame, encoder: Encoder, key: str, form: str = "compact", kee
     for c in encoder.columns:
         if c.kind == "categorical":
             cats = c.categories.select(F.col("category").alias(f"__{c.name}_cat"), F.col("slot").alias(f"__{c.name}_slot"))
-            right = F.broadcast(cats) if c.n_categories <= BROADCAST_CATEGORIES else cats
+            right = F.broadcast(cats) if c.broadcast_categories() else cats
             cur = cur.join(right, F.col(f"`{c.name}`").eqNullSafe(F.col(f"__{c.name}_cat")), "left")
             out_cols.append(F.col(f"__{c.name}_slot").cast("int").alias(f"{c.name}_slot"))
             continue
