@@ -458,3 +458,60 @@ def nearest_mode_col(x: Column, model: Mixture) -> Column:
     for k, dk in enumerate(dists):
         expr = F.when(dk == best, F.lit(k)) if expr is None else expr.when(dk == best, F.lit(k))
     return expr.cast("int")
+
+
+# --------------------------------------------------------------------------- persistence
+_COLUMNS_SCHEMA = ("idx int, name string, kind string, modal array<double>, modal_values array<double>, "
+                   "slot_order array<int>, seed int, rng string, n_categories long, category_bytes long")
+
+
+def save_encoder(spark, encoder: Encoder, path: str, mode: str = "overwrite") -> None:
+    """Persist a fitted encoder: column table, model table and one category table per categorical column.
+
+    All parts are small Parquet tables (categories may be large; they are
+    written by Spark, never collected).
+    """
+    from modenorm.operators.model import model_frame
+
+    base = path.rstrip("/")
+    rows = [(i, c.name, c.kind, [float(v) for v in c.modal], [float(v) for v in c.modal_values],
+             [int(o) for o in c.order], int(c.seed), c.rng, int(c.n_categories), int(c.category_bytes))
+            for i, c in enumerate(encoder.columns)]
+    spark.createDataFrame(rows, _COLUMNS_SCHEMA).coalesce(1).write.mode(mode).parquet(f"{base}/columns")
+    models = []
+    for c in encoder.columns:
+        if c.model is not None:
+            models.append(c.model)
+        if c.model_all is not None:
+            models.append(c.model_all)
+    if models:
+        model_frame(spark, models).coalesce(1).write.mode(mode).parquet(f"{base}/models")
+    for i, c in enumerate(encoder.columns):
+        if c.kind == "categorical":
+            c.categories.write.mode(mode).parquet(f"{base}/categories/{i}")
+
+
+def load_encoder(spark, path: str) -> Encoder:
+    """Read an encoder written by :func:`save_encoder`."""
+    import os
+
+    from modenorm.operators.model import load_model
+
+    base = path.rstrip("/")
+    cols = sorted(spark.read.parquet(f"{base}/columns").collect(), key=lambda r: r["idx"])
+    try:
+        models = load_model(spark, f"{base}/models")
+    except Exception:  # noqa: BLE001 - only categorical columns: no model table
+        models = {}
+    codes = []
+    for r in cols:
+        code = ColumnCode(name=r["name"], kind=r["kind"], modal=tuple(r["modal"]), modal_values=tuple(r["modal_values"]),
+                          order=tuple(r["slot_order"]), seed=r["seed"], rng=r["rng"],
+                          n_categories=r["n_categories"], category_bytes=r["category_bytes"])
+        if r["kind"] == "categorical":
+            code.categories = spark.read.parquet(os.path.join(base, "categories", str(r["idx"])))
+        else:
+            code.model = models.get((r["name"], "main"))
+            code.model_all = models.get((r["name"], "all"))
+        codes.append(code)
+    return Encoder(codes)

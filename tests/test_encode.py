@@ -118,3 +118,17 @@ def test_hash64_draw_is_keyed_and_follows_posteriors(spark):
     for k in range(9):
         e = expect[str(k)]
         assert abs(got.get(k, 0) - e) <= 5 * (e ** 0.5) + 5
+
+
+def test_save_and_load_encoder(spark, enc, tmp_dir):
+    import os
+
+    df, encoder = enc
+    path = os.path.join(tmp_dir, "encoder")
+    E.save_encoder(spark, encoder, path)
+    loaded = E.load_encoder(spark, path)
+    a = E.encode(df, encoder, "event_id").orderBy("event_id").collect()
+    b = E.encode(df, loaded, "event_id").orderBy("event_id").collect()
+    assert a == b
+    back = decode(E.encode(df, loaded, "event_id"), loaded, "event_id").orderBy("event_id").collect()
+    assert len(back) == df.count()
