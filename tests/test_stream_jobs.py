@@ -65,3 +65,19 @@ def test_fit_on_sample_without_key_and_per_file_job(spark, tmp_dir):
     out = spark.read.parquet(dst)
     assert out.count() == 1000
     assert [r[0] for r in out.select("source_file").distinct().collect()] == ["transformed_events.parquet"]
+
+
+def test_command_line(spark, tmp_dir, capsys):
+    from modenorm.__main__ import main
+
+    dst = os.path.join(tmp_dir, "cli-scored")
+    assert main(["normalize", f"{SF001}/events.parquet", dst, "--col", "value", "--key", "event_id",
+                 "--max-iter", "10", "--model-path", os.path.join(tmp_dir, "cli-model")], spark=spark) == 0
+    assert spark.read.parquet(dst).count() == 1000
+    assert main(["profile", f"{SF001}/nation.parquet"], spark=spark) == 0
+    out = capsys.readouterr().out
+    assert "rows" in out and "n_nationkey" in out
+    enc_dst = os.path.join(tmp_dir, "cli-enc")
+    assert main(["encode", f"{SF001}/events.parquet", enc_dst, "--key", "event_id", "--continuous", "value",
+                 "--categorical", "event_type", "--lossless"], spark=spark) == 0
+    assert spark.read.parquet(os.path.join(enc_dst, "encoded")).count() == 1000
