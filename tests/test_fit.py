@@ -97,3 +97,20 @@ def test_type_guard(spark):
     df = spark.createDataFrame([("a",)], "s string")
     with pytest.raises(ValueError):
         fit_modes(df, "s")
+
+
+def test_targets_sharing_passes_equal_separate_fits(spark):
+    """Two targets fitted in the same distributed passes equal their separate fits."""
+    df = spark.read.parquet(f"{SF01}/events.parquet")
+    both = fit_targets(df, [Target("all", F.col("value")),
+                            Target("view", F.col("value"), F.col("event_type") == "view")],
+                       max_iter=15, local_rows=0, compress=False)
+    alone = fit_targets(df.where(F.col("event_type") == "view"), [Target("view", F.col("value"))],
+                        max_iter=15, local_rows=0, compress=False)
+    np.testing.assert_allclose(both["view"].means, alone["view"].means, rtol=1e-9)
+    np.testing.assert_allclose(both["view"].var, alone["view"].var, rtol=1e-9)
+    local = fit_targets(df, [Target("all", F.col("value")),
+                             Target("view", F.col("value"), F.col("event_type") == "view")],
+                        max_iter=15, compress=False)
+    for name in ("all", "view"):
+        np.testing.assert_allclose(both[name].means, local[name].means, rtol=1e-8)
