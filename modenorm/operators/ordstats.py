@@ -149,12 +149,16 @@ def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             vals = df.where((x >= F.lit(lo_v)) & (x <= F.lit(hi_v))).agg(
                 F.percentile_approx(x, qq, accuracy).alias("qs")).first()["qs"]
             pending[(i, rank)] = (vals[0], vals[-1])
-    for (i, rank) in list(pending):
-        # Fallback for what the sketches did not pin down: distributed dense index.
+    by_col: dict[int, list[int]] = {}
+    for (i, rank) in pending:
+        by_col.setdefault(i, []).append(rank)
+    for i, ranks in by_col.items():
+        # Fallback for what the sketches did not pin down: one distributed dense index per column.
         x = val(cols[i])
         idx = dense_index(df.select(x.alias("v")).where(F.col("v").isNotNull()), ["v"])
-        found[(i, rank)] = idx.where(F.col("idx") == F.lit(rank)).first()["v"]
-        del pending[(i, rank)]
+        for r in idx.where(F.col("idx").isin(ranks)).select("idx", "v").collect():
+            found[(i, r["idx"])] = r["v"]
+    pending.clear()
     out = []
     for i, ts in targets.items():
         for p, lo, hi, frac in ts:
