@@ -34,13 +34,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Outputs are rounded to 6 decimals with the same IEEE operations in both engines,
+# floor(x * 1e6 + 0.5) / 1e6, so identical inputs give bit-identical outputs
+# (the engines' own round() functions disagree at half-way cases).
 def r6(c: Column | str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c, 6) + F.lit(0.0)
+    return (F.floor(c * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)).cast("double")
 
 
 def q6(expr: str) -> str:
-    return f"(round(({expr}), 6) + 0.0)"
+    return f"(floor(({expr}) * CAST(1000000.0 AS DOUBLE) + CAST(0.5 AS DOUBLE)) / CAST(1000000.0 AS DOUBLE))"
 
 
 def d(v: float) -> str:

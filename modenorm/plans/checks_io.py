@@ -26,9 +26,9 @@ def _scored_cols(df):
                      r6("value_Transformed").alias("value_Transformed"), "Mode_Assignment")
 
 
-@register("a2_csv", """
+@register("a2_csv", f"""
 SELECT CAST(event_id AS DOUBLE) AS event_id, CAST(user_id AS DOUBLE) AS user_id, event_type,
-       round(value, 6) + 0.0 AS value FROM events""")
+       {q6('value')} AS value FROM events""")
 def a2_csv(spark, sf_dir):
     """A2 + A3: CSV with a stray index column; integers come back as double, the index column is dropped."""
     path = scratch_path(spark, "csv")
@@ -90,8 +90,8 @@ def c6_scale_up(spark, sf_dir):
 _EV_ALL = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 _H3_SQL = "\nUNION ALL ".join([
     "SELECT 'rows' AS section, '' AS \"column\", 'rows' AS metric, CAST(count(*) AS DOUBLE) AS value FROM events",
-    "SELECT 'size', '', 'mb', " + q6("sum(8 + 8 + 8 + coalesce(strlen(event_type), 0) + 8 + coalesce(strlen(props), 0))"
-                                     " / (1024.0 * 1024.0)") + " FROM events",
+    "SELECT 'size', '', 'mb', " + q6("CAST(sum(8 + 8 + 8 + coalesce(strlen(event_type), 0) + 8 + coalesce(strlen(props), 0)) AS DOUBLE)"
+                                     " / CAST(1048576.0 AS DOUBLE)") + " FROM events",
     *[f"SELECT 'missing', '{c}', 'missing', CAST(count(*) FILTER (WHERE {c} IS NULL"
       + (" OR isnan(value)" if c == "value" else "") + ") AS DOUBLE) FROM events" for c in _EV_ALL],
     _describe_sql("events", ["event_id", "user_id", "value"], section="describe"),
@@ -101,7 +101,7 @@ _H3_SQL = "\nUNION ALL ".join([
 @register("h3_profile", _H3_SQL)
 def h3_profile(spark, sf_dir):
     out = profile_job(spark, f"{sf_dir.rstrip('/')}/events.parquet", exact=True)
-    return out.withColumn("value", F.round(F.col("value"), 6) + F.lit(0.0))
+    return out.withColumn("value", r6("value"))
 
 
 def _fixture(spark, sf_dir):

@@ -37,7 +37,7 @@ def _describe_sql(src: str, cols, section: str | None = None) -> str:
 
 
 def _round_value(df):
-    return df.withColumn("value", F.round(F.col("value"), 6) + F.lit(0.0))
+    return df.withColumn("value", r6("value"))
 
 
 # ------------------------------------------------------------------ A
@@ -104,11 +104,10 @@ def g3_missing(spark, sf_dir):
     return P.missing(lineitem_missing(spark, sf_dir))
 
 
-@register("g4_size", """
+@register("g4_size", f"""
 SELECT sum(8 + 8 + 8 + 4 + 8 + 8 + 8 + 8 + coalesce(strlen(l_returnflag), 0) + coalesce(strlen(l_linestatus), 0) + 8)
          AS bytes,
-       round(sum(8 + 8 + 8 + 4 + 8 + 8 + 8 + 8 + coalesce(strlen(l_returnflag), 0) + coalesce(strlen(l_linestatus), 0) + 8)
-         / (1024.0 * 1024.0), 6) AS mb
+       {q6("CAST(sum(8 + 8 + 8 + 4 + 8 + 8 + 8 + 8 + coalesce(strlen(l_returnflag), 0) + coalesce(strlen(l_linestatus), 0) + 8) AS DOUBLE) / CAST(1048576.0 AS DOUBLE)")} AS mb
 FROM lineitem""")
 def g4_size(spark, sf_dir):
     out = P.size_bytes(table(spark, sf_dir, "lineitem"))
@@ -119,8 +118,8 @@ _CUST_NUM = ["c_custkey", "c_nationkey", "c_acctbal"]
 _CUST_ALL = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 _G6_SQL = "\nUNION ALL ".join([
     "SELECT 'rows' AS section, '' AS \"column\", 'rows' AS metric, CAST(count(*) AS DOUBLE) AS value FROM customer",
-    "SELECT 'size', '', 'mb', " + q6("sum(8 + coalesce(strlen(c_name), 0) + 4 + 8 + coalesce(strlen(c_mktsegment), 0))"
-                                     " / (1024.0 * 1024.0)") + " FROM customer",
+    "SELECT 'size', '', 'mb', " + q6("CAST(sum(8 + coalesce(strlen(c_name), 0) + 4 + 8 + coalesce(strlen(c_mktsegment), 0)) AS DOUBLE)"
+                                     " / CAST(1048576.0 AS DOUBLE)") + " FROM customer",
     *[f"SELECT 'missing', '{c}', 'missing', CAST(count(*) FILTER (WHERE {c} IS NULL"
       + (" OR isnan(c_acctbal)" if c == "c_acctbal" else "") + ") AS DOUBLE) FROM customer" for c in _CUST_ALL],
     _describe_sql("customer", _CUST_NUM, section="describe"),

@@ -18,11 +18,15 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "labels conversations").split()
 
 
+STRICT = os.environ.get("STRICT", "0") == "1"
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return repr(round(v, 6) + 0.0)
+        # STRICT=1: exact values (as a strict driver would hash them); otherwise 6 decimals
+        return repr(v + 0.0) if STRICT else repr(round(v, 6) + 0.0)
     if hasattr(v, "tolist"):
         v = v.tolist()
     if isinstance(v, (list, tuple)):

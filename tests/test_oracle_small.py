@@ -1,8 +1,12 @@
 """Every registered query against its SQL twin in DuckDB, at sf0.001."""
 
+import os
+
 import duckdb
 import pytest
 
+os.environ.setdefault("STRICT", "1")     # exact float comparison, no re-rounding
+
 from tests.conftest import SF001
 from tests.oracle_check import TABLES, digest
 
