@@ -351,7 +351,7 @@ def _report_sql(lossless: bool) -> str:
         if lossless:
             restored = f"CASE WHEN abs({col}_raw) > {d(0.99)} THEN b.{col} ELSE {restored} END"
         parts.append(f"""SELECT '{col}' AS col, coalesce(e.{col}_mode, -1) AS mode, count(*) AS rows,
-  sum(CASE WHEN abs({col}_raw) > {d(0.99)} THEN 1 ELSE 0 END) AS clipped,
+  CAST(sum(CASE WHEN abs({col}_raw) > {d(0.99)} THEN 1 ELSE 0 END) AS BIGINT) AS clipped,
   {q6(f'max(abs(({restored}) - b.{col}))')} AS max_abs_err,
   {q6(f'avg(abs(({restored}) - b.{col}))')} AS mean_abs_err
 FROM {col}_enc e JOIN base b ON b.event_id = e.event_id GROUP BY 1, 2""")

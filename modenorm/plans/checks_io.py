@@ -59,7 +59,9 @@ def a9_chunks(spark, sf_dir):
     path = scratch_path(spark, "chunks")
     rep = replicate(table(spark, sf_dir, "nation"), _target(spark, sf_dir), CHUNK, order_by=["n_nationkey"])
     write_chunks(rep, path)
-    return spark.read.parquet(path).groupBy("chunk").agg(F.count(F.lit(1)).alias("rows"))
+    # partition values read back as int: the chunk id is a bigint
+    return (spark.read.parquet(path).groupBy(F.col("chunk").cast("long").alias("chunk"))
+            .agg(F.count(F.lit(1)).alias("rows")))
 
 
 @register("a10_per_source", "SELECT 'transformed_events.parquet' AS source_file, count(*) AS rows FROM events")
@@ -83,8 +85,8 @@ def c6_scale_up(spark, sf_dir):
     scale_up(spark, src, dst, _target(spark, sf_dir), chunk=CHUNK, seed=_C6_SEED, order_by=["n_nationkey"],
              noise="keyed")
     out = spark.read.parquet(dst)
-    return out.select("id", "chunk", r6("n_nationkey").alias("n_nationkey"), r6("n_regionkey").alias("n_regionkey"),
-                      "n_name")
+    return out.select("id", F.col("chunk").cast("long").alias("chunk"), r6("n_nationkey").alias("n_nationkey"),
+                      r6("n_regionkey").alias("n_regionkey"), "n_name")
 
 
 _EV_ALL = ["event_id", "ts", "user_id", "event_type", "value", "props"]

@@ -105,8 +105,8 @@ def g3_missing(spark, sf_dir):
 
 
 @register("g4_size", f"""
-SELECT sum(8 + 8 + 8 + 4 + 8 + 8 + 8 + 8 + coalesce(strlen(l_returnflag), 0) + coalesce(strlen(l_linestatus), 0) + 8)
-         AS bytes,
+SELECT CAST(sum(8 + 8 + 8 + 4 + 8 + 8 + 8 + 8 + coalesce(strlen(l_returnflag), 0) + coalesce(strlen(l_linestatus), 0) + 8)
+         AS BIGINT) AS bytes,
        {q6("CAST(sum(8 + 8 + 8 + 4 + 8 + 8 + 8 + 8 + coalesce(strlen(l_returnflag), 0) + coalesce(strlen(l_linestatus), 0) + 8) AS DOUBLE) / CAST(1048576.0 AS DOUBLE)")} AS mb
 FROM lineitem""")
 def g4_size(spark, sf_dir):

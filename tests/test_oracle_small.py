@@ -13,6 +13,7 @@ from tests.oracle_check import TABLES, digest
 import __spark_entry__ as entry
 
 SQL = entry.oracle_sql()
+TYPE_NAMES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 QUERIES = entry.queries()
 
 
@@ -31,6 +32,11 @@ def test_query_matches_sql(spark, con, name):
     if name not in SQL:
         assert len(rows) > 0
         return
+    rel = con.sql(SQL[name])
+    types = dict(zip(rel.columns, (str(t) for t in rel.types)))
+    spark_types = {f.name: TYPE_NAMES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == types
     cur = con.execute(SQL[name])
     dcols = [c[0] for c in cur.description]
     drows = cur.fetchall()
