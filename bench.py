@@ -122,7 +122,11 @@ def main() -> None:
     timed("describe_exact", lambda: describe(lineitem, exact=True).collect(), n_li)
 
     total = round(sum(times.values()), 3)
-    sf = os.path.basename(sf_dir).replace("sf", "")
+    sf_text = os.path.basename(sf_dir).replace("sf", "")
+    try:
+        sf = float(sf_text)
+    except ValueError:
+        sf = sf_text
     out = {"metric": "total_sec", "value": total, "unit": "sec", "queries": times, "sf": sf,
            "rows_per_sec": {k: round(rows[k] / times[k]) for k in rows if times[k] > 0},
            "cpus": int(cpus), "scaled_rows": target,
