@@ -248,36 +248,30 @@ def _e_pass(inp: DataFrame, states: dict[int, FitState]):
 
 
 def _e_frame(inp: DataFrame, params: dict) -> DataFrame:
-    """The pass itself: (t, H, n_k, s_k, q_k) per target, sums centred on each target's m0."""
+    """The pass itself: (t, H, n_k, s_k, q_k) per target, sums centred on each target's m0.
+
+    The persisted input is broadcast-joined with the parameter table, then
+    one ``selectExpr`` (lateral column aliases: each column may use earlier
+    ones) and one aggregate: two analyses per pass, where a chain of
+    ``withColumns`` calls would re-analyse a growing plan a dozen times.
+    """
     k = len(next(iter(params.values()))[1])
-    params = _param_frame(inp, params)
-    x = F.col("x")
-    src = inp.join(F.broadcast(params), on="t", how="inner")
-    scores = []
-    for j in range(k):
-        z = (x - F.col(f"mu{j}")) * F.col(f"ps{j}")
-        scores.append((F.col(f"o{j}") - F.lit(0.5) * (z * z)).alias(f"s{j}"))
-    df = src.select("t", "w", (x - F.col("m0")).alias("xc"), *scores)
-    best = F.greatest(*[F.col(f"s{j}") for j in range(k)]) if k > 1 else F.col("s0")
-    df = df.withColumn("best", best)
-    df = df.withColumns({f"e{j}": F.exp(F.col(f"s{j}") - F.col("best")) for j in range(k)})
-    zsum = None
-    for j in range(k):
-        zsum = F.col(f"e{j}") if zsum is None else zsum + F.col(f"e{j}")
-    df = df.withColumn("zs", zsum)
-    df = df.withColumn("lz", F.col("best") + F.log(F.col("zs")))
-    # r_k = e_k / Z (no second round of exponentials); ln r_k = s_k - lz
-    df = df.withColumns({f"r{j}": F.col(f"e{j}") / F.col("zs") for j in range(k)})
-    ent = None
-    for j in range(k):
-        term = F.col(f"r{j}") * (F.col(f"s{j}") - F.col("lz"))
-        ent = term if ent is None else ent + term
-    aggs = [F.sum(F.col("w") * ent).alias("H")]
-    for j in range(k):
-        wr = F.col("w") * F.col(f"r{j}")
-        aggs += [F.sum(wr).alias(f"n{j}"), F.sum(wr * F.col("xc")).alias(f"s{j}"),
-                 F.sum(wr * F.col("xc") * F.col("xc")).alias(f"q{j}")]
-    return df.groupBy("t").agg(*aggs)
+    rng = range(k)
+    joined = inp.join(F.broadcast(_param_frame(inp, params)), on="t", how="inner")
+    exprs = ["t", "w", "x - m0 AS xc"]
+    exprs += [f"o{j} - 0.5D * (((x - mu{j}) * ps{j}) * ((x - mu{j}) * ps{j})) AS sc{j}" for j in rng]
+    exprs.append(f"greatest({', '.join(f'sc{j}' for j in rng)}) AS best" if k > 1 else "sc0 AS best")
+    exprs += [f"exp(sc{j} - best) AS e{j}" for j in rng]
+    exprs.append(f"{' + '.join(f'e{j}' for j in rng)} AS zs")
+    exprs.append("best + ln(zs) AS lz")
+    exprs += [f"e{j} / zs AS r{j}" for j in rng]
+    cols = joined.selectExpr(*exprs)
+    ent = " + ".join(f"r{j} * (sc{j} - lz)" for j in rng)
+    aggs = [F.expr(f"sum(w * ({ent}))").alias("H")]
+    for j in rng:
+        aggs += [F.expr(f"sum(w * r{j})").alias(f"n{j}"), F.expr(f"sum(w * r{j} * xc)").alias(f"s{j}"),
+                 F.expr(f"sum(w * r{j} * xc * xc)").alias(f"q{j}")]
+    return cols.groupBy("t").agg(*aggs)
 
 
 def prepare_input(df: DataFrame, targets: Sequence[Target], compress: str | bool = "auto"):

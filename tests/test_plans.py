@@ -30,6 +30,7 @@ def test_fit_pass_is_partial_aggregate_over_broadcast_params(spark):
         m = fixed_model()
         plan = _plan(FT._e_frame(inp, {0: (stats[0]["mean"], m.offsets, m.means, m.sds)}))
         assert "BroadcastHashJoin" in plan
+        assert "InMemoryTableScan" in plan              # every pass reads the persisted input, not the files
         assert plan.count("HashAggregate") >= 2          # partial (map side) + final
         assert "SortMergeJoin" not in plan
     finally:
