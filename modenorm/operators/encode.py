@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from modenorm.functions.rng import uniform
 from modenorm.operators.model import DEFAULT_EPS, Mixture, significant_modes
-from modenorm.operators.score import CLIP, PROB_FLOOR, SCALE_SDS, clip, fence, is_valid, lookup, mode_scores
+from modenorm.operators.score import (CLIP, PROB_FLOOR, SCALE_SDS, clip, extend, fence, is_valid, lookup,
+                                      mode_scores)
 
 # Category tables are broadcast into the encode/decode joins only below both bounds.
 BROADCAST_CATEGORIES = 100_000
@@ -182,36 +183,33 @@ def draw_position(df: DataFrame, x: Column, model: Mixture, key: Column, seed: i
     if not kept:
         raise ValueError(f"model of {model.col!r} keeps no mode")
     p = "__" + out
-    scores = mode_scores(x, model)
-    df = df.withColumns({f"{p}s{k}": sc for k, sc in enumerate(scores)})
-    best = F.greatest(*[F.col(f"{p}s{k}") for k in range(model.k)]) if model.k > 1 else F.col(f"{p}s0")
-    df = df.withColumn(f"{p}b", best)
-    df = df.withColumns({f"{p}e{k}": F.exp(F.col(f"{p}s{k}") - F.col(f"{p}b")) for k in range(model.k)})
+    c = lambda name: F.col(f"{p}{name}")
+    steps = [(f"{p}s{k}", sc) for k, sc in enumerate(mode_scores(x, model))]
+    steps.append((f"{p}b", F.greatest(*[c(f"s{k}") for k in range(model.k)]) if model.k > 1 else c("s0")))
+    steps += [(f"{p}e{k}", F.exp(c(f"s{k}") - c("b"))) for k in range(model.k)]
     z = None
     for k in range(model.k):
-        z = F.col(f"{p}e{k}") if z is None else z + F.col(f"{p}e{k}")
-    df = df.withColumn(f"{p}z", z)
-    df = df.withColumns({f"{p}q{k}": F.col(f"{p}e{k}") / F.col(f"{p}z") + _lit(PROB_FLOOR) for k in kept})
+        z = c(f"e{k}") if z is None else z + c(f"e{k}")
+    steps.append((f"{p}z", z))
+    steps += [(f"{p}q{k}", c(f"e{k}") / c("z") + _lit(PROB_FLOOR)) for k in kept]
     qz = None
     for k in kept:
-        qz = F.col(f"{p}q{k}") if qz is None else qz + F.col(f"{p}q{k}")
-    df = df.withColumn(f"{p}qz", qz)
-    acc, cums = None, {}
+        qz = c(f"q{k}") if qz is None else qz + c(f"q{k}")
+    steps.append((f"{p}qz", qz))
+    acc = None
     for k in kept:
-        term = F.col(f"{p}q{k}") / F.col(f"{p}qz")
+        term = c(f"q{k}") / c("qz")
         acc = term if acc is None else acc + term
-        cums[k] = acc
-    df = df.withColumns({f"{p}c{k}": c for k, c in cums.items()})
-    target = uniform(key, seed, rng) * F.col(f"{p}c{kept[-1]}")
-    df = df.withColumn(f"{p}t", target)
+        steps.append((f"{p}c{k}", acc))
+    steps.append((f"{p}t", uniform(key, seed, rng) * c(f"c{kept[-1]}")))
     expr = None
     for pos, k in enumerate(kept):
-        cond = F.col(f"{p}c{k}") > F.col(f"{p}t")
+        cond = c(f"c{k}") > c("t")
         expr = F.when(cond, F.lit(pos)) if expr is None else expr.when(cond, F.lit(pos))
-    df = df.withColumn(out, F.when(is_valid(x), expr.otherwise(F.lit(len(kept) - 1))).cast("int"))
+    steps.append((out, F.when(is_valid(x), expr.otherwise(F.lit(len(kept) - 1))).cast("int")))
     tmp = ([f"{p}s{k}" for k in range(model.k)] + [f"{p}e{k}" for k in range(model.k)]
            + [f"{p}q{k}" for k in kept] + [f"{p}c{k}" for k in kept] + [f"{p}b", f"{p}z", f"{p}qz", f"{p}t"])
-    return fence(df.drop(*tmp), "draw")
+    return fence(extend(df, steps, drop=tmp), "draw")
 
 
 def _mode_of_position(pos: Column, kept: Sequence[int]) -> Column:
@@ -243,24 +241,25 @@ def _pre_columns(df: DataFrame, code: ColumnCode, key: Column, keep_overflow: bo
     kept = code.kept
     df = draw_position(df, x, code.model, key, code.seed, f"__{name}_pos", rng=code.rng)
     pos = F.col(f"__{name}_pos")
-    df = df.withColumn(f"__{name}_m", _mode_of_position(pos, kept))
+    steps = [(f"__{name}_m", _mode_of_position(pos, kept))]
     norm = _norm_by_mode(x, F.col(f"__{name}_m"), code.model)
     n_modal = len(code.modal)
     if code.kind == "mixed" and n_modal:
         modal_idx = _case(x, {float(v): i for i, v in enumerate(code.modal)})
         modal_val = _case(x, {float(v): float(code.modal_values[i]) for i, v in enumerate(code.modal)})
         is_modal = x.isin([float(v) for v in code.modal])
-        df = df.withColumn(raw, F.when(is_modal, F.lit(None).cast("double")).otherwise(norm))
-        df = df.withColumn(pre, F.when(~is_valid(x), F.lit(None)).when(is_modal, modal_idx)
-                           .otherwise(pos + F.lit(n_modal)).cast("int"))
-        df = df.withColumn(val, F.when(~is_valid(x), F.lit(None).cast("double")).when(is_modal, modal_val)
-                           .otherwise(clip(F.col(raw))))
+        steps.append((raw, F.when(is_modal, F.lit(None).cast("double")).otherwise(norm)))
+        steps.append((pre, F.when(~is_valid(x), F.lit(None)).when(is_modal, modal_idx)
+                      .otherwise(pos + F.lit(n_modal)).cast("int")))
+        steps.append((val, F.when(~is_valid(x), F.lit(None).cast("double")).when(is_modal, modal_val)
+                      .otherwise(clip(F.col(raw)))))
     else:
-        df = df.withColumn(raw, F.when(is_valid(x), norm))
-        df = df.withColumn(pre, F.when(is_valid(x), pos).cast("int"))
-        df = df.withColumn(val, clip(F.col(raw)))
+        steps.append((raw, F.when(is_valid(x), norm)))
+        steps.append((pre, F.when(is_valid(x), pos).cast("int")))
+        steps.append((val, clip(F.col(raw))))
     if keep_overflow:
-        df = df.withColumn(f"__{name}_ovf", F.when(F.abs(F.col(raw)) > _lit(CLIP), x))
+        steps.append((f"__{name}_ovf", F.when(F.abs(F.col(raw)) > _lit(CLIP), x)))
+    df = extend(df, steps)
     return df.drop(f"__{name}_pos", f"__{name}_m", raw)
 
 

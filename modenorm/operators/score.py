@@ -30,6 +30,21 @@ def _lit(v: float) -> Column:
     return F.lit(float(v))
 
 
+def extend(df: DataFrame, cols: Sequence[tuple[str, Column]], drop: Sequence[str] = ()) -> DataFrame:
+    """Add a chain of columns in one ``select``: later columns may use earlier ones by name.
+
+    Lateral column aliases are split by the analyzer into stacked projections
+    (each intermediate computed once), but the plan is analysed once instead
+    of once per ``withColumn`` call.  Existing columns with a new name are
+    replaced; ``drop`` removes temporaries afterwards.
+    """
+    names = [n for n, _ in cols]
+    clash = [n for n in names if n in df.columns]
+    base = df.drop(*clash) if clash else df
+    out = base.select("*", *[c.alias(n) for n, c in cols])
+    return out.drop(*drop) if drop else out
+
+
 def value_col(df: DataFrame, col: str) -> Column:
     """The input column as double; raises for non-numeric input."""
     field = next((f for f in df.schema.fields if f.name == col), None)
@@ -77,11 +92,8 @@ def _mode_list(model: Mixture, modes: str | Sequence[int]) -> list[int]:
     return list(modes)
 
 
-def _with_scores(df: DataFrame, x: Column, model: Mixture, idx: Sequence[int], prefix: str) -> tuple[DataFrame, list[Column]]:
-    names = [f"{prefix}{k}" for k in idx]
-    scores = mode_scores(x, model, idx)
-    df2 = df.withColumns({n: F.when(is_valid(x), s) for n, s in zip(names, scores)})
-    return df2, [F.col(n) for n in names]
+def _score_steps(x: Column, model: Mixture, idx: Sequence[int], prefix: str) -> list[tuple[str, Column]]:
+    return [(f"{prefix}{k}", F.when(is_valid(x), sc)) for k, sc in zip(idx, mode_scores(x, model, idx))]
 
 
 def assign_mode(df: DataFrame, col: str, model: Mixture, out: str = "Mode_Assignment",
@@ -89,14 +101,15 @@ def assign_mode(df: DataFrame, col: str, model: Mixture, out: str = "Mode_Assign
     """Hard mode = argmax of the score, the lower mode wins ties; null/NaN -> null."""
     x = value_col(df, col)
     idx = _mode_list(model, modes)
-    df2, s = _with_scores(df, x, model, idx, "__s")
-    df3 = df2.withColumn("__best", _greatest(s))
+    steps = _score_steps(x, model, idx, "__s")
+    s = [F.col(n) for n, _ in steps]
+    steps.append(("__best", _greatest(s)))
     whens = None
     for c, lab in zip(s, idx):
         cond = c == F.col("__best")
         whens = F.when(cond, F.lit(lab)) if whens is None else whens.when(cond, F.lit(lab))
-    res = df3.withColumn(out, F.when(s[0].isNotNull(), whens.otherwise(F.lit(idx[-1]))).cast("int"))
-    return res.drop(*[f"__s{k}" for k in idx], "__best")
+    steps.append((out, F.when(s[0].isNotNull(), whens.otherwise(F.lit(idx[-1]))).cast("int")))
+    return extend(df, steps, drop=[f"__s{k}" for k in idx] + ["__best"])
 
 
 def mode_probs(df: DataFrame, col: str, model: Mixture, prefix: str = "p_",
@@ -104,15 +117,16 @@ def mode_probs(df: DataFrame, col: str, model: Mixture, prefix: str = "p_",
     """Posterior probability of every mode (stable softmax of the scores)."""
     x = value_col(df, col)
     idx = _mode_list(model, modes)
-    df2, s = _with_scores(df, x, model, idx, "__s")
-    df3 = df2.withColumn("__best", _greatest(s))
-    df4 = df3.withColumns({f"__e{k}": F.exp(c - F.col("__best")) for k, c in zip(idx, s)})
+    steps = _score_steps(x, model, idx, "__s")
+    s = [F.col(n) for n, _ in steps]
+    steps.append(("__best", _greatest(s)))
+    steps += [(f"__e{k}", F.exp(c - F.col("__best"))) for k, c in zip(idx, s)]
     total = None
     for k in idx:
         total = F.col(f"__e{k}") if total is None else total + F.col(f"__e{k}")
-    df5 = df4.withColumn("__z", total)
-    res = df5.withColumns({f"{prefix}{k}": F.col(f"__e{k}") / F.col("__z") for k in idx})
-    return res.drop(*[f"__s{k}" for k in idx], *[f"__e{k}" for k in idx], "__best", "__z")
+    steps.append(("__z", total))
+    steps += [(f"{prefix}{k}", F.col(f"__e{k}") / F.col("__z")) for k in idx]
+    return extend(df, steps, drop=[f"__s{k}" for k in idx] + [f"__e{k}" for k in idx] + ["__best", "__z"])
 
 
 def lookup(idx: Column, values: Sequence) -> Column:
@@ -201,11 +215,10 @@ def score(df: DataFrame, col: str, model: Mixture | None, keep_overflow: bool =
     if on_null == "error":
         norm = F.when(is_valid(x), norm).otherwise(F.raise_error(F.lit(f"null or NaN in {col}")))
     tcol = f"{col}_Transformed"
-    scored = scored.withColumn("__norm", norm)
-    scored = scored.withColumn(tcol, clip(F.col("__norm")))
+    steps = [("__norm", norm), (tcol, clip(F.col("__norm")))]
     if keep_overflow:
-        scored = scored.withColumn(
-            f"{col}_Overflow", F.when(F.abs(F.col("__norm")) > _lit(CLIP), x).cast("double"))
+        steps.append((f"{col}_Overflow", F.when(F.abs(F.col("__norm")) > _lit(CLIP), x).cast("double")))
+    scored = extend(scored, steps)
     cols = [c for c in df.columns if c not in (tcol, mode_col)] + [tcol, mode_col]
     if keep_overflow:
         cols.append(f"{col}_Overflow")
