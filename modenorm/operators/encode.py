@@ -172,44 +172,49 @@ def modal_values(model_all: Mixture, modal: Sequence[float]) -> tuple[float, ...
 
 
 # --------------------------------------------------------------------------- E7, E8 (pre-slot draw)
+def _sql_double(v: float) -> str:
+    """An exact double literal in Spark SQL (constant-folded)."""
+    return f"CAST('{float(v)!r}' AS DOUBLE)"
+
+
 def draw_position(df: DataFrame, x: Column, model: Mixture, key: Column, seed: int, out: str,
                   rng: str = "hash64") -> DataFrame:
     """E7 + E8: position (within kept modes) of a mode drawn from the kept posteriors.
 
     The uniform is keyed by (row key, seed): ``hash64`` (Spark's xxhash64,
-    default) or ``md5`` (reproducible in other engines).
+    default) or ``md5`` (reproducible in other engines).  The chain of
+    derived columns is one ``selectExpr`` (lateral aliases), so building the
+    plan costs one call into the JVM rather than hundreds.
     """
     kept = model.kept_modes()
     if not kept:
         raise ValueError(f"model of {model.col!r} keeps no mode")
     p = "__" + out
-    c = lambda name: F.col(f"{p}{name}")
-    steps = [(f"{p}s{k}", sc) for k, sc in enumerate(mode_scores(x, model))]
-    steps.append((f"{p}b", F.greatest(*[c(f"s{k}") for k in range(model.k)]) if model.k > 1 else c("s0")))
-    steps += [(f"{p}e{k}", F.exp(c(f"s{k}") - c("b"))) for k in range(model.k)]
-    z = None
+    base = extend(df, [(f"{p}x", x), (f"{p}u", uniform(key, seed, rng))])
+    xs, d = f"{p}x", _sql_double
+    ex = []
     for k in range(model.k):
-        z = c(f"e{k}") if z is None else z + c(f"e{k}")
-    steps.append((f"{p}z", z))
-    steps += [(f"{p}q{k}", c(f"e{k}") / c("z") + _lit(PROB_FLOOR)) for k in kept]
-    qz = None
+        z = f"(({xs} - {d(model.means[k])}) / {d(model.sds[k])})"
+        ex.append(f"{d(model.offsets[k])} - {d(0.5)} * ({z} * {z}) AS {p}s{k}")
+    ex.append((f"greatest({', '.join(f'{p}s{k}' for k in range(model.k))})" if model.k > 1 else f"{p}s0")
+              + f" AS {p}b")
+    ex += [f"exp({p}s{k} - {p}b) AS {p}e{k}" for k in range(model.k)]
+    ex.append(" + ".join(f"{p}e{k}" for k in range(model.k)) + f" AS {p}z")
+    ex += [f"{p}e{k} / {p}z + {d(PROB_FLOOR)} AS {p}q{k}" for k in kept]
+    ex.append(" + ".join(f"{p}q{k}" for k in kept) + f" AS {p}qz")
+    terms = []
     for k in kept:
-        qz = c(f"q{k}") if qz is None else qz + c(f"q{k}")
-    steps.append((f"{p}qz", qz))
-    acc = None
-    for k in kept:
-        term = c(f"q{k}") / c("qz")
-        acc = term if acc is None else acc + term
-        steps.append((f"{p}c{k}", acc))
-    steps.append((f"{p}t", uniform(key, seed, rng) * c(f"c{kept[-1]}")))
-    expr = None
-    for pos, k in enumerate(kept):
-        cond = c(f"c{k}") > c("t")
-        expr = F.when(cond, F.lit(pos)) if expr is None else expr.when(cond, F.lit(pos))
-    steps.append((out, F.when(is_valid(x), expr.otherwise(F.lit(len(kept) - 1))).cast("int")))
+        terms.append(f"{p}q{k} / {p}qz")
+        ex.append(" + ".join(terms) + f" AS {p}c{k}")
+    ex.append(f"{p}u * {p}c{kept[-1]} AS {p}t")
+    whens = " ".join(f"WHEN {p}c{k} > {p}t THEN {pos}" for pos, k in enumerate(kept))
+    ex.append(f"CAST(CASE WHEN {xs} IS NOT NULL AND NOT isnan({xs}) THEN (CASE {whens} ELSE {len(kept) - 1} END) "
+              f"END AS INT) AS `{out}`")
     tmp = ([f"{p}s{k}" for k in range(model.k)] + [f"{p}e{k}" for k in range(model.k)]
-           + [f"{p}q{k}" for k in kept] + [f"{p}c{k}" for k in kept] + [f"{p}b", f"{p}z", f"{p}qz", f"{p}t"])
-    return fence(extend(df, steps, drop=tmp), "draw")
+           + [f"{p}q{k}" for k in kept] + [f"{p}c{k}" for k in kept]
+           + [f"{p}b", f"{p}z", f"{p}qz", f"{p}t", f"{p}x", f"{p}u"])
+    drawn = base.drop(out) if out in base.columns else base
+    return fence(drawn.selectExpr("*", *ex).drop(*tmp), "draw")
 
 
 def _mode_of_position(pos: Column, kept: Sequence[int]) -> Column:
