@@ -84,3 +84,11 @@ def test_scoring_plan_is_map_only(spark):
     ev = spark.read.parquet(f"{SF01}/events.parquet")
     plan = score(ev.select("event_id", "value"), "value", M)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "PythonUDF" not in plan and "ArrowEval" not in plan
+
+
+def test_on_null_error_fails_the_job(spark):
+    df = spark.createDataFrame([(1, 3.0), (2, float("nan"))], "id int, v double")
+    with pytest.raises(Exception) as err:
+        score(df, "v", M, on_null="error").collect()
+    assert "null or NaN in v" in str(err.value)
+    assert score(df.where("id = 1"), "v", M, on_null="error").count() == 1
