@@ -114,3 +114,14 @@ def test_targets_sharing_passes_equal_separate_fits(spark):
                         max_iter=15, compress=False)
     for name in ("all", "view"):
         np.testing.assert_allclose(both[name].means, local[name].means, rtol=1e-8)
+
+
+def test_single_mode_fit_and_score(spark):
+    from modenorm.operators.score import score
+
+    df = spark.read.parquet(f"{SF01}/events.parquet").select("event_id", "value")
+    for local_rows in (10**9, 0):
+        m = fit_modes(df, "value", k=1, max_iter=5, local_rows=local_rows)
+        assert m.k == 1 and abs(m.weights[0] - 1.0) < 1e-12
+        out = score(df, "value", m)
+        assert out.where(F.col("Mode_Assignment") != 0).count() == 0
