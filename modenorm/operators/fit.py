@@ -324,20 +324,27 @@ def _local_solver(k, gamma, max_iter, tol, tol_mode, init):
         n, s, q = _hard_stats(x, w, xc, centres, k)
         order = sorted(range(k), key=lambda j: (-n[j], centres[j]))
         st.m_step(n[order], s[order], q[order], gamma)
-        xc2 = (xc * xc)[:, None]
+        chunk = LOCAL_CHUNK_ROWS
         for it in range(1, max_iter + 1):
             off = np.asarray(st.offsets())
             mu = np.asarray(st.means)
             ps = 1.0 / np.asarray(st.sds())
-            z = (x[:, None] - mu) * ps
-            sc = off - 0.5 * (z * z)
-            best = sc.max(axis=1, keepdims=True)
-            lz = best + np.log(np.exp(sc - best).sum(axis=1, keepdims=True))
-            lr = sc - lz
-            r = np.exp(lr)
-            entropy = float((w * (r * lr).sum(axis=1)).sum())
-            wr = w[:, None] * r
-            st.m_step(wr.sum(axis=0), (wr * xc[:, None]).sum(axis=0), (wr * xc2).sum(axis=0), gamma)
+            n_acc, s_acc, q_acc, entropy = np.zeros(k), np.zeros(k), np.zeros(k), 0.0
+            for lo in range(0, len(x), chunk):      # bounded working memory: chunk x K arrays
+                xb, wb, cb = x[lo:lo + chunk], w[lo:lo + chunk], xc[lo:lo + chunk]
+                z = (xb[:, None] - mu) * ps
+                sc = off - 0.5 * (z * z)
+                best = sc.max(axis=1, keepdims=True)
+                e = np.exp(sc - best)
+                zs = e.sum(axis=1, keepdims=True)
+                r = e / zs
+                lr = sc - (best + np.log(zs))
+                entropy += float((wb * (r * lr).sum(axis=1)).sum())
+                wr = wb[:, None] * r
+                n_acc += wr.sum(axis=0)
+                s_acc += (wr * cb[:, None]).sum(axis=0)
+                q_acc += (wr * (cb * cb)[:, None]).sum(axis=0)
+            st.m_step(n_acc, s_acc, q_acc, gamma)
             prev = st.lower_bound
             st.lower_bound = st.bound(entropy)
             st.n_iter = it
@@ -358,8 +365,10 @@ def _local_solver(k, gamma, max_iter, tol, tol_mode, init):
 LOCAL_SCHEMA = ("t int, n_iter int, converged boolean, lower_bound double, a array<double>, b array<double>, "
                 "beta array<double>, m array<double>, nu array<double>, var array<double>")
 
-# Fit inputs up to this many rows per target are solved inside one task.
+# Fit inputs up to this many rows per target are solved inside one task,
+# LOCAL_CHUNK_ROWS rows at a time.
 DEFAULT_LOCAL_ROWS = 500_000
+LOCAL_CHUNK_ROWS = 100_000
 
 
 def fit_targets(df: DataFrame, targets: Sequence[Target], k: int = DEFAULT_K, gamma: float = DEFAULT_GAMMA,
