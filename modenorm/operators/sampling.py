@@ -33,6 +33,12 @@ def row_key(df: DataFrame) -> Column:
 
 def _keys(df: DataFrame, key: str | Sequence[str] | None) -> list[Column]:
     if key is None:
+        from pyspark.errors import AnalysisException
+
+        try:
+            df.select(F.col("_metadata.row_index")).schema
+        except AnalysisException as err:
+            raise ValueError("this DataFrame has no file metadata to key rows by: pass key=<unique column>") from err
         return [row_key(df)]
     if isinstance(key, str):
         return [F.col(key)]

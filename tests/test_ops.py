@@ -133,3 +133,10 @@ def test_quantile_fallback_path(spark):
     got = {r["p"]: r["quantile"] for r in column_quantiles(df, ["v"], [0.1, 0.5, 0.9], max_rounds=0).collect()}
     for p in (0.1, 0.5, 0.9):
         assert abs(got[p] - np.quantile(vals, p)) < 1e-12
+
+
+def test_sample_without_key_needs_file_source(spark):
+    df = spark.range(100).withColumn("x", F.col("id") * 1.0)
+    with pytest.raises(ValueError):
+        sample_n(df, 10, 42)
+    assert sample_n(df, 10, 42, key="id").count() == 10
