@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
 import types
 
 import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +44,17 @@ def worker_state() -> dict:
     return sys.modules.setdefault("_modenorm_llm_worker", types.ModuleType("_modenorm_llm_worker")).__dict__
 
 
+def share(spark: SparkSession, obj):
+    """Broadcast an object of this package; the workers need no copy of the package to :func:`shared` it."""
+    from pyspark import cloudpickle
+
+    return spark.sparkContext.broadcast(cloudpickle.dumps(obj))
+
+
+def shared(broadcast):
+    return pickle.loads(broadcast.value)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finalizer that spreads every bit of a 64-bit key (in place where possible)."""
     x = x ^ (x >> U64(33))
@@ -52,13 +65,18 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def slices(total: int, sizes, limit: int):
-    """Consecutive index ranges whose sizes sum to about ``limit`` at most (one oversized item goes alone)."""
+def text_slices(batch, column: int, limit: int):
+    """``(start, stop, values)`` of consecutive rows whose texts sum to about ``limit`` bytes (a longer one alone).
+
+    Only one slice's values are Python objects at a time.
+    """
+    col = batch.column(column)
+    sizes = pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False) + 16
     start, acc = 0, 0
-    for i in range(total):
-        if i > start and acc + sizes[i] > limit:
-            yield start, i
+    for i, n in enumerate(sizes.tolist()):
+        if i > start and acc + n > limit:
+            yield start, i, col.slice(start, i - start).to_pylist()
             start, acc = i, 0
-        acc += sizes[i]
-    if start < total:
-        yield start, total
+        acc += n
+    if start < len(sizes):
+        yield start, len(sizes), col.slice(start).to_pylist()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from modenorm.llm import piece_codec
+from modenorm.llm import byte_lang, piece_codec, quality_cascade, toxic_cnn
 from modenorm.llm.common import table
 
 QUERIES: dict = {}
@@ -19,3 +19,21 @@ def query(fn):
 @query
 def op1_sentencepiece(spark, sf_dir):
     return piece_codec.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op3_language_id(spark, sf_dir):
+    return byte_lang.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_toxicity(spark, sf_dir):
+    return toxic_cnn.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_quality_rules(spark, sf_dir):
+    return quality_cascade.judge(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op10_quality_rules"] = quality_cascade.JUDGE_SQL
