@@ -29,14 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modenorm.llm.common import narrow, slices, worker_state
+from modenorm.llm.common import narrow, text_slices, worker_state
 
 SPACE = "▁"
 NONE = np.int64(1) << 40
 #: symbols of characters outside the vocabulary are this plus the code point
 RAW = 1 << 21
-WORD_CACHE = 300_000
-SLICE_CHARS = 4_000_000
+WORD_CACHE = 150_000
+SLICE_BYTES = 1 << 20
+ENCODE_WORDS = 8192
 _RUN = re.compile(" *[^ ]+| +")
 
 
@@ -217,17 +218,32 @@ class PieceModel:
         return text.split(" ")
 
     def encode_texts(self, texts: list[str | None], cache: dict) -> list[bytes]:
-        """Ids with begin and end id; ``cache`` keeps word -> ids between calls, and is emptied when full."""
+        """Ids with begin and end id; ``cache`` keeps words between calls.
+
+        A word moves from ``fresh`` to ``hot`` when it is met in a second call, so that the many words met
+        once don't push out the others; either part is emptied when full.
+        """
+        hot, fresh = cache.setdefault("hot", {}), cache.setdefault("fresh", {})
         words = [self.split(t) if t else [] for t in texts]
-        need = {w for ws in words for w in ws}
-        if len(cache) + len(need) > WORD_CACHE:
-            cache.clear()
-        need = sorted(need - cache.keys(), key=len)  # neighbours finish in the same rounds
-        if need:
-            cache.update(zip(need, self.encode_words(need)))
+        rest = {w for ws in words for w in ws} - hot.keys()
+        if len(hot) > WORD_CACHE:
+            hot.clear()
+            rest = {w for ws in words for w in ws}
+        again = rest & fresh.keys()
+        for w in again:
+            hot[w] = fresh.pop(w)
+        need = sorted(rest - again, key=len)  # neighbours finish in the same rounds
+        for k in range(0, len(need), ENCODE_WORDS):
+            part = need[k:k + ENCODE_WORDS]
+            hot.update(zip(part, self.encode_words(part)))
         begin, end = np.array([self.bos], "<u4").tobytes(), np.array([self.eos], "<u4").tobytes()
-        get = cache.__getitem__
-        return [begin + b"".join(map(get, ws)) + end for ws in words]
+        get = hot.__getitem__
+        out = [begin + b"".join(map(get, ws)) + end for ws in words]
+        if len(fresh) > WORD_CACHE:
+            fresh.clear()
+        for w in need:
+            fresh[w] = hot.pop(w)
+        return out
 
     # ------------------------------------------------------------ decoding
     def decode_ids(self, ids: np.ndarray) -> str:
@@ -257,32 +273,36 @@ def read_model(path: str) -> bytes:
         return f.read()
 
 
-def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: ``doc_id`` and ``ids`` (little-endian 32-bit integers with begin and end id)."""
+def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
+           decoded: bool = False) -> DataFrame:
+    """One row per input row: ``doc_id`` and ``ids`` (little-endian 32-bit integers with begin and end id).
+
+    ``decoded`` adds ``text``, the ids decoded again, in the same pass.
+    """
     proto = df.sparkSession.sparkContext.broadcast(read_model(model_path))  # the vocabulary: half a MB
 
     def run(batches):
         model, cache = _model(proto)
         for b in batches:
-            texts = b.column(1).to_pylist()
-            for i, j in slices(len(texts), [len(t or "") + 1 for t in texts], SLICE_CHARS):
-                ids = model.encode_texts(texts[i:j], cache)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(ids, pa.binary())],
-                                                 names=["doc_id", "ids"])
+            for i, j, texts in text_slices(b, 1, SLICE_BYTES):
+                ids = model.encode_texts(texts, cache)
+                out = [b.column(0).slice(i, j - i), pa.array(ids, pa.binary())]
+                if decoded:
+                    out.append(pa.array([model.decode_ids(np.frombuffer(x, "<u4")) for x in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays(out, names=["doc_id", "ids", "text"][:len(out)])
 
-    return narrow(df, id_col, text_col).mapInArrow(run, "doc_id long, ids binary")
+    return narrow(df, id_col, text_col).mapInArrow(run, "doc_id long, ids binary" + ", text string" * decoded)
 
 
 def decode(df: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """``doc_id``, ``ids`` and the decoded ``text`` of rows made by :func:`encode`."""
+    """``doc_id``, ``ids`` and the decoded ``text`` of rows with ids as :func:`encode` gives them."""
     proto = df.sparkSession.sparkContext.broadcast(read_model(model_path))
 
     def run(batches):
         model, _ = _model(proto)
         for b in batches:
-            ids = b.column(1).to_pylist()
-            for i, j in slices(len(ids), [len(x or b"") + 1 for x in ids], 4 * SLICE_CHARS):
-                text = [None if x is None else model.decode_ids(np.frombuffer(x, "<u4")) for x in ids[i:j]]
+            for i, j, ids in text_slices(b, 1, 4 * SLICE_BYTES):
+                text = [None if x is None else model.decode_ids(np.frombuffer(x, "<u4")) for x in ids]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i),
                                                   pa.array(text, pa.string())], names=["doc_id", "ids", "text"])
 
@@ -292,6 +312,6 @@ def decode(df: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str
 
 def digests(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Round trip of every text: id count and digests of ids and of the decoded text."""
-    back = decode(encode(df, model_path, id_col, text_col), model_path)
+    back = encode(df, model_path, id_col, text_col, decoded=True)
     return back.select("doc_id", F.expr("CAST(octet_length(ids) DIV 4 AS LONG)").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
