@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from modenorm.llm import (block_ann, byte_lang, curve_pack, jaccard_join, piece_codec, quality_cascade, shard_hash,
-                          token_store, toxic_cnn)
+from modenorm.llm import (block_ann, byte_lang, curve_pack, jaccard_join, piece_codec, quality_cascade, repeat_parse,
+                          shard_hash, token_store, toxic_cnn)
 from modenorm.llm.common import table
 from modenorm.session import scratch_path
 
@@ -65,6 +65,11 @@ def op8_jaccard_join(spark, sf_dir):
     return jaccard_join.group(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_repeat_removal(spark, sf_dir):
+    return repeat_parse.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
+
+
 @query
 def op10_quality_rules(spark, sf_dir):
     return quality_cascade.judge(table(spark, sf_dir, "documents"))
