@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from modenorm.llm.common import narrow, share, shared, text_slices
+from modenorm.llm.common import carried, share, shared, text_slices
 from modenorm.llm.conv_text import ConvText
 
 WINDOW = 256
@@ -130,10 +130,11 @@ class Scorer:
 
 
 def predict(df: DataFrame, model: tuple[list[str], ConvText | None], id_col: str = "doc_id",
-            text_col: str = "text") -> DataFrame:
-    """``doc_id, lang_pred, score`` of every row; the text is the only input."""
+            text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, lang_pred, score`` of every row and the columns of ``keep``; the text is the only input."""
     langs, net = model
     sent = share(df.sparkSession, net)  # some thousand numbers
+    docs, names, kinds = carried(df, id_col, text_col, keep)
 
     def run(batches):
         own = shared(sent)
@@ -146,10 +147,13 @@ def predict(df: DataFrame, model: tuple[list[str], ConvText | None], id_col: str
                     p = scorer.texts([texts[k] for k in ok])
                     for k, c, s in zip(ok, p.argmax(axis=1).tolist(), p.max(axis=1).tolist()):
                         pred[k], score[k] = langs[c], min(s, 1.0)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(pred, pa.string()),
-                                                  pa.array(score)], names=["doc_id", "lang_pred", "score"])
+                rest = [b.column(2 + k).slice(i, j - i) for k in range(len(names))]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(i, j - i), pa.array(pred, pa.string()), pa.array(score), *rest],
+                    names=["doc_id", "lang_pred", "score", *names])
 
-    return narrow(df, id_col, text_col).mapInArrow(run, "doc_id long, lang_pred string, score double")
+    found = docs.mapInArrow(run, "doc_id long, lang_pred string, score double" + kinds)
+    return found.toDF("doc_id", "lang_pred", "score", *keep) if keep else found
 
 
 def held_out(id_col: str = "doc_id", mod: int = 5, rest: int = 0):

@@ -25,6 +25,17 @@ def narrow(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def carried(df: DataFrame, id_col: str, text_col: str, keep) -> tuple[DataFrame, list[str], str]:
+    """Id, text and the columns of ``keep``; their names after the text; and their part of a schema.
+
+    A kept column may have any name: id and text are found by place.
+    """
+    names = [f"keep_{k}" for k in range(len(keep))]
+    out = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                    *[F.col(c).alias(n) for c, n in zip(keep, names)])
+    return out, names, "".join(f", {n} {t}" for n, t in out.dtypes[2:])
+
+
 def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: later stages and retries start there."""
     path = scratch_path(spark, name)
