@@ -103,7 +103,7 @@ def main() -> None:
     FT._e_pass = timed_pass
     try:
         timed("fit_full_3it", lambda: FT.fit_modes(scaled.select("l_extendedprice"), "l_extendedprice",
-                                                   max_iter=3, local_rows=0), target)
+                                                   max_iter=3), target)
     finally:
         FT._e_pass = e_pass
 
@@ -114,7 +114,7 @@ def main() -> None:
              E.ColumnSpec("l_returnflag", "categorical")]
 
     def encode_rt():
-        enc = E.fit_encoder(enc_in, specs, key="id", sample_rows=10_000)
+        enc = E.fit_encoder(enc_in, specs, key="id", max_iter=3)
         return roundtrip_report(enc_in, enc, "id", lossless=True).collect()
     timed("encode_rt", encode_rt, target)
 

@@ -59,7 +59,7 @@ def _parser() -> argparse.ArgumentParser:
     e.add_argument("--continuous", default="")
     e.add_argument("--mixed", action="append", default=[], help="name:v1|v2 (modal values)")
     e.add_argument("--categorical", default="")
-    e.add_argument("--sample-rows", type=int, default=10_000)
+    e.add_argument("--sample-rows", type=int, default=None, help="fit on a sample; default: all rows")
     e.add_argument("--lossless", action="store_true")
     return p
 

@@ -51,20 +51,6 @@ def keyed_normal_sql(key_sql: str, seed: int, mean: float = 0.0, sd: float = 1.0
     return f"({float(mean)!r}::DOUBLE + {float(sd)!r}::DOUBLE * {z})"
 
 
-def keyed_normal_pairs(key: str | Column, seed: int, n: int) -> list[Column]:
-    """``n`` independent N(0,1) draws with one md5 per two draws.
-
-    Pair ``j`` hashes ``key|seed+j``; hex digits 1-8 and 9-16 give two
-    uniforms, and Box-Muller's cosine and sine outputs give two normals.
-    The caller should materialise the digests (see ``noise_digests``).
-    """
-    out = []
-    for j in range((n + 1) // 2):
-        h = F.md5(F.concat(_col(key).cast("string"), F.lit(f"|{int(seed) + j}")))
-        out += _pair_from_digest(h)
-    return out[:n]
-
-
 def _pair_from_digest(h: Column) -> list[Column]:
     u1 = (F.conv(F.substring(h, 1, 8), 16, 10).cast("double") + F.lit(0.5)) / F.lit(TWO_32)
     u2 = (F.conv(F.substring(h, 9, 8), 16, 10).cast("double") + F.lit(0.5)) / F.lit(TWO_32)
@@ -81,7 +67,7 @@ def normals_from_digest(h: Column) -> list[Column]:
 
 
 def keyed_normal_pair_sql(key_sql: str, seed: int, j: int) -> tuple[str, str]:
-    """DuckDB twin of pair ``j`` of :func:`keyed_normal_pairs`."""
+    """DuckDB twin of pair ``j`` of the keyed normals."""
     h = f"md5(CAST({key_sql} AS VARCHAR) || '|{int(seed) + j}')"
     u1 = f"(((('0x' || substr({h}, 1, 8))::BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE)"
     u2 = f"(((('0x' || substr({h}, 9, 8))::BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE)"

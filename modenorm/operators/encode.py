@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modenorm.functions.rng import uniform
@@ -115,41 +115,40 @@ def is_continuous(x: Column, modal: Sequence[float]) -> Column:
 
 
 def column_inventory(df: DataFrame, specs: Sequence[ColumnSpec]) -> DataFrame:
-    """Kind, size (categories), min, max and modal values per column: one aggregate."""
-    aggs = []
-    for i, s in enumerate(specs):
-        if s.kind == "categorical":
-            aggs.append(F.count_distinct(F.col(f"`{s.name}`")).alias(f"size_{i}"))
-            aggs.append(F.max(F.col(f"`{s.name}`").isNull().cast("int")).alias(f"hasnull_{i}"))
-        else:
-            aggs += [F.min(_x(s.name)).alias(f"min_{i}"), F.max(_x(s.name)).alias(f"max_{i}")]
-    wide = df.agg(*aggs)
-    rows = []
-    for i, s in enumerate(specs):
-        modal = F.array(*[_lit(v) for v in s.modal]) if s.modal else F.array().cast("array<double>")
+    """Kind, size (categories, null counted as one), min, max and modal values per column.
+
+    One aggregate for the numeric columns; a grouped count for each categorical one (no row is duplicated).
+    """
+    def modal(s):
+        return (F.array(*[_lit(v) for v in s.modal]) if s.modal else F.array().cast("array<double>")).alias("modal")
+
+    def row(s, size, low, high):
+        return [F.lit(s.name).alias("col"), F.lit(s.kind).alias("kind"), size.cast("long").alias("size"),
+                low.cast("double").alias("min"), high.cast("double").alias("max"), modal(s)]
+
+    none, parts = F.lit(None), []
+    numeric = [(i, s) for i, s in enumerate(specs) if s.kind != "categorical"]
+    if numeric:
+        wide = df.agg(*[f(_x(s.name)).alias(f"{n}_{i}") for i, s in numeric for n, f in (("min", F.min), ("max", F.max))])
+        parts.append(wide.select(F.inline(F.array(*[
+            F.struct(*row(s, none, F.col(f"min_{i}"), F.col(f"max_{i}"))) for i, s in numeric]))))
+    for s in specs:
         if s.kind == "categorical":
-            rows.append(F.struct(F.lit(s.name).alias("col"), F.lit(s.kind).alias("kind"),
-                                 (F.col(f"size_{i}") + F.coalesce(F.col(f"hasnull_{i}"), F.lit(0))).cast("long").alias("size"),
-                                 F.lit(None).cast("double").alias("min"), F.lit(None).cast("double").alias("max"),
-                                 modal.alias("modal")))
-        else:
-            rows.append(F.struct(F.lit(s.name).alias("col"), F.lit(s.kind).alias("kind"),
-                                 F.lit(None).cast("long").alias("size"), F.col(f"min_{i}").alias("min"),
-                                 F.col(f"max_{i}").alias("max"), modal.alias("modal")))
-    return wide.select(F.inline(F.array(*rows)))
+            parts.append(df.groupBy(F.col(f"`{s.name}`").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+                         .agg(F.count(F.lit(1)).alias("size")).select(*row(s, F.col("size"), none, none)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def category_index(df: DataFrame, col: str) -> DataFrame:
     """Categories by descending frequency (ties: smaller value first, null last) -> slot."""
-    counts = df.groupBy(F.col(f"`{col}`").alias("category")).agg(F.count(F.lit(1)).alias("rows"))
-    n = counts.count()
-    if n <= BROADCAST_CATEGORIES:
-        w = Window.orderBy(F.col("rows").desc(), F.col("category").asc_nulls_last())
-        return counts.withColumn("slot", (F.row_number().over(w) - 1).cast("int"))
     from modenorm.operators.ordstats import dense_index
 
-    idx = dense_index(counts.withColumn("__neg", -F.col("rows")), ["__neg", "category"], out="slot")
-    return idx.drop("__neg").withColumn("slot", F.col("slot").cast("int"))
+    counts = df.groupBy(F.col(f"`{col}`").alias("category")).agg(F.count(F.lit(1)).alias("rows"))
+    idx = dense_index(counts, [F.col("rows").desc(), F.col("category").asc_nulls_last()], out="slot")
+    return idx.withColumn("slot", F.col("slot").cast("int"))
 
 
 def nearest_mode(model: Mixture, value: float) -> int:
@@ -190,7 +189,8 @@ def draw_position(df: DataFrame, x: Column, model: Mixture, key: Column, seed: i
     if not kept:
         raise ValueError(f"model of {model.col!r} keeps no mode")
     p = "__" + out
-    base = extend(df, [(f"{p}x", x), (f"{p}u", uniform(key, seed, rng))])
+    draw = F.when(key.isNull(), F.raise_error(F.lit("the row key is null")).cast("double")).otherwise(uniform(key, seed, rng))
+    base = extend(df, [(f"{p}x", x), (f"{p}u", draw)])
     xs, d = f"{p}x", _sql_double
     ex = []
     for k in range(model.k):
@@ -240,8 +240,8 @@ def _pre_columns(df: DataFrame, code: ColumnCode, key: Column, keep_overflow: bo
         modal_idx = _case(x, {float(v): i for i, v in enumerate(code.modal)})
         modal_val = _case(x, {float(v): float(code.modal_values[i]) for i, v in enumerate(code.modal)})
         df = df.withColumn(pre, modal_idx.cast("int")).withColumn(val, modal_val.cast("double"))
-        if keep_overflow:
-            df = df.withColumn(f"__{name}_ovf", F.lit(None).cast("double"))
+        if keep_overflow:  # a value without a slot is kept as it is
+            df = df.withColumn(f"__{name}_ovf", F.when(is_valid(x) & modal_idx.isNull(), x).cast("double"))
         return df
     kept = code.kept
     df = draw_position(df, x, code.model, key, code.seed, f"__{name}_pos", rng=code.rng)

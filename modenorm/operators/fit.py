@@ -1,12 +1,14 @@
-"""Dirichlet-process Bayesian Gaussian mixture fit as distributed aggregates.
-
-One variational iteration is one aggregate over the (persisted) fit input:
-per target and mode the sums ``n_k = sum w r_k``, ``s_k = sum w r_k (x-m0)``,
-``q_k = sum w r_k (x-m0)^2`` and the entropy term ``H = sum w sum_k r_k ln r_k``.
-The responsibilities r come from the current parameters as column
-expressions; the update and the variational bound act on K numbers per
-target on the driver.  Map-side partial aggregation means each pass
-shuffles at most (#partitions x #targets) rows, independent of data size.
+"""Dirichlet-process Bayesian Gaussian mixture fit as distributed partial sums.
+
+One variational iteration is one pass over the (persisted) fit input: every
+task sums, per target and mode, ``n_k = sum w r_k``, ``s_k = sum w r_k (x-m0)``,
+``q_k = sum w r_k (x-m0)^2`` and the entropy term ``H = sum w sum_k r_k ln r_k``
+over its Arrow batches and gives one row for each number; one small Spark
+aggregate adds the tasks' rows.  A pass shuffles #partitions x #targets x (3K+1)
+numbers, independent of data size.  The update and the variational bound act
+on K numbers per target on the driver.  Seeding is k-means over all rows by
+passes of the same kind.  There is no other path: a 10,000-row sample is
+fitted by the same passes as a whole table.
 
 The input is in long form ``(t, x, w)``: ``t`` names the target (a column,
 or the non-modal part of a mixed column), so several columns share passes.
@@ -20,9 +22,8 @@ variance prior = sample variance, covariance floor 1e-6.
 
 from __future__ import annotations
 
-import bisect
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -30,19 +31,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modenorm.functions.special import betaln, digamma, gammaln
-from modenorm.operators.model import DEFAULT_EPS, Mixture
+from modenorm.operators.model import Mixture
 
 # Fit settings of the reference (10 modes, DP concentration
 # 0.001, 200 iterations, seed 42) and the solver defaults it relies on.
 DEFAULT_K = 10
 DEFAULT_GAMMA = 0.001
 DEFAULT_MAX_ITER = 200
-DEFAULT_SEED = 42           # seed of the fit sample; the fit itself is deterministic (sketch-seeded init)
+DEFAULT_SEED = 42           # seed of the fit sample; the fit itself has no random choice
 DEFAULT_TOL = 1e-3
 REG_COVAR = 1e-6
 TINY = 10 * 2.220446049250313e-16   # added to every n_k (10 machine epsilons)
-SKETCH_POINTS = 1000
-SKETCH_ACCURACY = 2000      # rank error 0.05%: ample for seeding K centres
+SEED_ACCURACY = 2000        # of the K quantiles where k-means starts
+SEED_PASSES = 25            # k-means passes over all rows at most
+PASS_ROWS = 20_000          # rows a task turns into (rows x K) arrays at once
 LOG_2PI = math.log(2.0 * math.pi)
 
 
@@ -137,23 +139,27 @@ class FitState:
 
 
 # --------------------------------------------------------------------------- input
+def _finite(x: Column) -> Column:
+    return x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(math.inf))
+
+
 def long_input(df: DataFrame, targets: Sequence[Target]) -> DataFrame:
     """Stack the targets into ``(t, x)`` rows from a single scan (no union of scans).
 
-    Null and NaN values are dropped (they carry no information for the fit).
+    Null, NaN and infinite values are dropped (they carry no information for the fit).
     """
     if len(targets) == 1:
         # One target: a plain projection, no generator.
         tg = targets[0]
         x = tg.x.cast("double")
-        keep = x.isNotNull() & ~F.isnan(x)
+        keep = _finite(x)
         if tg.where is not None:
             keep = keep & tg.where
         return df.where(keep).select(F.lit(0).alias("t"), x.alias("x"))
     items = []
     for i, tg in enumerate(targets):
         x = tg.x.cast("double")
-        keep = x.isNotNull() & ~F.isnan(x)
+        keep = _finite(x)
         if tg.where is not None:
             keep = keep & tg.where
         items.append(F.when(keep, F.struct(F.lit(i).alias("t"), x.alias("x"))))
@@ -161,126 +167,108 @@ def long_input(df: DataFrame, targets: Sequence[Target]) -> DataFrame:
     return df.select(F.inline(arr))
 
 
-def _stats(long_df: DataFrame, n_targets: int) -> dict[int, dict]:
-    probs = [(i + 0.5) / SKETCH_POINTS for i in range(SKETCH_POINTS)]
+def _stats(long_df: DataFrame, k: int) -> dict[int, dict]:
+    probs = [(i + 0.5) / k for i in range(k)]
     rows = (long_df.groupBy("t").agg(
         F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("sd"),
-        F.min("x").alias("lo"), F.max("x").alias("hi"), F.approx_count_distinct("x").alias("nd"),
-        F.percentile_approx("x", probs, SKETCH_ACCURACY).alias("sketch")).collect())
+        F.approx_count_distinct("x").alias("nd"),
+        F.percentile_approx("x", probs, SEED_ACCURACY).alias("quantiles")).collect())
     return {r["t"]: r.asDict() for r in rows}
 
 
-def _lloyd_1d(points: Sequence[float], k: int, iters: int = 100) -> list[float]:
-    """1-D k-means on the (bounded) quantile sketch; returns sorted centres."""
-    pts = sorted(points)
-    n = len(pts)
-    centres = [pts[min(n - 1, int((i + 0.5) * n / k))] for i in range(k)]
-    for _ in range(iters):
-        order = sorted(centres)
-        mids = [(order[i] + order[i + 1]) / 2 for i in range(k - 1)]
-        sums, cnts = [0.0] * k, [0] * k
-        for p in pts:
-            j = bisect.bisect_left(mids, p)      # number of midpoints strictly below p
-            sums[j] += p
-            cnts[j] += 1
-        new = [sums[j] / cnts[j] if cnts[j] else order[j] for j in range(k)]
-        if new == order:
-            break
-        centres = new
-    return sorted(centres)
-
-
-def _case_t(values: dict[int, Column]) -> Column:
-    if len(values) == 1:
-        return next(iter(values.values()))
-    expr = None
-    for t, v in values.items():
-        expr = F.when(F.col("t") == t, v) if expr is None else expr.when(F.col("t") == t, v)
-    return expr
-
-
-def _lit(v: float) -> Column:
-    return F.lit(float(v))
-
-
-def _init_pass(inp: DataFrame, centres: dict[int, list[float]], m0: dict[int, float], k: int):
-    """Hard nearest-centre assignment (intervals between centre midpoints) -> n, s, q."""
-    labels = {}
-    for t, cs in centres.items():
-        lab = F.lit(0)
-        for j in range(k - 1):
-            lab = lab + F.when(F.col("x") > _lit((cs[j] + cs[j + 1]) / 2), 1).otherwise(0)
-        labels[t] = lab
-    xc = F.col("x") - _case_t({t: _lit(m0[t]) for t in centres})
-    df = inp.select("t", "w", xc.alias("xc"), _case_t(labels).alias("lab"))
-    aggs = []
-    for j in range(k):
-        wj = F.when(F.col("lab") == j, F.col("w")).otherwise(0.0)
-        aggs += [F.sum(wj).alias(f"n{j}"), F.sum(wj * F.col("xc")).alias(f"s{j}"),
-                 F.sum(wj * F.col("xc") * F.col("xc")).alias(f"q{j}")]
-    rows = df.groupBy("t").agg(*aggs).collect()
-    return {r["t"]: r.asDict() for r in rows}
+# --------------------------------------------------------------------------- passes
+def _pass_frame(inp: DataFrame, sums: dict[int, Callable]) -> DataFrame:
+    """One pass: ``(t, i, v)``, the i-th summed number of each target.
 
+    ``sums[t](x, w)`` gives the numbers of a block of rows; tasks add their blocks, Spark adds the tasks.
+    """
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        total: dict = {}
+        for b in batches:
+            t, x, w = (b.column(c).to_numpy(zero_copy_only=False) for c in (0, 1, 2))
+            for k, fn in sums.items():
+                own = slice(None) if len(sums) == 1 else t == k
+                xs, ws = x[own], w[own]
+                for lo in range(0, len(xs), PASS_ROWS):
+                    got = fn(xs[lo:lo + PASS_ROWS], ws[lo:lo + PASS_ROWS])
+                    total[k] = total[k] + got if k in total else got
+        if total:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(np.fromiter(total, np.int32), [len(v) for v in total.values()])),
+                 pa.array(np.concatenate([np.arange(len(v), dtype=np.int32) for v in total.values()])),
+                 pa.array(np.concatenate(list(total.values())))], names=["t", "i", "v"])
+
+    return (inp.select("t", "x", "w").mapInArrow(run, "t int, i int, v double")
+            .groupBy("t", "i").agg(F.sum("v").alias("v")))
+
+
+def _pass(inp: DataFrame, sums: dict[int, Callable]) -> dict[int, list[float]]:
+    """The pass's numbers on the driver: some ten for each target."""
+    out: dict[int, list] = {}
+    for r in sorted(_pass_frame(inp, sums).collect()):
+        out.setdefault(r["t"], []).append(r["v"])
+    return out
+
+
+def _hard_sums(m0: float, centres: Sequence[float]) -> Callable:
+    """n, s, q of the rows nearest to each centre (a row halfway belongs to the lower one)."""
+    def sums(x, w):
+        import numpy as np
 
-def _param_frame(inp: DataFrame, params: dict[int, tuple[float, Sequence[float], Sequence[float], Sequence[float]]]
-                 ) -> DataFrame:
-    """Per-target parameters ``t -> (m0, offsets, means, sds)`` as a tiny table (one row per target).
+        mids = (np.asarray(centres[:-1]) + np.asarray(centres[1:])) / 2.0
+        label, xc = np.searchsorted(mids, x, side="left"), x - m0
+        return np.concatenate([np.bincount(label, weights=v, minlength=len(centres)) for v in (w, w * xc, w * xc * xc)])
 
-    Parameters travel as data through a broadcast hash join on ``t`` rather
-    than as literals: the generated code is then identical in every
-    iteration and compiled once, instead of once per pass.
-    """
-    k = len(next(iter(params.values()))[1])
-    rows = []
-    for t, (m0, off, mu, sd) in params.items():
-        rows.append((int(t), float(m0), *map(float, off), *map(float, mu), *[1.0 / v for v in sd]))
-    names = ["t", "m0"] + [f"o{j}" for j in range(k)] + [f"mu{j}" for j in range(k)] + [f"ps{j}" for j in range(k)]
-    schema = ", ".join(["t int"] + [f"{n} double" for n in names[1:]])
-    return inp.sparkSession.createDataFrame(rows, schema)
-
-
-def _e_pass(inp: DataFrame, states: dict[int, FitState]):
-    """One E-step pass for all active targets: responsibilities -> sums and entropy."""
-    params = {t: (st.m0, st.offsets(), st.means, st.sds()) for t, st in states.items()}
-    rows = _e_frame(inp, params).collect()
-    return {r["t"]: r.asDict() for r in rows}
+    return sums
 
 
-def _e_frame(inp: DataFrame, params: dict) -> DataFrame:
-    """The pass itself: (t, H, n_k, s_k, q_k) per target, sums centred on each target's m0.
+def _soft_sums(m0: float, offsets: Sequence[float], means: Sequence[float], sds: Sequence[float]) -> Callable:
+    """H, n, s, q under the modes' responsibilities."""
+    def sums(x, w):
+        import numpy as np
 
-    The persisted input is broadcast-joined with the parameter table, then
-    one ``selectExpr`` (lateral column aliases: each column may use earlier
-    ones) and one aggregate: two analyses per pass, where a chain of
-    ``withColumns`` calls would re-analyse a growing plan a dozen times.
-    """
-    k = len(next(iter(params.values()))[1])
-    rng = range(k)
-    joined = inp.join(F.broadcast(_param_frame(inp, params)), on="t", how="inner")
-    exprs = ["t", "w", "x - m0 AS xc"]
-    exprs += [f"o{j} - 0.5D * (((x - mu{j}) * ps{j}) * ((x - mu{j}) * ps{j})) AS sc{j}" for j in rng]
-    exprs.append(f"greatest({', '.join(f'sc{j}' for j in rng)}) AS best" if k > 1 else "sc0 AS best")
-    exprs += [f"exp(sc{j} - best) AS e{j}" for j in rng]
-    exprs.append(f"{' + '.join(f'e{j}' for j in rng)} AS zs")
-    exprs.append("best + ln(zs) AS lz")
-    exprs += [f"e{j} / zs AS r{j}" for j in rng]
-    cols = joined.selectExpr(*exprs)
-    ent = " + ".join(f"r{j} * (sc{j} - lz)" for j in rng)
-    aggs = [F.expr(f"sum(w * ({ent}))").alias("H")]
-    for j in rng:
-        aggs += [F.expr(f"sum(w * r{j})").alias(f"n{j}"), F.expr(f"sum(w * r{j} * xc)").alias(f"s{j}"),
-                 F.expr(f"sum(w * r{j} * xc * xc)").alias(f"q{j}")]
-    return cols.groupBy("t").agg(*aggs)
-
-
-def prepare_input(df: DataFrame, targets: Sequence[Target], compress: str | bool = "auto"):
+        z = (x[:, None] - np.asarray(means)) / np.asarray(sds)
+        score = np.asarray(offsets) - 0.5 * (z * z)
+        best = score.max(axis=1, keepdims=True)
+        e = np.exp(score - best)
+        total = e.sum(axis=1, keepdims=True)
+        r = e / total
+        entropy = (w * (r * (score - (best + np.log(total)))).sum(axis=1)).sum()
+        wr, xc = w[:, None] * r, (x - m0)[:, None]
+        return np.concatenate([[entropy], wr.sum(axis=0), (wr * xc).sum(axis=0), (wr * xc * xc).sum(axis=0)])
+
+    return sums
+
+
+def seed_centres(inp: DataFrame, stats: dict[int, dict], k: int) -> dict[int, list[float]]:
+    """Sorted k-means centres of each target: from its quantiles, by passes over all rows."""
+    centres = {t: sorted(float(v) for v in st["quantiles"]) for t, st in stats.items()}
+    active = set(centres)
+    for _ in range(SEED_PASSES):
+        if not active:
+            break
+        got = _pass(inp, {t: _hard_sums(stats[t]["mean"], centres[t]) for t in active})
+        for t in list(active):
+            n, s = got[t][:k], got[t][k:2 * k]
+            new = sorted(stats[t]["mean"] + s[j] / n[j] if n[j] else centres[t][j] for j in range(k))
+            moved = max(abs(a - b) for a, b in zip(new, centres[t]))
+            centres[t] = new
+            if moved <= 1e-3 * (stats[t]["sd"] or 0.0):
+                active.discard(t)
+    return centres
+
+
+def prepare_input(df: DataFrame, targets: Sequence[Target], compress: str | bool = "auto", k: int = DEFAULT_K):
     """Long-form fit input, global statistics and (optionally) duplicate compression.
 
     Returns the persisted ``(t, x, w)`` frame, the per-target statistics and
     whether duplicates were compressed.
     """
     long_df = long_input(df, targets)
-    stats = _stats(long_df, len(targets))
+    stats = _stats(long_df, k)
     total_rows = sum(s["n"] for s in stats.values())
     total_distinct = sum(s["nd"] for s in stats.values())
     if compress == "auto":
@@ -293,105 +281,20 @@ def prepare_input(df: DataFrame, targets: Sequence[Target], compress: str | bool
     return inp, stats, bool(compress)
 
 
-def _hard_stats(x, w, xc, centres, k):
-    import numpy as np
-
-    mids = (np.asarray(centres[:-1]) + np.asarray(centres[1:])) / 2.0
-    lab = np.searchsorted(mids, x, side="left")      # number of midpoints strictly below x
-    n = np.bincount(lab, weights=w, minlength=k)
-    s = np.bincount(lab, weights=w * xc, minlength=k)
-    q = np.bincount(lab, weights=w * xc * xc, minlength=k)
-    return n, s, q
-
-
-def _local_solver(k, gamma, max_iter, tol, tol_mode, init):
-    """Grouped-map function: all iterations of one target inside one task.
-
-    Used only when the target's fit input is below a checked row bound; the
-    update and bound code is the same :class:`FitState` as the distributed path.
-    """
-
-    def solve(pdf):
-        import numpy as np
-        import pandas as pd
-
-        t = int(pdf["t"].iloc[0])
-        m0, c0, total, centres, name = init[t]
-        x = pdf["x"].to_numpy(dtype="float64")
-        w = pdf["w"].to_numpy(dtype="float64")
-        xc = x - m0
-        st = FitState(name=name, k=k, m0=m0, c0=c0, total=total)
-        n, s, q = _hard_stats(x, w, xc, centres, k)
-        order = sorted(range(k), key=lambda j: (-n[j], centres[j]))
-        st.m_step(n[order], s[order], q[order], gamma)
-        chunk = LOCAL_CHUNK_ROWS
-        for it in range(1, max_iter + 1):
-            off = np.asarray(st.offsets())
-            mu = np.asarray(st.means)
-            ps = 1.0 / np.asarray(st.sds())
-            n_acc, s_acc, q_acc, entropy = np.zeros(k), np.zeros(k), np.zeros(k), 0.0
-            for lo in range(0, len(x), chunk):      # bounded working memory: chunk x K arrays
-                xb, wb, cb = x[lo:lo + chunk], w[lo:lo + chunk], xc[lo:lo + chunk]
-                z = (xb[:, None] - mu) * ps
-                sc = off - 0.5 * (z * z)
-                best = sc.max(axis=1, keepdims=True)
-                e = np.exp(sc - best)
-                zs = e.sum(axis=1, keepdims=True)
-                r = e / zs
-                lr = sc - (best + np.log(zs))
-                entropy += float((wb * (r * lr).sum(axis=1)).sum())
-                wr = wb[:, None] * r
-                n_acc += wr.sum(axis=0)
-                s_acc += (wr * cb[:, None]).sum(axis=0)
-                q_acc += (wr * (cb * cb)[:, None]).sum(axis=0)
-            st.m_step(n_acc, s_acc, q_acc, gamma)
-            prev = st.lower_bound
-            st.lower_bound = st.bound(entropy)
-            st.n_iter = it
-            change = st.lower_bound - prev
-            if tol_mode == "per_row":
-                change = change / max(total, 1.0)
-            if abs(change) < tol:
-                st.converged = True
-                break
-        return pd.DataFrame([{
-            "t": t, "n_iter": st.n_iter, "converged": st.converged, "lower_bound": st.lower_bound,
-            "a": list(st.a), "b": list(st.b), "beta": list(st.mean_precision), "m": list(st.means),
-            "nu": list(st.dof), "var": list(st.var)}])
-
-    return solve
-
-
-LOCAL_SCHEMA = ("t int, n_iter int, converged boolean, lower_bound double, a array<double>, b array<double>, "
-                "beta array<double>, m array<double>, nu array<double>, var array<double>")
-
-# Fit inputs up to this many rows per target are solved inside one task,
-# LOCAL_CHUNK_ROWS rows at a time.
-DEFAULT_LOCAL_ROWS = 500_000
-LOCAL_CHUNK_ROWS = 100_000
-
-
 def fit_targets(df: DataFrame, targets: Sequence[Target], k: int = DEFAULT_K, gamma: float = DEFAULT_GAMMA,
                 max_iter: int = DEFAULT_MAX_ITER, tol: float = DEFAULT_TOL, tol_mode: str = "absolute",
-                compress: str | bool = "auto", local_rows: int = DEFAULT_LOCAL_ROWS,
-                verbose: bool = False, allow_empty: bool = False) -> dict[str, FitState]:
-    """Fit one mixture per target.
-
-    Plan choice by the (checked) size of the fit input per target:
-    * small (<= ``local_rows`` rows after duplicate compression, e.g. the
-      reference's 10,000-row sample): one grouped-map task per target runs
-      all iterations; targets run in parallel tasks;
-    * large: one distributed aggregate per iteration shared by all targets.
-
-    A target without any valid value raises, or is left out of the result
-    with ``allow_empty=True``.
+                compress: str | bool = "auto", verbose: bool = False, allow_empty: bool = False,
+                centres: Sequence[float] | None = None) -> dict[str, FitState]:
+    """Fit one mixture per target; every pass over the rows is shared by all targets still moving.
+
+    ``centres`` (sorted) replaces the k-means seeding.  A target without any valid value raises, or is left out
+    of the result with ``allow_empty=True``.
     """
     if not targets:
         return {}
-    inp, stats, compressed = prepare_input(df, targets, compress)
+    inp, stats, _ = prepare_input(df, targets, compress, k)
     try:
         states: dict[int, FitState] = {}
-        centres: dict[int, list[float]] = {}
         for t, tg in enumerate(targets):
             st = stats.get(t)
             if st is None or st["n"] == 0:
@@ -400,41 +303,26 @@ def fit_targets(df: DataFrame, targets: Sequence[Target], k: int = DEFAULT_K, ga
                 raise ValueError(f"no valid values to fit for {tg.name!r}")
             c0 = float(st["sd"]) ** 2 if st["sd"] is not None and st["n"] > 1 else 0.0
             states[t] = FitState(name=tg.name, k=k, m0=float(st["mean"]), c0=c0, total=float(st["n"]))
-            centres[t] = _lloyd_1d([float(v) for v in st["sketch"]], k)
         if not states:
             return {}
-        # Rows per target after compression (distinct values, approximately) decide the plan.
-        sizes = {t: (stats[t]["nd"] if compressed else stats[t]["n"]) for t in states}
-        if max(sizes.values()) <= local_rows:
-            init = {t: (st.m0, st.c0, st.total, centres[t], st.name) for t, st in states.items()}
-            solved = (inp.groupBy("t")
-                      .applyInPandas(_local_solver(k, gamma, max_iter, tol, tol_mode, init), LOCAL_SCHEMA)
-                      .collect())
-            for r in solved:
-                st = states[r["t"]]
-                st.a, st.b, st.mean_precision, st.means = list(r["a"]), list(r["b"]), list(r["beta"]), list(r["m"])
-                st.dof, st.var = list(r["nu"]), list(r["var"])
-                st.n_iter, st.converged, st.lower_bound = r["n_iter"], r["converged"], r["lower_bound"]
-            return {st.name: st for st in states.values()}
-        init = _init_pass(inp, centres, {t: s.m0 for t, s in states.items()}, k)
+        seeds = ({t: [float(c) for c in centres] for t in states} if centres is not None
+                 else seed_centres(inp, {t: stats[t] for t in states}, k))
+        got = _pass(inp, {t: _hard_sums(st.m0, seeds[t]) for t, st in states.items()})
         for t, st in states.items():
-            r = init[t]
-            n = [r[f"n{j}"] for j in range(k)]
+            n, s, q = got[t][:k], got[t][k:2 * k], got[t][2 * k:]
             # Fixed order: larger initial clusters first (stick-breaking prefers early modes), ties by centre.
-            order = sorted(range(k), key=lambda j: (-n[j], centres[t][j]))
-            st.m_step([r[f"n{j}"] for j in order], [r[f"s{j}"] for j in order], [r[f"q{j}"] for j in order], gamma)
+            order = sorted(range(k), key=lambda j: (-n[j], seeds[t][j]))
+            st.m_step([n[j] for j in order], [s[j] for j in order], [q[j] for j in order], gamma)
         active = dict(states)
         for it in range(1, max_iter + 1):
             if not active:
                 break
-            res = _e_pass(inp, active)
+            got = _pass(inp, {t: _soft_sums(st.m0, st.offsets(), st.means, st.sds()) for t, st in active.items()})
             for t in list(active):
-                st = active[t]
-                r = res[t]
-                st.m_step([r[f"n{j}"] for j in range(k)], [r[f"s{j}"] for j in range(k)],
-                          [r[f"q{j}"] for j in range(k)], gamma)
+                st, v = active[t], got[t]
+                st.m_step(v[1:k + 1], v[k + 1:2 * k + 1], v[2 * k + 1:], gamma)
                 prev = st.lower_bound
-                st.lower_bound = st.bound(r["H"])
+                st.lower_bound = st.bound(v[0])
                 st.history.append(st.lower_bound)
                 st.n_iter = it
                 change = st.lower_bound - prev
@@ -453,13 +341,13 @@ def fit_targets(df: DataFrame, targets: Sequence[Target], k: int = DEFAULT_K, ga
 def fit_modes(df: DataFrame, col: str, k: int = DEFAULT_K, gamma: float = DEFAULT_GAMMA,
               max_iter: int = DEFAULT_MAX_ITER, tol: float = DEFAULT_TOL, tol_mode: str = "absolute",
               compress: str | bool = "auto", where: Column | None = None, part: str = "main",
-              local_rows: int = DEFAULT_LOCAL_ROWS) -> Mixture:
+              centres: Sequence[float] | None = None) -> Mixture:
     """Fit a DP Bayesian Gaussian mixture to one numeric column."""
     from modenorm.operators.score import value_col
 
     x = value_col(df, col)
     st = fit_targets(df, [Target(col, x, where)], k=k, gamma=gamma, max_iter=max_iter, tol=tol,
-                     tol_mode=tol_mode, compress=compress, local_rows=local_rows)[col]
+                     tol_mode=tol_mode, compress=compress, centres=centres)[col]
     return st.to_mixture(col, part)
 
 
@@ -472,12 +360,11 @@ def pass_statistics(df: DataFrame, col: str, model: Mixture, center: float = 0.0
     from modenorm.operators.score import value_col
 
     x = value_col(df, col)
-    inp = df.select(F.lit(0).alias("t"), x.alias("x"), F.lit(1.0).alias("w")).where(
-        F.col("x").isNotNull() & ~F.isnan(F.col("x")))
-    wide = _e_frame(inp, {0: (center, model.offsets, model.means, model.sds)})
-    items = [F.struct(F.lit(j).alias("mode"), F.col(f"n{j}").alias("n"), F.col(f"s{j}").alias("s"),
-                      F.col(f"q{j}").alias("q")) for j in range(model.k)]
-    return wide.select(F.inline(F.array(*items)))
+    inp = df.select(F.lit(0).alias("t"), x.alias("x"), F.lit(1.0).alias("w")).where(_finite(F.col("x")))
+    got = _pass_frame(inp, {0: _soft_sums(center, model.offsets, model.means, model.sds)})
+    parts = [F.max(F.when(F.floor((F.col("i") - 1) / model.k) == p, F.col("v"))).alias(name)
+             for p, name in enumerate("nsq")]
+    return got.where("i > 0").groupBy(((F.col("i") - 1) % model.k).cast("int").alias("mode")).agg(*parts)
 
 
 def mode_counts(df: DataFrame, col: str, model: Mixture, modes: str = "all") -> DataFrame:
@@ -490,11 +377,3 @@ def mode_counts(df: DataFrame, col: str, model: Mixture, modes: str = "all") ->
 
 def mode_count_map(df: DataFrame, col: str, model: Mixture) -> dict[int, int]:
     return {r["mode"]: r["rows"] for r in mode_counts(df, col, model).collect()}
-
-
-def fit_column(df: DataFrame, col: str, eps: float = DEFAULT_EPS, **kw) -> Mixture:
-    """D1 + D7: fit, then keep modes with weight > eps that some row picks."""
-    from modenorm.operators.model import significant_modes
-
-    model = fit_modes(df, col, **kw)
-    return significant_modes(model, mode_count_map(df, col, model), eps)

@@ -75,9 +75,6 @@ class Mixture:
     def with_kept(self, kept: Sequence[bool]) -> "Mixture":
         return replace(self, kept=tuple(bool(b) for b in kept))
 
-    def with_ranks(self, ranks: Sequence[int | None]) -> "Mixture":
-        return replace(self, ranks=tuple(ranks))
-
     @staticmethod
     def from_weights(col: str, means: Sequence[float], sds: Sequence[float], weights: Sequence[float],
                      offsets: Sequence[float] | None = None, **kw) -> "Mixture":

@@ -141,14 +141,18 @@ def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 del pending[key]
         if missed:
             break
-        for (i, rank), below, inside in refine:
-            lo_v, hi_v = pending[(i, rank)]
-            x = val(cols[i])
-            q = (rank - below) / max(inside - 1, 1)
-            qq = sorted({min(1.0, max(0.0, q - eps)), min(1.0, max(0.0, q + eps))})
-            vals = df.where((x >= F.lit(lo_v)) & (x <= F.lit(hi_v))).agg(
-                F.percentile_approx(x, qq, accuracy).alias("qs")).first()["qs"]
-            pending[(i, rank)] = (vals[0], vals[-1])
+        if refine:  # all brackets narrow in one aggregate
+            aggs = []
+            for j, ((i, rank), below, inside) in enumerate(refine):
+                lo_v, hi_v = pending[(i, rank)]
+                x = val(cols[i])
+                q = (rank - below) / max(inside - 1, 1)
+                qq = sorted({min(1.0, max(0.0, q - eps)), min(1.0, max(0.0, q + eps))})
+                aggs.append(F.percentile_approx(F.when((x >= F.lit(lo_v)) & (x <= F.lit(hi_v)), x), qq, accuracy)
+                            .alias(f"q{j}"))
+            got = df.agg(*aggs).first()
+            for j, (key, _, _) in enumerate(refine):
+                pending[key] = (got[f"q{j}"][0], got[f"q{j}"][-1])
     by_col: dict[int, list[int]] = {}
     for (i, rank) in pending:
         by_col.setdefault(i, []).append(rank)

@@ -2,7 +2,8 @@
 
 Anything with ``transform(values: np.ndarray) -> (normalized, modes)`` runs
 over Arrow batches with ``mapInPandas``; the output schema is declared up
-front (no trial call).  Native column code should use ``DataFrame.transform``
+front (no trial call).  Null and NaN rows get null results, as in the
+column path (E6).  Native column code should use ``DataFrame.transform``
 with the expression builders instead -- this is the slow path for numpy code.
 """
 
@@ -11,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from modenorm.operators.score import CLIP, SCALE_SDS
+
 
 def apply_transformer(df: DataFrame, transformer, col: str, value_out: str | None = None,
                       mode_out: str = "Mode_Assignment") -> DataFrame:
@@ -21,12 +24,15 @@ def apply_transformer(df: DataFrame, transformer, col: str, value_out: str | Non
 
     def run(batches):
         import numpy as np
+        import pandas as pd
 
         for pdf in batches:
-            vals, modes = transformer.transform(pdf[col].to_numpy(dtype="float64"))
+            x = pdf[col].to_numpy(dtype="float64")
+            bad = np.isnan(x)
+            vals, modes = transformer.transform(np.where(bad, 0.0, x))
             pdf = pdf.copy()
-            pdf[value_out] = np.asarray(vals, dtype="float64")
-            pdf[mode_out] = np.asarray(modes).astype("int32")
+            pdf[value_out] = pd.Series(np.asarray(vals, dtype="float64"), index=pdf.index).astype("Float64").mask(bad)
+            pdf[mode_out] = pd.Series(np.asarray(modes).astype("int32"), index=pdf.index).astype("Int32").mask(bad)
             yield pdf
 
     return df.mapInPandas(run, schema)
@@ -48,5 +54,5 @@ class NumpyModeScaler:
         z = (x[:, None] - self.means) / self.sds
         scores = self.offsets - 0.5 * (z * z)
         modes = scores.argmax(axis=1)
-        norm = (x - self.means[modes]) / (4.0 * self.sds[modes])
-        return np.clip(norm, -0.99, 0.99), modes
+        norm = (x - self.means[modes]) / (SCALE_SDS * self.sds[modes])
+        return np.clip(norm, -CLIP, CLIP), modes

@@ -22,13 +22,11 @@ from modenorm.functions.rng import uniform
 # The reference samples 10,000 rows with seed 42 for the fit.
 DEFAULT_SAMPLE_ROWS = 10_000
 DEFAULT_SEED = 42
-# A plain per-partition top-k is used while n x partitions stays below this many rows.
-DIRECT_TOPK_MERGE_ROWS = 5_000_000
 
 
 def row_key(df: DataFrame) -> Column:
-    """A stable row key for file sources: file name and row position in the file."""
-    return F.concat(F.col("_metadata.file_name"), F.lit(":"), F.col("_metadata.row_index").cast("string"))
+    """A stable row key for file sources: full file path and row position in the file."""
+    return F.concat(F.col("_metadata.file_path"), F.lit(":"), F.col("_metadata.row_index").cast("string"))
 
 
 def _keys(df: DataFrame, key: str | Sequence[str] | None) -> list[Column]:
@@ -50,7 +48,8 @@ def sample_n(df: DataFrame, n: int = DEFAULT_SAMPLE_ROWS, seed: int = DEFAULT_SE
              rng: str = "md5") -> DataFrame:
     """B1: exactly ``min(n, rows)`` rows without replacement, a pure function of (key, seed).
 
-    ``key`` must identify rows uniquely (ties in ``u`` are broken by the key).
+    ``key`` must identify rows uniquely (ties in ``u`` are broken by the key).  Rows with a null key share one
+    place in the order, so the sample is complete whatever the keys.
     ``strict=True`` raises when the table has fewer than ``n`` rows.
     ``rng``: ``md5`` (default; reproducible in other engines) or ``hash64``
     (Spark's xxhash64: same guarantees inside Spark, several times cheaper).
@@ -59,7 +58,7 @@ def sample_n(df: DataFrame, n: int = DEFAULT_SAMPLE_ROWS, seed: int = DEFAULT_SE
         raise ValueError("n must be >= 0")
     keys = _keys(df, key)
     key_str = keys[0] if len(keys) == 1 else F.concat_ws("\u0001", *[k.cast("string") for k in keys])
-    u = uniform(key_str, seed, rng)
+    u = F.coalesce(uniform(key_str, seed, rng), uniform(F.lit("null key"), seed, rng))
     total = df.count() if total is None else total
     if n > total and strict:
         raise ValueError(f"cannot take a sample of {n} rows from {total}")
@@ -89,37 +88,18 @@ def sample_n(df: DataFrame, n: int = DEFAULT_SAMPLE_ROWS, seed: int = DEFAULT_SE
 
 
 def head_n(df: DataFrame, n: int, order_by: str | Sequence[str] | None = None) -> DataFrame:
-    """B2: the first ``n`` rows by ``order_by`` (default: file order, i.e. file name then row index).
+    """B2: the first ``n`` rows by ``order_by`` (default: file order, i.e. file path then row index; nulls first).
 
-    When ``n`` x partitions is large, the input is first narrowed with an
-    approximate-quantile threshold on the leading sort column (checked to keep
-    at least ``n`` rows), so the final top-k merge sees about ``n`` rows rather
-    than ``n`` per partition.
+    One plan for every size and type: a top-k, which Spark turns into a
+    range-partitioned sort when ``n`` is above its own top-k bound.
     """
     if order_by is None:
-        cols = [F.col("_metadata.file_name"), F.col("_metadata.row_index")]
+        cols = [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
         # The first n rows in (file, position) order all sit at a position < n inside their file.
         df = df.where(F.col("_metadata.row_index") < F.lit(int(n)))
-        lead = None
     else:
-        names = [order_by] if isinstance(order_by, str) else list(order_by)
-        cols = [F.col(c) for c in names]
-        lead = names[0]
-    # A top-k merges up to n rows from every partition in one task: only take it when that is small.
-    from modenorm.sources.io import num_partitions
-
-    parts = num_partitions(df)
-    if lead is None or (parts is not None and n * parts <= DIRECT_TOPK_MERGE_ROWS):
-        return df.orderBy(*cols).limit(n)
-    total = df.count()
-    if n >= total:
-        return df
-    frac = min(1.0, n / total * 1.05 + 0.001)
-    bound = df.agg(F.percentile_approx(lead, frac, 10000).alias("b")).first()["b"]
-    cand = df.where(F.col(lead) <= F.lit(bound))
-    if cand.count() < n:
-        cand = df
-    return cand.orderBy(*cols).limit(n)
+        cols = [F.col(c) for c in ([order_by] if isinstance(order_by, str) else order_by)]
+    return df.orderBy(*cols).limit(n)
 
 
 def preview(df: DataFrame, order_by: str | Sequence[str], n: int = 5) -> DataFrame:

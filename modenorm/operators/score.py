@@ -73,14 +73,6 @@ def _greatest(cols: Sequence[Column]) -> Column:
     return cols[0] if len(cols) == 1 else F.greatest(*cols)
 
 
-def _first_max(cols: Sequence[Column], labels: Sequence[int]) -> Column:
-    best = _greatest(cols)
-    expr = None
-    for c, lab in zip(cols, labels):
-        expr = F.when(c == best, F.lit(lab)) if expr is None else expr.when(c == best, F.lit(lab))
-    return expr.otherwise(F.lit(labels[-1]))
-
-
 def _mode_list(model: Mixture, modes: str | Sequence[int]) -> list[int]:
     if modes == "all":
         return list(range(model.k))

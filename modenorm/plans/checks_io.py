@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from modenorm.functions.rng import keyed_normal_pair_sql
 from modenorm.operators import encode as E
+from modenorm.operators.decode import decode
+from modenorm.operators.fit import fit_modes
 from modenorm.operators.model import LAYOUT_SCHEMA
+from modenorm.operators.sampling import head_n
 from modenorm.operators.scaleup import replicate, scale_up
 from modenorm.operators.score import score
 from modenorm.plans.catalog import d, q6, r6, register, table
@@ -18,7 +21,8 @@ from modenorm.plans.checks_jobs import _E6_SQL, CHUNK, M, _REPL_SQL, _target
 from modenorm.plans.checks_profile import _describe_sql
 from modenorm.plans.jobs import encoder_job, per_file_frame, profile_job
 from modenorm.session import scratch_path
-from modenorm.sources.io import first_files, read_csv, read_table, write_chunks, write_per_source, write_table
+from modenorm.sources.io import (first_files, list_sources, read_csv, read_table, source_name, write_chunks,
+                                 write_per_source, write_table)
 
 
 def _scored_cols(df):
@@ -117,16 +121,15 @@ _SPECS = [E.ColumnSpec("value"), E.ColumnSpec("x", "mixed", (0.0,)), E.ColumnSpe
 
 @register("d3_fit_encoder")
 def d3_fit_encoder(spark, sf_dir):
-    """Fit every column of the fixture on a 10,000-row sample (iterative: rows-only); returns the layout."""
-    enc = E.fit_encoder(_fixture(spark, sf_dir), _SPECS, key="event_id", sample_rows=10_000)
+    """Fit every column of the fixture on all its rows (iterative: rows-only); returns the layout."""
+    enc = E.fit_encoder(_fixture(spark, sf_dir), _SPECS, key="event_id")
     return spark.createDataFrame(E.layout(enc), LAYOUT_SCHEMA)
 
 
 @register("h2_encoder")
 def h2_encoder(spark, sf_dir):
     """H2: fit -> encode -> decode -> lossless round-trip report (rows-only: the fit is iterative)."""
-    _enc, _encoded, report = encoder_job(_fixture(spark, sf_dir), _SPECS, key="event_id", sample_rows=10_000,
-                                         lossless=True)
+    _enc, _encoded, report = encoder_job(_fixture(spark, sf_dir), _SPECS, key="event_id", lossless=True)
     return report
 
 
@@ -134,3 +137,47 @@ def h2_encoder(spark, sf_dir):
 def h4_per_file(spark, sf_dir):
     """H4: fit on the head of the first file, score every row tagged with its output file (rows-only)."""
     return per_file_frame(spark, f"{sf_dir.rstrip('/')}/events.parquet", "value")
+
+
+@register("h2_restored", f"""
+SELECT event_id, {q6('value')} AS value, event_type,
+       {q6("CASE WHEN event_type = 'signup' THEN " + d(0.0) + " ELSE value END")} AS x FROM events""")
+def h2_restored(spark, sf_dir):
+    """An encoder fitted on all rows, encoded without loss, decoded: the table itself."""
+    df = _fixture(spark, sf_dir)
+    enc = E.fit_encoder(df, _SPECS, key="event_id", max_iter=10)
+    back = decode(E.encode(df, enc, "event_id", keep_overflow=True), enc, "event_id")
+    return back.select("event_id", r6("value").alias("value"), "event_type", r6("x").alias("x"))
+
+
+@register("h4_restored", f"SELECT event_id, {q6('value')} AS value, 'transformed_events.parquet' AS source_file FROM events")
+def h4_restored(spark, sf_dir):
+    """H4 undone: every row of every file with its value (within the clip) and its output file."""
+    from modenorm.operators.score import unscore
+
+    src = f"{sf_dir.rstrip('/')}/events.parquet"
+    df = read_table(spark, src)
+    head = head_n(first_files(spark, df, 1).select("value", "_metadata"), 100_000).select("value")
+    model = fit_modes(head, "value", max_iter=10)
+    tagged = score(df, "value", model, keep_overflow=True).withColumn("source_file", F.concat(F.lit("transformed_"), source_name(df)))
+    return unscore(tagged, "value", model).select("event_id", r6("value_Restored").alias("value"), "source_file")
+
+
+@register("a10_two_folders", """
+SELECT 'transformed_' || part || '__rows.parquet' AS source_file, count(*) AS rows
+FROM (SELECT CASE WHEN event_id % 2 = 0 THEN 'even' ELSE 'odd' END AS part FROM events) GROUP BY 1""")
+def a10_two_folders(spark, sf_dir):
+    """A10 and A11 over folders that hold files of one name: each is a source of its own."""
+    base = scratch_path(spark, "sources")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for part, rest in (("even", 0), ("odd", 1)):
+        path = f"{base}/{part}"
+        table(spark, sf_dir, "events").where(F.col("event_id") % 2 == rest).coalesce(1).write.parquet(path)
+        fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+        made = next(s.getPath() for s in fs.listStatus(hadoop.Path(path)) if s.getPath().getName().startswith("part-"))
+        fs.rename(made, hadoop.Path(f"{path}/rows.parquet"))
+    df = read_table(spark, [f"{base}/even", f"{base}/odd"])
+    out = scratch_path(spark, "per-source")
+    write_per_source(df, out)
+    listed = list_sources(df).select(F.concat(F.lit("transformed_"), "file_name").alias("source_file"), "rows")
+    return spark.read.parquet(out).groupBy("source_file").agg(F.count(F.lit(1)).alias("rows")).intersect(listed)

@@ -9,10 +9,12 @@ from modenorm.operators.fit import fit_modes, pass_statistics
 from modenorm.operators.model import model_frame
 from modenorm.operators.plugin import NumpyModeScaler, apply_transformer
 from modenorm.operators.profile import numeric_columns
+from modenorm.operators.score import score, unscore
 from modenorm.operators.scaleup import add_noise, chunk_plan, replicate, union_all
 from modenorm.plans.catalog import d, q6, r6, register, sql_argmax, sql_by_mode, sql_clip, sql_scores, table
 from modenorm.plans.fixed import fixed_model
-from modenorm.plans.jobs import flagship_frame
+from modenorm.session import scratch_path
+from modenorm.plans.jobs import fit_on_sample, flagship_frame
 
 M = fixed_model("value")
 ALL = list(range(M.k))
@@ -94,12 +96,78 @@ def d1_fit(spark, sf_dir):
     return model_frame(spark, [model])
 
 
+_PASSES = 2
+
+
+def _digamma_sql(x: str) -> str:
+    """Digamma as its asymptotic series twelve steps up."""
+    y = f"(({x}) + 12)"
+    steps = " + ".join(f"1 / (({x}) + {i})" for i in range(12))
+    return (f"(ln({y}) - 1 / (2 * {y}) - 1 / (12 * {y} ** 2) + 1 / (120 * {y} ** 4) - 1 / (252 * {y} ** 6)"
+            f" + 1 / (240 * {y} ** 8) - ({steps}))")
+
+
+def _passes_sql() -> str:
+    """Seeding counts at the fixed model's means, the update, and ``_PASSES`` passes, from the published equations."""
+    seeds = sorted(M.means)
+    mids = [(a + b) / 2 for a, b in zip(seeds, seeds[1:])]
+    label = " + ".join(f"CASE WHEN x > {d(m)} THEN 1 ELSE 0 END" for m in mids)
+    ctes = [f"rows AS (SELECT CAST(value AS DOUBLE) AS x FROM events WHERE value IS NOT NULL AND isfinite(value))",
+            "stats AS (SELECT avg(x) AS m0, var_samp(x) AS c0 FROM rows)",
+            f"hard AS (SELECT {label} AS j, x - m0 AS xc FROM rows, stats)",
+            "h0 AS (SELECT j, CAST(count(*) AS DOUBLE) AS n, sum(xc) AS s, sum(xc * xc) AS q FROM hard GROUP BY j)",
+            f"slots AS (SELECT CAST(range AS INTEGER) AS j FROM range(0, {M.k}))",
+            "full0 AS (SELECT slots.j, coalesce(n, 0) AS n, coalesce(s, 0) AS s, coalesce(q, 0) AS q "
+            "FROM slots LEFT JOIN h0 USING (j))",
+            "sums0 AS (SELECT CAST(row_number() OVER (ORDER BY n DESC, j) - 1 AS INTEGER) AS k, n, s, q FROM full0)"]
+    for i in range(_PASSES + 1):
+        ctes += [
+            f"u{i} AS (SELECT k, n + {d(2.220446049250313e-15)} AS nk, s, q, "
+            f"coalesce(sum(n + {d(2.220446049250313e-15)}) OVER (ORDER BY k ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0) "
+            f"AS tail FROM sums{i})",
+            f"v{i} AS (SELECT k, 1 + nk AS beta, s / nk AS xb, nk, 1 + nk AS a, {d(0.001)} + tail AS b, "
+            f"greatest(q / nk - (s / nk) * (s / nk), 0) + {d(1e-6)} AS sk FROM u{i})",
+            f"p{i} AS (SELECT k, a, b, beta, m0 + nk * xb / beta AS mean, "
+            f"(c0 + nk * sk + nk / beta * xb * xb) / beta AS var FROM v{i}, stats)",
+            f"o{i} AS (SELECT *, {_digamma_sql('a')} - {_digamma_sql('a + b')} + coalesce(sum({_digamma_sql('b')} - "
+            f"{_digamma_sql('a + b')}) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lw FROM p{i})",
+            f"f{i} AS (SELECT k, a, b, mean, var, lw - 0.5 * ln(2 * pi()) - 0.5 * ln(var) - 0.5 * ln(beta) + 0.5 * (ln(2) + "
+            f"{_digamma_sql('0.5 * beta')} - 1 / beta) AS off FROM o{i})"]
+        if i < _PASSES:
+            ctes += [
+                f"sc{i} AS (SELECT r.i, r.x, k, off - 0.5 * (x - mean) * (x - mean) / var AS score "
+                f"FROM (SELECT row_number() OVER () AS i, x FROM rows) r, f{i})",
+                f"e{i} AS (SELECT i, x, k, exp(score - max(score) OVER (PARTITION BY i)) AS e FROM sc{i})",
+                f"r{i} AS (SELECT x, k, e / sum(e) OVER (PARTITION BY i) AS r FROM e{i})",
+                f"sums{i + 1} AS (SELECT k, sum(r) AS n, sum(r * (x - m0)) AS s, sum(r * (x - m0) * (x - m0)) AS q "
+                f"FROM r{i}, stats GROUP BY k)"]
+    return ("WITH " + ",\n".join(ctes)
+            + f"\nSELECT k AS mode, {q6('mean')} AS mean, {q6('sqrt(var)')} AS sd, {q6('off')} AS log_offset FROM f{_PASSES}")
+
+
+@register("d1_passes", _passes_sql())
+def d1_passes(spark, sf_dir):
+    """Seeding from given centres, update and two passes of the fit itself against the equations in SQL."""
+    model = fit_modes(table(spark, sf_dir, "events"), "value", max_iter=_PASSES, tol=0.0, centres=sorted(M.means))
+    return model_frame(spark, [model]).select("mode", r6("mean").alias("mean"), r6("sd").alias("sd"),
+                                              r6("offset").alias("log_offset"))
+
+
 @register("h1_flagship")
 def h1_flagship(spark, sf_dir):
     """H1: seeded 10,000-row sample -> fit -> score every events row (no SQL twin: the fit is iterative)."""
     return flagship_frame(spark, sf_dir)
 
 
+@register("h1_restored", f"SELECT event_id, user_id, event_type, {q6('value')} AS value FROM events")
+def h1_restored(spark, sf_dir):
+    """H1 with overflow kept, undone: every row comes back with its value under the fitted modes."""
+    ev = table(spark, sf_dir, "events")
+    model = fit_on_sample(ev, "value", key="event_id", max_iter=20)
+    back = unscore(score(ev, "value", model, keep_overflow=True), "value", model)
+    return back.select("event_id", "user_id", "event_type", r6("value_Restored").alias("value"))
+
+
 _E6_MODE = sql_argmax(sql_scores("value", M, ALL), ALL)
 _E6_NORM = (f"(value - {sql_by_mode('m', {k: M.means[k] for k in ALL})}) / "
             f"{sql_by_mode('m', {k: 4.0 * M.sds[k] for k in ALL})}")
@@ -118,6 +186,20 @@ def h5_stream(spark, sf_dir):
                       r6("value_Transformed").alias("value_Transformed"), "Mode_Assignment")
 
 
+@register("h5_two_runs", _E6_SQL)
+def h5_two_runs(spark, sf_dir):
+    """H5 run twice with its own checkpoint over a growing folder of several files: new files once, none twice."""
+    from modenorm.streaming.stream import score_stream
+
+    src, dst = scratch_path(spark, "stream-src"), scratch_path(spark, "stream-out")
+    ev = table(spark, sf_dir, "events")
+    for rest in (0, 1):
+        ev.where(F.col("event_id") % 2 == rest).repartition(3).write.mode("append").parquet(src)
+        score_stream(spark, src, dst, M, "value")
+    return spark.read.parquet(dst).select("event_id", "user_id", "event_type", r6("value").alias("value"),
+                                          r6("value_Transformed").alias("value_Transformed"), "Mode_Assignment")
+
+
 @register("u1_plugin", _E6_SQL)
 def u1_plugin(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")

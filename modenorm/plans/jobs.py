@@ -20,7 +20,7 @@ from modenorm.operators.model import Mixture, save_model
 from modenorm.operators.profile import profile
 from modenorm.operators.sampling import DEFAULT_SAMPLE_ROWS, head_n, sample_n
 from modenorm.operators.score import score
-from modenorm.sources.io import first_files, read_table, write_per_source, write_table
+from modenorm.sources.io import first_files, read_table, source_name, write_per_source, write_table
 
 
 def fit_on_sample(df: DataFrame, col: str, key: str | None = None, sample_rows: int = DEFAULT_SAMPLE_ROWS,
@@ -83,5 +83,4 @@ def per_file_frame(spark: SparkSession, src: str, col: str, head_rows: int = 100
     df = read_table(spark, src)
     head = head_n(first_files(spark, df, 1).select(col, "_metadata"), head_rows).select(col)
     model = fit_modes(head, col, **fit_kw)
-    return score(df, col, model).withColumn("source_file", F.concat(F.lit("transformed_"),
-                                                                   F.col("_metadata.file_name")))
+    return score(df, col, model).withColumn("source_file", F.concat(F.lit("transformed_"), source_name(df)))

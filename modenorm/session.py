@@ -55,6 +55,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - not readable as a SQL conf
             path = None
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="modenorm-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path

@@ -98,15 +98,26 @@ def first_files(spark: SparkSession, df: DataFrame, k: int) -> DataFrame:
     return spark.read.parquet(*files)
 
 
-def with_source_file(df: DataFrame, name: str = "source_file") -> DataFrame:
-    """Attach the input file name of every row (hidden ``_metadata`` column)."""
-    return df.withColumn(name, F.col("_metadata.file_name"))
+def source_name(df: DataFrame) -> Column:
+    """Each row's input file by its path below the inputs' common folder, folders joined by ``__``.
+
+    A file's name alone where all inputs lie in one folder; files of equal name in different folders differ.
+    The folder comes from the paths the scan has listed already.
+    """
+    folders = [f.rsplit("/", 1)[0].split("/") for f in df.inputFiles()]
+    common = list(folders[0]) if folders else []
+    for f in folders[1:]:
+        while common != f[:len(common)]:
+            common.pop()
+    depth = len([c for c in common if c]) - bool(common and common[0].endswith(":"))
+    parts = F.filter(F.split(F.regexp_replace(F.col("_metadata.file_path"), "^[a-zA-Z0-9+.-]+:", ""), "/"),
+                     lambda c: c != "")
+    return F.array_join(F.slice(parts, depth + 1, F.size(parts)), "__")
 
 
 def list_sources(df: DataFrame) -> DataFrame:
     """Input files and their row counts (one aggregate, no data to the driver)."""
-    return (df.select(F.col("_metadata.file_name").alias("file_name"))
-            .groupBy("file_name").agg(F.count(F.lit(1)).alias("rows")))
+    return df.select(source_name(df).alias("file_name")).groupBy("file_name").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def set_partition_bytes(spark: SparkSession, nbytes: int = 50 * 1024 * 1024) -> None:
@@ -143,8 +154,8 @@ def write_chunks(df: DataFrame, path: str, chunk_col: str = "chunk", mode: str =
 
 
 def write_per_source(df: DataFrame, path: str, prefix: str = "transformed_", mode: str = "overwrite") -> None:
-    """A10: one output folder per input file, named ``source_file=<prefix><name>``."""
-    tagged = df.withColumn("source_file", F.concat(F.lit(prefix), F.col("_metadata.file_name")))
+    """A10: one output folder per input file, named ``source_file=<prefix><name>`` (see :func:`source_name`)."""
+    tagged = df.withColumn("source_file", F.concat(F.lit(prefix), source_name(df)))
     write_table(tagged.sortWithinPartitions("source_file"), path, mode=mode, partition_by=["source_file"])
 
 

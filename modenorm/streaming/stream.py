@@ -18,35 +18,43 @@ from modenorm.session import scratch_path
 def score_stream(spark: SparkSession, src: str, dst: str, model: Mixture, col: str,
                  checkpoint: str | None = None, keep_overflow: bool = False, max_files_per_trigger: int | None = None,
                  wait: bool = True):
+    """Score the files of ``src`` that were not scored into ``dst`` before.
+
+    The checkpoint belongs to ``dst``: without one given it is the folder ``<dst>.checkpoint`` beside it, so a
+    second call goes on where the first one ended.
+    """
     schema = spark.read.parquet(src).schema
     reader = spark.readStream.schema(schema).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    folder, pattern = _folder_and_filter(src)
+    folder, pattern = _folder_and_filter(spark, src)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     stream = reader.load(folder)
     scored = score(stream, col, model, keep_overflow=keep_overflow)
     query = (scored.writeStream.format("parquet").outputMode("append")
-             .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt"))
+             .option("checkpointLocation", checkpoint or dst.rstrip("/") + ".checkpoint")
              .trigger(availableNow=True).start(dst))
     if wait:
         query.awaitTermination()
     return query
 
 
-def _folder_and_filter(src: str) -> tuple[str, str | None]:
-    """A file source watches folders: a single file becomes (its folder, a filter on its name)."""
-    import os
+def _folder_and_filter(spark: SparkSession, src: str) -> tuple[str, str | None]:
+    """A file source watches folders: a single file becomes (its folder, a filter on its name).
 
-    path = src.rstrip("/")
-    if path.endswith(".parquet") and "*" not in path and not os.path.isdir(path):
-        return os.path.dirname(path) or ".", os.path.basename(path)
+    The file system of the path tells which of the two it is, on any store that Spark reads.
+    """
+    if "*" in src:
+        return src, None
+    path = spark._jvm.org.apache.hadoop.fs.Path(src.rstrip("/"))
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isFile():
+        return path.getParent().toString(), path.getName()
     return src, None
 
 
 def stream_to_table(spark: SparkSession, src: str, model: Mixture, col: str) -> DataFrame:
     """Run the stream over ``src`` into a fresh folder of the shared checkpoint dir; return it as a table."""
     dst = scratch_path(spark, "stream-out")
-    score_stream(spark, src, dst, model, col, checkpoint=scratch_path(spark, "stream-ckpt"))
+    score_stream(spark, src, dst, model, col)
     return spark.read.parquet(dst)
