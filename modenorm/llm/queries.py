@@ -67,7 +67,7 @@ def op8_jaccard_join(spark, sf_dir):
 
 @query
 def op9_repeat_removal(spark, sf_dir):
-    return repeat_parse.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
+    return repeat_parse.remove_repeats(table(spark, sf_dir, "documents"), result="kept_sha256")
 
 
 @query

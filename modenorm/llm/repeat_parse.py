@@ -42,13 +42,16 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modenorm.llm.common import U64, mix64, staged, text_slices
+from modenorm.llm.common import U64, carried, mix64, staged, text_slices
 
 SPAN = 50
 GRAM = 24
 #: windows a phrase has at most: those that can share one trigger
 MOST = SPAN - GRAM + 1
-SLICE_BYTES = 2 << 20
+#: a parse works on about this much text at once (its arrays then fit the processor's cache)
+PARSE_BYTES = 1 << 16
+#: text whose phrases are sent together
+SLICE_BYTES = 4 << 20
 #: phrases a partition of the dictionary exchange holds about
 PARTITION_PHRASES = 1_000_000
 #: a trigger with more entries than this is dealt by windows
@@ -122,24 +125,70 @@ class Parse:
         size = (self.last - self.first + 1)[phrases]
         return np.repeat(self.first[phrases] - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
+    def among(self, codes: np.ndarray, doc: np.ndarray, wanted: list[np.ndarray]) -> np.ndarray:
+        """Which of the documents' codes are among those wanted of the same document."""
+        if not len(codes) or not any(len(w) for w in wanted):
+            return np.zeros(len(codes), bool)
+        shift = np.arange(len(wanted)).astype(U64) * _C
+        own = np.concatenate([w + shift[k] for k, w in enumerate(wanted)])
+        return np.isin(codes + doc.astype(U64) * _C, own)
 
-def block(flag: int, docs: np.ndarray, counts: np.ndarray, codes: np.ndarray) -> bytes:
-    return (np.array([flag, len(docs)], np.int64).tobytes() + docs.astype(np.int64).tobytes()
-            + counts.astype(np.int64).tobytes() + codes.astype(U64).tobytes())
 
+def grouped(major: np.ndarray, minor: np.ndarray) -> np.ndarray:
+    """An order in which equal (major, minor) pairs are neighbours, by major."""
+    order = np.argsort(major)
+    same = major[order[1:]] == major[order[:-1]]
+    at = np.flatnonzero(np.append(same, False) | np.append(False, same))
+    if len(at):
+        own = order[at]
+        order[at] = own[np.lexsort((minor[own], major[own]))]
+    return order
 
-def unblock(data) -> tuple[int, np.ndarray, np.ndarray]:
-    """Flag, and a document id for each code, codes."""
-    flag, k = np.frombuffer(data, np.int64, 2).tolist()
-    docs = np.frombuffer(data, np.int64, k, 16)
-    return flag, np.repeat(docs, np.frombuffer(data, np.int64, k, 16 + 8 * k)), np.frombuffer(data, U64, -1, 16 + 16 * k)
 
+def heads(*keys: np.ndarray) -> np.ndarray:
+    """Where a new group of equal keys begins, for keys of neighbours."""
+    new = np.zeros(len(keys[0]), bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(new)
 
-def by_doc(docs: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Documents, counts and codes, dealt by document."""
-    order = np.argsort(docs, kind="stable")
-    own, count = np.unique(docs[order], return_counts=True)
-    return own, count, codes[order]
+
+def smallest(doc: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Each group's smallest document, for every member."""
+    return np.repeat(np.minimum.reduceat(doc, starts), np.diff(np.append(starts, len(doc)))) if len(doc) else doc
+
+
+def block(flag: int, docs: np.ndarray, codes: np.ndarray) -> bytes:
+    """Codes with their documents; a document's id is held once."""
+    own, index = np.unique(docs, return_inverse=True)
+    return (np.array([flag, len(own), len(codes)], np.int64).tobytes() + own.astype(np.int64).tobytes()
+            + codes.astype(U64).tobytes() + index.astype(np.int32 if len(own) > 65535 else np.uint16).tobytes())
+
+
+def unblock(data) -> tuple[np.ndarray, np.ndarray]:
+    """A document id for each code, codes."""
+    _, k, n = np.frombuffer(data, np.int64, 3).tolist()
+    docs = np.frombuffer(data, np.int64, k, 24)
+    index = np.frombuffer(data, np.int32 if k > 65535 else np.uint16, n, 24 + 8 * (k + n))
+    return docs[index], np.frombuffer(data, U64, n, 24 + 8 * k)
+
+
+def sub_slices(texts: list, limit: int):
+    """Ranges of about ``limit`` bytes."""
+    start, acc = 0, 0
+    for i, t in enumerate(texts):
+        if i > start and acc + len(t) > limit:
+            yield start, i
+            start, acc = i, 0
+        acc += len(t)
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def record(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()),
+                                       pa.array([r[1] for r in rows], pa.binary())], names=["part", "block"])
 
 
 def send_phrases(docs: DataFrame, bits: int) -> DataFrame:
@@ -148,36 +197,34 @@ def send_phrases(docs: DataFrame, bits: int) -> DataFrame:
         for b in batches:
             for i, j, texts in text_slices(b, 1, SLICE_BYTES):
                 ids = b.column(0).slice(i, j - i).to_pylist()
-                known = [k for k, d in enumerate(ids) if d is not None and texts[k]]
-                parse = Parse([texts[k].encode() for k in known])
-                if not len(parse.first):
+                known = [(d, t.encode()) for d, t in zip(ids, texts) if d is not None and t]
+                found = []
+                for p, q in sub_slices([t for _, t in known], PARSE_BYTES):
+                    parse = Parse([t for _, t in known[p:q]])
+                    found.append((parse.trigger, parse.code, np.array([d for d, _ in known[p:q]], np.int64)[parse.doc]))
+                if not any(len(f[0]) for f in found):
                     continue
-                doc = np.array([ids[k] for k in known], np.int64)[parse.doc]
-                part = (parse.trigger >> U64(64 - bits)).astype(np.int32)
-                order = np.lexsort((doc, parse.code, part))
-                part, code, doc = part[order], parse.code[order], doc[order]
-                new = np.append(True, (code[1:] != code[:-1]) | (part[1:] != part[:-1]))
-                head = np.maximum.accumulate(np.where(new, np.arange(len(code)), 0))
-                later = doc > doc[head]
-                rows = []
-                if later.any():
-                    rows.append((int(part[later][0]), block(1, *by_doc(doc[later], code[later]))))
-                part, code, doc = part[new], code[new], doc[new]
-                cuts = np.flatnonzero(np.diff(part, prepend=-1))
-                for p, q in zip(cuts, np.append(cuts[1:], len(part))):
-                    rows.append((int(part[p]), block(0, *by_doc(doc[p:q], code[p:q]))))
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()),
-                                                  pa.array([r[1] for r in rows], pa.binary())], names=["part", "block"])
+                trigger, code, doc = (np.concatenate(x) for x in zip(*found))
+                order = grouped(trigger, code)
+                trigger, code, doc = trigger[order], code[order], doc[order]
+                new = heads(trigger, code)
+                low = smallest(doc, new)
+                part = (trigger >> U64(64 - bits)).astype(np.int32)
+                later = doc > low
+                rows = [(int(part[later][0]), block(1, doc[later], code[later]))] if later.any() else []
+                part, code, doc = part[new], code[new], low[new]
+                cuts = heads(part)
+                rows += [(int(part[p]), block(0, doc[p:q], code[p:q])) for p, q in zip(cuts, np.append(cuts[1:], len(part)))]
+                yield record(rows)
 
     return docs.mapInArrow(run, "part int, block binary")
 
 
 def lists(docs: np.ndarray, codes: np.ndarray, kinds: np.ndarray) -> pa.Table:
     """A row for each document and kind with its codes."""
-    order = np.lexsort((codes, kinds, docs))
+    order = np.lexsort((kinds, docs))
     docs, codes, kinds = docs[order], codes[order], kinds[order]
-    new = np.append(True, (docs[1:] != docs[:-1]) | (kinds[1:] != kinds[:-1]))[:len(docs)]
-    at = np.flatnonzero(new)
+    at = heads(docs, kinds)
     offsets = pa.array(np.append(at, len(docs)).astype(np.int32))
     return pa.table({"doc_id": pa.array(docs[at]), "kind": pa.array(kinds[at].astype(np.int32)),
                      "codes": pa.ListArray.from_arrays(offsets, pa.array(codes.view(np.int64)))})
@@ -190,35 +237,32 @@ REPLY = "doc_id long, kind int, codes array<long>"
 
 def meet_phrases(table: pa.Table) -> pa.Table:
     """Dictionary of one partition: phrases to remove, and entries to compare by their bytes."""
-    docs, codes, settled_docs, settled = [], [], [], []
+    found, out = [], []
     for chunk in table.column("block").chunks:
         for x in chunk:
-            flag, d, c = unblock(memoryview(x.as_buffer()))
-            (settled_docs if flag else docs).append(d)
-            (settled if flag else codes).append(c)
-    out_d, out_c, out_k = list(settled_docs), list(settled), [np.full(len(c), GONE_PHRASE) for c in settled]
-    if codes:
-        doc, code = np.concatenate(docs), np.concatenate(codes)
-        order = np.lexsort((doc, code))
+            raw = memoryview(x.as_buffer())
+            doc, code = unblock(raw)
+            if np.frombuffer(raw, np.int64, 1)[0]:
+                out.append((doc, code, np.full(len(doc), GONE_PHRASE, np.int8)))
+            else:
+                found.append((doc, code))
+    if found:
+        doc, code = (np.concatenate(x) for x in zip(*found))
+        del found
+        order = np.argsort(code)
         doc, code = doc[order], code[order]
-        new = np.append(True, code[1:] != code[:-1])
-        head = np.maximum.accumulate(np.where(new, np.arange(len(code)), 0))
-        later = doc > doc[head]
-        out_d.append(doc[later])
-        out_c.append(code[later])
-        out_k.append(np.full(int(later.sum()), GONE_PHRASE))
-        entry_doc, entry = doc[new], code[new]
-        trigger = entry >> U64(32)
-        starts = np.flatnonzero(np.append(True, trigger[1:] != trigger[:-1]))
-        size = np.diff(np.append(starts, len(entry)))
-        several = np.minimum.reduceat(entry_doc, starts) != np.maximum.reduceat(entry_doc, starts)
-        kind = np.where(several, np.where(size > HOT_ENTRIES, CHECK_HOT, CHECK), -1)
-        kind = np.repeat(kind, size)
+        new = heads(code)
+        low = smallest(doc, new)
+        later = doc > low
+        out.append((doc[later], code[later], np.full(int(later.sum()), GONE_PHRASE, np.int8)))
+        doc, code = low[new], code[new]
+        starts = heads(code >> U64(32))
+        size = np.diff(np.append(starts, len(code)))
+        several = np.minimum.reduceat(doc, starts) != np.maximum.reduceat(doc, starts)
+        kind = np.repeat(np.where(several, np.where(size > HOT_ENTRIES, CHECK_HOT, CHECK), -1).astype(np.int8), size)
         ask = kind >= 0
-        out_d.append(entry_doc[ask])
-        out_c.append(entry[ask])
-        out_k.append(kind[ask])
-    return lists(np.concatenate(out_d).astype(np.int64), np.concatenate(out_c).astype(U64), np.concatenate(out_k))
+        out.append((doc[ask], code[ask], kind[ask]))
+    return lists(*(np.concatenate(x) for x in zip(*out)))
 
 
 def gather(replies: DataFrame) -> DataFrame:
@@ -228,21 +272,17 @@ def gather(replies: DataFrame) -> DataFrame:
         for k, name in ((GONE_PHRASE, "gone"), (CHECK, "check"), (CHECK_HOT, "hot"), (GONE_WINDOW, "windows"))])
 
 
-def packed(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """Texts compressed, for the joins by document."""
-    columns = ["doc_id", "text", *keep]
-
+def packed(docs: DataFrame, names: list[str], kinds: str) -> DataFrame:
+    """Texts compressed, for the joins by document, with the carried columns."""
     def run(batches):
         squeeze = zstandard.ZstdCompressor(level=1)
         for b in batches:
             for i, j, texts in text_slices(b, 1, SLICE_BYTES):
                 z = pa.array([squeeze.compress((t or "").encode()) for t in texts], pa.binary())
-                yield pa.RecordBatch.from_arrays([z if k == 1 else b.column(k).slice(i, j - i)
-                                                  for k in range(len(columns))], names=columns)
+                rest = [b.column(2 + k).slice(i, j - i) for k in range(len(names))]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), z, *rest], names=["doc_id", "text", *names])
 
-    kinds = dict(docs.dtypes)
-    return docs.select(*columns).mapInArrow(run, ", ".join(
-        f"`{c}` " + ("binary" if c == "text" else kinds[c]) for c in columns))
+    return docs.mapInArrow(run, "doc_id long, text binary" + kinds)
 
 
 def longs(column, i: int) -> np.ndarray:
@@ -252,56 +292,56 @@ def longs(column, i: int) -> np.ndarray:
 
 
 def send_entries(joined: DataFrame, buckets: int) -> DataFrame:
-    """``part, flag, docs, sizes, data``: dictionary entries and hot windows with their bytes."""
+    """``part, block``: dictionary entries and hot windows with their bytes (flag 0), settled windows (flag 1)."""
+    def bucket(key):
+        return (key % U64(buckets)).astype(np.int64)
+
     def run(batches):
         unpack = zstandard.ZstdDecompressor()
         for b in batches:
-            for i, j, texts in text_slices(b, 1, SLICE_BYTES // 2):
-                parse = Parse([unpack.decompress(t) for t in texts])
-                if not len(parse.first):
-                    continue
+            for i, j, texts in text_slices(b, 1, SLICE_BYTES // 3):
                 ids = b.column(0).slice(i, j - i).to_numpy()
-                hot, normal = np.zeros(len(parse.code), bool), np.zeros(len(parse.code), bool)
-                bounds = np.searchsorted(parse.doc, np.arange(j - i + 1))
-                for k in range(j - i):
-                    own = slice(bounds[k], bounds[k + 1])
-                    normal[own] = np.isin(parse.code[own], longs(b.column(2), i + k))
-                    hot[own] = np.isin(parse.code[own], longs(b.column(3), i + k))
+                data = [unpack.decompress(t) for t in texts]
+                entries, windows = [], []  # bucket, document, size, bytes; and key, document, bytes of windows
+                for p, q in sub_slices(data, PARSE_BYTES):
+                    parse = Parse(data[p:q])
+                    own = ids[p:q]
+                    hot, normal = (parse.among(parse.code, parse.doc, [longs(b.column(c), i + k) for k in range(p, q)])
+                                   for c in (3, 2))
+                    if hot.any():
+                        at = parse.marked(hot)
+                        doc = own[np.repeat(parse.doc[hot], (parse.last - parse.first + 1)[hot])]
+                        windows.append((parse.window[at], doc, parse.data[at[:, None] + np.arange(SPAN)]))
+                    if normal.any():
+                        at, size = parse.first[normal], (parse.last - parse.first)[normal] + SPAN
+                        where = np.repeat(at - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                        entries.append((bucket(mix64(parse.trigger[normal] ^ _A)), own[parse.doc[normal]], size,
+                                        parse.data[where]))
                 rows = []
-                at = parse.marked(hot)
-                if len(at):  # single windows, equal ones once
-                    doc = ids[np.repeat(parse.doc[hot], (parse.last - parse.first + 1)[hot])]
-                    key = parse.window[at]
-                    order = np.lexsort((doc, key))
-                    key, doc, at = key[order], doc[order], at[order]
-                    new = np.append(True, key[1:] != key[:-1])
-                    head = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
-                    later = doc > doc[head]
+                if windows:  # single windows, equal ones once
+                    key, doc, strings = (np.concatenate(x) for x in zip(*windows))
+                    order = np.argsort(key)
+                    key, doc = key[order], doc[order]
+                    new = heads(key)
+                    low = smallest(doc, new)
+                    later = doc > low
                     if later.any():
-                        rows.append((int(key[0] % U64(buckets)), block(1, *by_doc(doc[later], key[later]))))
-                    part = (key[new] % U64(buckets)).astype(np.int64)
-                    entries = [(part, doc[new], at[new], np.full(int(new.sum()), SPAN))]
-                else:
-                    entries = []
-                if normal.any():
-                    first = parse.first[normal]
-                    entries.append(((mix64(parse.trigger[normal] ^ _A) % U64(buckets)).astype(np.int64),
-                                    ids[parse.doc[normal]], first, parse.last[normal] - first + SPAN))
+                        rows.append((int(bucket(key[:1])[0]), block(1, doc[later], key[later])))
+                    entries.append((bucket(key[new]), low[new], np.full(len(new), SPAN), strings[order[new]].reshape(-1)))
                 if entries:
-                    part, doc, at, size = (np.concatenate(x) for x in zip(*entries))
+                    part, doc, size, flat = (np.concatenate(x) for x in zip(*entries))
+                    begin = np.cumsum(size) - size
                     order = np.argsort(part, kind="stable")
-                    part, doc, at, size = part[order], doc[order], at[order], size[order]
-                    cuts = np.flatnonzero(np.diff(part, prepend=-1))
+                    part, doc, size, begin = part[order], doc[order], size[order], begin[order]
+                    cuts = heads(part)
                     for p, q in zip(cuts, np.append(cuts[1:], len(part))):
                         n = size[p:q]
-                        where = np.repeat(at[p:q] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                        rows.append((int(part[p]), np.array([0, q - p], np.int64).tobytes()
+                        where = np.repeat(begin[p:q] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                        rows.append((int(part[p]), np.array([0, q - p, 0], np.int64).tobytes()
                                      + doc[p:q].astype(np.int64).tobytes() + n.astype(np.uint8).tobytes()
-                                     + parse.data[where].tobytes()))
+                                     + flat[where].tobytes()))
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()),
-                                                      pa.array([r[1] for r in rows], pa.binary())],
-                                                     names=["part", "block"])
+                    yield record(rows)
 
     return joined.mapInArrow(run, "part int, block binary")
 
@@ -336,111 +376,101 @@ def suffix_groups(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.
 
 def meet_entries(table: pa.Table) -> pa.Table:
     """Windows of one bucket's dictionary entries that also lie in an entry of a smaller document."""
-    docs, sizes, parts, out_d, out_c = [], [], [], [], []
+    docs, sizes, parts, out = [], [], [], []
     for chunk in table.column("block").chunks:
         for x in chunk:
             raw = memoryview(x.as_buffer())
             flag, k = np.frombuffer(raw, np.int64, 2).tolist()
             if flag:
-                _, d, c = unblock(raw)
-                out_d.append(d)
-                out_c.append(c)
+                out.append(unblock(raw))
             else:
-                docs.append(np.frombuffer(raw, np.int64, k, 16))
-                sizes.append(np.frombuffer(raw, np.uint8, k, 16 + 8 * k))
-                parts.append(np.frombuffer(raw, np.uint8, -1, 16 + 9 * k))
+                docs.append(np.frombuffer(raw, np.int64, k, 24))
+                sizes.append(np.frombuffer(raw, np.uint8, k, 24 + 8 * k))
+                parts.append(np.frombuffer(raw, np.uint8, -1, 24 + 9 * k))
     if docs:
         doc, size = np.concatenate(docs), np.concatenate(sizes).astype(np.int64)
         data = np.concatenate([*parts, np.zeros(8, np.uint8)])
+        del parts
         begin = np.cumsum(size) - size
         count = size - SPAN + 1
         starts = np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(count.sum())
-        owner = np.repeat(doc, count)
         order, tie = suffix_groups(data, starts)
-        firsts = np.flatnonzero(~tie)
-        low = np.minimum.reduceat(owner[order], firsts)
-        later = owner[order] > np.repeat(low, np.diff(np.append(firsts, len(order))))
-        at = starts[order[later]]
-        if len(at):
-            strings = data[at[:, None] + np.arange(SPAN)]
-            hashes = [rolling(s.reshape(-1))[1][::SPAN] for s in np.array_split(strings, -(-len(at) // 50_000))]
-            out_d.append(owner[order[later]])
-            out_c.append(np.concatenate(hashes))
-    if not out_d:
-        return lists(np.zeros(0, np.int64), np.zeros(0, U64), np.zeros(0, np.int64))
-    d, c = np.concatenate(out_d).astype(np.int64), np.concatenate(out_c).astype(U64)
-    return lists(d, c, np.full(len(d), GONE_WINDOW))
-
-
-def removed(parse: Parse, gone: list[np.ndarray], windows: list[np.ndarray]) -> np.ndarray:
-    """Mask of the bytes to remove in a slice whose documents have these removed phrases and windows."""
-    phrase = np.zeros(len(parse.code), bool)
+        owner = np.repeat(doc, count)[order]
+        later = np.flatnonzero(owner > smallest(owner, np.flatnonzero(~tie)))
+        for part in np.array_split(later, -(-len(later) // 20_000) or 1):
+            if len(part):
+                strings = data[starts[order[part]][:, None] + np.arange(SPAN)]
+                out.append((owner[part], rolling(strings.reshape(-1))[1][::SPAN]))
+    if not out:
+        return lists(np.zeros(0, np.int64), np.zeros(0, U64), np.zeros(0, np.int8))
+    doc, code = (np.concatenate(x) for x in zip(*out))
+    return lists(doc, code, np.full(len(doc), GONE_WINDOW, np.int8))
+
+
+def removed(parse: Parse, gone: list[np.ndarray], asked: list[np.ndarray], windows: list[np.ndarray]) -> np.ndarray:
+    """Mask of the bytes to remove: removed phrases, and removed windows within the phrases asked for."""
     edge = np.zeros(len(parse.data) + 1, np.int32)
-    bounds = np.searchsorted(parse.doc, np.arange(len(parse.sizes) + 1))
-    for k, (g, w) in enumerate(zip(gone, windows)):
-        own = slice(bounds[k], bounds[k + 1])
-        if len(g):
-            phrase[own] = np.isin(parse.code[own], g)
-        if len(w) and parse.sizes[k] >= SPAN:
-            a = parse.starts[k]
-            at = a + np.flatnonzero(np.isin(parse.window[a:a + parse.sizes[k] - SPAN + 1], w))
-            edge[at] += 1
-            edge[at + SPAN] -= 1
+    phrase = parse.among(parse.code, parse.doc, gone)
     np.add.at(edge, parse.first[phrase], 1)
     np.add.at(edge, parse.last[phrase] + SPAN, -1)
+    if any(len(w) for w in windows):
+        open_ = parse.among(parse.code, parse.doc, asked)
+        at = parse.marked(open_)
+        doc = np.repeat(parse.doc[open_], (parse.last - parse.first + 1)[open_])
+        at = at[parse.among(parse.window[at], doc, windows)]
+        edge[at] += 1
+        edge[at + SPAN] -= 1
     return np.cumsum(edge[:-1]) > 0
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (),
-                   digest: bool = False) -> DataFrame:
-    """``doc_id``, the columns of ``keep``, ``n_bytes, n_removed, n_spans, kept`` (the remaining bytes).
+                   result: str = "kept") -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans``, the result, and the columns of ``keep``.
 
-    ``digest`` gives the SHA-256 of the remaining bytes instead of them.
+    ``result``: ``kept``, the remaining bytes; ``kept_sha256``, their digest; or ``text``, the text they give,
+    without the bytes of characters cut in two.
     """
     spark = df.sparkSession
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
-                     *[F.col(c) for c in keep])
+    docs, names, kinds = carried(df, id_col, text_col, keep)
     narrow = docs.select("doc_id", "text")
     total = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(24, max(6, math.ceil(math.log2(max(1, total / 14 / PARTITION_PHRASES)))))
     replies = staged(spark, gather(send_phrases(narrow, bits).groupBy("part").applyInArrow(meet_phrases, REPLY))
                      .drop("windows"), "repeat-phrases")
-    texts = packed(docs, list(keep))
-    asked = (texts.select("doc_id", "text").join(
+    asked = (packed(narrow, [], "").join(
         replies.where("size(check) + size(hot) > 0").select("doc_id", "check", "hot"), "doc_id")
         .select("doc_id", "text", "check", "hot"))
     found = gather(send_entries(asked, 1 << bits).groupBy("part").applyInArrow(meet_entries, REPLY))
-    gone = (replies.where("size(gone) > 0").select("doc_id", "gone")
-            .join(found.select("doc_id", "windows"), "doc_id", "full"))
-    columns = ["doc_id", "text", *keep, "gone", "windows"]
-    joined = texts.join(gone, "doc_id", "left").select(*columns)
-    n_keep = len(keep)
-    last = "n_bytes long, n_removed long, n_spans long, " + ("kept_sha256 string" if digest else "kept binary")
+    gone = (replies.select("doc_id", "gone", F.expr("concat(check, hot) AS asked"))
+            .join(found.select("doc_id", "windows"), "doc_id", "left"))
+    joined = (packed(docs, names, kinds).join(gone, "doc_id", "left")
+              .select("doc_id", "text", "gone", "asked", "windows", *names))
+    finish, kind = {"kept": (lambda x: x, "binary"), "kept_sha256": (lambda x: hashlib.sha256(x).hexdigest(), "string"),
+                    "text": (lambda x: bytes(x).decode("utf-8", "ignore"), "string")}[result]
+    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", result]
 
     def run(batches):
         unpack = zstandard.ZstdDecompressor()
         for b in batches:
-            for i, j, texts_ in text_slices(b, 1, SLICE_BYTES // 2):
-                data = [unpack.decompress(t) for t in texts_]
-                g = [longs(b.column(2 + n_keep), k) for k in range(i, j)]
-                w = [longs(b.column(3 + n_keep), k) for k in range(i, j)]
-                hit = [k for k in range(j - i) if len(g[k]) or len(w[k])]
+            for i, j, texts in text_slices(b, 1, SLICE_BYTES // 4):
+                data = [unpack.decompress(t) for t in texts]
                 stats, kept = [(len(d), 0, 0) for d in data], list(data)
-                if hit:
-                    parse = Parse([data[k] for k in hit])
-                    mask = removed(parse, [g[k] for k in hit], [w[k] for k in hit])
+                for p, q in sub_slices(data, PARSE_BYTES):
+                    told = [[longs(b.column(c), i + k) for k in range(p, q)] for c in (2, 3, 4)]
+                    hit = [k for k in range(q - p) if len(told[0][k]) or len(told[2][k])]
+                    if not hit:
+                        continue
+                    parse = Parse([data[p + k] for k in hit])
+                    mask = removed(parse, *([t[k] for k in hit] for t in told))
                     for k, a, n in zip(hit, parse.starts.tolist(), parse.sizes.tolist()):
                         own = mask[a:a + n]
                         if own.any():
-                            stats[k] = (n, int(own.sum()), int(own[0]) + int((own[1:] & ~own[:-1]).sum()))
-                            kept[k] = parse.data[a:a + n][~own].tobytes()
-                out = (pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()) if digest
-                       else pa.array(kept, pa.binary()))
+                            stats[p + k] = (n, int(own.sum()), int(own[0]) + int((own[1:] & ~own[:-1]).sum()))
+                            kept[p + k] = parse.data[a:a + n][~own].tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(k).slice(i, j - i) for k in (0, *range(2, 2 + n_keep))]
-                    + [pa.array([s[k] for s in stats], pa.int64()) for k in range(3)] + [out],
-                    names=["doc_id", *keep, "n_bytes", "n_removed", "n_spans", "kept_sha256" if digest else "kept"])
+                    [b.column(0).slice(i, j - i), *[pa.array([s[k] for s in stats], pa.int64()) for k in range(3)],
+                     pa.array([finish(x) for x in kept], pa.binary() if kind == "binary" else pa.string()),
+                     *[b.column(5 + k).slice(i, j - i) for k in range(len(names))]], names=[*columns, *names])
 
-    kinds = dict(docs.dtypes)
-    schema = ", ".join(["doc_id long", *[f"`{c}` {kinds[c]}" for c in keep], last])
-    return joined.mapInArrow(run, schema)
+    done = joined.mapInArrow(run, f"doc_id long, n_bytes long, n_removed long, n_spans long, {result} {kind}" + kinds)
+    return done.toDF(*columns, *keep) if keep else done
