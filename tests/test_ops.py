@@ -103,7 +103,8 @@ def test_missing_input_raises(spark):
 def test_list_sources(spark):
     df = read_table(spark, [f"{SF001}/events.parquet", f"{SF01}/events.parquet"])
     got = {r["file_name"]: r["rows"] for r in list_sources(df).collect()}
-    assert got == {"events.parquet": 11000}
+    # two files of one name in different folders are two sources
+    assert got == {"sf0.001__events.parquet": 1000, "sf0.01__events.parquet": 10000}
 
 
 def test_csv_with_schema_and_partition_sizing(spark, tmp_dir):
