@@ -74,9 +74,9 @@ def counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         f"least({_W}, coalesce(get(places, k + 1) - p, {_W}))), 0L, (a, x) -> a + x)) AS n_repeat_words")
 
 
-def order_rules(df: DataFrame, rules: dict[str, str], key: str = "doc_id", sample: int = SAMPLE) -> list[str]:
+def order_rules(sample: DataFrame, rules: dict[str, str]) -> list[str]:
     """Rule names by rejections per second on the sample, best first; ties by name."""
-    part = staged(df.sparkSession, df.orderBy(F.xxhash64(key), key).limit(sample), "rule-sample")
+    part = staged(sample.sparkSession, sample.coalesce(1), "rule-sample")
     part.count()
     value = {}
     for name, rule in rules.items():
@@ -96,7 +96,9 @@ def judge(df: DataFrame, rules: dict[str, str] | None = None, id_col: str = "doc
     """Base counts, ``base_failed`` and ``kept`` of every text."""
     rules = RULES if rules is None else rules
     counted = counts(df, id_col, text_col)
-    sample = counts(df.orderBy(F.xxhash64(F.col(id_col)), F.col(id_col)).limit(SAMPLE), id_col, text_col)
+    # the sample's ids come from the id column alone
+    ids = df.select(F.col(id_col).alias("_sampled")).distinct().orderBy(F.xxhash64("_sampled"), "_sampled").limit(SAMPLE)
+    sample = counts(df.select(id_col, text_col).join(F.broadcast(ids), F.col(id_col) == F.col("_sampled")), id_col, text_col)
     failed = F.expr(f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PCT} * n_words")
     based = counted.withColumn("base_failed", failed)
     done = cascade(based, {"base": "base_failed", **rules}, ["base", *order_rules(sample, rules)])
