@@ -383,9 +383,12 @@ def _slot_counts(df: DataFrame, codes: Sequence[ColumnCode], key: Column) -> dic
 
 # --------------------------------------------------------------------------- encode
 def encode(df: DataFrame, encoder: Encoder, key: str, form: str = "compact", keep: Sequence[str] = (),
-           keep_overflow: bool = False) -> DataFrame:
+           keep_overflow: bool = False, strict: bool = False, on_null: str = "null") -> DataFrame:
     """Encode every column of ``encoder``.
 
+    ``strict`` makes the job fail at a category that the fit has not seen (else: null slot, zero block);
+    ``on_null="error"`` at a null or NaN in a numeric column (else: null).
+
     Output: ``key``, ``keep`` columns, then per column ``<col>_value``/``<col>_slot``
     (compact), or one ``encoded`` array (dense) or ML vector (vector).  With ``keep_overflow`` the
     raw value of clipped rows is kept in ``<col>_overflow`` (F8).
@@ -397,11 +400,18 @@ def encode(df: DataFrame, encoder: Encoder, key: str, form: str = "compact", kee
             cats = c.categories.select(F.col("category").alias(f"__{c.name}_cat"), F.col("slot").alias(f"__{c.name}_slot"))
             right = F.broadcast(cats) if c.broadcast_categories() else cats
             cur = cur.join(right, F.col(f"`{c.name}`").eqNullSafe(F.col(f"__{c.name}_cat")), "left")
-            out_cols.append(F.col(f"__{c.name}_slot").cast("int").alias(f"{c.name}_slot"))
+            slot = F.col(f"__{c.name}_slot").cast("int")
+            if strict:
+                slot = F.when(slot.isNull(), F.raise_error(F.concat(F.lit(f"unseen category in {c.name}: "), F.coalesce(
+                    F.col(f"`{c.name}`").cast("string"), F.lit("null")))).cast("int")).otherwise(slot)
+            out_cols.append(slot.alias(f"{c.name}_slot"))
             continue
         cur = _pre_columns(cur, c, F.col(f"`{key}`"), keep_overflow=keep_overflow)
         rank = c.rank_of()
         slot = lookup(F.col(f"__{c.name}_pre"), [rank[p] for p in range(c.n_slots)]).cast("int")
+        if on_null == "error":
+            slot = F.when(is_valid(_x(c.name)), slot).otherwise(
+                F.raise_error(F.lit(f"null or NaN in {c.name}")).cast("int"))
         out_cols += [F.col(f"__{c.name}_val").alias(f"{c.name}_value"), slot.alias(f"{c.name}_slot")]
         if keep_overflow:
             out_cols.append(F.col(f"__{c.name}_ovf").alias(f"{c.name}_overflow"))
@@ -420,7 +430,10 @@ def encode(df: DataFrame, encoder: Encoder, key: str, form: str = "compact", kee
 
 def one_hot(slot: Column, width: int) -> Column:
     """One-hot block of ``width`` doubles (all zero for a null slot)."""
-    return F.array(*[F.when(slot == F.lit(i), 1.0).otherwise(0.0) for i in range(width)])
+    if width <= 0:
+        return F.array().cast("array<double>")
+    # one expression whatever the width
+    return F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.when(i == slot, 1.0).otherwise(0.0))
 
 
 def to_dense(compact: DataFrame, encoder: Encoder, key: str, keep: Sequence[str] = ()) -> DataFrame:

@@ -21,7 +21,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pyspark.sql import Window
 
 from modenorm.functions.rng import hash64_normal_pair, normals_from_digest, pair_digest
 from modenorm.operators.ordstats import dense_index
@@ -30,9 +29,9 @@ from modenorm.operators.profile import _bytes_expr, numeric_columns
 # Fixed values of the reference's scale-up: 10M rows per chunk, noise sd 0.01.
 DEFAULT_CHUNK = 10_000_000
 DEFAULT_NOISE_SD = 0.01
-# A base is broadcast when both limits hold (checked with one aggregate).
-BROADCAST_BASE_ROWS = 2_000_000
-BROADCAST_BASE_BYTES = 256 * 1024 * 1024
+# A base is broadcast when both limits hold (checked with one aggregate); a larger one fans out where it lies.
+BROADCAST_BASE_ROWS = 100_000
+BROADCAST_BASE_BYTES = 32 * 1024 * 1024
 ROWS_PER_PARTITION = 2_000_000
 
 
@@ -60,7 +59,8 @@ def replicate(df: DataFrame, target: int, chunk: int = DEFAULT_CHUNK, order_by:
               partitions: int | None = None, strategy: str = "auto") -> DataFrame:
     """Exactly ``target`` rows ``(id, chunk, pos, <base columns>)``; each chunk restarts at base row 0.
 
-    ``order_by`` fixes which base row is "first" (default: all columns).
+    ``order_by`` fixes which base row is "first" (default: all columns).  Both strategies give the same rows:
+    ``broadcast`` joins a small base to the new ids, ``explode`` copies each base row in its own task.
     """
     spark = df.sparkSession
     if target < 0 or chunk <= 0:
@@ -73,12 +73,9 @@ def replicate(df: DataFrame, target: int, chunk: int = DEFAULT_CHUNK, order_by:
     small = n <= BROADCAST_BASE_ROWS and nbytes <= BROADCAST_BASE_BYTES
     if strategy == "auto":
         strategy = "broadcast" if small else "explode"
-    if small:
-        # Size checked above: a single ordered window over the (bounded) base is cheap.
-        w = Window.orderBy(*[F.col(f"`{c}`") for c in order])
-        base = df.withColumn("__src", (F.row_number().over(w) - 1).cast("long"))
-    else:
-        base = dense_index(df, order, out="__src")
+    if strategy == "broadcast" and not small:
+        raise ValueError(f"a base of {n} rows and {nbytes} bytes is too large to broadcast")
+    base = dense_index(df, order, out="__src")
     if strategy == "broadcast":
         # A multiple of the cluster's parallelism, each split at most ROWS_PER_PARTITION rows.
         par = spark.sparkContext.defaultParallelism

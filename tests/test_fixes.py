@@ -69,6 +69,27 @@ def test_value_without_a_kept_mode_is_not_lost(spark):
     assert {r.id: r.x for r in back.collect()} == {1: 0.0, 2: 7.5, 3: None}
 
 
+def test_strict_encoding(spark):
+    df = spark.createDataFrame([(1, "a", 1.0), (2, "b", 49.0)], "id long, v string, x double")
+    enc = E.fit_encoder(df, [E.ColumnSpec("v", "categorical"), E.ColumnSpec("x")], key="id", models={"x": MODEL})
+    new = spark.createDataFrame([(3, "z", None)], "id long, v string, x double")
+    assert E.encode(new, enc, "id").collect()[0].v_slot is None
+    with pytest.raises(Exception, match="unseen category in v: z"):
+        E.encode(new, enc, "id", strict=True).collect()
+    with pytest.raises(Exception, match="null or NaN in x"):
+        E.encode(new, enc, "id", on_null="error").collect()
+    assert E.encode(df, enc, "id", strict=True, on_null="error").count() == 2
+
+
+def test_large_base_is_not_broadcast(spark, monkeypatch):
+    from modenorm.operators import scaleup
+
+    base = spark.range(500).withColumnRenamed("id", "k")
+    monkeypatch.setattr(scaleup, "BROADCAST_BASE_ROWS", 100)
+    with pytest.raises(ValueError, match="too large to broadcast"):
+        scaleup.replicate(base, 1700, 600, order_by=["k"], strategy="broadcast")
+
+
 def test_plugin_nulls_equal_the_column_path(spark):
     df = spark.createDataFrame([(1, 1.0), (2, None), (3, math.nan), (4, 49.0)], "id int, x double")
     a = {r.id: (r.x_Transformed, r.Mode_Assignment) for r in apply_transformer(df, NumpyModeScaler(MODEL), "x").collect()}
