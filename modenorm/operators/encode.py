@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from modenorm.functions.rng import uniform
 from modenorm.operators.model import DEFAULT_EPS, Mixture, significant_modes
-from modenorm.operators.score import (CLIP, PROB_FLOOR, SCALE_SDS, clip, extend, fence, is_valid, lookup,
+from modenorm.operators.score import (CLIP, SCALE_SDS, clip, draw_from, extend, is_valid, lookup,
                                       mode_scores)
 
 # Category tables are broadcast into the encode/decode joins only below both bounds.
@@ -171,50 +171,11 @@ def modal_values(model_all: Mixture, modal: Sequence[float]) -> tuple[float, ...
 
 
 # --------------------------------------------------------------------------- E7, E8 (pre-slot draw)
-def _sql_double(v: float) -> str:
-    """An exact double literal in Spark SQL (constant-folded)."""
-    return f"CAST('{float(v)!r}' AS DOUBLE)"
-
-
 def draw_position(df: DataFrame, x: Column, model: Mixture, key: Column, seed: int, out: str,
-                  rng: str = "hash64") -> DataFrame:
-    """E7 + E8: position (within kept modes) of a mode drawn from the kept posteriors.
-
-    The uniform is keyed by (row key, seed): ``hash64`` (Spark's xxhash64,
-    default) or ``md5`` (reproducible in other engines).  The chain of
-    derived columns is one ``selectExpr`` (lateral aliases), so building the
-    plan costs one call into the JVM rather than hundreds.
-    """
-    kept = model.kept_modes()
-    if not kept:
-        raise ValueError(f"model of {model.col!r} keeps no mode")
-    p = "__" + out
-    draw = F.when(key.isNull(), F.raise_error(F.lit("the row key is null")).cast("double")).otherwise(uniform(key, seed, rng))
-    base = extend(df, [(f"{p}x", x), (f"{p}u", draw)])
-    xs, d = f"{p}x", _sql_double
-    ex = []
-    for k in range(model.k):
-        z = f"(({xs} - {d(model.means[k])}) / {d(model.sds[k])})"
-        ex.append(f"{d(model.offsets[k])} - {d(0.5)} * ({z} * {z}) AS {p}s{k}")
-    ex.append((f"greatest({', '.join(f'{p}s{k}' for k in range(model.k))})" if model.k > 1 else f"{p}s0")
-              + f" AS {p}b")
-    ex += [f"exp({p}s{k} - {p}b) AS {p}e{k}" for k in range(model.k)]
-    ex.append(" + ".join(f"{p}e{k}" for k in range(model.k)) + f" AS {p}z")
-    ex += [f"{p}e{k} / {p}z + {d(PROB_FLOOR)} AS {p}q{k}" for k in kept]
-    ex.append(" + ".join(f"{p}q{k}" for k in kept) + f" AS {p}qz")
-    terms = []
-    for k in kept:
-        terms.append(f"{p}q{k} / {p}qz")
-        ex.append(" + ".join(terms) + f" AS {p}c{k}")
-    ex.append(f"{p}u * {p}c{kept[-1]} AS {p}t")
-    whens = " ".join(f"WHEN {p}c{k} > {p}t THEN {pos}" for pos, k in enumerate(kept))
-    ex.append(f"CAST(CASE WHEN {xs} IS NOT NULL AND NOT isnan({xs}) THEN (CASE {whens} ELSE {len(kept) - 1} END) "
-              f"END AS INT) AS `{out}`")
-    tmp = ([f"{p}s{k}" for k in range(model.k)] + [f"{p}e{k}" for k in range(model.k)]
-           + [f"{p}q{k}" for k in kept] + [f"{p}c{k}" for k in kept]
-           + [f"{p}b", f"{p}z", f"{p}qz", f"{p}t", f"{p}x", f"{p}u"])
-    drawn = base.drop(out) if out in base.columns else base
-    return fence(drawn.selectExpr("*", *ex).drop(*tmp), "draw")
+               rng: str = "hash64") -> DataFrame:
+    """E8 with a uniform keyed by (row key, seed): ``hash64`` (Spark's xxhash64, default) or ``md5`` (as elsewhere)."""
+    u = F.when(key.isNull(), F.raise_error(F.lit("the row key is null")).cast("double")).otherwise(uniform(key, seed, rng))
+    return draw_from(df, x, u, model, out)
 
 
 def _mode_of_position(pos: Column, kept: Sequence[int]) -> Column:

@@ -137,19 +137,65 @@ def lookup(idx: Column, values: Sequence) -> Column:
     return F.try_element_at(F.create_map(*pairs), idx.cast("int"))
 
 
-def fence(df: DataFrame, prefix: str = "modenorm") -> DataFrame:
-    """Optimizer fence after a deep chain of derived columns.
+def fence(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Optimizer fence around columns that end a deep chain of derived ones.
 
     Catalyst pushes filters through projections by substituting every alias
     with its expression; over a chain whose columns each reuse several
     earlier ones (softmax -> cumulative sums -> draw) that substitution grows
-    exponentially.  Predicates are not pushed through the ``CollectMetrics``
-    node of ``observe``, which otherwise costs nothing; it records the row
-    count as an observed metric.
+    exponentially.  A generator's outputs are not substituted, while filters
+    on the other columns still move below it into the scan; ``inline`` over
+    one struct is one row in, one row out, inside whole-stage codegen.
     """
-    import uuid
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in cols]
+    return df.select(*rest, F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in cols]))))
 
-    return df.observe(f"{prefix}_{uuid.uuid4().hex[:12]}", F.count(F.lit(1)).alias("rows"))
+
+def sql_double(v: float) -> str:
+    """An exact double literal in Spark SQL (constant-folded)."""
+    return f"CAST('{float(v)!r}' AS DOUBLE)"
+
+
+def posterior_steps(p: str, model: Mixture) -> list[str]:
+    """E7 as SQL steps (lateral aliases) from the value ``<p>x``: ``<p>q<k>`` of the kept modes and their sum ``<p>qz``.
+
+    Softmax over all modes, floor, kept modes only; ``<p>q<k> / <p>qz`` is the kept posterior.
+    """
+    kept, d, xs = model.kept_modes(), sql_double, f"{p}x"
+    if not kept:
+        raise ValueError(f"model of {model.col!r} keeps no mode")
+    ex = []
+    for k in range(model.k):
+        z = f"(({xs} - {d(model.means[k])}) / {d(model.sds[k])})"
+        ex.append(f"{d(model.offsets[k])} - {d(0.5)} * ({z} * {z}) AS {p}s{k}")
+    ex.append((f"greatest({', '.join(f'{p}s{k}' for k in range(model.k))})" if model.k > 1 else f"{p}s0")
+              + f" AS {p}b")
+    ex += [f"exp({p}s{k} - {p}b) AS {p}e{k}" for k in range(model.k)]
+    ex.append(" + ".join(f"{p}e{k}" for k in range(model.k)) + f" AS {p}z")
+    ex += [f"{p}e{k} / {p}z + {d(PROB_FLOOR)} AS {p}q{k}" for k in kept]
+    ex.append(" + ".join(f"{p}q{k}" for k in kept) + f" AS {p}qz")
+    return ex
+
+
+def draw_from(df: DataFrame, x: Column, u: Column, model: Mixture, out: str) -> DataFrame:
+    """E7 + E8: position (within kept modes) of the mode that the uniform ``u`` draws from the kept posteriors.
+
+    The chain of derived columns is one ``selectExpr`` (lateral aliases), so building the plan costs one call
+    into the JVM rather than hundreds.
+    """
+    kept, p = model.kept_modes(), "__" + out
+    names = [c for c in df.columns if c != out]
+    base = extend(df.select(*[F.col(f"`{c}`") for c in names]), [(f"{p}x", x), (f"{p}u", u)])
+    ex = posterior_steps(p, model)
+    terms = []
+    for k in kept:
+        terms.append(f"{p}q{k} / {p}qz")
+        ex.append(" + ".join(terms) + f" AS {p}c{k}")
+    ex.append(f"{p}u * {p}c{kept[-1]} AS {p}t")
+    whens = " ".join(f"WHEN {p}c{k} > {p}t THEN {pos}" for pos, k in enumerate(kept))
+    ex.append(f"CAST(CASE WHEN {p}x IS NOT NULL AND NOT isnan({p}x) THEN (CASE {whens} ELSE {len(kept) - 1} END) "
+              f"END AS INT) AS `{out}`")
+    return fence(base.selectExpr("*", *ex).select(*[F.col(f"`{c}`") for c in names], F.col(f"`{out}`")), [out])
 
 
 def _select_by_mode(mode: Column, values: dict[int, float]) -> Column:
@@ -231,40 +277,16 @@ def unscore(df: DataFrame, col: str, model: Mixture, mode_col: str = "Mode_Assig
 
 
 def kept_probs(df: DataFrame, col: str, model: Mixture, prefix: str = "pp_") -> DataFrame:
-    """Posteriors (over all modes) restricted to kept modes, +1e-6, renormalised."""
-    kept = model.kept_modes()
-    if not kept:
-        raise ValueError("model keeps no mode")
-    df2 = mode_probs(df, col, model, prefix="__p")
-    df3 = df2.withColumns({f"__q{k}": F.col(f"__p{k}") + _lit(PROB_FLOOR) for k in kept})
-    total = None
-    for k in kept:
-        total = F.col(f"__q{k}") if total is None else total + F.col(f"__q{k}")
-    df4 = df3.withColumn("__qz", total)
-    res = df4.withColumns({f"{prefix}{k}": F.col(f"__q{k}") / F.col("__qz") for k in kept})
-    return res.drop(*[f"__p{k}" for k in range(model.k)], *[f"__q{k}" for k in kept], "__qz")
+    """Posteriors (over all modes) restricted to kept modes, +1e-6, renormalised: the draw's own steps."""
+    tagged = extend(df, [("__x", value_col(df, col))]).selectExpr("*", *posterior_steps("__", model))
+    return tagged.select(*df.columns, *[(F.col(f"__q{k}") / F.col("__qz")).alias(f"{prefix}{k}") for k in model.kept_modes()])
 
 
 def sample_mode(df: DataFrame, col: str, model: Mixture, key: str | Column, seed: int = 42,
                 out: str = "sampled_mode") -> DataFrame:
     """Draw a kept mode from E7 by inverse CDF on a keyed uniform.
 
-    The first kept mode whose cumulative probability exceeds ``u * total``
-    is chosen (``searchsorted(side='right')`` on a normalised CDF).  The draw
-    depends only on the row key and the seed, never on partitioning.
+    The draw depends only on the row key and the seed, never on partitioning.
     """
-    kept = model.kept_modes()
-    df2 = kept_probs(df, col, model, prefix="__pp")
-    df2 = df2.withColumn("__u", keyed_uniform(key, seed))
-    cums, acc = {}, None
-    for k in kept:
-        acc = F.col(f"__pp{k}") if acc is None else acc + F.col(f"__pp{k}")
-        cums[k] = acc
-    df3 = df2.withColumns({f"__c{k}": c for k, c in cums.items()})
-    target = F.col("__u") * F.col(f"__c{kept[-1]}")
-    expr = None
-    for k in kept:
-        cond = F.col(f"__c{k}") > target
-        expr = F.when(cond, F.lit(k)) if expr is None else expr.when(cond, F.lit(k))
-    res = df3.withColumn(out, F.when(F.col(f"__pp{kept[0]}").isNotNull(), expr.otherwise(F.lit(kept[-1]))).cast("int"))
-    return fence(res.drop(*[f"__pp{k}" for k in kept], *[f"__c{k}" for k in kept], "__u"), "sample_mode")
+    drawn = draw_from(df, value_col(df, col), keyed_uniform(key, seed), model, out)
+    return drawn.withColumn(out, lookup(F.col(out), model.kept_modes()).cast("int"))

@@ -69,6 +69,16 @@ def test_value_without_a_kept_mode_is_not_lost(spark):
     assert {r.id: r.x for r in back.collect()} == {1: 0.0, 2: 7.5, 3: None}
 
 
+def test_filters_reach_the_scan_below_the_draw(spark):
+    from tests.conftest import SF01
+
+    ev = spark.read.parquet(f"{SF01}/events.parquet").withColumnRenamed("value", "x")
+    enc = E.fit_encoder(ev, [E.ColumnSpec("x")], key="event_id", models={"x": MODEL})
+    plan = E.encode(ev, enc, "event_id", keep=["event_type"]).where("event_type = 'click' AND x_slot = 1")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(event_type,click)" in text and len(text) < 40_000
+
+
 def test_strict_encoding(spark):
     df = spark.createDataFrame([(1, "a", 1.0), (2, "b", 49.0)], "id long, v string, x double")
     enc = E.fit_encoder(df, [E.ColumnSpec("v", "categorical"), E.ColumnSpec("x")], key="id", models={"x": MODEL})
