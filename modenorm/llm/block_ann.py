@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from modenorm.llm.common import staged
+from modenorm.llm.common import staged, tidy_group
 
 QUERY_GROUP = 2048
 CANDIDATE_GROUP = 16384
@@ -142,7 +142,7 @@ def search(df: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "e
                          "vec_id": pa.array([r[1] for r in out], pa.int64()),
                          "score": pa.array([r[2] for r in out], pa.float64())})
 
-    found = pairs.groupBy("tile").applyInArrow(run, "query_id long, vec_id long, score double")
+    found = pairs.groupBy("tile").applyInArrow(tidy_group(run), "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

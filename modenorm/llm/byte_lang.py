@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from modenorm.llm.common import carried, share, shared, text_slices
+from modenorm.llm.common import carried, share, shared, text_slices, tidy
 from modenorm.llm.conv_text import ConvText
 
 WINDOW = 256
@@ -152,7 +152,7 @@ def predict(df: DataFrame, model: tuple[list[str], ConvText | None], id_col: str
                     [b.column(0).slice(i, j - i), pa.array(pred, pa.string()), pa.array(score), *rest],
                     names=["doc_id", "lang_pred", "score", *names])
 
-    found = docs.mapInArrow(run, "doc_id long, lang_pred string, score double" + kinds)
+    found = docs.mapInArrow(tidy(run), "doc_id long, lang_pred string, score double" + kinds)
     return found.toDF("doc_id", "lang_pred", "score", *keep) if keep else found
 
 

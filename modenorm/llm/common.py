@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 import sys
 import types
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def narrow(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only id and text, under fixed names: other columns, whatever their names, are never read."""
+    text_batches(df.sparkSession)
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
@@ -30,6 +33,7 @@ def carried(df: DataFrame, id_col: str, text_col: str, keep) -> tuple[DataFrame,
 
     A kept column may have any name: id and text are found by place.
     """
+    text_batches(df.sparkSession)
     names = [f"keep_{k}" for k in range(len(keep))]
     out = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                     *[F.col(c).alias(n) for c, n in zip(keep, names)])
@@ -47,12 +51,56 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def worker_state() -> dict:
-    """A dict that lives as long as the Python worker process, for caches shared by its tasks.
+#: rows of an Arrow batch where the session has Spark's default: texts may be long
+BATCH_ROWS = 2000
 
-    Functions reach the workers by value, so module globals are new in every task.
+
+def text_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches, unless the session sets their size itself."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def worker_cache(name: str, token, build):
+    """What ``build()`` gave for (name, token), kept between the tasks of a Python worker process.
+
+    Functions reach the workers by value, so module globals are new in every task.  One operator's cache is kept
+    at a time: the next operator's tasks in the same process drop it.
     """
-    return sys.modules.setdefault("_modenorm_llm_worker", types.ModuleType("_modenorm_llm_worker")).__dict__
+    state = sys.modules.setdefault("_modenorm_llm_worker", types.ModuleType("_modenorm_llm_worker")).__dict__
+    if state.get("key") != (name, token):
+        state["key"] = state["value"] = None
+        state["value"] = build()
+        state["key"] = (name, token)
+    return state["value"]
+
+
+def trim() -> None:
+    """Give memory that is free inside this worker back to the system."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def tidy(run):
+    """``run`` over a task's batches, then :func:`trim`."""
+    def wrapped(batches):
+        yield from run(batches)
+        trim()
+
+    return wrapped
+
+
+def tidy_group(run):
+    """``run`` over a group's table, then :func:`trim`."""
+    def wrapped(table):
+        out = run(table)
+        trim()
+        return out
+
+    return wrapped
 
 
 def share(spark: SparkSession, obj):

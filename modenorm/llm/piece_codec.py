@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modenorm.llm.common import narrow, text_slices, worker_state
+from modenorm.llm.common import narrow, text_slices, tidy, worker_cache
 
 SPACE = "▁"
 NONE = np.int64(1) << 40
@@ -261,11 +261,8 @@ def _each_byte(e):
 
 
 def _model(proto) -> tuple[PieceModel, dict]:
-    state = worker_state()
-    if state.get("piece_proto") != hash(proto.value):
-        state["piece_model"], state["piece_cache"], state["piece_proto"] = PieceModel(proto.value), {}, hash(proto.value)
     codecs.register_error("each-byte", _each_byte)
-    return state["piece_model"], state["piece_cache"]
+    return worker_cache("pieces", hash(proto.value), lambda: (PieceModel(proto.value), {}))
 
 
 def read_model(path: str) -> bytes:
@@ -291,7 +288,7 @@ def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str
                     out.append(pa.array([model.decode_ids(np.frombuffer(x, "<u4")) for x in ids], pa.string()))
                 yield pa.RecordBatch.from_arrays(out, names=["doc_id", "ids", "text"][:len(out)])
 
-    return narrow(df, id_col, text_col).mapInArrow(run, "doc_id long, ids binary" + ", text string" * decoded)
+    return narrow(df, id_col, text_col).mapInArrow(tidy(run), "doc_id long, ids binary" + ", text string" * decoded)
 
 
 def decode(df: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -307,7 +304,7 @@ def decode(df: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str
                                                   pa.array(text, pa.string())], names=["doc_id", "ids", "text"])
 
     return (df.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids"))
-            .mapInArrow(run, "doc_id long, ids binary, text string"))
+            .mapInArrow(tidy(run), "doc_id long, ids binary, text string"))
 
 
 def digests(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
