@@ -42,19 +42,23 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modenorm.llm.common import U64, mix64, narrow, staged, text_slices
+from modenorm.llm.common import U64, mix64, narrow, staged, text_slices, tidy, tidy_group
 from modenorm.llm.components import components
 
 SHINGLE = 5
 #: links need 100 * intersection >= PCT * union
 PCT = 80
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: shingles a partition of the first exchange holds about
 PARTITION_SHINGLES = 2_000_000
 CODE_BITS = 46
-#: rounds of further hubs run while more pairs than this remain
-MANY_PAIRS = 2_000_000
-HUB_ROUNDS = 4
+#: lists of a set where it first meets hubs
+FIRST_KEYS = 3
+#: further hubs are tried while lists hold more pairs than this times their entries
+MANY_PAIRS = 64
+HUB_ROUNDS = 3
+#: sets in a block of a verification tile, about
+TILE = 64
 
 
 def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
@@ -96,7 +100,7 @@ def set_sizes(docs: DataFrame) -> DataFrame:
                     [b.column(0).slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([set_digest(s) for s in sets], pa.int64())], names=["doc_id", "n", "digest"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, digest long")
+    return docs.mapInArrow(tidy(run), "doc_id long, n long, digest long")
 
 
 def shared_shingles(docs: DataFrame, bits: int) -> DataFrame:
@@ -173,8 +177,8 @@ def shared_shingles(docs: DataFrame, bits: int) -> DataFrame:
         return pa.table({"digest": pa.array(digest[starts]), "n": pa.array(size[starts].astype(np.int64)),
                          "codes": pa.ListArray.from_arrays(offsets, pa.array(code.astype(np.int64)))})
 
-    met = (docs.mapInArrow(send, "part int, block binary").groupBy("part")
-           .applyInArrow(meet, "digest long, n long, codes array<long>"))
+    met = (docs.mapInArrow(tidy(send), "part int, block binary").groupBy("part")
+           .applyInArrow(tidy_group(meet), "digest long, n long, codes array<long>"))
     return met.groupBy("digest", "n").agg(F.expr("sort_array(flatten(collect_list(codes))) AS codes"))
 
 
@@ -182,7 +186,7 @@ def boundary(sets: DataFrame) -> int:
     """Largest size of a small set: the power of two with the least cost (0: none is small)."""
     costs = sets.groupBy(F.expr("CAST(ceil(log2(n)) AS INT) AS size_class")).agg(
         F.sum(F.expr("CAST(q AS DOUBLE) * (q + 1) / 2")).alias("subsets"),
-        F.sum(F.expr(f"aggregate(slice(codes, 1, CAST(q AS INT)), 0D, (a, c) -> a + shiftright(c, {CODE_BITS}))"))
+        F.sum(F.expr(f"aggregate(slice(codes, 1, CAST(q AS INT)), 0D, (a, c) -> a + log2(shiftright(c, {CODE_BITS})))"))
         .alias("scanned")).collect()  # one row for each power of two
     best = min(range(-1, 1 + max([c.size_class for c in costs], default=-1)), key=lambda k: sum(
         c.subsets if c.size_class <= k else c.scanned for c in costs))
@@ -190,22 +194,27 @@ def boundary(sets: DataFrame) -> int:
 
 
 def list_entries(sets: DataFrame, limit: int) -> DataFrame:
-    """``key, digest, n, share, rest``: where each set meets others.
+    """``key, digest, n, share, comp, rest, role``: where each set meets others.
 
     ``share`` orders hubs (unshared part in millionths), ``rest`` bounds what two sets can have in common from
-    this key on.
+    this key on.  ``role``: 0 a subset of a small set, 1 a list entry that also serves sets of its own size and
+    larger, 2 one that only serves smaller ones.
     """
-    base = sets.selectExpr("digest", "n", "q", "codes", "CAST((n - size(codes)) * 1000000 DIV n AS LONG) AS share")
+    base = sets.selectExpr("digest", "n", "q", "codes", SHARE, "comp", "size(codes) AS m",
+                           f"size(codes) - CAST(ceil({2 * PCT} * n / {100 + PCT}D) AS INT) + 1 AS near")
     small = base.where(f"n <= {limit}").selectExpr(
-        "digest", "n", "share", "size(codes) AS m",
-        "IF(n = 1, array(struct(codes[0] AS key, 0 AS i)), flatten(transform(sequence(1, CAST(q AS INT)), "
+        "digest", "n", "share", "comp", "m",
+        "explode(IF(n = 1, array(struct(codes[0] AS key, 0 AS i)), flatten(transform(sequence(1, CAST(q AS INT)), "
         "i -> transform(slice(codes, i + 1, CAST(q + 1 - i AS INT)), "
-        "c -> struct(xxhash64('pair', codes[i - 1], c) AS key, i - 1 AS i))))) AS keys")
+        "c -> struct(xxhash64('pair', codes[i - 1], c) AS key, i - 1 AS i)))))) AS k").selectExpr(
+        "k.key AS key", "digest", "n", "share", "comp", "m - k.i AS rest", "0 AS role")
     large = base.where(f"n * 100 >= {PCT} * {limit}").selectExpr(
-        "digest", "n", "share", "size(codes) AS m",
-        "transform(slice(codes, 1, CAST(q AS INT)), (c, i) -> struct(c AS key, i AS i)) AS keys")
-    return (small.unionByName(large).select("digest", "n", "share", "m", F.explode("keys").alias("k"))
-            .selectExpr("k.key AS key", "digest", "n", "share", "m - k.i AS rest"))
+        "digest", "n", "share", "comp", "m", "near", "posexplode(slice(codes, 1, CAST(q AS INT))) AS (i, key)").selectExpr(
+        "key", "digest", "n", "share", "comp", "m - i AS rest", "IF(i < near, 1, 2) AS role")
+    return small.unionByName(large)
+
+
+SHARE = "CAST((n - size(codes)) * 1000000 DIV n AS LONG) AS share"
 
 
 def possible(a: str, b: str) -> str:
@@ -215,51 +224,95 @@ def possible(a: str, b: str) -> str:
             f"AND least({a}.rest, {b}.rest) * {100 + PCT} >= {PCT} * {both}")
 
 
+def check_tile(table: pa.Table) -> pa.Table:
+    """The linking pairs of one tile; rows are its sets (no ``b``) and its pairs (no ``codes``)."""
+    a, b, n = (table.column(c).combine_chunks() for c in ("a", "b", "n"))
+    codes = table.column("codes").combine_chunks()
+    is_pair = b.is_valid().to_numpy(zero_copy_only=False)
+    left, size = a.to_numpy(), n.fill_null(0).to_numpy()
+    flat, bounds = codes.values.to_numpy(), codes.offsets.to_numpy()
+    sets = {left[i]: (size[i], flat[bounds[i]:bounds[i + 1]]) for i in np.flatnonzero(~is_pair)}
+    out = []
+    for i in np.flatnonzero(is_pair).tolist():
+        p, q = int(left[i]), b[i].as_py()
+        (n_p, x), (n_q, y) = sets[p], sets[q]
+        common = len(np.intersect1d(x, y, assume_unique=True))
+        if 100 * common >= PCT * (n_p + n_q - common):
+            out.append((p, q))
+    return pa.table({"a": pa.array([r[0] for r in out], pa.int64()), "b": pa.array([r[1] for r in out], pa.int64())})
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``a, b`` of digests that link."""
-    left = sets.selectExpr("digest AS a", "n AS na", "codes AS ca")
-    right = sets.selectExpr("digest AS b", "n AS nb", "codes AS cb")
-    both = pairs.join(left, "a").join(right, "b").selectExpr(
-        "a", "b", "na + nb AS total", "CAST(size(array_intersect(ca, cb)) AS LONG) AS common")
-    return both.where(f"100 * common >= {PCT} * (total - common)").select("a", "b")
+    parts = components(pairs)
+    sizes = parts.groupBy("component").agg(F.ceil(F.count("*") / TILE).alias("blocks"))
+    placed = parts.join(sizes, "component").selectExpr(
+        "node", "component", "CAST(pmod(xxhash64(node), blocks) AS INT) AS block")
+    tiled = (pairs.join(placed.selectExpr("node AS a", "component", "block AS p"), "a")
+             .join(placed.selectExpr("node AS b", "block AS q"), "b")
+             .selectExpr("xxhash64(component, least(p, q), greatest(p, q)) AS tile", "a", "b"))
+    tiled = staged(pairs.sparkSession, tiled, "jaccard-tiles")
+    needed = tiled.selectExpr("tile", "a AS digest").unionByName(tiled.selectExpr("tile", "b AS digest")).distinct()
+    own = needed.join(sets.select("digest", "n", "codes"), "digest").selectExpr(
+        "tile", "digest AS a", "CAST(NULL AS LONG) AS b", "n", "codes")
+    rows = own.unionByName(tiled.selectExpr("tile", "a", "b", "CAST(NULL AS LONG) AS n",
+                                            "CAST(NULL AS ARRAY<LONG>) AS codes"))
+    return rows.groupBy("tile").applyInArrow(tidy_group(check_tile), "a long, b long")
+
+
+def hub_pairs(entries: DataFrame, order: str) -> DataFrame:
+    """Pairs of each list's hub, the member first in ``order``, with its members of other components."""
+    hubs = entries.groupBy("key").agg(F.min(F.expr(f"struct({order}, digest, n, rest, comp)")).alias("hub"),
+                                      F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    hubs = hubs.where("lo <> hi").select("key", "hub").alias("y")
+    return (entries.alias("x").join(hubs, F.expr("x.key = y.key AND x.comp <> y.hub.comp AND " + possible("x", "y.hub")))
+            .selectExpr("least(x.digest, y.hub.digest) AS a", "greatest(x.digest, y.hub.digest) AS b"))
+
+
+def list_pairs(entries: DataFrame) -> DataFrame:
+    """Every pair of different components that meets under a key and may link."""
+    def named(roles: str, name: str) -> DataFrame:
+        return entries.where(f"role IN ({roles})").alias(name)
+
+    order = "(x.n < y.n OR (x.n = y.n AND x.digest < y.digest))"
+    found = None
+    for left, right in (("1", "1, 2"), ("0", "0")):
+        part = (named(left, "x").join(named(right, "y"), F.expr(
+            f"x.key = y.key AND x.comp <> y.comp AND {order} AND " + possible("x", "y")))
+            .selectExpr("least(x.digest, y.digest) AS a", "greatest(x.digest, y.digest) AS b"))
+        found = part if found is None else found.unionByName(part)
+    return found
 
 
 def links_to_components(sets: DataFrame) -> DataFrame:
     """``node, component`` of all classes that link with another."""
     spark = sets.sparkSession
-    entries = staged(spark, list_entries(sets, boundary(sets)), "jaccard-lists").withColumn("comp", F.col("digest"))
-    edges, groups = None, None
+    first = (sets.selectExpr("digest", "n", SHARE, "digest AS comp", "size(codes) AS m",
+                             f"posexplode(slice(codes, 1, CAST(least(q, {FIRST_KEYS}) AS INT))) AS (i, key)")
+             .selectExpr("key", "digest", "n", "share", "comp", "m - i AS rest"))
+    pairs = staged(spark, hub_pairs(first, "share").distinct(), "jaccard-pairs")
+    edges = staged(spark, verified(pairs, sets), "jaccard-links")
+    groups = components(edges)
+    limit = boundary(sets)
     for round_no in range(HUB_ROUNDS + 1):
-        spans = entries.groupBy("key").agg(
-            F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"),
-            F.min(F.struct(F.lit(0) if round_no == 0 else F.xxhash64("comp", F.lit(round_no)), "share", "digest", "n",
-                           "rest", "comp")).alias("hub")).where("lo <> hi")
-        if round_no:
-            open_lists = entries.join(spans.select("key"), "key", "left_semi")
-            entries = staged(spark, open_lists, "jaccard-lists")
-            remaining = entries.groupBy("key", "comp").count().groupBy("key").agg(
-                F.expr("CAST(sum(count) AS DOUBLE) * sum(count) - sum(CAST(count AS DOUBLE) * count) AS pairs"))
-            left = remaining.agg(F.sum("pairs")).first()[0] or 0
-            if not left:
-                break
-        if round_no == HUB_ROUNDS or (round_no and left <= 2 * MANY_PAIRS):
-            x, y = entries.alias("x"), entries.alias("y")
-            pairs = (x.join(y, F.expr("x.key = y.key AND x.comp < y.comp AND " + possible("x", "y")))
-                     .selectExpr("least(x.digest, y.digest) AS a", "greatest(x.digest, y.digest) AS b"))
-            last = True
-        else:
-            hubs = spans.select("key", "hub").alias("y")
-            pairs = (entries.alias("x").join(hubs, F.expr(
-                "x.key = y.key AND x.comp <> y.hub.comp AND " + possible("x", "y.hub")))
-                .selectExpr("least(x.digest, y.hub.digest) AS a", "greatest(x.digest, y.hub.digest) AS b"))
-            last = False
-        new = staged(spark, verified(pairs.distinct(), sets), "jaccard-links")
-        edges = new if edges is None else edges.unionByName(new)
-        groups = components(edges)
+        named = (sets.join(groups, F.col("digest") == F.col("node"), "left")
+                 .withColumn("comp", F.coalesce("component", "digest")).select(*sets.columns, "comp"))
+        entries = list_entries(named, limit)
+        spans = entries.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+        entries = staged(spark, entries.join(spans.select("key"), "key", "left_semi"), "jaccard-lists")
+        held, left = entries.groupBy("key").agg(F.count("*").cast("double").alias("n")).agg(
+            F.sum("n"), F.sum(F.col("n") * F.col("n"))).first()
+        if not held:
+            break
+        last = round_no == HUB_ROUNDS or left <= MANY_PAIRS * held
+        pairs = list_pairs(entries) if last else hub_pairs(entries, f"xxhash64(comp, {round_no}), share")
+        pairs = staged(spark, pairs.distinct(), "jaccard-pairs")
+        new = staged(spark, verified(pairs, sets), "jaccard-links")
+        if not new.isEmpty():
+            edges = edges.unionByName(new)
+            groups = components(edges)
         if last:
             break
-        entries = (entries.drop("comp").join(groups, F.col("digest") == F.col("node"), "left")
-                   .withColumn("comp", F.coalesce("component", "digest")).drop("node", "component"))
     return groups
 
 
