@@ -194,11 +194,12 @@ def boundary(sets: DataFrame) -> int:
 
 
 def list_entries(sets: DataFrame, limit: int) -> DataFrame:
-    """``key, digest, n, share, comp, rest, role``: where each set meets others.
+    """``key, digest, n, share, comp, rest, role, p1, p2``: where each set meets others.
 
     ``share`` orders hubs (unshared part in millionths), ``rest`` bounds what two sets can have in common from
     this key on.  ``role``: 0 a subset of a small set, 1 a list entry that also serves sets of its own size and
-    larger, 2 one that only serves smaller ones.
+    larger, 2 one that only serves smaller ones.  ``p1, p2`` are the set's two keys before this one (or numbers no
+    other set has): two sets that share one of these have met there.
     """
     base = sets.selectExpr("digest", "n", "q", "codes", SHARE, "comp", "size(codes) AS m",
                            f"size(codes) - CAST(ceil({2 * PCT} * n / {100 + PCT}D) AS INT) + 1 AS near")
@@ -207,10 +208,15 @@ def list_entries(sets: DataFrame, limit: int) -> DataFrame:
         "explode(IF(n = 1, array(struct(codes[0] AS key, 0 AS i)), flatten(transform(sequence(1, CAST(q AS INT)), "
         "i -> transform(slice(codes, i + 1, CAST(q + 1 - i AS INT)), "
         "c -> struct(xxhash64('pair', codes[i - 1], c) AS key, i - 1 AS i)))))) AS k").selectExpr(
-        "k.key AS key", "digest", "n", "share", "comp", "m - k.i AS rest", "0 AS role")
+        "k.key AS key", "digest", "n", "share", "comp", "m - k.i AS rest", "0 AS role", "digest AS p1", "digest AS p2")
+    keys = "slice(codes, 1, CAST(q AS INT))"
     large = base.where(f"n * 100 >= {PCT} * {limit}").selectExpr(
-        "digest", "n", "share", "comp", "m", "near", "posexplode(slice(codes, 1, CAST(q AS INT))) AS (i, key)").selectExpr(
-        "key", "digest", "n", "share", "comp", "m - i AS rest", "IF(i < near, 1, 2) AS role")
+        "digest", "n", "share", "comp", "m", "near",
+        f"posexplode(arrays_zip({keys}, concat(array(-1L - abs(digest DIV 2)), {keys}), "
+        f"concat(array(-1L - abs(digest DIV 2), -1L - abs(digest DIV 2)), {keys}))) AS (i, k)").where(
+        "k['0'] IS NOT NULL").selectExpr(
+        "k['0'] AS key", "digest", "n", "share", "comp", "m - i AS rest", "IF(i < near, 1, 2) AS role", "k['1'] AS p1",
+        "k['2'] AS p2")
     return small.unionByName(large)
 
 
@@ -242,6 +248,15 @@ def check_tile(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([r[0] for r in out], pa.int64()), "b": pa.array([r[1] for r in out], pa.int64())})
 
 
+def verified_hubs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` of digests that link, for some pairs a set: both sets join each pair."""
+    left = sets.selectExpr("digest AS a", "n AS na", "codes AS ca")
+    right = sets.selectExpr("digest AS b", "n AS nb", "codes AS cb")
+    both = pairs.join(left, "a").join(right, "b").selectExpr(
+        "a", "b", "na + nb AS total", "CAST(size(array_intersect(ca, cb)) AS LONG) AS common")
+    return both.where(f"100 * common >= {PCT} * (total - common)").select("a", "b")
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``a, b`` of digests that link."""
     parts = components(pairs)
@@ -275,10 +290,11 @@ def list_pairs(entries: DataFrame) -> DataFrame:
         return entries.where(f"role IN ({roles})").alias(name)
 
     order = "(x.n < y.n OR (x.n = y.n AND x.digest < y.digest))"
+    new = "x.p1 <> y.p1 AND x.p1 <> y.p2 AND x.p2 <> y.p1 AND x.p2 <> y.p2"
     found = None
     for left, right in (("1", "1, 2"), ("0", "0")):
         part = (named(left, "x").join(named(right, "y"), F.expr(
-            f"x.key = y.key AND x.comp <> y.comp AND {order} AND " + possible("x", "y")))
+            f"x.key = y.key AND x.comp <> y.comp AND {order} AND {new} AND " + possible("x", "y")))
             .selectExpr("least(x.digest, y.digest) AS a", "greatest(x.digest, y.digest) AS b"))
         found = part if found is None else found.unionByName(part)
     return found
@@ -290,8 +306,7 @@ def links_to_components(sets: DataFrame) -> DataFrame:
     first = (sets.selectExpr("digest", "n", SHARE, "digest AS comp", "size(codes) AS m",
                              f"posexplode(slice(codes, 1, CAST(least(q, {FIRST_KEYS}) AS INT))) AS (i, key)")
              .selectExpr("key", "digest", "n", "share", "comp", "m - i AS rest"))
-    pairs = staged(spark, hub_pairs(first, "share").distinct(), "jaccard-pairs")
-    edges = staged(spark, verified(pairs, sets), "jaccard-links")
+    edges = staged(spark, verified_hubs(hub_pairs(first, "share").distinct(), sets), "jaccard-links")
     groups = components(edges)
     limit = boundary(sets)
     for round_no in range(HUB_ROUNDS + 1):
@@ -305,9 +320,11 @@ def links_to_components(sets: DataFrame) -> DataFrame:
         if not held:
             break
         last = round_no == HUB_ROUNDS or left <= MANY_PAIRS * held
-        pairs = list_pairs(entries) if last else hub_pairs(entries, f"xxhash64(comp, {round_no}), share")
-        pairs = staged(spark, pairs.distinct(), "jaccard-pairs")
-        new = staged(spark, verified(pairs, sets), "jaccard-links")
+        if last:
+            new = verified(staged(spark, list_pairs(entries).distinct(), "jaccard-pairs"), sets)
+        else:
+            new = verified_hubs(hub_pairs(entries, f"xxhash64(comp, {round_no}), share").distinct(), sets)
+        new = staged(spark, new, "jaccard-links")
         if not new.isEmpty():
             edges = edges.unionByName(new)
             groups = components(edges)
