@@ -3,9 +3,9 @@
 One variational iteration is one pass over the (persisted) fit input: every
 task sums, per target and mode, ``n_k = sum w r_k``, ``s_k = sum w r_k (x-m0)``,
 ``q_k = sum w r_k (x-m0)^2`` and the entropy term ``H = sum w sum_k r_k ln r_k``
-over its Arrow batches and gives one row for each number; one small Spark
-aggregate adds the tasks' rows.  A pass shuffles #partitions x #targets x (3K+1)
-numbers, independent of data size.  The update and the variational bound act
+over its Arrow batches and gives one row; one global Spark aggregate adds the
+tasks' rows.  A pass shuffles #partitions x #targets x (3K+1) numbers,
+independent of data size.  The update and the variational bound act
 on K numbers per target on the driver.  Seeding is k-means over all rows by
 passes of the same kind.  There is no other path: a 10,000-row sample is
 fitted by the same passes as a whole table.
@@ -177,40 +177,37 @@ def _stats(long_df: DataFrame, k: int) -> dict[int, dict]:
 
 
 # --------------------------------------------------------------------------- passes
-def _pass_frame(inp: DataFrame, sums: dict[int, Callable]) -> DataFrame:
-    """One pass: ``(t, i, v)``, the i-th summed number of each target.
+def _pass_frame(inp: DataFrame, sums: dict[int, Callable], widths: dict[int, int]) -> DataFrame:
+    """One pass, one row: column ``t<k>_<i>`` is the i-th summed number of target k.
 
-    ``sums[t](x, w)`` gives the numbers of a block of rows; tasks add their blocks, Spark adds the tasks.
+    ``sums[k](x, w)`` gives ``widths[k]`` numbers for a block of rows; tasks add their blocks and give one row
+    each, a global Spark aggregate adds the tasks.
     """
+    names = [f"t{k}_{i}" for k in sums for i in range(widths[k])]
+
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        total: dict = {}
+        total = {k: np.zeros(widths[k]) for k in sums}
         for b in batches:
             t, x, w = (b.column(c).to_numpy(zero_copy_only=False) for c in (0, 1, 2))
             for k, fn in sums.items():
                 own = slice(None) if len(sums) == 1 else t == k
                 xs, ws = x[own], w[own]
                 for lo in range(0, len(xs), PASS_ROWS):
-                    got = fn(xs[lo:lo + PASS_ROWS], ws[lo:lo + PASS_ROWS])
-                    total[k] = total[k] + got if k in total else got
-        if total:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(np.fromiter(total, np.int32), [len(v) for v in total.values()])),
-                 pa.array(np.concatenate([np.arange(len(v), dtype=np.int32) for v in total.values()])),
-                 pa.array(np.concatenate(list(total.values())))], names=["t", "i", "v"])
+                    total[k] += fn(xs[lo:lo + PASS_ROWS], ws[lo:lo + PASS_ROWS])
+        row = np.concatenate(list(total.values()))
+        yield pa.RecordBatch.from_arrays([pa.array([v]) for v in row.tolist()], names=names)
 
-    return (inp.select("t", "x", "w").mapInArrow(run, "t int, i int, v double")
-            .groupBy("t", "i").agg(F.sum("v").alias("v")))
+    return (inp.select("t", "x", "w").mapInArrow(run, ", ".join(f"{n} double" for n in names))
+            .agg(*[F.sum(n).alias(n) for n in names]))
 
 
-def _pass(inp: DataFrame, sums: dict[int, Callable]) -> dict[int, list[float]]:
-    """The pass's numbers on the driver: some ten for each target."""
-    out: dict[int, list] = {}
-    for r in sorted(_pass_frame(inp, sums).collect()):
-        out.setdefault(r["t"], []).append(r["v"])
-    return out
+def _pass(inp: DataFrame, sums: dict[int, Callable], width: int) -> dict[int, list[float]]:
+    """The pass's numbers on the driver: ``width`` for each target."""
+    row = list(_pass_frame(inp, sums, {k: width for k in sums}).first())
+    return {k: row[j * width:(j + 1) * width] for j, k in enumerate(sums)}
 
 
 def _hard_sums(m0: float, centres: Sequence[float]) -> Callable:
@@ -250,7 +247,7 @@ def seed_centres(inp: DataFrame, stats: dict[int, dict], k: int) -> dict[int, li
     for _ in range(SEED_PASSES):
         if not active:
             break
-        got = _pass(inp, {t: _hard_sums(stats[t]["mean"], centres[t]) for t in active})
+        got = _pass(inp, {t: _hard_sums(stats[t]["mean"], centres[t]) for t in active}, 3 * k)
         for t in list(active):
             n, s = got[t][:k], got[t][k:2 * k]
             new = sorted(stats[t]["mean"] + s[j] / n[j] if n[j] else centres[t][j] for j in range(k))
@@ -307,7 +304,7 @@ def fit_targets(df: DataFrame, targets: Sequence[Target], k: int = DEFAULT_K, ga
             return {}
         seeds = ({t: [float(c) for c in centres] for t in states} if centres is not None
                  else seed_centres(inp, {t: stats[t] for t in states}, k))
-        got = _pass(inp, {t: _hard_sums(st.m0, seeds[t]) for t, st in states.items()})
+        got = _pass(inp, {t: _hard_sums(st.m0, seeds[t]) for t, st in states.items()}, 3 * k)
         for t, st in states.items():
             n, s, q = got[t][:k], got[t][k:2 * k], got[t][2 * k:]
             # Fixed order: larger initial clusters first (stick-breaking prefers early modes), ties by centre.
@@ -317,7 +314,7 @@ def fit_targets(df: DataFrame, targets: Sequence[Target], k: int = DEFAULT_K, ga
         for it in range(1, max_iter + 1):
             if not active:
                 break
-            got = _pass(inp, {t: _soft_sums(st.m0, st.offsets(), st.means, st.sds()) for t, st in active.items()})
+            got = _pass(inp, {t: _soft_sums(st.m0, st.offsets(), st.means, st.sds()) for t, st in active.items()}, 3 * k + 1)
             for t in list(active):
                 st, v = active[t], got[t]
                 st.m_step(v[1:k + 1], v[k + 1:2 * k + 1], v[2 * k + 1:], gamma)
@@ -361,10 +358,11 @@ def pass_statistics(df: DataFrame, col: str, model: Mixture, center: float = 0.0
 
     x = value_col(df, col)
     inp = df.select(F.lit(0).alias("t"), x.alias("x"), F.lit(1.0).alias("w")).where(_finite(F.col("x")))
-    got = _pass_frame(inp, {0: _soft_sums(center, model.offsets, model.means, model.sds)})
-    parts = [F.max(F.when(F.floor((F.col("i") - 1) / model.k) == p, F.col("v"))).alias(name)
-             for p, name in enumerate("nsq")]
-    return got.where("i > 0").groupBy(((F.col("i") - 1) % model.k).cast("int").alias("mode")).agg(*parts)
+    k = model.k
+    wide = _pass_frame(inp, {0: _soft_sums(center, model.offsets, model.means, model.sds)}, {0: 3 * k + 1})
+    rows = [F.struct(F.lit(j).alias("mode"), *[F.col(f"t0_{1 + p * k + j}").alias(n) for p, n in enumerate("nsq")])
+            for j in range(k)]
+    return wide.select(F.inline(F.array(*rows)))
 
 
 def mode_counts(df: DataFrame, col: str, model: Mixture, modes: str = "all") -> DataFrame:

@@ -53,7 +53,7 @@ def test_matches_dense_twin(spark):
 
 def test_no_grouped_map_in_the_fit_plan(spark):
     df = spark.read.parquet(f"{SF01}/events.parquet").select(F.lit(0).alias("t"), F.col("value").alias("x"), F.lit(1.0).alias("w"))
-    plan = FT._pass_frame(df, {0: FT._hard_sums(0.0, [1.0, 2.0])})._jdf.queryExecution().toString()
+    plan = FT._pass_frame(df, {0: FT._hard_sums(0.0, [1.0, 2.0])}, {0: 6})._jdf.queryExecution().toString()
     assert "FlatMapGroups" not in plan and "MapInArrow" in plan and "partial_sum" in plan
 
 
