@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from modenorm.llm.common import narrow, shuffle_partitions, text_slices
-from modenorm.llm.word_ids import send_vocabulary, worker_ids
+from modenorm.llm.common import narrow, shuffle_partitions, tidy
+from modenorm.llm.word_ids import send_vocabulary, text_arrays, with_end, worker_ids
 
 # Fixed values of the Simple-8b layout: ids in a word, by selector, and bits of each.
 COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
@@ -35,7 +35,6 @@ WIDTHS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 ESCAPE = np.uint64((15 << 60) | ((1 << 60) - 1))
 BLOCK = 1024
 SEGMENT_IDS = 1 << 18
-SLICE_BYTES = 1 << 20
 _U = np.uint64
 
 
@@ -150,37 +149,26 @@ def write_tokens(df: DataFrame, path: str, tokenizer_path: str, end_id: int, low
                .sortWithinPartitions("doc_id", "text").withColumn("part", F.spark_partition_id()))
 
     def run(batches):
-        ids = worker_ids(sent, lowered)
-        end = np.array([end_id], "<u4").tobytes()
-        docs, sizes, parts, held, seq, before, part = [], [], [], 0, 0, 0, 0
-
-        def segment():
-            values = np.frombuffer(b"".join(parts), "<u4")
-            words, offsets = encode_blocks(values)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([before], pa.int64()),
-                 pa.array([len(values)], pa.int64()), pa.array([docs], pa.list_(pa.int64())),
-                 pa.array([sizes], pa.list_(pa.int32())), pa.array([offsets], pa.list_(pa.int32())),
-                 pa.array([words.astype("<u8").tobytes()], pa.binary())],
-                names=["part", "seq", "start_in_part", "n_ids", "doc_ids", "lengths", "offsets", "words"])
-
+        words = worker_ids(sent, lowered)
+        seq, before = 0, 0
         for b in batches:
-            part = b.column(2)[0].as_py() if b.num_rows else part
-            for i, j, texts in text_slices(b, 1, SLICE_BYTES):
-                for doc, data in zip(b.column(0).slice(i, j - i).to_pylist(), ids.encode(texts)):
-                    n = len(data) // 4 + 1
-                    if held and held + n > SEGMENT_IDS:
-                        yield segment()
-                        seq, before = seq + 1, before + held
-                        docs, sizes, parts, held = [], [], [], 0
-                    docs.append(doc)
-                    sizes.append(n)
-                    parts += (data, end)
-                    held += n
-        if held:
-            yield segment()
-
-    ordered.select("doc_id", "text", "part").mapInArrow(run, SEGMENT).write.option("compression", "zstd").parquet(path)
+            for i, j, texts in text_arrays(b, 1):
+                ids, at = with_end(*words.encode(texts), end_id)
+                docs = b.column(0).slice(i, j - i)
+                k = 0
+                while k < j - i:  # whole documents up to about a segment's ids
+                    stop = max(k + 1, int(np.searchsorted(at, at[k] + SEGMENT_IDS, "right")) - 1)
+                    coded, offsets = encode_blocks(ids[at[k]:at[stop]])
+                    n = int(at[stop] - at[k])
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column(2).slice(0, 1), pa.array([seq], pa.int32()), pa.array([before], pa.int64()),
+                         pa.array([n], pa.int64()), pa.ListArray.from_arrays([0, stop - k], docs.slice(k, stop - k)),
+                         pa.array([np.diff(at[k:stop + 1])], pa.list_(pa.int32())),
+                         pa.array([offsets], pa.list_(pa.int32())), pa.array([coded.astype("<u8").tobytes()], pa.binary())],
+                        names=["part", "seq", "start_in_part", "n_ids", "doc_ids", "lengths", "offsets", "words"])
+                    seq, before, k = seq + 1, before + n, stop
+
+    ordered.select("doc_id", "text", "part").mapInArrow(tidy(run), SEGMENT).write.option("compression", "zstd").parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -206,7 +194,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
     return (files.join(F.broadcast(bases), "part").select("start_in_part", "base", "n_ids", "doc_ids", "lengths",
                                                           "offsets", "words")
-            .mapInArrow(run, "doc_id long, start long, ids binary"))
+            .mapInArrow(tidy(run), "doc_id long, start long, ids binary"))
 
 
 def store_digests(df: DataFrame, path: str, tokenizer_path: str, end_id: int = 1) -> DataFrame:

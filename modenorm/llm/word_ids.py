@@ -1,27 +1,48 @@
 """Ids of whole texts by the tokenizers library, with the ids of words kept between texts.
 
 A text is cut at single spaces and line breaks, where neither vocabulary's
-pattern lets a merge cross; a word met before is a look-up, all others go to
-the library in batches.  Texts in which white space stands at the edge of such
-a word (runs of spaces, tabs before a space) go to the library whole, unless
-the vocabulary drops white space anyway.
+pattern lets a merge cross.  Arrow cuts the texts of a slice and numbers their
+distinct words; a word met in an earlier slice is a look-up, all others go to
+the library in batches; the texts' ids are then gathered from the words' ids
+in numpy.  Words of Latin letters and marks, which need no normalising, go to
+the library's model as their two pre-tokens, the others through its whole
+pipeline.  Texts in which white space stands at the edge of a word (runs of
+spaces, a tab before a space) go to the library whole, unless the vocabulary
+drops white space anyway.
 """
 
 from __future__ import annotations
 
 import os
+import re
+from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-from modenorm.llm.common import worker_state
+from modenorm.llm.common import worker_cache
 
-WORD_CACHE = 220_000
-#: marks after a letter that always begin a token of their own (an apostrophe may not)
-_MARKS = ".,;:!?"
+#: words kept after a second slice met them, and words met once
+WORD_CACHE = 300_000
+#: words to one call of the library
+TOGETHER = 4096
+#: text cut and gathered at once
+SLICE_BYTES = 12 << 20
+#: Latin letters, and marks after them, which always make a token run of their own (an apostrophe may not)
+_PLAIN = re.compile(r"(\n?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_PLAIN_LOWER = re.compile(r"()([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+
+
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if printable, else the next one from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    spare = iter(range(256, 512))
+    return [chr(b if b in plain else next(spare)) for b in range(256)]
 
 
 class WordIds:
-    """``encode(texts)`` gives each text's ids as little-endian 32-bit integers.
+    """``encode(texts)`` gives the ids of all texts and where each text's begin.
 
     ``lowered``: the vocabulary lowers case and drops white space.
     """
@@ -33,86 +54,134 @@ class WordIds:
         self.tokenizer = Tokenizer.from_buffer(tokenizer_json)
         self.tokenizer.encode_special_tokens = True  # the special tokens' strings in a text are ordinary text
         self.lowered = lowered
-        #: ids of words at the start of a line, and after a space; kept ones and those met once
-        self.caches = [({}, {}), ({}, {})]
+        self.letters = byte_letters()
+        self.marks: dict[str, bytes] = {"": b""}
+        self.hot: dict[str, bytes | None] = {}
+        self.fresh: dict[str, bytes | None] = {}
 
     def library(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        out = []
+        for i in range(0, len(texts), TOGETHER):
+            found = self.tokenizer.encode_batch_fast(texts[i:i + TOGETHER], add_special_tokens=False)
+            out += [np.array(e.ids, "<u4").tobytes() for e in found]
+        return out
 
-    def _learn(self, words: set[str], prefix: str, hot: dict, fresh: dict) -> list[str]:
-        """Put the missing words into ``hot``; returns those that were new."""
+    def _token(self, text: str) -> bytes:
+        """Ids of one pre-token."""
+        if not text.isascii() or text[:1] == " ":
+            text = "".join(map(self.letters.__getitem__, text.encode()))
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(text)]).tobytes()
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of the words that no slice has met."""
+        match = (_PLAIN_LOWER if self.lowered else _PLAIN).fullmatch
+        space = "" if self.lowered else " "
+        token, marks, hot, odd = self._token, self.marks, self.hot, []
+        feed = b"" if self.lowered else self.library(["\n"])[0]
+        stems: dict[str, bytes] = {}
+        for w in words:
+            found = match(w)
+            if not found:
+                odd.append(w)
+                continue
+            lead, stem, mark = found.groups()
+            stem = stem if lead else space + stem
+            ids = stems.get(stem)
+            if ids is None:
+                ids = stems[stem] = token(stem)
+            if mark not in marks:
+                marks[mark] = token(mark) if len(mark) < 64 else self.library([mark])[0]
+            hot[w] = (feed + ids if lead else ids) + marks[mark]
+        if len(marks) > WORD_CACHE:
+            self.marks = {"": b""}
+        whole = []
+        for w in odd:
+            core = w[1:] if w[:1] == "\n" else w
+            if not self.lowered and (not core or core[0].isspace() or core[-1].isspace()):
+                hot[w] = None  # white space beside white space: the text goes whole
+            else:
+                whole.append(w)
+        hot.update(zip(whole, self.library([w if w[:1] == "\n" else space + w for w in whole])))
+
+    def _known(self, words: list[str]) -> list[bytes | None]:
+        hot, fresh = self.hot, self.fresh
         if len(hot) > WORD_CACHE:
             hot.clear()
-        need = words - hot.keys()
-        for w in need & fresh.keys():
-            hot[w] = fresh.pop(w)
-        need -= hot.keys()
-        stems: dict[str, tuple[str, str]] = {}
-        ask: dict[str, None] = {}
-        for w in need:
-            if not w or w[0].isspace() or w[-1].isspace():
-                if not self.lowered or w:
-                    hot[w] = self.library([prefix + w])[0] if self.lowered else None
-                else:
-                    hot[w] = b""
-                continue
-            stem = w.rstrip(_MARKS)
-            marks = w[len(stem):]
-            if not marks or not stem or not stem[-1].isalpha() or not stem.lower()[-1].isalpha():
-                stem, marks = w, ""
-            if self.lowered and stem.isascii():
-                stem = stem.lower()
-            stems[w] = stem, marks
-            ask[prefix + stem] = ask[marks] = None
-        ask = {a: None for a in ask if a and not (a[:len(prefix)] == prefix and a[len(prefix):] in hot)}
-        asked = list(ask)
-        got = dict(zip(asked, self.library(asked))) if asked else {}
-        for w, (stem, marks) in stems.items():
-            whole = prefix + stem
-            hot[w] = (got[whole] if whole in got else hot[stem]) + (
-                b"" if not marks else got[marks] if marks in got else hot[marks])
-        return list(need)
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        if self.lowered:
-            lines = [[(t or "").replace("\n", " ").split(" ")] for t in texts]
-        else:
-            lines = [[line.split(" ") for line in t.split("\n")] if t else [] for t in texts]
-        first, mid = self.caches
-        if self.lowered:
-            new = self._learn({w for t in lines for ws in t for w in ws}, "", *first)
-            get = first[0].__getitem__
-            out = [b"".join(map(get, t[0])) for t in lines]
-        else:
-            heads = self._learn({ws[0] for t in lines for ws in t} | {"\n"}, "", *first)
-            new = self._learn({w for t in lines for ws in t for w in ws[1:]}, " ", *mid)
-            head, get = first[0], mid[0].__getitem__
-            feed = self.library(["\n"])[0]
-            out = []
-            for text, t in zip(texts, lines):
-                try:
-                    out.append(feed.join([b"".join([head[ws[0]], *map(get, ws[1:])]) for ws in t]))
-                except TypeError:  # white space beside white space
-                    out += self.library([text])
-            self._age(heads, *first)
-        self._age(new, *(first if self.lowered else mid))
-        return out
-
-    @staticmethod
-    def _age(new: list[str], hot: dict, fresh: dict) -> None:
+        rest = [w for w in words if w not in hot]
+        new = []
+        for w in rest:
+            if w in fresh:
+                hot[w] = fresh.pop(w)
+            else:
+                new.append(w)
+        self._learn(new)
+        out = list(map(hot.__getitem__, words))
         if len(fresh) > WORD_CACHE:
             fresh.clear()
         for w in new:
             fresh[w] = hot.pop(w)
+        return out
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and the places where texts begin (and the last one ends)."""
+        texts = pc.fill_null(texts, "")
+        if self.lowered:
+            flat = pc.replace_substring(pc.ascii_lower(texts), "\n", " ")
+        else:  # a word after a line break, or the first of a text, begins with the break
+            flat = pc.binary_join_element_wise("\n", pc.replace_substring(texts, "\n", " \n"), "")
+        cut = pc.split_pattern(flat, " ")
+        bounds = cut.offsets.to_numpy().astype(np.int64)
+        coded = cut.flatten().dictionary_encode()
+        index = coded.indices.to_numpy(zero_copy_only=False)
+        bounds = bounds - bounds[0]
+        words = coded.dictionary.to_pylist()
+        known = self._known(words)
+        ids = np.frombuffer(b"".join([k or b"" for k in known]), "<u4")
+        size = np.array([len(k) // 4 if k else 0 for k in known], np.int64)
+        start = np.cumsum(size) - size
+        begin, count = start[index], size[index]
+        whole: dict[int, np.ndarray] = {}
+        if not self.lowered:
+            heads = bounds[:-1]  # the first word of each text has a break before it that the text has not
+            begin[heads] += count[heads] > 0
+            count[heads] -= count[heads] > 0
+            bad = np.array([k is None for k in known], bool)[index]
+            if bad.any():
+                owner = np.unique(np.searchsorted(bounds, np.flatnonzero(bad), "right") - 1)
+                got = self.library([texts[int(i)].as_py() for i in owner])
+                whole = {int(i): np.frombuffer(g, "<u4") for i, g in zip(owner, got)}
+                for i in whole:
+                    count[bounds[i]:bounds[i + 1]] = 0
+        ends = np.cumsum(count)
+        out = ids[np.repeat(begin - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)]
+        at = np.append(0, ends)[bounds]
+        if whole:
+            parts = [whole.get(i, out[a:b]) for i, (a, b) in enumerate(zip(at.tolist(), at[1:].tolist()))]
+            at = np.append(0, np.cumsum([len(p) for p in parts]))
+            out = np.concatenate(parts)
+        return out, at
+
+
+def text_arrays(batch, column: int, limit: int = SLICE_BYTES):
+    """``(start, stop, texts)``: consecutive rows of about ``limit`` bytes of text, as Arrow arrays."""
+    col = batch.column(column)
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 16)
+    start = 0
+    while start < len(sizes):
+        before = sizes[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(sizes, before + limit, "right")))
+        yield start, stop, col.slice(start, stop - start)
+        start = stop
+
+
+def with_end(ids: np.ndarray, at: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same with an end id after each text."""
+    return np.insert(ids, at[1:], end_id), at + np.arange(len(at))
 
 
 def worker_ids(sent, lowered: bool) -> WordIds:
     """The worker's :class:`WordIds` for a broadcast vocabulary."""
-    state, key = worker_state(), ("word_ids", hash(sent.value), lowered)
-    if key not in state:
-        state[key] = WordIds(sent.value, lowered)
-    return state[key]
+    return worker_cache("word ids", (hash(sent.value), lowered), lambda: WordIds(sent.value, lowered))
 
 
 def send_vocabulary(spark, path: str):
