@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modenorm.llm.common import narrow, shuffle_partitions, staged, text_slices
-from modenorm.llm.word_ids import send_vocabulary, worker_ids
+from modenorm.llm.common import narrow, shuffle_partitions, staged, text_slices, tidy
+from modenorm.llm.word_ids import send_vocabulary, text_arrays, with_end, worker_ids
 
 LENGTH = 1024
 BUCKETS = 256
@@ -68,11 +68,12 @@ def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
-def document_keys(ids: list[np.ndarray]) -> np.ndarray:
-    """Curve keys of documents given as arrays of ids."""
-    v = np.stack([np.bincount((i.astype(np.uint32) * np.uint32(2654435761)) >> np.uint32(24), minlength=BUCKETS)
-                  for i in ids])
-    v = np.sqrt(v)
+def document_keys(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Curve keys of documents; ``at`` has where each one's ids begin, and the end of the last."""
+    n = len(at) - 1
+    bucket = (ids.astype(np.uint32) * np.uint32(2654435761)) >> np.uint32(24)
+    cell = np.repeat(np.arange(n, dtype=np.int64) * BUCKETS, np.diff(at)) + bucket
+    v = np.sqrt(np.bincount(cell, minlength=n * BUCKETS).reshape(n, BUCKETS))
     norm = np.linalg.norm(v, axis=1, keepdims=True)
     p = (v / np.where(norm > 0, norm, 1)) @ projection()
     return hilbert_keys(np.clip((p + 1) / 2 * (1 << BITS), 0, (1 << BITS) - 1).astype(np.int64))
@@ -134,14 +135,17 @@ def keyed(df: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text_col
     def run(batches):
         words = worker_ids(sent, False)
         for b in batches:
-            for i, j, texts in text_slices(b, 1, SLICE_BYTES):
-                ids = [np.append(np.frombuffer(x, "<u4"), np.uint32(end_id)) for x in words.encode(texts)]
+            for i, j, texts in text_arrays(b, 1):
+                ids, at = with_end(*words.encode(texts), end_id)
+                short = not len(ids) or ids.max() < 1 << 16
+                raw, size = ids.astype("<u2" if short else "<u4").tobytes(), 2 if short else 4
+                cut = (at * size).tolist()
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(i, j - i), pa.array(document_keys(ids), pa.int64()),
-                     pa.array([x.astype("<u2").tobytes() if x.max() < 1 << 16 else b"\xff" + x.astype("<u4").tobytes()
-                               for x in ids], pa.binary())], names=["doc_id", "key", "ids"])
+                    [b.column(0).slice(i, j - i), pa.array(document_keys(ids, at), pa.int64()),
+                     pa.array([raw[p:q] if short else b"\xff" + raw[p:q] for p, q in zip(cut, cut[1:])], pa.binary())],
+                    names=["doc_id", "key", "ids"])
 
-    return narrow(df, id_col, text_col).mapInArrow(run, "doc_id long, key long, ids binary")
+    return narrow(df, id_col, text_col).mapInArrow(tidy(run), "doc_id long, key long, ids binary")
 
 
 def pack(df: DataFrame, tokenizer_path: str, end_id: int = 0, length: int = LENGTH, id_col: str = "doc_id",
@@ -168,4 +172,4 @@ def pack(df: DataFrame, tokenizer_path: str, end_id: int = 0, length: int = LENG
             packer.end()
             yield packer.batch()
 
-    return ordered.mapInArrow(run, PIECE)
+    return ordered.mapInArrow(tidy(run), PIECE)
