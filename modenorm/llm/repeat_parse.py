@@ -42,7 +42,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modenorm.llm.common import U64, carried, mix64, staged, text_slices
+from modenorm.llm.common import U64, carried, mix64, staged, text_slices, tidy, tidy_group
 
 SPAN = 50
 GRAM = 24
@@ -217,7 +217,7 @@ def send_phrases(docs: DataFrame, bits: int) -> DataFrame:
                 rows += [(int(part[p]), block(0, doc[p:q], code[p:q])) for p, q in zip(cuts, np.append(cuts[1:], len(part)))]
                 yield record(rows)
 
-    return docs.mapInArrow(run, "part int, block binary")
+    return docs.mapInArrow(tidy(run), "part int, block binary")
 
 
 def lists(docs: np.ndarray, codes: np.ndarray, kinds: np.ndarray) -> pa.Table:
@@ -282,7 +282,7 @@ def packed(docs: DataFrame, names: list[str], kinds: str) -> DataFrame:
                 rest = [b.column(2 + k).slice(i, j - i) for k in range(len(names))]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), z, *rest], names=["doc_id", "text", *names])
 
-    return docs.mapInArrow(run, "doc_id long, text binary" + kinds)
+    return docs.mapInArrow(tidy(run), "doc_id long, text binary" + kinds)
 
 
 def longs(column, i: int) -> np.ndarray:
@@ -343,7 +343,7 @@ def send_entries(joined: DataFrame, buckets: int) -> DataFrame:
                 if rows:
                     yield record(rows)
 
-    return joined.mapInArrow(run, "part int, block binary")
+    return joined.mapInArrow(tidy(run), "part int, block binary")
 
 
 def suffix_groups(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -435,12 +435,12 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     narrow = docs.select("doc_id", "text")
     total = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(24, max(6, math.ceil(math.log2(max(1, total / 14 / PARTITION_PHRASES)))))
-    replies = staged(spark, gather(send_phrases(narrow, bits).groupBy("part").applyInArrow(meet_phrases, REPLY))
+    replies = staged(spark, gather(send_phrases(narrow, bits).groupBy("part").applyInArrow(tidy_group(meet_phrases), REPLY))
                      .drop("windows"), "repeat-phrases")
     asked = (packed(narrow, [], "").join(
         replies.where("size(check) + size(hot) > 0").select("doc_id", "check", "hot"), "doc_id")
         .select("doc_id", "text", "check", "hot"))
-    found = gather(send_entries(asked, 1 << bits).groupBy("part").applyInArrow(meet_entries, REPLY))
+    found = gather(send_entries(asked, 1 << bits).groupBy("part").applyInArrow(tidy_group(meet_entries), REPLY))
     gone = (replies.select("doc_id", "gone", F.expr("concat(check, hot) AS asked"))
             .join(found.select("doc_id", "windows"), "doc_id", "left"))
     joined = (packed(docs, names, kinds).join(gone, "doc_id", "left")
@@ -472,5 +472,5 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                      pa.array([finish(x) for x in kept], pa.binary() if kind == "binary" else pa.string()),
                      *[b.column(5 + k).slice(i, j - i) for k in range(len(names))]], names=[*columns, *names])
 
-    done = joined.mapInArrow(run, f"doc_id long, n_bytes long, n_removed long, n_spans long, {result} {kind}" + kinds)
+    done = joined.mapInArrow(tidy(run), f"doc_id long, n_bytes long, n_removed long, n_spans long, {result} {kind}" + kinds)
     return done.toDF(*columns, *keep) if keep else done
