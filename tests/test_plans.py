@@ -22,17 +22,18 @@ def test_scoring_scan_is_pruned_and_filtered(spark):
     assert "Exchange" not in plan
 
 
-def test_fit_pass_is_partial_aggregate_over_broadcast_params(spark):
+def test_fit_pass_is_one_row_a_task_and_one_aggregate(spark):
     df = spark.read.parquet(f"{SF01}/events.parquet").select("value")
     tg = [FT.Target("value", F.col("value"))]
     inp, stats, _ = FT.prepare_input(df, tg, compress=False)
     try:
         m = fixed_model()
-        plan = _plan(FT._e_frame(inp, {0: (stats[0]["mean"], m.offsets, m.means, m.sds)}))
-        assert "BroadcastHashJoin" in plan
+        sums = FT._soft_sums(stats[0]["mean"], m.offsets, m.means, m.sds)
+        plan = _plan(FT._pass_frame(inp, {0: sums}, {0: 3 * m.k + 1}))
         assert "InMemoryTableScan" in plan              # every pass reads the persisted input, not the files
+        assert "MapInArrow" in plan and "FlatMapGroups" not in plan
         assert plan.count("HashAggregate") >= 2          # partial (map side) + final
-        assert "SortMergeJoin" not in plan
+        assert "Join" not in plan
     finally:
         inp.unpersist()
 
@@ -43,5 +44,6 @@ def test_replicate_plans(spark):
     assert "BroadcastHashJoin" in small and "SortMergeJoin" not in small
     fan = replicate(nation, 1000, 100, order_by=["n_nationkey"], strategy="explode")
     plan = _plan(fan)
-    assert "Generate" in plan and "BroadcastHashJoin" not in plan and "SortMergeJoin" not in plan
+    # the only join is the base index's: partition offsets, a row for each partition
+    assert "Generate" in plan and plan.count("BroadcastHashJoin") <= 1 and "SortMergeJoin" not in plan
     assert fan.count() == 1000
