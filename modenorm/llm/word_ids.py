@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from modenorm.llm.common import worker_cache
 
 #: words kept after a second slice met them, and words met once
-WORD_CACHE = 300_000
+WORD_CACHE = 450_000
 #: words to one call of the library
 TOGETHER = 4096
 #: text cut and gathered at once
@@ -68,8 +68,10 @@ class WordIds:
 
     def _token(self, text: str) -> bytes:
         """Ids of one pre-token."""
-        if not text.isascii() or text[:1] == " ":
+        if not text.isascii():
             text = "".join(map(self.letters.__getitem__, text.encode()))
+        elif text[:1] == " ":  # the other characters of plain words stand for themselves
+            text = self.letters[32] + text[1:]
         return array("I", [t.id for t in self.tokenizer.model.tokenize(text)]).tobytes()
 
     def _learn(self, words: list[str]) -> None:
