@@ -17,11 +17,14 @@ with one 64-bit digest; the join runs over classes.
    subsets made for small sets, list entries scanned for large ones.  Sets from
    80 % of the boundary on take part in the lists too, so pairs across the
    boundary are not lost.
-3. *Scan.*  In a list every set first meets one hub, the set with the smallest
-   unshared part; verified links merge into components.  Lists that still span
-   several components meet other hubs while many pairs remain, and at last
-   every remaining pair of different components in a list is verified.  Pairs
-   within a component need no check: components, not links, are the result.
+3. *Scan.*  First the sets meet in the lists of their ``FIRST_KEYS`` rarest shared
+   shingles, each with one hub of the list, the set with the smallest unshared
+   part; verified links merge into components.  Then all keys are made, and lists
+   that still span several components go on: hub by hub while very many pairs
+   remain, and at last every possible pair of different components in a list is
+   verified.  There the smaller set of a pair needs only the prefix for partners of
+   its own size or larger.  Pairs within a component need no check: components,
+   not links, are the result.
 
 Verification intersects the shared shingles, which hold the whole
 intersection; a shingle is known by 46 bits of its hash there (equality of two
@@ -258,14 +261,15 @@ def verified_hubs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` of digests that link."""
-    parts = components(pairs)
-    sizes = parts.groupBy("component").agg(F.ceil(F.count("*") / TILE).alias("blocks"))
-    placed = parts.join(sizes, "component").selectExpr(
-        "node", "component", "CAST(pmod(xxhash64(node), blocks) AS INT) AS block")
-    tiled = (pairs.join(placed.selectExpr("node AS a", "component", "block AS p"), "a")
-             .join(placed.selectExpr("node AS b", "block AS q"), "b")
-             .selectExpr("xxhash64(component, least(p, q), greatest(p, q)) AS tile", "a", "b"))
+    """The pairs ``a, b`` of digests that link.
+
+    A pair belongs to the longest list (``key``) where it has met; the sets of a list are dealt into blocks of
+    about ``TILE``, and a tile checks the pairs of two blocks: a set travels once for each tile, not each pair.
+    """
+    blocks = f"CAST(1 + greatest(shiftright(key, {CODE_BITS}), 0) DIV {TILE} AS INT)"
+    tiled = (pairs.groupBy("a", "b").agg(F.max("key").alias("key"))
+             .selectExpr("a", "b", "key", f"pmod(xxhash64(a), {blocks}) AS p", f"pmod(xxhash64(b), {blocks}) AS q")
+             .selectExpr("xxhash64(key, least(p, q), greatest(p, q)) AS tile", "a", "b"))
     tiled = staged(pairs.sparkSession, tiled, "jaccard-tiles")
     needed = tiled.selectExpr("tile", "a AS digest").unionByName(tiled.selectExpr("tile", "b AS digest")).distinct()
     own = needed.join(sets.select("digest", "n", "codes"), "digest").selectExpr(
@@ -295,7 +299,7 @@ def list_pairs(entries: DataFrame) -> DataFrame:
     for left, right in (("1", "1, 2"), ("0", "0")):
         part = (named(left, "x").join(named(right, "y"), F.expr(
             f"x.key = y.key AND x.comp <> y.comp AND {order} AND {new} AND " + possible("x", "y")))
-            .selectExpr("least(x.digest, y.digest) AS a", "greatest(x.digest, y.digest) AS b"))
+            .selectExpr("x.key AS key", "least(x.digest, y.digest) AS a", "greatest(x.digest, y.digest) AS b"))
         found = part if found is None else found.unionByName(part)
     return found
 
@@ -321,7 +325,7 @@ def links_to_components(sets: DataFrame) -> DataFrame:
             break
         last = round_no == HUB_ROUNDS or left <= MANY_PAIRS * held
         if last:
-            new = verified(staged(spark, list_pairs(entries).distinct(), "jaccard-pairs"), sets)
+            new = verified(list_pairs(entries), sets)
         else:
             new = verified_hubs(hub_pairs(entries, f"xxhash64(comp, {round_no}), share").distinct(), sets)
         new = staged(spark, new, "jaccard-links")
