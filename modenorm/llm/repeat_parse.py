@@ -8,7 +8,7 @@ a document with a smaller id.
    a run of windows with one trigger (``GRAM``..``SPAN`` windows overlap between
    neighbouring phrases by ``SPAN - 1`` bytes, so each window lies in exactly one
    phrase).
-2. *Dictionary.*  Phrases meet by trigger: tasks send (trigger, phrase, document) in
+2. *Dictionary.*  Phrases meet by trigger: tasks send (trigger, phrase hash, document) in
    packed blocks, equal phrases of one slice only once.  A phrase also found in a
    smaller document is removed there and then; the first occurrence of a phrase is
    a dictionary entry.  An entry whose trigger belongs to no other phrase can't
@@ -22,9 +22,10 @@ a document with a smaller id.
 4. *Parse and dictionary combine*: a document's removed windows are those of its
    removed phrases and those found in step 3; their bytes go.
 
-Fingerprints: triggers have 32 bits and the partition, phrases 32 bits beside
-the trigger (64 and the partition together); windows in step 3 are compared as
-bytes and reported by 64-bit hash within one document.
+Fingerprints: triggers have 32 bits and the partition, phrases 64 bits beside
+the trigger (96 and the partition together); within one document phrases are
+told apart by these 64 bits; windows in step 3 are compared as bytes and
+reported by 64-bit hash within one document.
 
 Defined results: null and empty texts have 0 bytes; texts shorter than ``SPAN``
 lose nothing.  Rows with a null id lose nothing and take nothing.  Rows with
@@ -83,7 +84,7 @@ def rolling(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Parse:
-    """Phrases of a slice of documents: ``first`` and ``last`` window, trigger, code, document number."""
+    """Phrases of a slice of documents: ``first`` and ``last`` window, trigger, 64-bit code, document number."""
 
     def __init__(self, texts: list[bytes]):
         self.data = np.frombuffer(b"".join(texts), np.uint8)
@@ -117,7 +118,7 @@ class Parse:
         self.first, self.last = first, end - 1
         self.trigger = mix64(low[first] ^ _C)
         span = self.window[first] * _A + self.window[self.last] + (self.last - first).astype(U64) * _C
-        self.code = (self.trigger << U64(32)) | (mix64(span) >> U64(32))
+        self.code = mix64(span)
         self.doc = long[np.searchsorted(self.starts[long], first, "right") - 1]
 
     def marked(self, phrases: np.ndarray) -> np.ndarray:
@@ -137,9 +138,14 @@ class Parse:
 def grouped(major: np.ndarray, minor: np.ndarray) -> np.ndarray:
     """An order in which equal (major, minor) pairs are neighbours, by major."""
     order = np.argsort(major)
-    same = major[order[1:]] == major[order[:-1]]
-    at = np.flatnonzero(np.append(same, False) | np.append(False, same))
-    if len(at):
+    by, within = major[order], minor[order]
+    same = by[1:] == by[:-1]
+    mixed = np.flatnonzero(same & (within[1:] != within[:-1]))
+    if len(mixed):
+        group = np.append(0, np.cumsum(~same))
+        several = np.zeros(group[-1] + 1, bool)
+        several[group[mixed]] = True
+        at = np.flatnonzero(several[group])
         own = order[at]
         order[at] = own[np.lexsort((minor[own], major[own]))]
     return order
@@ -159,11 +165,12 @@ def smallest(doc: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.repeat(np.minimum.reduceat(doc, starts), np.diff(np.append(starts, len(doc)))) if len(doc) else doc
 
 
-def block(flag: int, docs: np.ndarray, codes: np.ndarray) -> bytes:
-    """Codes with their documents; a document's id is held once."""
+def block(flag: int, docs: np.ndarray, codes: np.ndarray, triggers: np.ndarray | None = None) -> bytes:
+    """Codes with their documents, and the low 32 bits of their triggers; a document's id is held once."""
     own, index = np.unique(docs, return_inverse=True)
     return (np.array([flag, len(own), len(codes)], np.int64).tobytes() + own.astype(np.int64).tobytes()
-            + codes.astype(U64).tobytes() + index.astype(np.int32 if len(own) > 65535 else np.uint16).tobytes())
+            + codes.astype(U64).tobytes() + index.astype(np.int32 if len(own) > 65535 else np.uint16).tobytes()
+            + (b"" if triggers is None else triggers.astype(np.uint32).tobytes()))
 
 
 def unblock(data) -> tuple[np.ndarray, np.ndarray]:
@@ -174,6 +181,12 @@ def unblock(data) -> tuple[np.ndarray, np.ndarray]:
     return docs[index], np.frombuffer(data, U64, n, 24 + 8 * k)
 
 
+def block_triggers(data) -> np.ndarray:
+    """The low 32 bits of each code's trigger, for a block that holds them."""
+    _, k, n = np.frombuffer(data, np.int64, 3).tolist()
+    return np.frombuffer(data, np.uint32, n, 24 + 8 * k + (12 if k > 65535 else 10) * n)
+
+
 def sub_slices(texts: list, limit: int):
     """Ranges of about ``limit`` bytes."""
     start, acc = 0, 0
@@ -212,9 +225,10 @@ def send_phrases(docs: DataFrame, bits: int) -> DataFrame:
                 part = (trigger >> U64(64 - bits)).astype(np.int32)
                 later = doc > low
                 rows = [(int(part[later][0]), block(1, doc[later], code[later]))] if later.any() else []
-                part, code, doc = part[new], code[new], low[new]
+                part, trigger, code, doc = part[new], trigger[new], code[new], low[new]
                 cuts = heads(part)
-                rows += [(int(part[p]), block(0, doc[p:q], code[p:q])) for p, q in zip(cuts, np.append(cuts[1:], len(part)))]
+                rows += [(int(part[p]), block(0, doc[p:q], code[p:q], trigger[p:q]))
+                         for p, q in zip(cuts, np.append(cuts[1:], len(part)))]
                 yield record(rows)
 
     return docs.mapInArrow(tidy(run), "part int, block binary")
@@ -245,18 +259,18 @@ def meet_phrases(table: pa.Table) -> pa.Table:
             if np.frombuffer(raw, np.int64, 1)[0]:
                 out.append((doc, code, np.full(len(doc), GONE_PHRASE, np.int8)))
             else:
-                found.append((doc, code))
+                found.append((doc, code, block_triggers(raw)))
     if found:
-        doc, code = (np.concatenate(x) for x in zip(*found))
+        doc, code, trigger = (np.concatenate(x) for x in zip(*found))
         del found
-        order = np.argsort(code)
-        doc, code = doc[order], code[order]
-        new = heads(code)
+        order = grouped((trigger.astype(U64) << U64(32)) | (code >> U64(32)), code)
+        doc, code, trigger = doc[order], code[order], trigger[order]
+        new = heads(trigger, code)
         low = smallest(doc, new)
         later = doc > low
         out.append((doc[later], code[later], np.full(int(later.sum()), GONE_PHRASE, np.int8)))
-        doc, code = low[new], code[new]
-        starts = heads(code >> U64(32))
+        doc, code, trigger = low[new], code[new], trigger[new]
+        starts = heads(trigger)
         size = np.diff(np.append(starts, len(code)))
         several = np.minimum.reduceat(doc, starts) != np.maximum.reduceat(doc, starts)
         kind = np.repeat(np.where(several, np.where(size > HOT_ENTRIES, CHECK_HOT, CHECK), -1).astype(np.int8), size)

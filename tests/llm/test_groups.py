@@ -173,3 +173,14 @@ def test_write_shards(spark, tmp_dir):
     shard_hash.write_shards(df, f"{tmp_dir}/shards", 600)
     back = spark.read.parquet(f"{tmp_dir}/shards")
     assert back.count() == 101 and back.select("shard").distinct().count() >= 9
+
+
+def test_phrases_of_one_trigger_are_told_apart_by_64_bits(spark):
+    passage = "the passage that a great many documents hold, word for word."
+    rows = [(1, "653218979 " + passage), (2, "723761431 " + passage)]  # upper 32 bits of two phrases' hashes agree
+    parse = repeat_parse.Parse([t.encode() for _, t in rows])
+    a, b = (set(zip(parse.trigger[parse.doc == k].tolist(), parse.code[parse.doc == k].tolist())) for k in (0, 1))
+    assert any(t == u and c >> 32 == d >> 32 and c != d for t, c in a for u, d in b)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = repeat_parse.remove_repeats(df, result="kept_sha256").collect()
+    assert sorted(map(tuple, out)) == sorted(brute.repeats_removed(rows))
