@@ -11,6 +11,23 @@ from __future__ import annotations
 import numpy as np
 
 
+#: items that a training step has at most, unless one text has more
+STEP_ITEMS = 500_000
+
+
+def bounded(order, texts: list[np.ndarray], limit: int):
+    """Consecutive parts of ``order`` whose texts hold at most ``limit`` items (a longer one alone)."""
+    part, acc = [], 0
+    for i in order:
+        if part and acc + len(texts[i]) > limit:
+            yield part
+            part, acc = [], 0
+        part.append(i)
+        acc += len(texts[i])
+    if part:
+        yield part
+
+
 def softmax(z: np.ndarray) -> np.ndarray:
     z = np.exp(z - z.max(axis=1, keepdims=True))
     return z / z.sum(axis=1, keepdims=True)
@@ -37,8 +54,8 @@ class ConvText:
         seen = np.full(len(self.emb), 1e-6, np.float32)
         for _ in range(epochs):
             order = rng.permutation(len(texts))
-            for at in range(0, len(order), batch):
-                part = order[at:at + batch]
+            for part in (p for at in range(0, len(order), batch)
+                         for p in bounded(order[at:at + batch], texts, STEP_ITEMS)):
                 grads, rows, d_rows = self._gradients(features, [texts[i] for i in part],
                                                       {k: y[part] for k, y in labels.items()}, rng, drop_first)
                 step += 1

@@ -79,3 +79,19 @@ def test_toxicity_edges(spark):
     assert len({round(r.score, 9) for r in out if r.doc_id == 5}) == 1
     assert {r.score for r in toxic_cnn.score(docs, toxic_cnn.fit(docs, marks.limit(0))).collect()} == {0.0}
     assert toxic_cnn.classify(docs.limit(0), marks).collect() == []
+
+
+def test_toxicity_learns_from_whole_texts(spark, monkeypatch):
+    rows = [(k, "mora telen vinio " * 1500 + f"daser{k} " + ("grobzel" if k % 2 else "quea"), "aa")
+            for k in range(80)]  # the toxic word comes after 25,500 characters
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    marks = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, toxic int")
+    model = toxic_cnn.fit(docs, marks)
+    got = {r.doc_id: r.score for r in toxic_cnn.score(docs, model).collect()}
+    assert all((got[k] >= 0.7) == (k % 2 == 1) for k in range(80))
+    whole = {r[1] for r in rows}
+    monkeypatch.setattr(toxic_cnn, "CLASS_BYTES", 100_000)
+    some = toxic_cnn.training_rows(docs, marks, F.lit(True), 2000)
+    assert 2 < len(some) < 60 and all(t in whole for t, _, _ in some) and {c for _, c, _ in some} == {0, 1}
+    monkeypatch.setattr(toxic_cnn, "CLASS_BYTES", 100)
+    assert sorted(c for _, c, _ in toxic_cnn.training_rows(docs, marks, F.lit(True), 2000)) == [0, 1]
