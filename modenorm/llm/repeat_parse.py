@@ -19,8 +19,11 @@ a document with a smaller id.
    and it is removed from every entry but those of its smallest document.
    Triggers with very many entries are cut into single windows, dealt by their
    bytes, equal ones of one slice only once: no bucket gathers a hot passage.
-4. *Parse and dictionary combine*: a document's removed windows are those of its
-   removed phrases and those found in step 3; their bytes go.
+4. *Removal.*  A document's removed windows are those of its removed phrases and
+   those found in step 3, by a mask over the replies; their bytes go.
+
+The method's suffix array of the parse and the corpus order it gives are not built:
+phrases are grouped by hash instead, which is all that the removal asks for.
 
 Fingerprints: triggers have 32 bits and the partition, phrases 64 bits beside
 the trigger (96 and the partition together); within one document phrases are
