@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from modenorm.llm.common import carried, share, shared, text_slices, tidy
+from modenorm.llm.common import carried, share, shared, staged, text_slices, tidy
 from modenorm.llm.conv_text import ConvText
 
 WINDOW = 256
@@ -42,11 +42,11 @@ def training_rows(df: DataFrame, learnable, id_col: str, text_col: str, lang_col
     """At most ``per_lang`` rows a language, by smallest hash: ``lang`` and crops of the text.
 
     Counts a language come first (no text is read), so only about twice the wanted rows pass the hash filter
-    and are ranked, whatever the size of the table.
+    and are ranked, whatever the size of the table.  They are staged, so that Spark knows their size and
+    broadcasts them only where they are small.
     """
     known = F.col(lang_col).isNotNull() & learnable
-    counts = F.broadcast(df.where(known).groupBy(F.col(lang_col).alias("lang")).count()
-                         .orderBy(F.desc("count"), "lang").limit(1000))  # at most a thousand languages
+    counts = staged(df.sparkSession, df.where(known).groupBy(F.col(lang_col).alias("lang")).count(), "language-counts")
     key = (F.xxhash64(F.col(id_col).cast("string")) / F.lit(2.0 ** 64) + 0.5)
     rows = (df.where(known).select(F.col(lang_col).alias("lang"), F.col(id_col).cast("string").alias("id"),
                                    key.alias("u"), F.col(text_col).alias("text")).where(F.col("text").rlike(r"\p{L}"))
@@ -66,13 +66,14 @@ def fit(df: DataFrame, learnable=None, id_col: str = "doc_id", text_col: str = "
     langs = sorted({r.lang for r in sample})
     if not langs:
         return [], None
+    place = {lang: k for k, lang in enumerate(langs)}
     texts, y = [], []
     for r in sample:
         for crop in dict.fromkeys(r.text):
             data = crop.lower().encode()[:WINDOW]
             if data:
                 texts.append(np.frombuffer(data, np.uint8))
-                y.append(langs.index(r.lang))
+                y.append(place[r.lang])
     net = ConvText(256, {"lang": len(langs)}, 8, FILTERS, WIDTHS)
     net.fit(np.arange(256)[:, None], texts, {"lang": np.array(y)}, EPOCHS)
     return langs, net
@@ -133,7 +134,7 @@ def predict(df: DataFrame, model: tuple[list[str], ConvText | None], id_col: str
             text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, lang_pred, score`` of every row and the columns of ``keep``; the text is the only input."""
     langs, net = model
-    sent = share(df.sparkSession, net)  # some thousand numbers
+    sent = share(df.sparkSession, net)  # some thousand numbers, and 25 a language
     docs, names, kinds = carried(df, id_col, text_col, keep)
 
     def run(batches):

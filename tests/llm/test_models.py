@@ -95,3 +95,12 @@ def test_toxicity_learns_from_whole_texts(spark, monkeypatch):
     assert 2 < len(some) < 60 and all(t in whole for t, _, _ in some) and {c for _, c, _ in some} == {0, 1}
     monkeypatch.setattr(toxic_cnn, "CLASS_BYTES", 100)
     assert sorted(c for _, c, _ in toxic_cnn.training_rows(docs, marks, F.lit(True), 2000)) == [0, 1]
+
+
+def test_every_language_is_learnable(spark):
+    rows = [(k, f"text of language {k}", f"l{k:04d}") for k in range(1100)] + [(5000, "common words", "l0000")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = byte_lang.training_rows(df, F.lit(True), "doc_id", "text", "lang", 400).collect()
+    assert sorted(r.lang for r in sample) == sorted(r[2] for r in rows)
+    langs, net = byte_lang.fit(df)
+    assert langs == sorted({r[2] for r in rows}) and net.heads["lang"][0].shape[1] == 1100
