@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from modenorm.llm import (block_ann, byte_lang, curve_pack, jaccard_join, piece_codec, quality_cascade, repeat_parse,
-                          shard_hash, token_store, toxic_cnn)
+from modenorm.llm import (block_ann, byte_lang, chunk_recipes, curve_pack, jaccard_join, piece_codec, quality_cascade,
+                          repeat_parse, shard_hash, source_audit, token_store, toxic_cnn, turn_repair)
 from modenorm.llm.common import table
 from modenorm.session import scratch_path
 
@@ -76,3 +76,27 @@ def op10_quality_rules(spark, sf_dir):
 
 
 ORACLE["op10_quality_rules"] = quality_cascade.JUDGE_SQL
+
+
+@query
+def op11_exact_dedup(spark, sf_dir):
+    return chunk_recipes.dedupe(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_exact_dedup"] = chunk_recipes.DEDUPE_SQL
+
+
+@query
+def op12_source_audit(spark, sf_dir):
+    return source_audit.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_source_audit"] = source_audit.AUDIT_SQL
+
+
+@query
+def op13_turn_repair(spark, sf_dir):
+    return turn_repair.repair(table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op13_turn_repair"] = turn_repair.REPAIR_SQL
