@@ -95,6 +95,6 @@ def test_run_is_the_registered_query(spark):
     import __spark_entry__
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
     assert set(queries.QUERIES) <= set(__spark_entry__.queries())
-    assert len({q.split("_")[0] for q in queries.QUERIES}) == 10
+    assert len({q.split("_")[0] for q in queries.QUERIES}) == 13
     assert corpus_pipeline.run(spark, SF001).columns == [
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
