@@ -8,7 +8,8 @@ in numpy.  Words of Latin letters and marks, which need no normalising, go to
 the library's model as their two pre-tokens, the others through its whole
 pipeline.  Texts in which white space stands at the edge of a word (runs of
 spaces, a tab before a space) go to the library whole, unless the vocabulary
-drops white space anyway.
+drops white space anyway.  So do texts that hold the string of an added token,
+in any case of letters: the library looks for these before all else.
 """
 
 from __future__ import annotations
@@ -52,7 +53,7 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_buffer(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True  # the special tokens' strings in a text are ordinary text
+        self.added = sorted({t.content for t in self.tokenizer.get_added_tokens_decoder().values()})
         self.lowered = lowered
         self.letters = byte_letters()
         self.marks: dict[str, bytes] = {"": b""}
@@ -127,6 +128,15 @@ class WordIds:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the places where texts begin (and the last one ends)."""
         texts = pc.fill_null(texts, "")
+        special: dict[int, bytes] = {}
+        for token in self.added:
+            rows = np.flatnonzero(pc.match_substring(texts, token, ignore_case=True).to_numpy(zero_copy_only=False))
+            special |= dict.fromkeys(rows.tolist(), b"")
+        if special:
+            special = dict(zip(special, self.library([texts[i].as_py() for i in special])))
+            held = np.zeros(len(texts), bool)
+            held[list(special)] = True
+            texts = pc.if_else(pa.array(held), "", texts)
         if self.lowered:
             flat = pc.replace_substring(pc.ascii_lower(texts), "\n", " ")
         else:  # a word after a line break, or the first of a text, begins with the break
@@ -142,7 +152,7 @@ class WordIds:
         size = np.array([len(k) // 4 if k else 0 for k in known], np.int64)
         start = np.cumsum(size) - size
         begin, count = start[index], size[index]
-        whole: dict[int, np.ndarray] = {}
+        whole = {i: np.frombuffer(g, "<u4") for i, g in special.items()}
         if not self.lowered:
             heads = bounds[:-1]  # the first word of each text has a break before it that the text has not
             begin[heads] += count[heads] > 0
@@ -151,8 +161,8 @@ class WordIds:
             if bad.any():
                 owner = np.unique(np.searchsorted(bounds, np.flatnonzero(bad), "right") - 1)
                 got = self.library([texts[int(i)].as_py() for i in owner])
-                whole = {int(i): np.frombuffer(g, "<u4") for i, g in zip(owner, got)}
-                for i in whole:
+                whole = {int(i): np.frombuffer(g, "<u4") for i, g in zip(owner, got)} | whole
+                for i in owner:
                     count[bounds[i]:bounds[i + 1]] = 0
         ends = np.cumsum(count)
         out = ids[np.repeat(begin - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)]

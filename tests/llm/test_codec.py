@@ -15,7 +15,7 @@ from tests.conftest import SF001
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 ALPHABET = ["a", "b", "The", " ", " ", "  ", "\n", "\t", "é", "É", "漢", "😀", "'s", "'", "1", "23", ".", ",", "!!", " ",
-            "\x1c", "́", "İ", "Σ", "ß", "<|endoftext|>", "\r", "word", "?", "▁", "<s>", "\x00", "thing", "the "]
+            "\x1c", "́", "İ", "Σ", "ß", "<|endoftext|>", "<|EndOfText|>", "<|startoftext|>", "<|endof", "\r", "word", "?", "▁", "<s>", "\x00", "thing", "the "]
 
 
 def texts(n=2500, seed=3):
@@ -73,7 +73,6 @@ def test_word_ids_equal_the_library(name, lowered):
     with open(public_tokenizers.path(name), "rb") as f:
         words = WordIds(f.read(), lowered)
     library = Tokenizer.from_file(public_tokenizers.path(name))
-    library.encode_special_tokens = True
     all_texts = texts(4000, 9)
     for k in range(0, len(all_texts), 300):
         part = all_texts[k:k + 300]
@@ -146,6 +145,53 @@ def test_op6_query(spark):
         assert at <= 1024 and at & (at - 1) == 0  # full, or a power of two: no padding at all
 
 
+def test_added_tokens_are_the_librarys(spark):
+    rows = [(1, "a <|endoftext|> b"), (2, "<|endoftext|>"), (3, "x<|endoftext|><|endoftext|>\n y  z"), (4, "a b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = {d: [*library.encode(t, add_special_tokens=False).ids, 0] for d, t in rows}
+    assert want[1] == [64, 220, 50256, 275, 0]
+    got = {r.doc_id: r for r in curve_pack.pack(df, public_tokenizers.path("byte_bpe_50k.json")).collect() if r.length == r.doc_tokens}
+    assert all(r.ids_crc32 == zlib.crc32(np.array(want[d], "<u4").tobytes()) for d, r in got.items()) and got
+
+
+CLASH = "doc_id long, text string, ids string, start long, n_tokens long, length int, sequence_id string"
+
+
+@pytest.mark.parametrize("name", ["op1", "op4", "op6"])
+def test_codec_edges(spark, tmp_dir, name):
+    """Empty tables, null ids, null and empty texts, repeated rows, a very long text, columns with clashing names."""
+    rows = [(5, "one two"), (5, "one two"), (None, "no id"), (2, None), (3, ""), (4, "long words <|endoftext|> " * 60_000), (None, None)]
+    df = spark.createDataFrame([(*r, "x", 1, 2, 3, "y") for r in rows], CLASH)
+    json_path = public_tokenizers.path("word_bpe_49k.json" if name == "op4" else "byte_bpe_50k.json")
+
+    def apply(frame, at):
+        if name == "op1":
+            return piece_codec.digests(frame, PIECES)
+        return token_store.store_digests(frame, f"{tmp_dir}/{at}", json_path) if name == "op4" else curve_pack.pack(frame, json_path)
+
+    assert apply(df.limit(0), "none").collect() == []
+    out = apply(df, "all").collect()
+    if name == "op1":
+        library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+        want = sorted((str(d), len(ids := library.encode(t or "", add_bos=True, add_eos=True)),
+                       hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()) for d, t in rows)
+        assert sorted((str(r.doc_id), r.n_tokens, r.ids_sha256) for r in out) == want
+        return
+    library = Tokenizer.from_file(json_path)
+    ids = [(str(d), np.array([*library.encode(t or "", add_special_tokens=False).ids, 1 if name == "op4" else 0], "<u4")) for d, t in rows]
+    if name == "op4":
+        assert sorted((str(r.doc_id), r.n_tokens, r.ids_crc32) for r in out) == sorted((d, len(x), zlib.crc32(x.tobytes())) for d, x in ids)
+        ends = sorted((r.start, r.start + r.n_tokens) for r in out)
+        assert ends[0][0] == 0 and all(a[1] == b[0] for a, b in zip(ends, ends[1:]))
+    else:
+        assert sum(r.length for r in out) == sum(len(x) for _, x in ids)
+        known = {(d, len(x)): x for d, x in ids}
+        for r in out:
+            x = known[str(r.doc_id), r.doc_tokens]
+            assert zlib.crc32(x[r.start:r.start + r.length].tobytes()) == r.ids_crc32
+
+
 def test_copies_spread_over_partitions_and_neighbours_meet(spark):
     rows = [(k, "the same words again") for k in range(3000)]
     out = curve_pack.pack(spark.createDataFrame(rows, "doc_id long, text string"),
