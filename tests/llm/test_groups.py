@@ -139,6 +139,25 @@ def test_quality_counts_equal_brute_force(spark):
     assert quality_cascade.judge(df.limit(0)).collect() == []
 
 
+def test_quality_sample_is_bounded_by_rows_and_spread(spark):
+    rows = [(k, f"text {k}") for k in range(2000)] + [(None, "x")] * 50
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    sample = quality_cascade.sample_rows(df, "doc_id", "text")
+    assert sample.count() == quality_cascade.SAMPLE
+    assert "Coalesce" not in sample._jdf.queryExecution().executedPlan().toString()
+    hot = spark.createDataFrame([(7, "hot")] * 4000 + [(8, "one")], "doc_id long, text string")
+    assert quality_cascade.sample_rows(hot, "doc_id", "text").count() < 2 * quality_cascade.SAMPLE
+    assert quality_cascade.sample_rows(df.where("doc_id IS NULL"), "doc_id", "text").count() == 0
+
+
+def test_quality_order_follows_rejections_and_cost(spark):
+    rows = [(k, "word " * 30) for k in range(200)]
+    base = quality_cascade.counts(spark.createDataFrame(rows, "doc_id long, text string"))
+    dear = "char_length(regexp_replace(repeat(text, 60), '(w)(o)(r)(d)', '$4$3$2$1')) > 0"
+    order = quality_cascade.order_rules(base, {"never": "n_words < 0", "dear": dear, "cheap": "n_words > 10"})
+    assert order == ["cheap", "dear", "never"]
+
+
 def test_quality_order_changes_no_verdict(spark):
     rows = [(1, "CAPS AND MORE CAPS " * 6), (2, "fine words of a text that is kept as it should be " * 3 + "end"),
             (3, " ".join(f"w{chr(97 + i % 26)}o#$%" for i in range(40))), (4, " ".join(f"word{i}" for i in range(30)))]
