@@ -1,10 +1,11 @@
 """Language identification with a byte convolutional network.
 
 The network (byte embeddings, filters of widths 2, 3 and 4, max pooling over
-a window, softmax) is trained in numpy on a bounded sample of labelled texts:
-``PER_LANG`` documents a language by smallest hash, ``CROPS`` crops of
-``WINDOW`` characters each.  Every whole text is then cut into windows of
-``WINDOW`` bytes (the last one padded), all windows of a slice run as one batch,
+a window, softmax) is trained in numpy on a bounded sample of labelled whole
+texts: ``PER_LANG`` documents a language by smallest hash, fewer where they
+hold more than ``LANG_BYTES`` or, with many languages, their part of
+``ALL_BYTES``; a language's shortest document is always among them.  A text to
+learn from or to predict is cut into windows of ``WINDOW`` bytes (the last one padded), all windows of a slice run as one batch,
 and a text's scores are its windows' probabilities, weighted by their bytes.
 
 Filter responses come from tables: a byte's embedding times a filter slice is
@@ -30,7 +31,7 @@ from modenorm.llm.conv_text import ConvText
 
 WINDOW = 256
 PER_LANG = 400
-CROPS = 3
+LANG_BYTES, ALL_BYTES = 512 << 10, 32 << 20
 WIDTHS = (2, 3, 4)
 FILTERS = 8
 EPOCHS = 4
@@ -39,7 +40,7 @@ _LETTER = regex.compile(r"\p{L}")
 
 
 def training_rows(df: DataFrame, learnable, id_col: str, text_col: str, lang_col: str, per_lang: int) -> DataFrame:
-    """At most ``per_lang`` rows a language, by smallest hash: ``lang`` and crops of the text.
+    """At most ``per_lang`` rows a language, by smallest hash: ``lang`` and the whole text.
 
     Counts a language come first (no text is read), so only about twice the wanted rows pass the hash filter
     and are ranked, whatever the size of the table.  They are staged, so that Spark knows their size and
@@ -47,15 +48,27 @@ def training_rows(df: DataFrame, learnable, id_col: str, text_col: str, lang_col
     """
     known = F.col(lang_col).isNotNull() & learnable
     counts = staged(df.sparkSession, df.where(known).groupBy(F.col(lang_col).alias("lang")).count(), "language-counts")
+    room = min(LANG_BYTES, ALL_BYTES // max(1, counts.count()))
     key = (F.xxhash64(F.col(id_col).cast("string")) / F.lit(2.0 ** 64) + 0.5)
     rows = (df.where(known).select(F.col(lang_col).alias("lang"), F.col(id_col).cast("string").alias("id"),
                                    key.alias("u"), F.col(text_col).alias("text")).where(F.col("text").rlike(r"\p{L}"))
             .join(counts, "lang").where(F.expr(f"u < {2.0 * per_lang + 50} / count")))
-    crops = F.expr(f"transform(sequence(0, {CROPS - 1}), "
-                   f"i -> substring(text, CAST(1 + i * (length(text) DIV {CROPS}) AS INT), {WINDOW}))")
-    return (rows.select("lang", "u", "id", crops.alias("text"))
-            .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("u", "id", "text")))
-            .where(F.col("rank") <= per_lang).orderBy("lang", "u", "id", "text").select("lang", "text"))
+    order = Window.partitionBy("lang").orderBy("u", "id", "text")
+    size = F.octet_length("text").cast("long")
+    return (rows.withColumn("rank", F.row_number().over(order))
+            .withColumn("held", F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+            .withColumn("least", F.row_number().over(Window.partitionBy("lang").orderBy(size, "u", "id", "text")))
+            .where((F.col("rank") <= per_lang) & (F.col("held") <= room) | (F.col("least") == 1))
+            .orderBy("lang", "u", "id", "text").select("lang", "text"))
+
+
+def windows_of(data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All windows of the texts, zeros after a text's last byte, and how many windows each has."""
+    count = np.array([-(-len(d) // WINDOW) for d in data])
+    flat = np.zeros(count.sum() * WINDOW, np.uint8)
+    for d, s in zip(data, (np.cumsum(count) - count).tolist()):
+        flat[s * WINDOW:s * WINDOW + len(d)] = np.frombuffer(d, np.uint8)
+    return flat.reshape(-1, WINDOW), count
 
 
 def fit(df: DataFrame, learnable=None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -67,15 +80,10 @@ def fit(df: DataFrame, learnable=None, id_col: str = "doc_id", text_col: str = "
     if not langs:
         return [], None
     place = {lang: k for k, lang in enumerate(langs)}
-    texts, y = [], []
-    for r in sample:
-        for crop in dict.fromkeys(r.text):
-            data = crop.lower().encode()[:WINDOW]
-            if data:
-                texts.append(np.frombuffer(data, np.uint8))
-                y.append(place[r.lang])
+    windows, count = windows_of([r.text.lower().encode() for r in sample])
+    y = np.repeat([place[r.lang] for r in sample], count)
     net = ConvText(256, {"lang": len(langs)}, 8, FILTERS, WIDTHS)
-    net.fit(np.arange(256)[:, None], texts, {"lang": np.array(y)}, EPOCHS)
+    net.fit(np.arange(256)[:, None], list(windows), {"lang": y}, EPOCHS)
     return langs, net
 
 
@@ -117,12 +125,8 @@ class Scorer:
     def texts(self, texts: list[str]) -> np.ndarray:
         """Mean window probabilities of each text, weighted by bytes."""
         data = [t.lower().encode() for t in texts]
-        count = np.array([-(-len(d) // WINDOW) for d in data])
-        flat = np.zeros(count.sum() * WINDOW, np.uint8)
+        windows, count = windows_of(data)
         starts = np.append(0, np.cumsum(count))
-        for d, s in zip(data, starts.tolist()):
-            flat[s * WINDOW:s * WINDOW + len(d)] = np.frombuffer(d, np.uint8)
-        windows = flat.reshape(-1, WINDOW)
         weight = np.full(len(windows), float(WINDOW))
         weight[starts[1:] - 1] -= count * WINDOW - [len(d) for d in data]
         p = np.concatenate([self.probabilities(windows[i:i + 256]) for i in range(0, len(windows), 256)])
