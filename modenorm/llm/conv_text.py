@@ -12,7 +12,7 @@ import numpy as np
 
 
 #: items that a training step has at most, unless one text has more
-STEP_ITEMS = 500_000
+STEP_ITEMS = 100_000
 
 
 def bounded(order, texts: list[np.ndarray], limit: int):
@@ -122,9 +122,9 @@ class ConvText:
     # ------------------------------------------------------------ scoring
     def item_rows(self, feats: np.ndarray) -> np.ndarray:
         """Table rows of items, all widths and filter slices side by side: (items, sum(widths) * filters)."""
-        e = (self.emb[feats] * (feats >= 0)[:, :, None]).sum(axis=1)
-        return np.concatenate([e @ self.w[w][j] for w in self.widths for j in range(w)], axis=1)
+        e = (self.emb[feats] * (feats >= 0)[:, :, None]).sum(axis=1, dtype=float)  # so that no batch changes a row
+        return np.concatenate([(e @ self.w[w][j]).astype(np.float32) for w in self.widths for j in range(w)], axis=1)
 
     def head(self, name: str, pooled: np.ndarray) -> np.ndarray:
         a, c = self.heads[name]
-        return softmax(np.maximum(pooled + self.b, 0) @ a + c)
+        return softmax(np.maximum(pooled + self.b, 0).astype(float) @ a + c)

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from modenorm.llm import byte_lang, queries, toxic_cnn
@@ -81,6 +82,58 @@ def test_toxicity_edges(spark):
     assert toxic_cnn.classify(docs.limit(0), marks).collect() == []
 
 
+def test_texts_without_a_known_word_are_not_toxic(spark):
+    rows, labels = toxic_rows(300)
+    rows += [(2000 + k, t, None, None) for k, t in enumerate(["12 34", "zzyzx", "99", "@ qx-9", "漢字 かな"])]
+    model = toxic_cnn.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"),
+                          spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    docs = spark.createDataFrame(rows[300:], "doc_id long, text string, lang string, source string")
+    assert all(r.score < 0.1 for r in toxic_cnn.score(docs, model).collect())
+
+
+def test_scoring_equals_a_plain_convolution(spark):
+    """Pooled table sums against every filter at every place of the text, one by one."""
+    rows, labels = toxic_rows(200)
+    model = toxic_cnn.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"),
+                          spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    texts = [r[1] for r in rows[:40]] + ["one", "mora telen", "grobza"]
+    net, table = model.net, toxic_cnn.WordTable(model)
+    pooled, empty = table.texts(texts)
+    for text, got in zip(texts, pooled):
+        met = set(model.met.tolist())
+        e = np.array([sum((net.emb[f % toxic_cnn.BUCKETS] for f in toxic_cnn.features(w) if f in met), np.zeros(16)) for w in text.split()])
+        want = []
+        for w in net.widths:
+            at = [[(e[i:i + w] * net.w[w][:, :, f]).sum() for i in range(len(e) - w + 1)] for f in range(net.filters)]
+            want += [max(a) if a else -1.0 for a in at]
+        assert np.allclose(got, want, atol=1e-4)
+
+
+def test_language_scoring_equals_a_plain_convolution(spark):
+    df = spark.read.parquet(f"{SF01}/documents.parquet").limit(60)
+    langs, net = byte_lang.fit(df)
+    scorer = byte_lang.Scorer(net)
+    for text in ["", "ab", "über grün. " * 40, *[r.text for r in df.limit(5).collect()]]:
+        if not text:
+            continue
+        windows, _ = byte_lang.windows_of([text.lower().encode()])
+        for window, got in zip(windows, scorer.probabilities(windows)):
+            e = net.emb[window]
+            h = [max((e[i:i + w] * net.w[w][:, :, f]).sum() for i in range(len(e) - w + 1)) for w in net.widths for f in range(net.filters)]
+            z = np.maximum(np.array(h) + net.b, 0) @ net.heads["lang"][0] + net.heads["lang"][1]
+            assert np.allclose(got, np.exp(z - z.max()) / np.exp(z - z.max()).sum(), atol=1e-4)
+            break
+
+
+def test_language_sample_is_bounded_by_bytes_of_whole_texts(spark, monkeypatch):
+    rows = [(k, f"word{k} " * 100, "aa") for k in range(50)] + [(100 + k, "long " * 1000, "bb") for k in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(byte_lang, "LANG_BYTES", 3000)
+    got = byte_lang.training_rows(df, F.lit(True), "doc_id", "text", "lang", 400).collect()
+    assert {r.text for r in got} <= {r[1] for r in rows} and {r.lang for r in got} == {"aa", "bb"}
+    assert sum(len(r.text) for r in got if r.lang == "aa") <= 3000 + 700 and sum(r.lang == "bb" for r in got) == 1
+
+
 def test_toxicity_learns_from_whole_texts(spark, monkeypatch):
     rows = [(k, "mora telen vinio " * 1500 + f"daser{k} " + ("grobzel" if k % 2 else "quea"), "aa")
             for k in range(80)]  # the toxic word comes after 25,500 characters
