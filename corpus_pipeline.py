@@ -20,8 +20,6 @@ from modenorm.llm import byte_lang, curve_pack, jaccard_join, repeat_parse, toxi
 from modenorm.llm.common import staged, table
 
 DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
-#: a language predicted with less is no prediction
-MIN_LANGUAGE_SCORE = 0.3
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +32,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language; a missing ``lang`` is filled with it."""
     found = byte_lang.predict(docs, byte_lang.fit(docs, ~byte_lang.held_out()), keep=tuple(DOCUMENT[1:]))
-    return (found.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANGUAGE_SCORE))
+    return (found.where(F.col("lang_pred") != "und")
             .withColumn("lang", F.coalesce("lang", "lang_pred")).select(DOCUMENT))
 
 
