@@ -3,16 +3,25 @@
 One variational iteration is one pass over the (persisted) fit input: every
 task sums, per target and mode, ``n_k = sum w r_k``, ``s_k = sum w r_k (x-m0)``,
 ``q_k = sum w r_k (x-m0)^2`` and the entropy term ``H = sum w sum_k r_k ln r_k``
-over its Arrow batches and gives one row; one global Spark aggregate adds the
-tasks' rows.  A pass shuffles #partitions x #targets x (3K+1) numbers,
-independent of data size.  The update and the variational bound act
-on K numbers per target on the driver.  Seeding is k-means over all rows by
-passes of the same kind.  There is no other path: a 10,000-row sample is
-fitted by the same passes as a whole table.
-
-The input is in long form ``(t, x, w)``: ``t`` names the target (a column,
-or the non-modal part of a mixed column), so several columns share passes.
-Exact duplicates are compressed into weights when that shrinks the input.
+over its Arrow batches and gives them as rows ``(t, position, value)``; one
+Spark aggregate adds the tasks' rows.  A pass shuffles #partitions x #targets
+x (3K+1) numbers, independent of data size, and its plan has the same few
+operators whatever the number of targets.  The update and the variational
+bound act on K numbers per target on the driver.  There is no other path: a
+10,000-row sample is fitted by the same passes as a whole table.
+
+Seeding (D10) takes four passes whatever the data: the column's summary (count,
+mean, extremes, a quantile sketch), exact moments (n, s, q) of quantile bins,
+one k-means step over the rows, and the counts of the settled clusters.  The
+k-means steps in between run over the bins, whose number is bounded.
+
+Iterations are accelerated: after two plain updates the parameters are
+extrapolated along their path (squared extrapolation).  The next pass tells
+the bound there; a jump that lowers it is taken back.  The fixed points are
+those of the plain updates, and only plain updates count for convergence.
+
+The input has one column per target (null where a row is not the target's);
+targets with mostly repeated values are compressed into ``(t, x, w)`` rows.
 
 Priors follow the published variational DP mixture (stick-breaking weights,
 Normal-Wishart on mean and precision) with the usual defaults: mean
@@ -42,9 +51,15 @@ DEFAULT_SEED = 42           # seed of the fit sample; the fit itself has no rand
 DEFAULT_TOL = 1e-3
 REG_COVAR = 1e-6
 TINY = 10 * 2.220446049250313e-16   # added to every n_k (10 machine epsilons)
-SEED_ACCURACY = 2000        # of the K quantiles where k-means starts
-SEED_PASSES = 25            # k-means passes over all rows at most
-PASS_ROWS = 20_000          # rows a task turns into (rows x K) arrays at once
+SKETCH_EVERY = 100          # of so many sorted values of a batch one goes into the quantile sketch
+SKETCH_KNOTS = 1024         # quantiles asked of the sketch
+SKETCH_ACCURACY = 10_000
+SEED_BINS = 65_536          # bins a target ...
+ALL_BINS = 1 << 20          # ... and of all targets together
+SEED_TOL = 1e-3             # k-means has settled when no centre moves by more sample sds
+SEED_STEPS = 10_000         # steps over the bins at most (recorded if reached)
+PASS_ROWS = 8_192           # rows a task turns into (K x rows) arrays at once
+MAX_JUMP = 64.0             # longest extrapolation, in update steps
 LOG_2PI = math.log(2.0 * math.pi)
 
 
@@ -74,6 +89,7 @@ class FitState:
     n_iter: int = 0
     converged: bool = False
     history: list[float] = field(default_factory=list)
+    info: dict = field(default_factory=dict)
 
     # -- derived per-mode numbers
     def log_weights(self) -> list[float]:
@@ -122,6 +138,24 @@ class FitState:
         self.var = [(self.c0 + nk[i] * sk[i] + nk[i] / self.mean_precision[i] * xbar[i] * xbar[i]) / self.dof[i]
                     for i in range(k)]
 
+    def place(self) -> list[float]:
+        """Parameters as one vector for extrapolation: counts, means, logs of variances."""
+        return [v - 1.0 for v in self.dof] + list(self.means) + [math.log(v) for v in self.var]
+
+    def move(self, place: Sequence[float], gamma: float) -> None:
+        """Parameters from such a vector."""
+        k = self.k
+        nk = list(place[:k])
+        tail = [0.0] * k
+        for i in range(k - 2, -1, -1):
+            tail[i] = tail[i + 1] + nk[i + 1]
+        self.a = [1.0 + n for n in nk]
+        self.b = [gamma + t for t in tail]
+        self.mean_precision = [1.0 + n for n in nk]
+        self.dof = [1.0 + n for n in nk]
+        self.means = list(place[k:2 * k])
+        self.var = [math.exp(v) for v in place[2 * k:]]
+
     def bound(self, entropy: float) -> float:
         log_wishart = 0.0
         for k in range(self.k):
@@ -135,7 +169,7 @@ class FitState:
         return Mixture(col=col, part=part, means=tuple(self.means), sds=tuple(self.sds()),
                        offsets=tuple(self.offsets()), weights=tuple(self.weights()),
                        info={"n_iter": self.n_iter, "converged": self.converged,
-                             "lower_bound": self.lower_bound, "m0": self.m0, "c0": self.c0, "rows": self.total})
+                             "lower_bound": self.lower_bound, "m0": self.m0, "c0": self.c0, "rows": self.total, **self.info})
 
 
 # --------------------------------------------------------------------------- input
@@ -143,71 +177,128 @@ def _finite(x: Column) -> Column:
     return x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(math.inf))
 
 
-def long_input(df: DataFrame, targets: Sequence[Target]) -> DataFrame:
-    """Stack the targets into ``(t, x)`` rows from a single scan (no union of scans).
+@dataclass
+class Summary:
+    """What the first pass tells about a target."""
 
-    Null, NaN and infinite values are dropped (they carry no information for the fit).
-    """
-    if len(targets) == 1:
-        # One target: a plain projection, no generator.
-        tg = targets[0]
-        x = tg.x.cast("double")
-        keep = _finite(x)
-        if tg.where is not None:
-            keep = keep & tg.where
-        return df.where(keep).select(F.lit(0).alias("t"), x.alias("x"))
-    items = []
-    for i, tg in enumerate(targets):
-        x = tg.x.cast("double")
-        keep = _finite(x)
-        if tg.where is not None:
-            keep = keep & tg.where
-        items.append(F.when(keep, F.struct(F.lit(i).alias("t"), x.alias("x"))))
-    arr = F.filter(F.array(*items), lambda s: s.isNotNull())
-    return df.select(F.inline(arr))
+    n: float = 0.0
+    mean: float = 0.0
+    low: float = 0.0
+    high: float = 0.0
+    distinct: float = 0.0                  # distinct values of each batch, summed
+    knots: list[float] = field(default_factory=list)
+    var: float = 0.0                       # sample variance, from the bins
+    bins: tuple | None = None              # edges and moments (n, s, q) of the bins, centred on the mean
+
+
+@dataclass
+class Prepared:
+    """Persisted fit input: ``wide`` has a column x<t> of each target in ``columns``, ``long`` rows (t, x, w)."""
+
+    wide: DataFrame | None
+    columns: list[int]
+    long: DataFrame | None
+    stats: dict[int, Summary]
 
+    def unpersist(self) -> None:
+        for f in (self.wide, self.long):
+            if f is not None:
+                f.unpersist()
 
-def _stats(long_df: DataFrame, k: int) -> dict[int, dict]:
-    probs = [(i + 0.5) / k for i in range(k)]
-    rows = (long_df.groupBy("t").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("sd"),
-        F.approx_count_distinct("x").alias("nd"),
-        F.percentile_approx("x", probs, SEED_ACCURACY).alias("quantiles")).collect())
-    return {r["t"]: r.asDict() for r in rows}
+
+def wide_input(df: DataFrame, targets: Sequence[Target]) -> DataFrame:
+    """One double column ``x<t>`` per target: null where the value is missing, NaN, infinite or not the target's."""
+    cols = []
+    for t, tg in enumerate(targets):
+        x = tg.x.cast("double")
+        keep = _finite(x) if tg.where is None else _finite(x) & tg.where
+        cols.append(F.when(keep, x).alias(f"x{t}"))
+    return df.select(*cols)
 
 
 # --------------------------------------------------------------------------- passes
-def _pass_frame(inp: DataFrame, sums: dict[int, Callable], widths: dict[int, int]) -> DataFrame:
-    """One pass, one row: column ``t<k>_<i>`` is the i-th summed number of target k.
+def _wide_rows(frame: DataFrame, fns: dict[int, Callable], finish: Callable | None = None) -> DataFrame:
+    """``(t, position, value)`` rows of one pass over the columns x<t>: sums of ``fns[t](x, w)`` by position.
 
-    ``sums[k](x, w)`` gives ``widths[k]`` numbers for a block of rows; tasks add their blocks and give one row
-    each, a global Spark aggregate adds the tasks.
+    ``finish(t, x)`` gives further (position, value) pairs of a batch, which leave as they are.
     """
-    names = [f"t{k}_{i}" for k in sums for i in range(widths[k])]
+    ids = list(fns)
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        names, total = ["t", "position", "value"], {}
+
+        def out(t, position, value):
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(value), t, np.int32)), pa.array(np.asarray(position, np.int32)),
+                                               pa.array(np.asarray(value, float))], names=names)
+
+        for b in batches:
+            for j, t in enumerate(ids):
+                x = b.column(j).drop_null().to_numpy(zero_copy_only=False)
+                if not len(x):
+                    continue
+                if finish is not None:
+                    yield out(t, *finish(t, x))
+                for lo in range(0, len(x), PASS_ROWS):
+                    part = x[lo:lo + PASS_ROWS]
+                    got = fns[t](part, np.ones(len(part)))
+                    total[t] = got if t not in total else total[t] + got
+        for t, v in total.items():
+            own = np.flatnonzero(v)
+            yield out(t, own, v[own])
+
+    return frame.select(*[f"x{t}" for t in ids]).mapInArrow(run, "t int, position int, value double")
 
+
+def _long_rows(frame: DataFrame, fns: dict[int, Callable]) -> DataFrame:
+    """The same over compressed rows (t, x, w)."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        total = {k: np.zeros(widths[k]) for k in sums}
+        total = {}
         for b in batches:
             t, x, w = (b.column(c).to_numpy(zero_copy_only=False) for c in (0, 1, 2))
-            for k, fn in sums.items():
-                own = slice(None) if len(sums) == 1 else t == k
+            for k, fn in fns.items():
+                own = t == k
                 xs, ws = x[own], w[own]
                 for lo in range(0, len(xs), PASS_ROWS):
-                    total[k] += fn(xs[lo:lo + PASS_ROWS], ws[lo:lo + PASS_ROWS])
-        row = np.concatenate(list(total.values()))
-        yield pa.RecordBatch.from_arrays([pa.array([v]) for v in row.tolist()], names=names)
+                    got = fn(xs[lo:lo + PASS_ROWS], ws[lo:lo + PASS_ROWS])
+                    total[k] = got if k not in total else total[k] + got
+        for k, v in total.items():
+            own = np.flatnonzero(v)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), k, np.int32)), pa.array(own.astype(np.int32)),
+                                              pa.array(v[own])], names=["t", "position", "value"])
+
+    return frame.select("t", "x", "w").mapInArrow(run, "t int, position int, value double")
+
+
+def _sum_rows(rows: DataFrame) -> DataFrame:
+    """Sums by target and position."""
+    return rows.groupBy("t", "position").agg(F.sum("value").alias("value"))
 
-    return (inp.select("t", "x", "w").mapInArrow(run, ", ".join(f"{n} double" for n in names))
-            .agg(*[F.sum(n).alias(n) for n in names]))
 
+def _pass_frame(inp: Prepared, sums: dict[int, Callable]) -> DataFrame:
+    """One pass over all rows: ``(t, position, value)``, the sums of every target in ``sums`` (zeros left out)."""
+    wide = {t: fn for t, fn in sums.items() if t in inp.columns}
+    long = {t: fn for t, fn in sums.items() if t not in inp.columns}
+    parts = ([_wide_rows(inp.wide, wide)] if wide else []) + ([_long_rows(inp.long, long)] if long else [])
+    return _sum_rows(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]))
 
-def _pass(inp: DataFrame, sums: dict[int, Callable], width: int) -> dict[int, list[float]]:
-    """The pass's numbers on the driver: ``width`` for each target."""
-    row = list(_pass_frame(inp, sums, {k: width for k in sums}).first())
-    return {k: row[j * width:(j + 1) * width] for j, k in enumerate(sums)}
+
+def _pass(inp: Prepared, sums: dict[int, Callable], width: int | dict[int, int]) -> dict:
+    """The pass's numbers on the driver: an array of ``width`` for each target."""
+    import numpy as np
+
+    out = {t: np.zeros(width if isinstance(width, int) else width[t]) for t in sums}
+    got = _pass_frame(inp, sums).toArrow()
+    t, at, v = (got.column(c).to_numpy() for c in ("t", "position", "value"))
+    for k in out:
+        own = t == k
+        out[k][at[own]] = v[own]
+    return out
 
 
 def _hard_sums(m0: float, centres: Sequence[float]) -> Callable:
@@ -222,111 +313,253 @@ def _hard_sums(m0: float, centres: Sequence[float]) -> Callable:
     return sums
 
 
+def _bin_sums(m0: float, edges) -> Callable:
+    """n, s, q of the rows between neighbouring edges; the first and the last bin are the tails."""
+    def sums(x, w):
+        import numpy as np
+
+        label, xc = np.searchsorted(edges, x, side="right"), x - m0
+        return np.concatenate([np.bincount(label, weights=v, minlength=len(edges) + 1) for v in (w, w * xc, w * xc * xc)])
+
+    return sums
+
+
 def _soft_sums(m0: float, offsets: Sequence[float], means: Sequence[float], sds: Sequence[float]) -> Callable:
     """H, n, s, q under the modes' responsibilities."""
     def sums(x, w):
         import numpy as np
 
-        z = (x[:, None] - np.asarray(means)) / np.asarray(sds)
-        score = np.asarray(offsets) - 0.5 * (z * z)
-        best = score.max(axis=1, keepdims=True)
-        e = np.exp(score - best)
-        total = e.sum(axis=1, keepdims=True)
-        r = e / total
-        entropy = (w * (r * (score - (best + np.log(total)))).sum(axis=1)).sum()
-        wr, xc = w[:, None] * r, (x - m0)[:, None]
-        return np.concatenate([[entropy], wr.sum(axis=0), (wr * xc).sum(axis=0), (wr * xc * xc).sum(axis=0)])
+        score = x[None, :] - np.asarray(means)[:, None]
+        score *= (1.0 / np.asarray(sds))[:, None]
+        score *= score
+        score *= -0.5
+        score += np.asarray(offsets)[:, None]
+        score -= score.max(axis=0)
+        r = np.exp(score)
+        total = r.sum(axis=0)
+        r /= total
+        xc = x - m0
+        moments = r @ np.stack([w, w * xc, w * xc * xc], axis=1)
+        entropy = np.einsum("kn,kn,n->", r, score, w) - (w * np.log(total)).sum()
+        return np.concatenate([[entropy], moments.T.ravel()])
 
     return sums
 
 
-def seed_centres(inp: DataFrame, stats: dict[int, dict], k: int) -> dict[int, list[float]]:
-    """Sorted k-means centres of each target: from its quantiles, by passes over all rows."""
-    centres = {t: sorted(float(v) for v in st["quantiles"]) for t, st in stats.items()}
-    active = set(centres)
-    for _ in range(SEED_PASSES):
-        if not active:
-            break
-        got = _pass(inp, {t: _hard_sums(stats[t]["mean"], centres[t]) for t in active}, 3 * k)
-        for t in list(active):
-            n, s = got[t][:k], got[t][k:2 * k]
-            new = sorted(stats[t]["mean"] + s[j] / n[j] if n[j] else centres[t][j] for j in range(k))
-            moved = max(abs(a - b) for a, b in zip(new, centres[t]))
-            centres[t] = new
-            if moved <= 1e-3 * (stats[t]["sd"] or 0.0):
-                active.discard(t)
-    return centres
-
-
-def prepare_input(df: DataFrame, targets: Sequence[Target], compress: str | bool = "auto", k: int = DEFAULT_K):
-    """Long-form fit input, global statistics and (optionally) duplicate compression.
-
-    Returns the persisted ``(t, x, w)`` frame, the per-target statistics and
-    whether duplicates were compressed.
+# --------------------------------------------------------------------------- input and seeding
+def summaries(frame: DataFrame, n_targets: int) -> dict[int, Summary]:
+    """First pass: count, mean, extremes and quantile knots of every target with a value."""
+    def first(x, w):
+        import numpy as np
+
+        return np.array([len(x), x.sum(), len(np.unique(x))])
+
+    def sketch(t, x):
+        import numpy as np
+
+        own = np.sort(x)
+        own = np.concatenate([own[:1], own[SKETCH_EVERY // 2::SKETCH_EVERY], own[-1:]])
+        return np.full(len(own), 3), own
+
+    rows = _wide_rows(frame, {t: first for t in range(n_targets)}, sketch)
+    probs = [i / SKETCH_KNOTS for i in range(SKETCH_KNOTS + 1)]
+    sketched = F.when(F.col("position") == 3, F.col("value"))
+    got = rows.groupBy("t").agg(
+        *[F.sum(F.when(F.col("position") == i, F.col("value"))).alias(n) for i, n in enumerate(("n", "sum", "distinct"))],
+        F.min(sketched).alias("low"), F.max(sketched).alias("high"),
+        F.percentile_approx(sketched, probs, SKETCH_ACCURACY).alias("knots")).collect()
+    return {r["t"]: Summary(r["n"], r["sum"] / r["n"], r["low"], r["high"], r["distinct"], list(r["knots"])) for r in got}
+
+
+def _edges(st: Summary, bins: int):
+    """Bin edges: the sketch's quantiles, each stretch between two cut evenly; the extremes bound the outer ones."""
+    import numpy as np
+
+    knots = np.unique(np.array([st.low, *st.knots, st.high]))
+    if len(knots) < 2:
+        return knots
+    cuts = max(1, bins // (len(knots) - 1))
+    inner = knots[:-1, None] + (knots[1:] - knots[:-1])[:, None] * (np.arange(cuts) / cuts)
+    return np.unique(np.append(inner.ravel(), knots[-1]))
+
+
+def prepare_input(df: DataFrame, targets: Sequence[Target], compress: str | bool = "auto") -> Prepared:
+    """Persisted fit input, summaries and bin moments (two passes).
+
+    ``compress``: "auto" compresses the targets of which a batch of rows has fewer than half as many values.
     """
-    long_df = long_input(df, targets)
-    stats = _stats(long_df, k)
-    total_rows = sum(s["n"] for s in stats.values())
-    total_distinct = sum(s["nd"] for s in stats.values())
-    if compress == "auto":
-        compress = total_rows > 0 and total_distinct < 0.5 * total_rows
-    if compress:
-        inp = long_df.groupBy("t", "x").agg(F.count(F.lit(1)).cast("double").alias("w"))
-    else:
-        inp = long_df.withColumn("w", F.lit(1.0))
-    inp = inp.persist(StorageLevel.MEMORY_AND_DISK)
-    return inp, stats, bool(compress)
+    frame = wide_input(df, targets).persist(StorageLevel.MEMORY_AND_DISK)
+    stats = summaries(frame, len(targets))
+    small = [t for t, st in stats.items() if compress is True or (compress == "auto" and st.distinct < 0.5 * st.n)]
+    columns = [t for t in stats if t not in small]
+    inp = Prepared(frame, columns, None, stats)
+    if small:
+        items = F.array(*[F.struct(F.lit(t).alias("t"), F.col(f"x{t}").alias("x")) for t in small])
+        inp.long = (frame.select(F.inline(items)).where("x IS NOT NULL").groupBy("t", "x")
+                    .agg(F.count(F.lit(1)).cast("double").alias("w")).persist(StorageLevel.MEMORY_AND_DISK))
+    if stats:
+        bins = min(SEED_BINS, max(1024, ALL_BINS // len(stats)))
+        edges = {t: _edges(st, bins) for t, st in stats.items()}
+        got = _pass(inp, {t: _bin_sums(st.mean, edges[t]) for t, st in stats.items()},
+                    {t: 3 * (len(edges[t]) + 1) for t in stats})
+        for t, st in stats.items():
+            n, s, q = got[t].reshape(3, -1)
+            st.mean, shift = st.mean + s.sum() / st.n, s.sum() / st.n      # the mean once more, from centred sums
+            q, s = q - 2 * shift * s + shift * shift * n, s - shift * n
+            st.var = q.sum() / (st.n - 1) if st.n > 1 else 0.0
+            st.bins = (edges[t], n, s, q)
+    if small and not columns:
+        frame.unpersist()
+        inp.wide = None
+    return inp
+
+
+def bin_centres(st: Summary, k: int) -> tuple[list[float], dict]:
+    """Sorted k-means centres over a target's bins, from its K quantiles; steps taken and whether they settled."""
+    import numpy as np
+
+    edges, n, s, _ = st.bins
+    held = n > 0
+    n, x = n[held], s[held] / n[held] + st.mean
+    done = np.cumsum(n)
+    centres = x[np.minimum(np.searchsorted(done, (np.arange(k) + 0.5) / k * done[-1]), len(x) - 1)]
+    sums = np.append(0.0, np.cumsum(n * (x - st.mean)))
+    done = np.append(0.0, done)
+    limit, steps, settled = SEED_TOL * math.sqrt(st.var), 0, False
+    while steps < SEED_STEPS and not settled:
+        cut = np.concatenate([[0], np.searchsorted(x, (centres[:-1] + centres[1:]) / 2, side="right"), [len(x)]])
+        own, total = np.diff(done[cut]), np.diff(sums[cut])
+        new = np.sort(np.where(own > 0, st.mean + total / np.maximum(own, 1e-300), centres))
+        settled = bool(np.abs(new - centres).max() <= limit)
+        centres, steps = new, steps + 1
+    return centres.tolist(), {"seed_steps": steps, "seed_settled": settled}
+
+
+def seed_centres(inp: Prepared, k: int) -> tuple[dict[int, list[float]], dict[int, dict]]:
+    """Sorted k-means centres of each target, and how they came about; one pass over the rows.
+
+    Steps over the bins until no centre moves, then one step over all rows.
+    """
+    found = {t: bin_centres(st, k) for t, st in inp.stats.items()}
+    centres, info = {t: c for t, (c, _) in found.items()}, {t: i for t, (_, i) in found.items()}
+    got = _pass(inp, {t: _hard_sums(inp.stats[t].mean, c) for t, c in centres.items()}, 3 * k) if centres else {}
+    for t, old in centres.items():
+        n, s = got[t][:k], got[t][k:2 * k]
+        centres[t] = sorted(inp.stats[t].mean + s[j] / n[j] if n[j] else old[j] for j in range(k))
+        sd = math.sqrt(inp.stats[t].var) or 1.0
+        info[t]["seed_last_move"] = max(abs(a - b) for a, b in zip(centres[t], old)) / sd
+    return centres, info
+
+
+# --------------------------------------------------------------------------- iterations
+class _Path:
+    """Where a target's iteration stands: two plain updates, then a jump that the next pass judges."""
+
+    def __init__(self, st: FitState):
+        self.st, self.places, self.reach = st, [st.place()], 4.0
+        self.trial = self.back = None
+
+    def scale(self) -> list[float]:
+        k, sd = self.st.k, math.sqrt(self.st.c0) or 1.0
+        return [1.0 / max(self.st.total, 1.0)] * k + [1.0 / sd] * k + [1.0] * k
+
+    def jump(self, gamma: float) -> None:
+        """From three places on the path to one further along it."""
+        p0, p1, p2 = self.places
+        scale = self.scale()
+        r = [b - a for a, b in zip(p0, p1)]
+        v = [c - 2 * b + a for a, b, c in zip(p0, p1, p2)]
+        size = [math.sqrt(sum((x * f) ** 2 for x, f in zip(y, scale))) for y in (r, v)]
+        step = min(max(size[0] / size[1], 1.0), self.reach) if size[1] > 0 else 1.0
+        k = self.st.k
+        while step > 1.0:
+            place = [a + 2 * step * x + step * step * y for a, x, y in zip(p0, r, v)]
+            if min(place[:k]) >= 0.0:
+                break
+            step = (step + 1.0) / 2 if step > 1.01 else 1.0
+        if step > 1.0:
+            self.back, self.trial = p2, step
+            self.st.move(place, gamma)
+        self.places = [p2]
+
+    def advance(self, sums, gamma: float, tol: float, tol_mode: str, more: bool) -> bool:
+        """Take in a pass's sums; True when the target has converged."""
+        st, k = self.st, self.st.k
+        st.m_step(sums[1:k + 1], sums[k + 1:2 * k + 1], sums[2 * k + 1:], gamma)
+        bound = st.bound(sums[0])
+        if self.trial is not None:
+            kept, self.reach = bound >= st.lower_bound, self.reach
+            if kept:
+                self.reach = min(MAX_JUMP, self.reach * 4.0 if self.trial >= self.reach else self.reach)
+                st.lower_bound = bound
+                st.history.append(bound)
+                self.places = [st.place()]
+            else:
+                self.reach = max(1.5, self.reach / 4.0)
+                st.move(self.back, gamma)
+                self.places = [self.back]
+            st.info["jumps"] = st.info.get("jumps", 0) + kept
+            st.info["jumps_back"] = st.info.get("jumps_back", 0) + (not kept)
+            self.trial = self.back = None
+            return False
+        change, st.lower_bound = bound - st.lower_bound, bound
+        st.history.append(bound)
+        if abs(change / max(st.total, 1.0) if tol_mode == "per_row" else change) < tol:
+            return True
+        self.places.append(st.place())
+        if len(self.places) == 3:
+            if more:
+                self.jump(gamma)
+            else:
+                self.places = self.places[-1:]
+        return False
 
 
 def fit_targets(df: DataFrame, targets: Sequence[Target], k: int = DEFAULT_K, gamma: float = DEFAULT_GAMMA,
                 max_iter: int = DEFAULT_MAX_ITER, tol: float = DEFAULT_TOL, tol_mode: str = "absolute",
                 compress: str | bool = "auto", verbose: bool = False, allow_empty: bool = False,
-                centres: Sequence[float] | None = None) -> dict[str, FitState]:
+                centres: Sequence[float] | None = None, accelerate: bool = True) -> dict[str, FitState]:
     """Fit one mixture per target; every pass over the rows is shared by all targets still moving.
 
     ``centres`` (sorted) replaces the k-means seeding.  A target without any valid value raises, or is left out
-    of the result with ``allow_empty=True``.
+    of the result with ``allow_empty=True``.  ``max_iter`` bounds the passes; ``accelerate=False`` makes all of
+    them plain updates.
     """
     if not targets:
         return {}
-    inp, stats, _ = prepare_input(df, targets, compress, k)
+    inp = prepare_input(df, targets, compress)
     try:
         states: dict[int, FitState] = {}
         for t, tg in enumerate(targets):
-            st = stats.get(t)
-            if st is None or st["n"] == 0:
+            st = inp.stats.get(t)
+            if st is None:
                 if allow_empty:
                     continue
                 raise ValueError(f"no valid values to fit for {tg.name!r}")
-            c0 = float(st["sd"]) ** 2 if st["sd"] is not None and st["n"] > 1 else 0.0
-            states[t] = FitState(name=tg.name, k=k, m0=float(st["mean"]), c0=c0, total=float(st["n"]))
+            states[t] = FitState(name=tg.name, k=k, m0=st.mean, c0=st.var, total=st.n)
         if not states:
             return {}
-        seeds = ({t: [float(c) for c in centres] for t in states} if centres is not None
-                 else seed_centres(inp, {t: stats[t] for t in states}, k))
+        if centres is not None:
+            seeds = {t: [float(c) for c in centres] for t in states}
+        else:
+            seeds, how = seed_centres(inp, k)
+            for t, st in states.items():
+                st.info.update(how[t])
         got = _pass(inp, {t: _hard_sums(st.m0, seeds[t]) for t, st in states.items()}, 3 * k)
         for t, st in states.items():
             n, s, q = got[t][:k], got[t][k:2 * k], got[t][2 * k:]
             # Fixed order: larger initial clusters first (stick-breaking prefers early modes), ties by centre.
             order = sorted(range(k), key=lambda j: (-n[j], seeds[t][j]))
             st.m_step([n[j] for j in order], [s[j] for j in order], [q[j] for j in order], gamma)
-        active = dict(states)
+        active = {t: _Path(st) for t, st in states.items()}
         for it in range(1, max_iter + 1):
             if not active:
                 break
-            got = _pass(inp, {t: _soft_sums(st.m0, st.offsets(), st.means, st.sds()) for t, st in active.items()}, 3 * k + 1)
-            for t in list(active):
-                st, v = active[t], got[t]
-                st.m_step(v[1:k + 1], v[k + 1:2 * k + 1], v[2 * k + 1:], gamma)
-                prev = st.lower_bound
-                st.lower_bound = st.bound(v[0])
-                st.history.append(st.lower_bound)
-                st.n_iter = it
-                change = st.lower_bound - prev
-                if tol_mode == "per_row":
-                    change = change / max(st.total, 1.0)
-                if abs(change) < tol:
-                    st.converged = True
+            got = _pass(inp, {t: _soft_sums(p.st.m0, p.st.offsets(), p.st.means, p.st.sds()) for t, p in active.items()}, 3 * k + 1)
+            for t, path in list(active.items()):
+                path.st.n_iter = it
+                path.st.converged = path.advance(got[t], gamma, tol, tol_mode, accelerate and it < max_iter)
+                if path.st.converged:
                     del active[t]
             if verbose:
                 print(it, {states[t].name: states[t].lower_bound for t in states})
@@ -338,13 +571,13 @@ def fit_targets(df: DataFrame, targets: Sequence[Target], k: int = DEFAULT_K, ga
 def fit_modes(df: DataFrame, col: str, k: int = DEFAULT_K, gamma: float = DEFAULT_GAMMA,
               max_iter: int = DEFAULT_MAX_ITER, tol: float = DEFAULT_TOL, tol_mode: str = "absolute",
               compress: str | bool = "auto", where: Column | None = None, part: str = "main",
-              centres: Sequence[float] | None = None) -> Mixture:
+              centres: Sequence[float] | None = None, accelerate: bool = True) -> Mixture:
     """Fit a DP Bayesian Gaussian mixture to one numeric column."""
     from modenorm.operators.score import value_col
 
     x = value_col(df, col)
     st = fit_targets(df, [Target(col, x, where)], k=k, gamma=gamma, max_iter=max_iter, tol=tol,
-                     tol_mode=tol_mode, compress=compress, centres=centres)[col]
+                     tol_mode=tol_mode, compress=compress, centres=centres, accelerate=accelerate)[col]
     return st.to_mixture(col, part)
 
 
@@ -356,13 +589,11 @@ def pass_statistics(df: DataFrame, col: str, model: Mixture, center: float = 0.0
     """
     from modenorm.operators.score import value_col
 
-    x = value_col(df, col)
-    inp = df.select(F.lit(0).alias("t"), x.alias("x"), F.lit(1.0).alias("w")).where(_finite(F.col("x")))
-    k = model.k
-    wide = _pass_frame(inp, {0: _soft_sums(center, model.offsets, model.means, model.sds)}, {0: 3 * k + 1})
-    rows = [F.struct(F.lit(j).alias("mode"), *[F.col(f"t0_{1 + p * k + j}").alias(n) for p, n in enumerate("nsq")])
-            for j in range(k)]
-    return wide.select(F.inline(F.array(*rows)))
+    inp = wide_input(df, [Target(col, value_col(df, col))])
+    sums = _sum_rows(_wide_rows(inp, {0: _soft_sums(center, model.offsets, model.means, model.sds)}))
+    by = [F.coalesce(F.max(F.when(F.floor((F.col("position") - 1) / model.k) == p, F.col("value"))), F.lit(0.0)).alias(n)
+          for p, n in enumerate("nsq")]
+    return (sums.where("position > 0").groupBy(((F.col("position") - 1) % model.k).cast("int").alias("mode")).agg(*by))
 
 
 def mode_counts(df: DataFrame, col: str, model: Mixture, modes: str = "all") -> DataFrame:

@@ -32,10 +32,10 @@ def test_matches_dense_twin(spark):
     iters = 25
     targets = [Target("value", F.col("value"))]
     x = np.array([r[0] for r in df.collect()])
-    inp, stats, _ = FT.prepare_input(df, targets, compress=False)
-    centres = np.array(FT.seed_centres(inp, stats, 10)[0])
+    inp = FT.prepare_input(df, targets, compress=False)
+    centres = np.array(FT.seed_centres(inp, 10)[0][0])
     inp.unpersist()
-    st = fit_targets(df.repartition(3), targets, max_iter=iters, compress=False, centres=centres)["value"]
+    st = fit_targets(df.repartition(3), targets, max_iter=iters, compress=False, centres=centres, accelerate=False)["value"]
     lab = np.searchsorted((centres[:-1] + centres[1:]) / 2, x)
     counts = np.bincount(lab, minlength=10)
     # seeding: one more k-means step hardly moves a centre
@@ -52,11 +52,78 @@ def test_matches_dense_twin(spark):
 
 
 def test_no_grouped_map_in_the_fit_plan(spark):
-    df = spark.read.parquet(f"{SF01}/events.parquet").select(F.lit(0).alias("t"), F.col("value").alias("x"), F.lit(1.0).alias("w"))
-    plan = FT._pass_frame(df, {0: FT._hard_sums(0.0, [1.0, 2.0])}, {0: 6})._jdf.queryExecution().toString()
+    df = spark.read.parquet(f"{SF01}/events.parquet")
+    inp = FT.Prepared(FT.wide_input(df, [Target("value", F.col("value"))]), [0], None, {})
+    plan = FT._pass_frame(inp, {0: FT._hard_sums(0.0, [1.0, 2.0])})._jdf.queryExecution().toString()
     assert "FlatMapGroups" not in plan and "MapInArrow" in plan and "partial_sum" in plan
 
 
+def plain_centres(x, k, steps=10_000):
+    """k-means over all values, from the K quantiles."""
+    x = np.sort(x)
+    c = x[np.minimum(((np.arange(k) + 0.5) / k * len(x)).astype(int), len(x) - 1)]
+    for _ in range(steps):
+        lab = np.searchsorted((c[:-1] + c[1:]) / 2, x)
+        n = np.bincount(lab, minlength=k)
+        new = np.where(n > 0, np.bincount(lab, weights=x, minlength=k) / np.maximum(n, 1), c)
+        moved, c = np.abs(new - c).max(), new
+        if moved <= 1e-3 * x.std(ddof=1):
+            break
+    return c
+
+
+@pytest.mark.parametrize("table, col", [("lineitem", "l_extendedprice"), ("events", "value"), ("lineitem", "l_quantity")])
+def test_seeding_over_bins_equals_k_means_over_rows(spark, monkeypatch, table, col):
+    df = spark.read.parquet(f"{SF01}/{table}.parquet").select(F.col(col).cast("double").alias("x"))
+    passes = []
+    one = FT._pass
+    monkeypatch.setattr(FT, "_pass", lambda *a: passes.append(1) or one(*a))
+    inp = FT.prepare_input(df, [Target("x", F.col("x"))])
+    centres, info = FT.seed_centres(inp, 10)
+    inp.unpersist()
+    x = np.array([r.x for r in df.collect()])
+    assert np.abs(np.array(centres[0]) - plain_centres(x, 10)).max() <= 2e-3 * x.std()
+    assert len(passes) == 2 and info[0]["seed_settled"] and info[0]["seed_last_move"] <= 2e-3
+    assert abs(inp.stats[0].mean - x.mean()) <= 1e-9 * abs(x.mean()) and abs(inp.stats[0].var - x.var(ddof=1)) <= 1e-9 * x.var()
+
+
+def test_accelerated_fit_reaches_the_plain_bound_in_a_third_of_the_passes(spark):
+    """At the default 200 iterations; the bound never falls."""
+    df = spark.read.parquet(f"{SF01}/events.parquet").select("value")
+    x = np.array([r[0] for r in df.collect()])
+    fast = fit_targets(df, [Target("value", F.col("value"))])["value"]
+    assert fast.n_iter <= FT.DEFAULT_MAX_ITER
+    assert np.all(np.diff(fast.history) >= -1e-9 * np.abs(fast.history[1:]))
+    inp = FT.prepare_input(df, [Target("value", F.col("value"))])
+    centres = np.array(FT.seed_centres(inp, 10)[0][0])
+    inp.unpersist()
+    lab = np.searchsorted((centres[:-1] + centres[1:]) / 2, x)
+    counts = np.bincount(lab, minlength=10)
+    order = sorted(range(10), key=lambda j: (-counts[j], centres[j]))
+    ref = dense_fit(x, _hard_init(x, centres, order), max_iter=FT.DEFAULT_MAX_ITER)
+    reached = next(i for i, b in enumerate(fast.history) if b >= ref["history"][-1] - FT.DEFAULT_TOL) + 1
+    reached += fast.info["jumps_back"]
+    print("plain", len(ref["history"]), "fast", reached, fast.n_iter, fast.info)
+    assert reached <= len(ref["history"]) / 3 + 1
+
+
+def test_two_hundred_columns_share_each_pass(spark):
+    """A plan of the same few operators, whatever the number of columns; each column's fit equals its own."""
+    base = spark.read.parquet(f"{SF01}/events.parquet").select("event_id", "value").limit(2000)
+    df = base.select(*[(F.col("value") * (1 + i % 7) + i).alias(f"c{i}") for i in range(200)])
+    targets = [Target(f"c{i}", F.col(f"c{i}")) for i in range(200)]
+    inp = FT.prepare_input(df, targets)
+    many, few = (FT._pass_frame(inp, {t: FT._hard_sums(0.0, [1.0, 2.0]) for t in range(n)})._jdf.queryExecution()
+                 .executedPlan() for n in (200, 2))
+    count = lambda p: sum(1 for line in p.treeString().split("\n") if line.strip())
+    inp.unpersist()
+    assert count(many) == count(few)
+    wide = fit_targets(df, targets, max_iter=3)
+    alone = fit_targets(df, [targets[9]], max_iter=3)["c9"]
+    assert len(wide) == 200
+    np.testing.assert_allclose(wide["c9"].means, alone.means, rtol=1e-6)
+
+
 def test_infinite_values_are_left_out(spark):
     rows = [(float(v),) for v in range(50)]
     clean = fit_modes(spark.createDataFrame(rows, "x double"), "x", k=2, max_iter=5)
