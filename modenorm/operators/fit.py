@@ -88,7 +88,7 @@ class FitState:
     lower_bound: float = -math.inf
     n_iter: int = 0
     converged: bool = False
-    history: list[float] = field(default_factory=list)
+    history: list[float] = field(default_factory=list)         # bounds of accepted updates
     info: dict = field(default_factory=dict)
 
     # -- derived per-mode numbers
@@ -301,6 +301,10 @@ def _pass(inp: Prepared, sums: dict[int, Callable], width: int | dict[int, int])
     return out
 
 
+def _floats(sums, parts: int) -> list[list[float]]:
+    return [p.tolist() for p in sums.reshape(parts, -1)]
+
+
 def _hard_sums(m0: float, centres: Sequence[float]) -> Callable:
     """n, s, q of the rows nearest to each centre (a row halfway belongs to the lower one)."""
     def sums(x, w):
@@ -404,9 +408,9 @@ def prepare_input(df: DataFrame, targets: Sequence[Target], compress: str | bool
                     {t: 3 * (len(edges[t]) + 1) for t in stats})
         for t, st in stats.items():
             n, s, q = got[t].reshape(3, -1)
-            st.mean, shift = st.mean + s.sum() / st.n, s.sum() / st.n      # the mean once more, from centred sums
-            q, s = q - 2 * shift * s + shift * shift * n, s - shift * n
-            st.var = q.sum() / (st.n - 1) if st.n > 1 else 0.0
+            shift = float(s.sum()) / st.n                                  # the mean once more, from centred sums
+            st.mean, q, s = st.mean + shift, q - 2 * shift * s + shift * shift * n, s - shift * n
+            st.var = float(q.sum()) / (st.n - 1) if st.n > 1 else 0.0
             st.bins = (edges[t], n, s, q)
     if small and not columns:
         frame.unpersist()
@@ -444,10 +448,10 @@ def seed_centres(inp: Prepared, k: int) -> tuple[dict[int, list[float]], dict[in
     centres, info = {t: c for t, (c, _) in found.items()}, {t: i for t, (_, i) in found.items()}
     got = _pass(inp, {t: _hard_sums(inp.stats[t].mean, c) for t, c in centres.items()}, 3 * k) if centres else {}
     for t, old in centres.items():
-        n, s = got[t][:k], got[t][k:2 * k]
+        n, s, _ = _floats(got[t], 3)
         centres[t] = sorted(inp.stats[t].mean + s[j] / n[j] if n[j] else old[j] for j in range(k))
         sd = math.sqrt(inp.stats[t].var) or 1.0
-        info[t]["seed_last_move"] = max(abs(a - b) for a, b in zip(centres[t], old)) / sd
+        info[t]["seed_last_move"] = float(max(abs(a - b) for a, b in zip(centres[t], old)) / sd)
     return centres, info
 
 
@@ -456,11 +460,11 @@ class _Path:
     """Where a target's iteration stands: two plain updates, then a jump that the next pass judges."""
 
     def __init__(self, st: FitState):
-        self.st, self.places, self.reach = st, [st.place()], 4.0
+        self.st, self.places, self.reach, self.updates = st, [st.place()], 4.0, 0.0
         self.trial = self.back = None
 
     def scale(self) -> list[float]:
-        k, sd = self.st.k, math.sqrt(self.st.c0) or 1.0
+        k, sd = self.st.k, math.sqrt(self.st.c0) or 1.0  # so that all parts count alike
         return [1.0 / max(self.st.total, 1.0)] * k + [1.0 / sd] * k + [1.0] * k
 
     def jump(self, gamma: float) -> None:
@@ -485,11 +489,13 @@ class _Path:
     def advance(self, sums, gamma: float, tol: float, tol_mode: str, more: bool) -> bool:
         """Take in a pass's sums; True when the target has converged."""
         st, k = self.st, self.st.k
-        st.m_step(sums[1:k + 1], sums[k + 1:2 * k + 1], sums[2 * k + 1:], gamma)
-        bound = st.bound(sums[0])
+        st.m_step(*_floats(sums[1:], 3), gamma)
+        bound = st.bound(float(sums[0]))
+        self.updates += 1
         if self.trial is not None:
-            kept, self.reach = bound >= st.lower_bound, self.reach
+            kept = bool(bound >= st.lower_bound)
             if kept:
+                self.updates += self.trial
                 self.reach = min(MAX_JUMP, self.reach * 4.0 if self.trial >= self.reach else self.reach)
                 st.lower_bound = bound
                 st.history.append(bound)
@@ -522,8 +528,8 @@ def fit_targets(df: DataFrame, targets: Sequence[Target], k: int = DEFAULT_K, ga
     """Fit one mixture per target; every pass over the rows is shared by all targets still moving.
 
     ``centres`` (sorted) replaces the k-means seeding.  A target without any valid value raises, or is left out
-    of the result with ``allow_empty=True``.  ``max_iter`` bounds the passes; ``accelerate=False`` makes all of
-    them plain updates.
+    of the result with ``allow_empty=True``.  ``max_iter`` bounds the updates, of which an accepted jump counts for
+    as many as it is long; ``accelerate=False`` makes all of them plain ones, a pass each.
     """
     if not targets:
         return {}
@@ -547,7 +553,7 @@ def fit_targets(df: DataFrame, targets: Sequence[Target], k: int = DEFAULT_K, ga
                 st.info.update(how[t])
         got = _pass(inp, {t: _hard_sums(st.m0, seeds[t]) for t, st in states.items()}, 3 * k)
         for t, st in states.items():
-            n, s, q = got[t][:k], got[t][k:2 * k], got[t][2 * k:]
+            n, s, q = _floats(got[t], 3)
             # Fixed order: larger initial clusters first (stick-breaking prefers early modes), ties by centre.
             order = sorted(range(k), key=lambda j: (-n[j], seeds[t][j]))
             st.m_step([n[j] for j in order], [s[j] for j in order], [q[j] for j in order], gamma)
@@ -557,9 +563,10 @@ def fit_targets(df: DataFrame, targets: Sequence[Target], k: int = DEFAULT_K, ga
                 break
             got = _pass(inp, {t: _soft_sums(p.st.m0, p.st.offsets(), p.st.means, p.st.sds()) for t, p in active.items()}, 3 * k + 1)
             for t, path in list(active.items()):
-                path.st.n_iter = it
-                path.st.converged = path.advance(got[t], gamma, tol, tol_mode, accelerate and it < max_iter)
-                if path.st.converged:
+                path.st.info["passes"] = it
+                path.st.converged = path.advance(got[t], gamma, tol, tol_mode, accelerate and path.updates + 2 < max_iter)
+                path.st.n_iter = min(max_iter, round(path.updates))
+                if path.st.converged or path.updates >= max_iter and path.trial is None:
                     del active[t]
             if verbose:
                 print(it, {states[t].name: states[t].lower_bound for t in states})

@@ -25,11 +25,11 @@ def test_scoring_scan_is_pruned_and_filtered(spark):
 def test_fit_pass_is_one_row_a_task_and_one_aggregate(spark):
     df = spark.read.parquet(f"{SF01}/events.parquet").select("value")
     tg = [FT.Target("value", F.col("value"))]
-    inp, stats, _ = FT.prepare_input(df, tg, compress=False)
+    inp = FT.prepare_input(df, tg, compress=False)
     try:
         m = fixed_model()
-        sums = FT._soft_sums(stats[0]["mean"], m.offsets, m.means, m.sds)
-        plan = _plan(FT._pass_frame(inp, {0: sums}, {0: 3 * m.k + 1}))
+        sums = FT._soft_sums(inp.stats[0].mean, m.offsets, m.means, m.sds)
+        plan = _plan(FT._pass_frame(inp, {0: sums}))
         assert "InMemoryTableScan" in plan              # every pass reads the persisted input, not the files
         assert "MapInArrow" in plan and "FlatMapGroups" not in plan
         assert plan.count("HashAggregate") >= 2          # partial (map side) + final
