@@ -21,8 +21,7 @@ from pyspark.sql import functions as F
 
 from modenorm.functions.rng import uniform
 from modenorm.operators.model import DEFAULT_EPS, Mixture, significant_modes
-from modenorm.operators.score import (CLIP, SCALE_SDS, clip, draw_from, extend, is_valid, lookup,
-                                      mode_scores)
+from modenorm.operators.score import CLIP, PROB_FLOOR, SCALE_SDS, clip, draw_from, extend, is_valid, lookup
 
 # Category tables are broadcast into the encode/decode joins only below both bounds.
 BROADCAST_CATEGORIES = 100_000
@@ -151,10 +150,15 @@ def category_index(df: DataFrame, col: str) -> DataFrame:
     return idx.withColumn("slot", F.col("slot").cast("int"))
 
 
+def nearest_modes(model: Mixture, values):
+    """For each value of an array the mode whose mean is closest (first on ties)."""
+    import numpy as np
+
+    return np.abs(np.asarray(values, float)[None, :] - np.array(model.means)[:, None]).argmin(axis=0)
+
+
 def nearest_mode(model: Mixture, value: float) -> int:
-    """Mode whose mean is closest to ``value`` (first on ties)."""
-    dists = [abs(value - m) for m in model.means]
-    return dists.index(min(dists))
+    return int(nearest_modes(model, [value])[0])
 
 
 def modal_values(model_all: Mixture, modal: Sequence[float]) -> tuple[float, ...]:
@@ -285,7 +289,7 @@ def _fit_codes(df: DataFrame, specs: Sequence[ColumnSpec], key: str, seed: int,
             n_cat = size["n"]
             codes.append(ColumnCode(name=s.name, kind=s.kind, categories=cats, n_categories=n_cat,
                                     category_bytes=int(size["b"]),
-                                    order=tuple(range(n_cat)), seed=seed + i, rng=rng))
+                                    seed=seed + i, rng=rng))  # a category's slot is its place
             continue
         m = models.get(s.name)
         if m is None and s.kind == "continuous":
@@ -309,37 +313,101 @@ def _fit_codes(df: DataFrame, specs: Sequence[ColumnSpec], key: str, seed: int,
     return Encoder(codes)
 
 
-def _hard_counts(df: DataFrame, codes: Sequence[ColumnCode]) -> dict[str, dict[int, int]]:
-    """Hard-mode counts of every main model on its own (non-modal) rows: one aggregate.
+@dataclass(frozen=True)
+class _Plain:
+    """What a task needs of a column's code: plain numbers."""
 
-    Scores and their maximum are materialised as columns (``assign_mode``), then
-    one conditional count per (column, mode): no generated rows, no grouping.
-    """
-    from modenorm.operators.score import assign_mode
+    modal: tuple[float, ...]
+    model: Mixture | None
+    kept: tuple[int, ...]
 
-    cur = df
-    aggs = []
-    for i, c in enumerate(codes):
-        cur = assign_mode(cur, c.name, c.model, out=f"__hm{i}")
-        ok = is_continuous(_x(c.name), c.modal)
-        aggs += [F.count_if(ok & (F.col(f"__hm{i}") == F.lit(k))).alias(f"n{i}_{k}") for k in range(c.model.k)]
-    row = cur.agg(*aggs).first()
-    return {c.name: {k: row[f"n{i}_{k}"] for k in range(c.model.k) if row[f"n{i}_{k}"]}
-            for i, c in enumerate(codes)}
+
+def _plain(c: ColumnCode) -> _Plain:
+    model = None if c.model is None else Mixture(c.name, c.model.means, c.model.sds, c.model.offsets, c.model.weights)
+    return _Plain(tuple(float(v) for v in c.modal), model, tuple(c.kept))
+
+
+def _block_scores(model: Mixture, x):
+    """Log scores (modes x rows), with the operations of :func:`mode_scores`."""
+    import numpy as np
+
+    z = (x[None, :] - np.array(model.means)[:, None]) / np.array(model.sds)[:, None]
+    return np.array(model.offsets)[:, None] - 0.5 * (z * z)
+
+
+def _hard_block(code: _Plain, x, u):
+    """Hard modes of the non-modal values."""
+    import numpy as np
+
+    x = x[~np.isin(x, code.modal)] if code.modal else x
+    return _block_scores(code.model, x).argmax(axis=0), code.model.k
+
+
+def _pre_block(code: _Plain, x, u):
+    """Pre-rank slots under the draws ``u``: what :func:`_pre_columns` gives."""
+    import numpy as np
+
+    n_modal = len(code.modal)
+    pre = np.full(len(x), -1)
+    if code.model is not None and code.kept:
+        score = _block_scores(code.model, x)
+        e = np.exp(score - score.max(axis=0))
+        q = e[list(code.kept)] / e.sum(axis=0) + PROB_FLOOR
+        c = np.cumsum(q / q.sum(axis=0), axis=0)
+        over = c > u * c[-1]
+        pre = np.where(over.any(axis=0), over.argmax(axis=0), len(code.kept) - 1) + n_modal
+    for i, v in reversed(list(enumerate(code.modal))):
+        pre[x == v] = i
+    return pre[pre >= 0], n_modal + len(code.kept)
+
+
+def _histograms(df: DataFrame, codes: Sequence[ColumnCode], block, key: Column | None) -> dict[str, dict[int, int]]:
+    """Counts by column and number that ``block`` gives the rows: tasks count all columns in one pass, an aggregate
+    adds their (column, number) counts.  The plan does not grow with columns x modes."""
+    import numpy as np
+
+    plain = [_plain(c) for c in codes]
+    draws = key is not None
+
+    def run(batches):
+        import pyarrow as pa
+
+        total = [np.zeros(0, np.int64) for _ in plain]
+        for b in batches:
+            for t, code in enumerate(plain):
+                x = b.column(t).to_numpy(zero_copy_only=False)
+                ok = ~np.isnan(x)
+                u = b.column(len(plain) + t).to_numpy(zero_copy_only=False)[ok] if draws else None
+                got, width = block(code, x[ok], u)
+                if not len(total[t]):
+                    total[t] = np.zeros(max(width, 1), np.int64)
+                total[t] += np.bincount(got, minlength=len(total[t]))
+        for t, n in enumerate(total):
+            own = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), t, np.int32)), pa.array(own.astype(np.int32)),
+                                              pa.array(n[own])], names=["t", "slot", "n"])
+
+    nan = _lit(float("nan"))
+    cols = [F.coalesce(_x(c.name), nan).alias(f"x{t}") for t, c in enumerate(codes)]
+    if draws:
+        keyed = F.when(key.isNull(), F.raise_error(F.lit("the row key is null")).cast("double"))
+        cols += [keyed.otherwise(uniform(key, c.seed, c.rng)).alias(f"u{t}") for t, c in enumerate(codes)]
+    rows = (df.select(*cols).mapInArrow(run, "t int, slot int, n long").groupBy("t", "slot")
+            .agg(F.sum("n").alias("n")).collect())  # columns x modes numbers
+    out: dict[str, dict[int, int]] = {c.name: {} for c in codes}
+    for r in rows:
+        out[codes[r["t"]].name][r["slot"]] = r["n"]
+    return out
+
+
+def _hard_counts(df: DataFrame, codes: Sequence[ColumnCode]) -> dict[str, dict[int, int]]:
+    """Hard-mode counts of every main model on its own (non-modal) rows."""
+    return _histograms(df, codes, _hard_block, None)
 
 
 def _slot_counts(df: DataFrame, codes: Sequence[ColumnCode], key: Column) -> dict[str, dict[int, int]]:
-    """Frequency of each pre-rank slot under the encoder's draws: one aggregate of conditional counts."""
-    cur = df
-    for c in codes:
-        cur = _pre_columns(cur, c, key)
-    aggs = [F.count_if(F.col(f"__{c.name}_pre") == F.lit(p)).alias(f"n{i}_{p}")
-            for i, c in enumerate(codes) for p in range(c.n_slots)]
-    if not aggs:
-        return {}
-    row = cur.agg(*aggs).first()
-    return {c.name: {p: row[f"n{i}_{p}"] for p in range(c.n_slots) if row[f"n{i}_{p}"]}
-            for i, c in enumerate(codes)}
+    """Frequency of each pre-rank slot under the encoder's draws."""
+    return _histograms(df, codes, _pre_block, key)
 
 
 # --------------------------------------------------------------------------- encode
@@ -351,7 +419,8 @@ def encode(df: DataFrame, encoder: Encoder, key: str, form: str = "compact", kee
     ``on_null="error"`` at a null or NaN in a numeric column (else: null).
 
     Output: ``key``, ``keep`` columns, then per column ``<col>_value``/``<col>_slot``
-    (compact), or one ``encoded`` array (dense) or ML vector (vector).  With ``keep_overflow`` the
+    (compact), or one ``encoded`` column: an array (dense), an ML vector (vector), or a struct ``size, indices,
+    values`` of the entries that are not zero (sparse: its size does not grow with the number of categories).  With ``keep_overflow`` the
     raw value of clipped rows is kept in ``<col>_overflow`` (F8).
     """
     cur = df
@@ -381,6 +450,8 @@ def encode(df: DataFrame, encoder: Encoder, key: str, form: str = "compact", kee
         return res
     if form == "dense":
         return to_dense(res, encoder, key, keep)
+    if form == "sparse":
+        return to_sparse(res, encoder, key, keep)
     if form == "vector":
         from pyspark.ml.functions import array_to_vector
 
@@ -407,6 +478,24 @@ def to_dense(compact: DataFrame, encoder: Encoder, key: str, keep: Sequence[str]
     return compact.select(*cols, F.concat(*parts).alias("encoded"))
 
 
+def to_sparse(compact: DataFrame, encoder: Encoder, key: str, keep: Sequence[str] = ()) -> DataFrame:
+    """The dense encoding's entries that are not zero, by ascending index."""
+    entries, width = [], 0
+    for c in encoder.columns:
+        if c.kind != "categorical":
+            value = F.col(f"`{c.name}_value`")
+            entries.append(F.struct(F.lit(width).alias("i"), F.coalesce(value, _lit(0.0)).alias("v")))
+            width += 1
+        slot = F.col(f"`{c.name}_slot`")
+        entries.append(F.struct((slot + F.lit(width)).alias("i"), F.when(slot.isNotNull(), 1.0).otherwise(0.0).alias("v")))
+        width += c.n_slots
+    held = F.filter(F.array(*entries), lambda e: e["v"] != 0.0)
+    cols = [F.col(f"`{key}`")] + [F.col(f"`{k}`") for k in keep if k != key]
+    return (compact.select(*cols, held.alias("__held"))
+            .select(*cols, F.struct(F.lit(width).alias("size"), F.col("__held.i").alias("indices"),
+                                    F.col("__held.v").alias("values")).alias("encoded")))
+
+
 def layout(encoder: Encoder) -> list[tuple[str, int, int, int, str]]:
     """(col, block, start, width, activation) of the dense encoding."""
     rows, start = [], 0
@@ -428,16 +517,6 @@ def layout_frame(spark, encoder: Encoder) -> DataFrame:
     return spark.createDataFrame(layout(encoder), LAYOUT_SCHEMA)
 
 
-def nearest_mode_col(x: Column, model: Mixture) -> Column:
-    """E11 over a column: mode whose mean is closest to x (first on ties)."""
-    dists = [F.abs(x - _lit(m)) for m in model.means]
-    best = F.least(*dists) if len(dists) > 1 else dists[0]
-    expr = None
-    for k, dk in enumerate(dists):
-        expr = F.when(dk == best, F.lit(k)) if expr is None else expr.when(dk == best, F.lit(k))
-    return expr.cast("int")
-
-
 # --------------------------------------------------------------------------- persistence
 _COLUMNS_SCHEMA = ("idx int, name string, kind string, modal array<double>, modal_values array<double>, "
                    "slot_order array<int>, seed int, rng string, n_categories long, category_bytes long")

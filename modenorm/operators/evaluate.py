@@ -35,29 +35,47 @@ def roundtrip(df: DataFrame, encoder: Encoder, key: str, lossless: bool = False)
 def roundtrip_report(df: DataFrame, encoder: Encoder, key: str, lossless: bool = False) -> DataFrame:
     """(col, mode, rows, clipped, max_abs_err, mean_abs_err); modal slots report mode -1.
 
-    One aggregate of conditional counts / sums / maxima per (column, mode):
-    no generated rows and no grouping shuffle.
+    Tasks add up rows, clipped rows, errors and the largest error of every column and mode in one pass; one
+    aggregate adds the tasks.
     """
     numeric = [c for c in encoder.columns if c.kind != "categorical"]
+    schema = "col string, mode int, rows bigint, clipped bigint, max_abs_err double, mean_abs_err double"
+    if not numeric:
+        return df.sparkSession.createDataFrame([], schema)
     rt = roundtrip(df, encoder, key, lossless)
-    aggs, cells = [], []
+    names, widths = [c.name for c in numeric], [2 + (c.model.k if c.model is not None else 0) for c in numeric]
+    nan = F.lit(float("nan"))
+    cols = []
     for i, c in enumerate(numeric):
-        x = F.col(f"`{c.name}`").cast("double")
-        valid = x.isNotNull() & ~F.isnan(x)
-        err = F.abs(F.col(f"`{c.name}_restored`") - x)
-        mode = F.coalesce(F.col(f"__{c.name}_mode"), F.lit(-1))
-        clipped = F.col(f"__{c.name}_clipped")
-        for m in [-1] + list(c.kept):
-            sel = valid & (mode == F.lit(m))
-            j = len(cells)
-            cells.append((c.name, m))
-            aggs += [F.count_if(sel).alias(f"r{j}"), F.count_if(sel & clipped).alias(f"c{j}"),
-                     F.max(F.when(sel, err)).alias(f"x{j}"), F.sum(F.when(sel, err)).alias(f"s{j}")]
-    spark = df.sparkSession
-    schema = "col string, mode int, rows bigint, clipped bigint, max_abs_err double, mean_abs_err double"
-    if not aggs:
-        return spark.createDataFrame([], schema)
-    row = rt.agg(*aggs).first()
-    out = [(name, m, row[f"r{j}"], row[f"c{j}"], row[f"x{j}"], row[f"s{j}"] / row[f"r{j}"])
-           for j, (name, m) in enumerate(cells) if row[f"r{j}"]]
-    return spark.createDataFrame(out, schema)
+        x = F.coalesce(F.col(f"`{c.name}`").cast("double"), nan)
+        cols += [x.alias(f"x{i}"), F.coalesce(F.abs(F.col(f"`{c.name}_restored`") - x), nan).alias(f"e{i}"),
+                 (F.coalesce(F.col(f"__{c.name}_mode"), F.lit(-1)) + 1).alias(f"m{i}"),
+                 F.col(f"__{c.name}_clipped").cast("int").alias(f"c{i}")]
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        sums = [np.zeros((3, w)) for w in widths]
+        most = [np.full(w, -1.0) for w in widths]
+        for b in batches:
+            for i, w in enumerate(widths):
+                x, e, m, clipped = (b.column(4 * i + j).to_numpy(zero_copy_only=False) for j in range(4))
+                ok = ~np.isnan(x)
+                e, m, clipped = e[ok], m[ok], clipped[ok]
+                for j, v in enumerate((np.ones(len(m)), clipped, np.nan_to_num(e))):
+                    sums[i][j] += np.bincount(m, weights=v, minlength=w)
+                np.maximum.at(most[i], m, np.nan_to_num(e, nan=-1.0))
+        for i, w in enumerate(widths):
+            own = np.flatnonzero(sums[i][0])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(own), i, np.int32)), pa.array((own - 1).astype(np.int32)),
+                 pa.array(sums[i][0][own].astype(np.int64)), pa.array(sums[i][1][own].astype(np.int64)), pa.array(sums[i][2][own]),
+                 pa.array(most[i][own])], names=["t", "mode", "rows", "clipped", "err", "most"])
+
+    added = (rt.select(*cols).mapInArrow(run, "t int, mode int, rows long, clipped long, err double, most double")
+             .groupBy("t", "mode").agg(F.sum("rows").alias("rows"), F.sum("clipped").alias("clipped"), F.sum("err").alias("err"),
+                                       F.max("most").alias("most")))
+    name = F.element_at(F.array(*map(F.lit, names)), F.col("t") + 1)
+    return added.select(name.alias("col"), "mode", "rows", "clipped", F.when(F.col("most") >= 0, F.col("most")).alias("max_abs_err"),
+                        F.when(F.col("most") >= 0, F.col("err") / F.col("rows")).alias("mean_abs_err"))

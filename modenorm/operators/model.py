@@ -13,7 +13,6 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MODEL_SCHEMA = T.StructType([
@@ -123,10 +122,3 @@ def significant_modes(model: Mixture, counts: dict[int, int], eps: float = DEFAU
     kept = [model.weights[i] > eps and counts.get(i, 0) > 0 for i in range(model.k)]
     return model.with_kept(kept)
 
-
-def significant_modes_frame(model_df: DataFrame, counts_df: DataFrame, eps: float = DEFAULT_EPS) -> DataFrame:
-    """D7 as a join of the model table with the hard-mode counts (both K rows)."""
-    joined = model_df.join(F.broadcast(counts_df), on="mode", how="left")
-    return joined.select(
-        "mode", "weight", F.coalesce(F.col("rows"), F.lit(0)).cast("long").alias("rows"),
-        ((F.col("weight") > F.lit(eps)) & (F.coalesce(F.col("rows"), F.lit(0)) > 0)).alias("kept"))

@@ -15,7 +15,7 @@ from modenorm.operators import encode as E
 from modenorm.operators.decode import decode
 from modenorm.operators.evaluate import roundtrip_report
 from modenorm.operators.fit import mode_counts
-from modenorm.operators.model import DEFAULT_EPS, significant_modes_frame, model_frame
+from modenorm.operators.model import DEFAULT_EPS, significant_modes
 from modenorm.operators.score import kept_probs, sample_mode, unscore, score
 from modenorm.plans.catalog import (HEAVY_TAIL_EVERY, HEAVY_TAIL_FACTOR, MISSING_SENTINEL, MIXED_MODAL, SEED, d, q6,
                                     r6, register, sql_argmax, sql_clip, sql_scores, table)
@@ -174,10 +174,13 @@ def d6_mode_counts(spark, sf_dir):
 @register("d7_kept", _with() + "SELECT w.m AS mode, w.weight AS weight, coalesce(h.n, 0) AS rows, k.kept AS kept "
           "FROM value_w w LEFT JOIN value_hard h ON w.m = h.m JOIN value_kept k ON w.m = k.m")
 def d7_kept(spark, sf_dir):
-    ev = table(spark, sf_dir, "events")
-    counts = mode_counts(ev, "value", M)
-    model_df = model_frame(spark, [M])
-    return significant_modes_frame(model_df, counts, DEFAULT_EPS)
+    """D7 by the encoder's own pass."""
+    code = E.ColumnCode(name="value", kind="continuous", model=M)
+    counts = E._hard_counts(table(spark, sf_dir, "events"), [code])["value"]
+    model = significant_modes(M, counts, DEFAULT_EPS)
+    # K rows; the counts behind them come from the distributed pass above
+    return spark.createDataFrame([(k, M.weights[k], counts.get(k, 0), model.kept[k]) for k in ALL],
+                                 "mode int, weight double, rows long, kept boolean")
 
 
 @register("d8_inventory", f"""
@@ -249,8 +252,15 @@ def e10_rank(spark, sf_dir):
 @register("e11_nearest", "SELECT event_id, CAST(" + sql_argmax(
     [f"(-abs(value - {d(m)}))" for m in M.means], ALL) + " AS INTEGER) AS nearest FROM events")
 def e11_nearest(spark, sf_dir):
-    ev = table(spark, sf_dir, "events")
-    return ev.select("event_id", E.nearest_mode_col(F.col("value"), M).alias("nearest"))
+    """E11's own function (the encoder applies it to modal values) over every value."""
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            near = E.nearest_modes(M, b.column(1).to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(near, pa.int32())], names=["event_id", "nearest"])
+
+    return table(spark, sf_dir, "events").select("event_id", "value").mapInArrow(run, "event_id long, nearest int")
 
 
 @register("e12_modal", _with(mixed=True, value=False) + f"SELECT event_id, {q6('x_val')} AS x_value FROM x_enc "
@@ -281,6 +291,58 @@ def e15_cat_onehot(spark, sf_dir):
     return E.encode(df, E.Encoder([enc.column("event_type")]), "event_id")
 
 
+@register("e15_onehot_block", _with(value=False, cat=True) + f"""
+SELECT b.event_id, CAST(p.slot AS INTEGER) AS pos, CASE WHEN r.slot = p.slot THEN {d(1.0)} ELSE {d(0.0)} END AS hot
+FROM base b LEFT JOIN cat_rk r ON b.event_type IS NOT DISTINCT FROM r.category, cat_rk p""")
+def e15_onehot_block(spark, sf_dir):
+    """The whole one-hot block of a categorical column, a row for each entry."""
+    df, enc = encoder_for(spark, sf_dir)
+    out = E.encode(df, E.Encoder([enc.column("event_type")]), "event_id", form="dense")
+    return out.select("event_id", F.posexplode("encoded").alias("pos", "hot"))
+
+
+_ENTRIES_SQL = _with(mixed=True, cat=True) + f"""
+, sizes AS (SELECT (SELECT max(value_nkept) FROM value_enc) AS a, {N_MODAL} + (SELECT max(x_nkept) FROM x_enc) AS b,
+                   (SELECT count(*) FROM cat_rk) AS c),
+entries AS (
+  SELECT event_id, 0 AS pos, value_val AS v FROM value_enc
+  UNION ALL SELECT event_id, 1 + value_slot, {d(1.0)} FROM value_enc
+  UNION ALL SELECT event_id, 1 + a, x_val FROM x_enc, sizes
+  UNION ALL SELECT event_id, 2 + a + x_slot, {d(1.0)} FROM x_enc, sizes
+  UNION ALL SELECT b.event_id, 2 + a + s.b + r.slot, {d(1.0)} FROM base b JOIN cat_rk r ON b.event_type IS NOT DISTINCT FROM r.category, sizes s)
+SELECT event_id, CAST(2 + a + b + c AS INTEGER) AS width, CAST(pos AS INTEGER) AS pos, {q6('v')} AS v FROM entries, sizes WHERE v <> 0"""
+
+
+def _entries(out, array):
+    rows = out.select("event_id", F.size(array).alias("width"), F.posexplode(array).alias("pos", "v"))
+    return rows.where("v <> 0").select("event_id", "width", "pos", r6("v").alias("v"))
+
+
+@register("e16_dense", _ENTRIES_SQL)
+def e16_dense(spark, sf_dir):
+    """E16, dense form: every entry that is not zero, and the width."""
+    df, enc = encoder_for(spark, sf_dir)
+    return _entries(E.encode(df, enc, "event_id", form="dense"), F.col("encoded"))
+
+
+@register("e16_vector", _ENTRIES_SQL)
+def e16_vector(spark, sf_dir):
+    """E16, ML vector form."""
+    from pyspark.ml.functions import vector_to_array
+
+    df, enc = encoder_for(spark, sf_dir)
+    return _entries(E.encode(df, enc, "event_id", form="vector"), vector_to_array(F.col("encoded")))
+
+
+@register("e16_sparse", _ENTRIES_SQL)
+def e16_sparse(spark, sf_dir):
+    """E16, sparse form."""
+    df, enc = encoder_for(spark, sf_dir)
+    out = E.encode(df, enc, "event_id", form="sparse").select("event_id", "encoded.*")
+    rows = out.select("event_id", "size", F.inline(F.arrays_zip("indices", "values")))
+    return rows.select("event_id", F.col("size").alias("width"), F.col("indices").alias("pos"), r6("values").alias("v"))
+
+
 @register("e16_encode", _with(mixed=True, cat=True) + f"""
 SELECT v.event_id, {q6('v.value_val')} AS value_value, v.value_slot, {q6('x.x_val')} AS x_value, x.x_slot,
        r.slot AS event_type_slot
