@@ -79,7 +79,7 @@ def main() -> None:
     scaled_path = f"{scratch}/scaled"
 
     def scale():
-        rep = replicate(lineitem, target, chunk=1_000_000, order_by=["l_orderkey", "l_linenumber", "l_partkey"])
+        rep = replicate(lineitem, target, chunk=1_000_000)
         noisy = add_noise(rep, numeric_columns(lineitem), sd=0.01, seed=42, key="id", method="hash64")
         write_chunks(noisy.drop("pos"), scaled_path)
     timed("scale_up", scale, target)

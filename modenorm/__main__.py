@@ -2,6 +2,7 @@
 
   python -m modenorm normalize SRC DST --col Amount [--key id] [--model-path P] [--lossless]
   python -m modenorm scaleup SRC DST --target 1000000000 [--chunk 10000000] [--format csv|parquet]
+  python -m modenorm per-file SRC DST --col Amount [--head-rows 100000] [--model-path P]
   python -m modenorm profile SRC [--exact]
   python -m modenorm stream SRC DST --model-path P --col Amount [--checkpoint C]
   python -m modenorm encode SRC DST --key id --continuous a,b --mixed c:0|-9999999 --categorical d [--lossless]
@@ -41,6 +42,17 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--format", choices=["csv", "parquet"], default="csv")
     s.add_argument("--noise", choices=["hash64", "keyed", "fast"], default="hash64")
 
+    s.add_argument("--files", action="store_true", help="one file chunk_<i>.parquet per chunk instead of a folder")
+
+    f = sub.add_parser("per-file", help="fit on the head of the first file, write transformed_<file> for each input file")
+    f.add_argument("src")
+    f.add_argument("dst")
+    f.add_argument("--col", default="Amount")
+    f.add_argument("--head-rows", type=int, default=100_000)
+    f.add_argument("--max-iter", type=int, default=200)
+    f.add_argument("--model-path", default=None)
+    f.add_argument("--folders", action="store_true", help="a folder source_file=transformed_<file> instead of a file")
+
     r = sub.add_parser("profile", help="rows, size, missing values, describe statistics")
     r.add_argument("src")
     r.add_argument("--exact", action="store_true")
@@ -81,8 +93,14 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         from modenorm.operators.scaleup import scale_up
 
         scale_up(spark, args.src, args.dst, args.target, chunk=args.chunk, sd=args.sd, seed=args.seed,
-                 fmt=args.format, noise=args.noise)
+                 fmt=args.format, noise=args.noise, files=args.files)
         print(f"{args.target} rows written to {args.dst}")
+    elif args.cmd == "per-file":
+        from modenorm.plans.jobs import per_file_job
+
+        per_file_job(spark, args.src, args.dst, col=args.col, head_rows=args.head_rows, max_iter=args.max_iter,
+                     model_path=args.model_path, folders=args.folders)
+        print(f"transformed files written to {args.dst}")
     elif args.cmd == "profile":
         from modenorm.plans.jobs import profile_job
 

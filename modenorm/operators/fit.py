@@ -372,7 +372,7 @@ def summaries(frame: DataFrame, n_targets: int) -> dict[int, Summary]:
         *[F.sum(F.when(F.col("position") == i, F.col("value"))).alias(n) for i, n in enumerate(("n", "sum", "distinct"))],
         F.min(sketched).alias("low"), F.max(sketched).alias("high"),
         F.percentile_approx(sketched, probs, SKETCH_ACCURACY).alias("knots")).collect()
-    return {r["t"]: Summary(r["n"], r["sum"] / r["n"], r["low"], r["high"], r["distinct"], list(r["knots"])) for r in got}
+    return {r["t"]: Summary(r["n"], (r["sum"] or 0.0) / r["n"], r["low"], r["high"], r["distinct"], list(r["knots"])) for r in got}
 
 
 def _edges(st: Summary, bins: int):

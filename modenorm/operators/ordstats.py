@@ -7,6 +7,14 @@ partitions -- sorted within partitions, and checkpointed so partition ids
 stay stable.  Per (partition, group) counts (a table of at most
 #partitions x #groups rows) give each partition's offset; a row's index is
 its offset plus its position inside the partition.
+
+Where any order will do, :func:`file_index` takes it from the files: a row's
+place in its file is metadata, and counts by file give the offsets; nothing
+is sorted, shuffled or written.
+
+Exact quantiles are selected digit by digit: a double is an order-preserving
+64-bit key, and four passes count 16 bits of it each, for all columns and
+ranks together.
 """
 
 from __future__ import annotations
@@ -14,6 +22,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,126 +62,131 @@ def dense_index(df: DataFrame, order_by: Sequence[str | Column], group_by: Seque
     return res.drop("__tb", "__pid", "__mid", "__mid0", "__off")
 
 
-def _brackets(probs: Sequence[float], n: int, qs: dict, eps: float):
-    """Wanted ranks of each p and the sketch bracket around each rank."""
-    targets, brackets = [], {}
-    for p in probs:
-        pos = p * (n - 1)
-        lo, hi = int(math.floor(pos)), int(math.ceil(pos))
-        targets.append((p, lo, hi, pos - lo))
-        for rank in (lo, hi):
-            brackets[rank] = (qs[min(1.0, max(0.0, p - eps))], qs[min(1.0, max(0.0, p + eps))])
-    return targets, brackets
-
-
-def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int = 10000,
-                     max_collect: int = 50_000, max_rounds: int = 8) -> DataFrame:
+def file_index(df: DataFrame, out: str = "idx") -> DataFrame | None:
+    """0-based index of each row in (file path, row) order; None where ``df`` is no whole scan of Parquet files."""
+    names = df.columns
+    try:
+        rows = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    except AnalysisException:
+        return None
+    files = rows.groupBy("__file").agg(F.count(F.lit(1)).alias("__n"), (F.max("__row") + 1).alias("__last"))
+    before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    files = files.withColumn("__off", F.sum("__n").over(before) - F.col("__n")).persist()  # a row for each file
+    try:
+        n_files, gaps = files.agg(F.count(F.lit(1)), F.count_if(F.col("__n") != F.col("__last"))).first()
+        if gaps:  # rows were filtered away
+            return None
+        offsets = files.select("__file", "__off")
+        right = F.broadcast(offsets) if n_files <= BROADCAST_OFFSET_ROWS else offsets
+        found = rows.join(right, "__file").withColumn(out, F.col("__off") + F.col("__row"))
+        return found.select(*[f"`{c}`" for c in names], out)
+    finally:
+        files.unpersist()
+
+
+DIGIT = 16          # bits of a key that a pass counts
+ROUNDS = 64 // DIGIT
+
+
+def ordered_keys(x):
+    """Order-preserving unsigned 64-bit keys of an array of doubles (no NaN); 0.0 and -0.0 are one value."""
+    import numpy as np
+
+    bits = (x + 0.0).view(np.uint64)
+    negative = bits >> np.uint64(63) == 1
+    return np.where(negative, ~bits, bits | np.uint64(1 << 63))
+
+
+def key_value(key: int) -> float:
+    """The double of an ordered key."""
+    import struct
+
+    bits = key ^ (1 << 63) if key >> 63 else ~key & (2 ** 64 - 1)
+    return struct.unpack("<d", struct.pack("<Q", bits))[0]
+
+
+def _digit_counts(df: DataFrame, cols: Sequence[str], prefixes: list[list[int]], done: int) -> DataFrame:
+    """``(t, p, digit, n)``: rows of column t whose first ``done`` bits are its p-th prefix, by the next digit."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        total: dict = {}
+        rest = np.uint64(64 - done - DIGIT)
+        for b in batches:
+            for t, own in enumerate(prefixes):
+                x = b.column(t).to_numpy(zero_copy_only=False)
+                keys = ordered_keys(x[~np.isnan(x)])
+                for p, prefix in enumerate(own):
+                    part = keys[keys >> np.uint64(64 - done) == np.uint64(prefix)] if done else keys
+                    digit, n = np.unique(part >> rest & np.uint64((1 << DIGIT) - 1), return_counts=True)
+                    if len(digit):
+                        if (t, p) not in total:
+                            total[t, p] = np.zeros(1 << DIGIT, np.int64)
+                        total[t, p][digit.astype(np.int64)] += n
+        for (t, p), n in total.items():
+            own = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(own), t, np.int32)), pa.array(np.full(len(own), p, np.int32)),
+                 pa.array(own.astype(np.int32)), pa.array(n[own])], names=["t", "p", "digit", "n"])
+
+    nan = F.lit(float("nan"))
+    rows = df.select(*[F.coalesce(F.col(f"`{c}`").cast("double"), nan).alias(f"x{t}") for t, c in enumerate(cols)])
+    return (rows.mapInArrow(run, "t int, p int, digit int, n long").groupBy("t", "p", "digit").agg(F.sum("n").alias("n")))
+
+
+def select_ranks(df: DataFrame, cols: Sequence[str], ranks_of) -> tuple[list[int], dict[tuple[int, int], float]]:
+    """Values at the 0-based ranks ``ranks_of(n)`` of every column, and the columns' counts; four passes.
+
+    A pass gives at most 65,536 counts for each (column, wanted prefix); the digit that holds a rank is found where
+    the counts are, so only a row for each column and rank comes to the driver.
+    """
+    spark = df.sparkSession
+    counts = [0] * len(cols)
+    prefixes: list[list[int]] = [[0] for _ in cols]
+    at: dict[tuple[int, int], tuple[int, int]] = {}          # (column, rank) -> (prefix, rank among its rows)
+    for r in range(ROUNDS):
+        got = _digit_counts(df, cols, prefixes, r * DIGIT)
+        by = Window.partitionBy("t", "p").orderBy("digit")
+        upto = got.withColumn("upto", F.sum("n").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        if r == 0:
+            upto = upto.persist()
+            for t, n in upto.groupBy("t").agg(F.max("upto")).collect():
+                counts[t] = n
+            at = {(t, k): (0, k) for t, n in enumerate(counts) if n for k in ranks_of(n)}
+            if not at:
+                upto.unpersist()
+                return counts, {}
+        wanted = spark.createDataFrame([(t, prefixes[t].index(p), k, rest) for (t, k), (p, rest) in at.items()],
+                                       "t int, p int, rank long, rest long")
+        hit = upto.join(F.broadcast(wanted), ["t", "p"]).where("upto > rest AND upto - n <= rest").select(
+            "t", "rank", "digit", (F.col("rest") - F.col("upto") + F.col("n")).alias("rest")).collect()
+        if r == 0:
+            upto.unpersist()
+        at = {(h["t"], h["rank"]): (at[h["t"], h["rank"]][0] << DIGIT | h["digit"], h["rest"]) for h in hit}
+        prefixes = [sorted({p for (t, _), (p, _) in at.items() if t == i}) for i in range(len(cols))]
+    return counts, {k: key_value(p) for k, (p, _) in at.items()}
+
+
+def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Exact linear-interpolated quantiles of several numeric columns (NaN and null ignored).
 
-    Refinement from bounded sketches, no shuffle of the data and no write:
-    1. one aggregate: per column the count and ``percentile_approx`` at
-       ``p +- 3/accuracy`` (its rank error is at most n/accuracy, so the exact
-       order statistic lies inside the bracket);
-    2. one aggregate: rows below and inside every bracket (checks the bracket);
-    3. one aggregate: for brackets with at most ``max_collect`` values, the
-       k-th smallest value inside, ``element_at(sort_array(collect_list))``;
-       a bracket with equal ends is its own answer; larger brackets are
-       narrowed with a sketch restricted to them and the round repeats.
-    Brackets that fail their count check fall back to :func:`dense_index`.
-    Returns (column, p, quantile).
+    Returns (column, p, quantile); a column without values has no rows.
     """
-    spark = df.sparkSession
-    eps = 3.0 / accuracy
-    ext = sorted({min(1.0, max(0.0, q)) for p in probs for q in (p - eps, p + eps)})
-
-    def val(c: str):
-        x = F.col(f"`{c}`").cast("double")
-        return F.when(~F.isnan(x), x)
-
-    aggs = []
-    for i, c in enumerate(cols):
-        aggs += [F.count(val(c)).alias(f"n{i}"), F.percentile_approx(val(c), ext, accuracy).alias(f"q{i}")]
-    first = df.agg(*aggs).first()
-    targets: dict[int, list] = {}
-    pending: dict[tuple[int, int], tuple[float, float]] = {}
-    found: dict[tuple[int, int], float] = {}
-    for i, _c in enumerate(cols):
-        n = first[f"n{i}"]
-        if not n:
-            continue
-        qs = dict(zip(ext, first[f"q{i}"]))
-        targets[i], br = _brackets(probs, n, qs, eps)
-        for rank, b in br.items():
-            pending[(i, rank)] = b
-    for _round in range(max_rounds):
-        if not pending:
-            break
-        keys = list(pending)
-        aggs = []
-        for j, (i, rank) in enumerate(keys):
-            lo_v, hi_v = pending[(i, rank)]
-            x = val(cols[i])
-            aggs += [F.count_if(x < F.lit(lo_v)).alias(f"b{j}"),
-                     F.count_if((x >= F.lit(lo_v)) & (x <= F.lit(hi_v))).alias(f"c{j}")]
-        counts = df.agg(*aggs).first()
-        picks, refine, missed = [], [], []
-        for j, key in enumerate(keys):
-            below, inside = counts[f"b{j}"], counts[f"c{j}"]
-            lo_v, hi_v = pending[key]
-            if not (below <= key[1] < below + inside):
-                missed.append(key)
-            elif lo_v == hi_v:
-                found[key] = lo_v
-                del pending[key]
-            elif inside <= max_collect:
-                picks.append((key, key[1] - below))
-            else:
-                refine.append((key, below, inside))
-        if picks:
-            aggs = []
-            for j, ((i, rank), k) in enumerate(picks):
-                lo_v, hi_v = pending[(i, rank)]
-                x = val(cols[i])
-                inside = F.when((x >= F.lit(lo_v)) & (x <= F.lit(hi_v)), x)
-                aggs.append(F.element_at(F.sort_array(F.collect_list(inside)), k + 1).alias(f"v{j}"))
-            got = df.agg(*aggs).first()
-            for j, (key, _k) in enumerate(picks):
-                found[key] = got[f"v{j}"]
-                del pending[key]
-        if missed:
-            break
-        if refine:  # all brackets narrow in one aggregate
-            aggs = []
-            for j, ((i, rank), below, inside) in enumerate(refine):
-                lo_v, hi_v = pending[(i, rank)]
-                x = val(cols[i])
-                q = (rank - below) / max(inside - 1, 1)
-                qq = sorted({min(1.0, max(0.0, q - eps)), min(1.0, max(0.0, q + eps))})
-                aggs.append(F.percentile_approx(F.when((x >= F.lit(lo_v)) & (x <= F.lit(hi_v)), x), qq, accuracy)
-                            .alias(f"q{j}"))
-            got = df.agg(*aggs).first()
-            for j, (key, _, _) in enumerate(refine):
-                pending[key] = (got[f"q{j}"][0], got[f"q{j}"][-1])
-    by_col: dict[int, list[int]] = {}
-    for (i, rank) in pending:
-        by_col.setdefault(i, []).append(rank)
-    for i, ranks in by_col.items():
-        # Fallback for what the sketches did not pin down: one distributed dense index per column.
-        x = val(cols[i])
-        idx = dense_index(df.select(x.alias("v")).where(F.col("v").isNotNull()), ["v"])
-        for r in idx.where(F.col("idx").isin(ranks)).select("idx", "v").collect():
-            found[(i, r["idx"])] = r["v"]
-    pending.clear()
+    def ends(n: int, p: float) -> tuple[int, int]:
+        return math.floor(p * (n - 1)), math.ceil(p * (n - 1))
+
+    counts, value = select_ranks(df, cols, lambda n: sorted({k for p in probs for k in ends(n, p)})) if cols else ([], {})
     out = []
-    for i, ts in targets.items():
-        for p, lo, hi, frac in ts:
-            v_lo, v_hi = found[(i, lo)], found[(i, hi)]
-            out.append((cols[i], float(p), v_lo + (v_hi - v_lo) * frac))
-    return spark.createDataFrame(out, "column string, p double, quantile double")
+    for t, (c, n) in enumerate(zip(cols, counts)):
+        for p in probs if n else ():
+            lo, hi = ends(n, p)
+            low = value[t, lo]
+            out.append((c, float(p), low + (value[t, hi] - low) * (p * (n - 1) - lo) if hi > lo else low))
+    return df.sparkSession.createDataFrame(out, "column string, p double, quantile double")
 
 
-def exact_quantiles(long_df: DataFrame, group: str, value: str, probs: Sequence[float],
-                    accuracy: int = 10000, max_collect: int = 50_000) -> DataFrame:
+def exact_quantiles(long_df: DataFrame, group: str, value: str, probs: Sequence[float]) -> DataFrame:
     """Exact quantiles per group of a long (group, value) table: one column per group value.
 
     The groups are few (columns of a table, modes of a model): they are
@@ -183,7 +197,7 @@ def exact_quantiles(long_df: DataFrame, group: str, value: str, probs: Sequence[
     names = [f"g{i}" for i in range(len(groups))]
     wide = long_df.select(*[F.when(F.col(group) == F.lit(g), F.col(value).cast("double")).alias(nm)
                             for g, nm in zip(groups, names)])
-    q = column_quantiles(wide, names, probs, accuracy=accuracy, max_collect=max_collect).collect()
+    q = column_quantiles(wide, names, probs).collect()
     by_name = dict(zip(names, groups))
     gtype = long_df.schema[group].dataType.simpleString()
     rows = [(by_name[r["column"]], r["p"], r["quantile"]) for r in q]

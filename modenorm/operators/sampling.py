@@ -14,6 +14,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,13 +44,25 @@ def _keys(df: DataFrame, key: str | Sequence[str] | None) -> list[Column]:
     return [F.col(k) for k in key]
 
 
+def _second_key(df: DataFrame) -> Column:
+    """A string for rows without a key: file and row index where the table has them, else a hash of the row."""
+    try:
+        place = F.concat_ws("\u0001", F.lit("row"), F.col("_metadata.file_path"), F.col("_metadata.row_index").cast("string"))
+        df.select(place)
+        return place
+    except AnalysisException:
+        # maps have no hash; as text they do
+        whole = [F.col(f"`{c}`") if not t.startswith("map") else F.col(f"`{c}`").cast("string") for c, t in df.dtypes]
+        return F.concat_ws("\u0001", F.lit("row"), F.xxhash64(*whole).cast("string"))
+
+
 def sample_n(df: DataFrame, n: int = DEFAULT_SAMPLE_ROWS, seed: int = DEFAULT_SEED,
              key: str | Sequence[str] | None = None, strict: bool = False, total: int | None = None,
              rng: str = "md5") -> DataFrame:
     """B1: exactly ``min(n, rows)`` rows without replacement, a pure function of (key, seed).
 
-    ``key`` must identify rows uniquely (ties in ``u`` are broken by the key).  Rows with a null key share one
-    place in the order, so the sample is complete whatever the keys.
+    ``key`` must identify rows uniquely (ties in ``u`` are broken by the key).  A row whose key is null draws by a
+    second key: its file and place in a file-based table, else a hash of the whole row.
     ``strict=True`` raises when the table has fewer than ``n`` rows.
     ``rng``: ``md5`` (default; reproducible in other engines) or ``hash64``
     (Spark's xxhash64: same guarantees inside Spark, several times cheaper).
@@ -58,7 +71,7 @@ def sample_n(df: DataFrame, n: int = DEFAULT_SAMPLE_ROWS, seed: int = DEFAULT_SE
         raise ValueError("n must be >= 0")
     keys = _keys(df, key)
     key_str = keys[0] if len(keys) == 1 else F.concat_ws("\u0001", *[k.cast("string") for k in keys])
-    u = F.coalesce(uniform(key_str, seed, rng), uniform(F.lit("null key"), seed, rng))
+    u = F.coalesce(uniform(key_str, seed, rng), uniform(_second_key(df), seed, rng))
     total = df.count() if total is None else total
     if n > total and strict:
         raise ValueError(f"cannot take a sample of {n} rows from {total}")

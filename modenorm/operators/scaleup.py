@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 
 from modenorm.functions.rng import hash64_normal_pair, normals_from_digest, pair_digest
-from modenorm.operators.ordstats import dense_index
+from modenorm.operators.ordstats import dense_index, file_index
 from modenorm.operators.profile import _bytes_expr, numeric_columns
 
 # Fixed values of the reference's scale-up: 10M rows per chunk, noise sd 0.01.
@@ -46,20 +46,24 @@ def chunk_plan(spark: SparkSession, target: int, chunk: int = DEFAULT_CHUNK) ->
         F.least(F.lit(chunk).cast("long"), F.lit(int(target)) - c * F.lit(chunk)).alias("rows"))
 
 
-def _base_size(base: DataFrame) -> tuple[int, int]:
+def _base_size(base: DataFrame) -> tuple[int, int | None]:
+    """Rows, and bytes where few enough rows make them matter."""
+    n = base.count()
+    if n > BROADCAST_BASE_ROWS:
+        return n, None
     total = None
     for col in base.columns:
         e = _bytes_expr(base, col)
         total = e if total is None else total + e
-    r = base.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(total), F.lit(0)).alias("b")).first()
-    return int(r["n"]), int(r["b"])
+    return n, int(base.agg(F.coalesce(F.sum(total), F.lit(0))).first()[0])
 
 
 def replicate(df: DataFrame, target: int, chunk: int = DEFAULT_CHUNK, order_by: Sequence[str] | None = None,
               partitions: int | None = None, strategy: str = "auto") -> DataFrame:
     """Exactly ``target`` rows ``(id, chunk, pos, <base columns>)``; each chunk restarts at base row 0.
 
-    ``order_by`` fixes which base row is "first" (default: all columns).  Both strategies give the same rows:
+    ``order_by`` fixes which base row is "first".  By default rows keep the order of a Parquet base's files (their
+    index is file metadata: no sort, no write); any other base is ordered by all columns.  Both strategies give the same rows:
     ``broadcast`` joins a small base to the new ids, ``explode`` copies each base row in its own task.
     """
     spark = df.sparkSession
@@ -68,14 +72,15 @@ def replicate(df: DataFrame, target: int, chunk: int = DEFAULT_CHUNK, order_by:
     n, nbytes = _base_size(df)
     if n == 0:
         raise ValueError("cannot replicate an empty table")
-    order = list(order_by) if order_by else list(df.columns)
     cols = [F.col(f"`{c}`") for c in df.columns]
-    small = n <= BROADCAST_BASE_ROWS and nbytes <= BROADCAST_BASE_BYTES
+    small = nbytes is not None and nbytes <= BROADCAST_BASE_BYTES
     if strategy == "auto":
         strategy = "broadcast" if small else "explode"
     if strategy == "broadcast" and not small:
         raise ValueError(f"a base of {n} rows and {nbytes} bytes is too large to broadcast")
-    base = dense_index(df, order, out="__src")
+    base = None if order_by else file_index(df, out="__src")
+    if base is None:
+        base = dense_index(df, list(order_by) if order_by else list(df.columns), out="__src")
     if strategy == "broadcast":
         # A multiple of the cluster's parallelism, each split at most ROWS_PER_PARTITION rows.
         par = spark.sparkContext.defaultParallelism
@@ -151,13 +156,14 @@ def union_all(dfs: Sequence[DataFrame]) -> DataFrame:
 
 def scale_up(spark: SparkSession, src: str, dst: str, target: int, chunk: int = DEFAULT_CHUNK,
              sd: float = DEFAULT_NOISE_SD, seed: int = 42, exclude: Sequence[str] = (),
-             order_by: Sequence[str] | None = None, fmt: str = "csv", noise: str = "hash64") -> None:
-    """Read (CSV or Parquet) -> drop index column -> replicate -> noise -> one folder per chunk."""
-    from modenorm.sources.io import drop_index_cols, read_csv, read_table, write_chunks
+             order_by: Sequence[str] | None = None, fmt: str = "csv", noise: str = "hash64", files: bool = False) -> None:
+    """Read (CSV or Parquet) -> drop index column -> replicate -> noise -> one folder per chunk (``files``: one
+    file ``chunk_<i>.parquet``, written by one task)."""
+    from modenorm.sources.io import drop_index_cols, read_csv, read_table, write_chunk_files, write_chunks
 
     base = read_csv(spark, src) if fmt == "csv" else read_table(spark, src)
     base = drop_index_cols(base)
     num = numeric_columns(base, exclude=exclude)
     rep = replicate(base, target, chunk, order_by=order_by)
     noisy = add_noise(rep, num, sd=sd, seed=seed, key="id", method=noise)
-    write_chunks(noisy.drop("pos"), dst, chunk_col="chunk")
+    (write_chunk_files if files else write_chunks)(noisy.drop("pos"), dst, chunk_col="chunk")

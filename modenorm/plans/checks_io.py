@@ -21,8 +21,8 @@ from modenorm.plans.checks_jobs import _E6_SQL, CHUNK, M, _REPL_SQL, _target
 from modenorm.plans.checks_profile import _describe_sql
 from modenorm.plans.jobs import encoder_job, per_file_frame, profile_job
 from modenorm.session import scratch_path
-from modenorm.sources.io import (first_files, list_sources, read_csv, read_table, source_name, write_chunks,
-                                 write_per_source, write_table)
+from modenorm.sources.io import (first_files, list_sources, read_csv, read_table, source_name, write_chunk_files,
+                                 write_chunks, write_per_source, write_source_files, write_table)
 
 
 def _scored_cols(df):
@@ -43,6 +43,21 @@ def a2_csv(spark, sf_dir):
     return back.select("event_id", "user_id", "event_type", r6("value").alias("value"))
 
 
+@register("a2_csv_schema", f"""
+SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE user_id END AS user_id,
+       CASE WHEN event_id % 5 = 0 THEN NULL ELSE event_type END AS event_type,
+       CASE WHEN event_id % 7 = 0 THEN NULL ELSE {q6('value')} END AS value FROM events""")
+def a2_csv_schema(spark, sf_dir):
+    """A2 with a schema: NA tokens are null in every column, as without one."""
+    path = scratch_path(spark, "csv-schema")
+    ev = table(spark, sf_dir, "events").select("event_id", *[
+        F.when(F.col("event_id") % m == 0, F.lit(token)).otherwise(F.col(c).cast("string")).alias(c)
+        for c, m, token in (("user_id", 3, "NA"), ("event_type", 5, "N/A"), ("value", 7, "NaN"))])
+    ev.write.option("header", "true").csv(path)
+    back = read_csv(spark, path, schema="event_id long, user_id long, event_type string, value double")
+    return back.withColumn("value", r6("value"))
+
+
 @register("a6_first_files", "SELECT event_id, value FROM events")
 def a6_first_files(spark, sf_dir):
     df = read_table(spark, f"{sf_dir.rstrip('/')}/events.parquet")
@@ -75,6 +90,26 @@ def a10_per_source(spark, sf_dir):
     return spark.read.parquet(path).groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@register("a9_chunk_files", f"""
+SELECT 'chunk_' || (r.id // {CHUNK}) || '.parquet' AS file_name, count(*) AS rows
+FROM range(0, (SELECT count(*) FROM lineitem)) r(id) GROUP BY 1""")
+def a9_chunk_files(spark, sf_dir):
+    """A9 as single files with the chunks' names."""
+    path = scratch_path(spark, "chunk-files")
+    write_chunk_files(replicate(table(spark, sf_dir, "nation"), _target(spark, sf_dir), CHUNK, order_by=["n_nationkey"]), path)
+    return list_sources(spark.read.parquet(path))
+
+
+@register("a10_files", _E6_SQL.replace("SELECT event_id,", "SELECT 'transformed_' || 'events.parquet' AS file_name, event_id,", 1))
+def a10_files(spark, sf_dir):
+    """A10 as single files with the inputs' names."""
+    path = scratch_path(spark, "source-files")
+    write_source_files(score(table(spark, sf_dir, "events"), "value", M), path)
+    back = spark.read.parquet(path)
+    return back.select(source_name(back).alias("file_name"), "event_id", "user_id", "event_type", r6("value").alias("value"),
+                       r6("value_Transformed").alias("value_Transformed"), "Mode_Assignment")
+
+
 _C6_SEED = 42
 
 

@@ -50,6 +50,19 @@ def c3_replicate(spark, sf_dir):
     return replicate(table(spark, sf_dir, "nation"), _target(spark, sf_dir), CHUNK, order_by=["n_nationkey"])
 
 
+@register("c3_file_order", f"""
+WITH t AS (SELECT count(*) AS n FROM lineitem), b AS (SELECT count(*) AS nb FROM events)
+SELECT e.event_id, e.value, (n // {CHUNK}) * ({CHUNK} // nb + CASE WHEN {CHUNK} % nb > e.i THEN 1 ELSE 0 END)
+       + (n % {CHUNK}) // nb + CASE WHEN (n % {CHUNK}) % nb > e.i THEN 1 ELSE 0 END AS copies
+FROM (SELECT event_id, value, row_number() OVER (ORDER BY file_row_number) - 1 AS i
+      FROM (SELECT *, row_number() OVER () AS file_row_number FROM events)) e, t, b
+WHERE copies > 0""")
+def c3_file_order(spark, sf_dir):
+    """C3 over a base in file order: how often each base row comes back."""
+    rep = replicate(table(spark, sf_dir, "events").select("event_id", "value"), _target(spark, sf_dir), CHUNK, strategy="explode")
+    return rep.groupBy("event_id", "value").agg(F.count(F.lit(1)).alias("copies"))
+
+
 @register("c4_noise", _REPL_SQL + f"""
 SELECT id, {q6(f"n_nationkey + {d(0.01)} * {keyed_normal_pair_sql('id', NOISE_SEED, 0)[0]}")} AS n_nationkey,
        {q6(f"n_regionkey + {d(0.01)} * {keyed_normal_pair_sql('id', NOISE_SEED, 0)[1]}")} AS n_regionkey, n_name FROM rep""")

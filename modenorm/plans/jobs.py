@@ -20,7 +20,7 @@ from modenorm.operators.model import Mixture, save_model
 from modenorm.operators.profile import profile
 from modenorm.operators.sampling import DEFAULT_SAMPLE_ROWS, head_n, sample_n
 from modenorm.operators.score import score
-from modenorm.sources.io import first_files, read_table, source_name, write_per_source, write_table
+from modenorm.sources.io import first_files, read_table, source_name, write_per_source, write_source_files, write_table
 
 
 def fit_on_sample(df: DataFrame, col: str, key: str | None = None, sample_rows: int = DEFAULT_SAMPLE_ROWS,
@@ -67,14 +67,17 @@ def profile_job(spark: SparkSession, src: str | Sequence[str], exact: bool = Fal
     return profile(read_table(spark, src), exact=exact)
 
 
-def per_file_job(spark: SparkSession, src: str, dst: str, col: str = "Amount", head_rows: int = 100_000,
-                 **fit_kw) -> Mixture:
-    """H4: fit on the first ``head_rows`` rows of the first file; one output folder per input file."""
+def per_file_job(spark: SparkSession, src: str | Sequence[str], dst: str, col: str = "Amount", head_rows: int = 100_000,
+                 model_path: str | None = None, folders: bool = False, **fit_kw) -> Mixture:
+    """H4: fit on the first ``head_rows`` rows of the first file; one output file ``transformed_<file>`` per input file
+    (``folders``: a folder of several files instead, for input files that one task should not write)."""
     df = read_table(spark, src)
     first = first_files(spark, df, 1)
     head = first.where(F.col("_metadata.row_index") < F.lit(head_rows)).select(col)
     model = fit_modes(head, col, **fit_kw)
-    write_per_source(score(df, col, model), dst)
+    (write_per_source if folders else write_source_files)(score(df, col, model), dst)
+    if model_path:
+        save_model(spark, [model], model_path)
     return model
 
 

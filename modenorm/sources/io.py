@@ -7,8 +7,10 @@ afterwards reach the Parquet scan through Catalyst (``ReadSchema`` /
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,16 +43,23 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
              na_values: Iterable[str] = NA_TOKENS, integers_as_double: bool = True) -> DataFrame:
     """A2: CSV with header; NA tokens become null; integers read as double.
 
-    With a schema, Spark parses directly.  Without one the file is read as
-    strings (no inference pass over the data), NA tokens are nulled, and each
-    column is cast to double when every non-null value parses as a number.
-    That check is one aggregate pass, not a driver-side loop.
+    The file is read as strings and NA tokens are nulled, with or without a
+    schema.  With one, each column is cast to its type (a value that does not
+    parse becomes null); columns are matched by place, as Spark's reader does.
+    Without one (no inference pass over the data), a column is cast to double
+    when every non-null value parses as a number.  That check is one aggregate
+    pass, not a driver-side loop.
     """
     paths = [path] if isinstance(path, str) else list(path)
     reader = spark.read.option("header", "true").option("mode", "PERMISSIVE")
     try:
         if schema is not None:
-            return drop_index_cols(reader.schema(schema).option("nanValue", "NaN").csv(paths))
+            fields = (T._parse_datatype_string(schema) if isinstance(schema, str) else schema).fields
+            text = reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in fields])).csv(paths)
+            tokens = list(na_values)
+            return drop_index_cols(text.select([
+                F.when(~F.trim(F.col(f"`{f.name}`")).isin(tokens), F.col(f"`{f.name}`")).try_cast(f.dataType).alias(f.name)
+                for f in fields]))
         raw = reader.option("inferSchema", "false").csv(paths)
     except AnalysisException as err:
         raise _missing(path, err) from err
@@ -93,7 +102,7 @@ def first_files(spark: SparkSession, df: DataFrame, k: int) -> DataFrame:
 
     ``inputFiles`` lists paths from the catalog metadata (no data is read).
     """
-    files = sorted(df.inputFiles())[: max(k, 0)]
+    files = sorted(map(unquote, df.inputFiles()))[: max(k, 0)]
     if not files:
         raise FileNotFoundError("no input files")
     return spark.read.parquet(*files)
@@ -111,8 +120,8 @@ def source_name(df: DataFrame) -> Column:
         while common != f[:len(common)]:
             common.pop()
     depth = len([c for c in common if c]) - bool(common and common[0].endswith(":"))
-    parts = F.filter(F.split(F.regexp_replace(F.col("_metadata.file_path"), "^[a-zA-Z0-9+.-]+:", ""), "/"),
-                     lambda c: c != "")
+    path = F.url_decode(F.replace(F.regexp_replace(F.col("_metadata.file_path"), "^[a-zA-Z0-9+.-]+:", ""), F.lit("+"), F.lit("%2B")))
+    parts = F.filter(F.split(path, "/"), lambda c: c != "")
     return F.array_join(F.slice(parts, depth + 1, F.size(parts)), "__")
 
 
@@ -176,6 +185,60 @@ def write_per_source(df: DataFrame, path: str, prefix: str = "transformed_", mod
         write_table(tagged, path, mode=mode, partition_by=["source_file"])
 
 
+# --------------------------------------------------------------------------- named files
+def write_named(df: DataFrame, path: str, name: Column, mode: str = "overwrite", compression: str = "snappy") -> list[str]:
+    """Parquet files of given names: all rows with one ``name`` (a string column) go to ``path/<name>``.
+
+    Rows are dealt by name, so that a name is one task and one file.  The files are written to a staging folder
+    beside ``path`` and renamed there; only when all have their names does the folder become ``path``, in one
+    rename.  A job that fails leaves ``path`` as it was.  Returns the names.
+    """
+    if mode not in ("overwrite", "error"):
+        raise ValueError("mode is overwrite or error")
+    spark, target = df.sparkSession, path.rstrip("/")
+    staging = f"{target}.staging-{uuid.uuid4().hex[:12]}"
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    at = hadoop.Path(staging)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    final = hadoop.Path(target)
+    if mode == "error" and fs.exists(final):
+        raise FileExistsError(target)
+    try:
+        with _open_writers(spark):
+            write_table(df.withColumn("__name", name).repartition(F.col("__name")), staging, compression=compression,
+                        partition_by=["__name"])
+        names = []
+        for folder in [s for s in fs.listStatus(at) if s.isDirectory()]:
+            own = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(
+                folder.getPath().getName().partition("=")[2])
+            parts = [f.getPath() for f in fs.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-")]
+            if len(parts) != 1 or not fs.rename(parts[0], hadoop.Path(at, own)):
+                raise OSError(f"{own}: {len(parts)} parts, or no rename")
+            fs.delete(folder.getPath(), True)
+            names.append(own)
+        if fs.exists(final):
+            fs.delete(final, True)
+        fs.mkdirs(final.getParent())
+        if not fs.rename(at, final):
+            raise OSError(f"{staging} could not become {target}")
+        return sorted(names)
+    except BaseException:
+        fs.delete(at, True)
+        raise
+
+
+def write_chunk_files(df: DataFrame, path: str, chunk_col: str = "chunk", mode: str = "overwrite") -> list[str]:
+    """A9 with a file for each chunk: ``chunk_<i>.parquet``."""
+    name = F.concat(F.lit("chunk_"), F.col(f"`{chunk_col}`").cast("string"), F.lit(".parquet"))
+    return write_named(df.withColumn("__chunk", F.col(f"`{chunk_col}`")).drop(chunk_col).withColumnRenamed("__chunk", chunk_col),
+                       path, name, mode)
+
+
+def write_source_files(df: DataFrame, path: str, prefix: str = "transformed_", mode: str = "overwrite") -> list[str]:
+    """A10 with a file for each input file: ``<prefix><name>`` (see :func:`source_name`)."""
+    return write_named(df, path, F.concat(F.lit(prefix), source_name(df)), mode)
+
+
 def balanced(df: DataFrame, min_fraction: float = 0.5) -> tuple[DataFrame, bool]:
     """Spread an under-split input over the cluster's cores.
 

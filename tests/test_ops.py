@@ -1,3 +1,5 @@
+import math
+
 import os
 
 import numpy as np
@@ -116,7 +118,7 @@ def test_csv_with_schema_and_partition_sizing(spark, tmp_dir):
     df = read_csv(spark, path, schema="`Unnamed: 0` int, Amount double")
     assert df.columns == ["Amount"]
     vals = [r[0] for r in df.collect()]
-    assert vals[0] == 1.5 and vals[1] != vals[1] and vals[2] is None    # NaN stays NaN, empty is null
+    assert vals == [1.5, None, None]    # NaN and empty are missing, as without a schema
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     try:
         set_partition_bytes(spark, 1024 * 1024)
@@ -125,15 +127,35 @@ def test_csv_with_schema_and_partition_sizing(spark, tmp_dir):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
-def test_quantile_fallback_path(spark):
-    """Force the bracket check to miss (max_rounds=0): the dense-index fallback gives the same answer."""
-    from modenorm.operators.ordstats import column_quantiles
-
-    vals = np.random.default_rng(3).lognormal(size=2000)
-    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
-    got = {r["p"]: r["quantile"] for r in column_quantiles(df, ["v"], [0.1, 0.5, 0.9], max_rounds=0).collect()}
-    for p in (0.1, 0.5, 0.9):
-        assert abs(got[p] - np.quantile(vals, p)) < 1e-12
+def test_quantiles_of_awkward_values(spark):
+    """Both signs, both zeros, infinities, nulls, NaN, a hot value, tiny and huge numbers; empty columns have no rows."""
+    from modenorm.operators.ordstats import column_quantiles, key_value, ordered_keys
+
+    rng = np.random.default_rng(3)
+    vals = np.concatenate([rng.lognormal(size=700), -rng.lognormal(size=700), [0.0, -0.0, 1e-310, -1e-310, 1e300, -1e300],
+                           np.full(900, 7.0), [np.inf, -np.inf]])
+    assert np.array([key_value(int(k)) for k in ordered_keys(vals)]).tolist() == (vals + 0.0).tolist()
+    assert (np.argsort(ordered_keys(vals), kind="stable") == np.argsort(vals, kind="stable")).all()
+    rows = [(float(v), None, float(v) * 2) for v in vals] + [(None, None, None), (math.nan, None, math.nan)]
+    df = spark.createDataFrame(rows, "v double, none double, w double").repartition(5)
+    probs = [0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99]
+    got = {(r["column"], r["p"]): r["quantile"] for r in column_quantiles(df, ["v", "none", "w"], probs).collect()}
+    assert len(got) == 2 * len(probs)
+    for p in probs:
+        assert got["v", p] == pytest.approx(np.quantile(vals, p), rel=1e-12)
+        assert got["w", p] == pytest.approx(np.quantile(vals * 2, p), rel=1e-12)
+    assert column_quantiles(df.limit(0), ["v"], probs).collect() == []
+
+
+def test_index_from_file_metadata(spark, tmp_dir):
+    from modenorm.operators.ordstats import file_index
+
+    spark.range(1000).withColumn("x", F.col("id") * 2).repartition(5).write.parquet(f"{tmp_dir}/t")
+    df = spark.read.parquet(f"{tmp_dir}/t").select("x")
+    got = file_index(df, "k")
+    assert got.columns == ["x", "k"] and sorted(r.k for r in got.collect()) == list(range(1000))
+    assert "Sort" not in got._jdf.queryExecution().executedPlan().toString().replace("SortAggregate", "").split("Broadcast")[0]
+    assert file_index(df.where("x > 7"), "k") is None and file_index(spark.range(5).toDF("x"), "k") is None
 
 
 def test_sample_without_key_needs_file_source(spark):
