@@ -91,6 +91,9 @@ def replicate(df: DataFrame, target: int, chunk: int = DEFAULT_CHUNK, order_by:
         ids = ids.withColumn("__src", F.col("pos") % F.lit(n))
         out = ids.join(F.broadcast(base), on="__src", how="inner")
         return out.select("id", "chunk", "pos", *cols)
+    from modenorm.sources.io import balanced
+
+    base, _ = balanced(base)  # a base of one split would fan out in one task
     # explode: base row i appears at pos = i + j*n inside every chunk with i < rows(chunk)
     full, last = divmod(int(target), chunk)
     n_chunks = full + (1 if last else 0)
