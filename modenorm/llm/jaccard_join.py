@@ -14,17 +14,19 @@ with one 64-bit digest; the join runs over classes.
    boundary) enumerate the 2-subsets of the prefix one longer, and meet where
    they share a whole subset; large sets meet in the inverted lists of single
    shingles.  The boundary is the power of two with the least summed cost:
-   subsets made for small sets, list entries scanned for large ones.  Sets from
-   80 % of the boundary on take part in the lists too, so pairs across the
-   boundary are not lost.
+   subsets made for small sets, list entries scanned for large ones (each entry
+   of a set's prefix scans its whole list).  Sets from 80 % of the boundary on
+   take part in the lists too, so pairs across the boundary are not lost.
 3. *Scan.*  First the sets meet in the lists of their ``FIRST_KEYS`` rarest shared
    shingles, each with one hub of the list, the set with the smallest unshared
-   part; verified links merge into components.  Then all keys are made, and lists
-   that still span several components go on: hub by hub while very many pairs
-   remain, and at last every possible pair of different components in a list is
-   verified.  There the smaller set of a pair needs only the prefix for partners of
-   its own size or larger.  Pairs within a component need no check: components,
-   not links, are the result.
+   part; verified links merge into components.  Then all keys are made, and the
+   lists that still span several components are put together by their member with
+   the least hash: lists of one group of near copies mostly have the same, so a set
+   travels once for many lists.  The members are cut into blocks of about
+   ``BLOCK_CODES`` shingles; a tile of two blocks finds all intersections of its
+   sets by an inverted index, links those at 80 % and returns only links that
+   connect what was apart (at most one less than its sets).  Pairs are never rows.
+   Pairs within a component need no check: components, not links, are the result.
 
 Verification intersects the shared shingles, which hold the whole
 intersection; a shingle is known by 46 bits of its hash there (equality of two
@@ -42,7 +44,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from modenorm.llm.common import U64, mix64, narrow, staged, text_slices, tidy, tidy_group
@@ -57,11 +59,9 @@ PARTITION_SHINGLES = 2_000_000
 CODE_BITS = 46
 #: lists of a set where it first meets hubs
 FIRST_KEYS = 3
-#: further hubs are tried while lists hold more pairs than this times their entries
-MANY_PAIRS = 64
-HUB_ROUNDS = 3
-#: sets in a block of a verification tile, about
-TILE = 64
+#: shingles of a block of sets, about, and of the tiles that a task checks in one call
+BLOCK_CODES = 500_000
+CALL_CODES = 1_000_000
 
 
 def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
@@ -189,7 +189,7 @@ def boundary(sets: DataFrame) -> int:
     """Largest size of a small set: the power of two with the least cost (0: none is small)."""
     costs = sets.groupBy(F.expr("CAST(ceil(log2(n)) AS INT) AS size_class")).agg(
         F.sum(F.expr("CAST(q AS DOUBLE) * (q + 1) / 2")).alias("subsets"),
-        F.sum(F.expr(f"aggregate(slice(codes, 1, CAST(q AS INT)), 0D, (a, c) -> a + log2(shiftright(c, {CODE_BITS})))"))
+        F.sum(F.expr(f"aggregate(slice(codes, 1, CAST(q AS INT)), 0D, (a, c) -> a + shiftright(c, {CODE_BITS}))"))
         .alias("scanned")).collect()  # one row for each power of two
     best = min(range(-1, 1 + max([c.size_class for c in costs], default=-1)), key=lambda k: sum(
         c.subsets if c.size_class <= k else c.scanned for c in costs))
@@ -197,29 +197,14 @@ def boundary(sets: DataFrame) -> int:
 
 
 def list_entries(sets: DataFrame, limit: int) -> DataFrame:
-    """``key, digest, n, share, comp, rest, role, p1, p2``: where each set meets others.
-
-    ``share`` orders hubs (unshared part in millionths), ``rest`` bounds what two sets can have in common from
-    this key on.  ``role``: 0 a subset of a small set, 1 a list entry that also serves sets of its own size and
-    larger, 2 one that only serves smaller ones.  ``p1, p2`` are the set's two keys before this one (or numbers no
-    other set has): two sets that share one of these have met there.
-    """
-    base = sets.selectExpr("digest", "n", "q", "codes", SHARE, "comp", "size(codes) AS m",
-                           f"size(codes) - CAST(ceil({2 * PCT} * n / {100 + PCT}D) AS INT) + 1 AS near")
+    """``key, digest, comp, size``: where each set meets others; keys are subsets of small sets, shingles of large ones."""
+    base = sets.selectExpr("digest", "n", "q", "codes", "comp", "size(codes) AS size")
     small = base.where(f"n <= {limit}").selectExpr(
-        "digest", "n", "share", "comp", "m",
-        "explode(IF(n = 1, array(struct(codes[0] AS key, 0 AS i)), flatten(transform(sequence(1, CAST(q AS INT)), "
-        "i -> transform(slice(codes, i + 1, CAST(q + 1 - i AS INT)), "
-        "c -> struct(xxhash64('pair', codes[i - 1], c) AS key, i - 1 AS i)))))) AS k").selectExpr(
-        "k.key AS key", "digest", "n", "share", "comp", "m - k.i AS rest", "0 AS role", "digest AS p1", "digest AS p2")
-    keys = "slice(codes, 1, CAST(q AS INT))"
+        "digest", "comp", "size",
+        "explode(IF(n = 1, array(codes[0]), flatten(transform(sequence(1, CAST(q AS INT)), "
+        "i -> transform(slice(codes, i + 1, CAST(q + 1 - i AS INT)), c -> xxhash64('pair', codes[i - 1], c)))))) AS key")
     large = base.where(f"n * 100 >= {PCT} * {limit}").selectExpr(
-        "digest", "n", "share", "comp", "m", "near",
-        f"posexplode(arrays_zip({keys}, concat(array(-1L - abs(digest DIV 2)), {keys}), "
-        f"concat(array(-1L - abs(digest DIV 2), -1L - abs(digest DIV 2)), {keys}))) AS (i, k)").where(
-        "k['0'] IS NOT NULL").selectExpr(
-        "k['0'] AS key", "digest", "n", "share", "comp", "m - i AS rest", "IF(i < near, 1, 2) AS role", "k['1'] AS p1",
-        "k['2'] AS p2")
+        "digest", "comp", "size", "explode(slice(codes, 1, CAST(q AS INT))) AS key")
     return small.unionByName(large)
 
 
@@ -233,24 +218,6 @@ def possible(a: str, b: str) -> str:
             f"AND least({a}.rest, {b}.rest) * {100 + PCT} >= {PCT} * {both}")
 
 
-def check_tile(table: pa.Table) -> pa.Table:
-    """The linking pairs of one tile; rows are its sets (no ``b``) and its pairs (no ``codes``)."""
-    a, b, n = (table.column(c).combine_chunks() for c in ("a", "b", "n"))
-    codes = table.column("codes").combine_chunks()
-    is_pair = b.is_valid().to_numpy(zero_copy_only=False)
-    left, size = a.to_numpy(), n.fill_null(0).to_numpy()
-    flat, bounds = codes.values.to_numpy(), codes.offsets.to_numpy()
-    sets = {left[i]: (size[i], flat[bounds[i]:bounds[i + 1]]) for i in np.flatnonzero(~is_pair)}
-    out = []
-    for i in np.flatnonzero(is_pair).tolist():
-        p, q = int(left[i]), b[i].as_py()
-        (n_p, x), (n_q, y) = sets[p], sets[q]
-        common = len(np.intersect1d(x, y, assume_unique=True))
-        if 100 * common >= PCT * (n_p + n_q - common):
-            out.append((p, q))
-    return pa.table({"a": pa.array([r[0] for r in out], pa.int64()), "b": pa.array([r[1] for r in out], pa.int64())})
-
-
 def verified_hubs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``a, b`` of digests that link, for some pairs a set: both sets join each pair."""
     left = sets.selectExpr("digest AS a", "n AS na", "codes AS ca")
@@ -260,81 +227,101 @@ def verified_hubs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(f"100 * common >= {PCT} * (total - common)").select("a", "b")
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` of digests that link.
+def hub_pairs(entries: DataFrame, order: str) -> DataFrame:
+    """Pairs of each list's hub, the member first in ``order``, with its other members."""
+    hubs = entries.groupBy("key").agg(F.min(F.expr(f"struct({order}, digest, n, rest)")).alias("hub"),
+                                      F.count("*").alias("held")).where("held > 1").select("key", "hub").alias("y")
+    return (entries.alias("x").join(hubs, F.expr("x.key = y.key AND x.digest <> y.hub.digest AND " + possible("x", "y.hub")))
+            .selectExpr("least(x.digest, y.hub.digest) AS a", "greatest(x.digest, y.hub.digest) AS b"))
+
+
+def meeting_groups(entries: DataFrame) -> DataFrame:
+    """``grp, digest, comp, size``: the members of all lists that span components, by the member with the least hash."""
+    own = Window.partitionBy("key")
+    spans = (entries.withColumn("lo", F.min("comp").over(own)).withColumn("hi", F.max("comp").over(own))
+             .withColumn("grp", F.min(F.expr("struct(xxhash64(digest) AS h, digest AS d)")).over(own)).where("lo <> hi"))
+    return spans.selectExpr("grp.d AS grp", "digest", "comp", "size").distinct()
 
-    A pair belongs to the longest list (``key``) where it has met; the sets of a list are dealt into blocks of
-    about ``TILE``, and a tile checks the pairs of two blocks: a set travels once for each tile, not each pair.
+
+def tiles(members: DataFrame) -> DataFrame:
+    """``tile, call, side, digest, comp``: each member once for every tile of two blocks that it is in.
+
+    ``side``: 0 the first block, 1 the second, 2 both (a tile of one block).  ``call`` puts small tiles together.
     """
-    blocks = f"CAST(1 + greatest(shiftright(key, {CODE_BITS}), 0) DIV {TILE} AS INT)"
-    tiled = (pairs.groupBy("a", "b").agg(F.max("key").alias("key"))
-             .selectExpr("a", "b", "key", f"pmod(xxhash64(a), {blocks}) AS p", f"pmod(xxhash64(b), {blocks}) AS q")
-             .selectExpr("xxhash64(key, least(p, q), greatest(p, q)) AS tile", "a", "b"))
-    tiled = staged(pairs.sparkSession, tiled, "jaccard-tiles")
-    needed = tiled.selectExpr("tile", "a AS digest").unionByName(tiled.selectExpr("tile", "b AS digest")).distinct()
-    own = needed.join(sets.select("digest", "n", "codes"), "digest").selectExpr(
-        "tile", "digest AS a", "CAST(NULL AS LONG) AS b", "n", "codes")
-    rows = own.unionByName(tiled.selectExpr("tile", "a", "b", "CAST(NULL AS LONG) AS n",
-                                            "CAST(NULL AS ARRAY<LONG>) AS codes"))
-    return rows.groupBy("tile").applyInArrow(tidy_group(check_tile), "a long, b long")
+    groups = members.groupBy("grp").agg(F.sum("size").alias("codes"))
+    groups = groups.selectExpr("grp", f"CAST(greatest(1, ceil(codes / {BLOCK_CODES}.0D)) AS INT) AS blocks", "codes")
+    calls = max(1, math.ceil((groups.agg(F.sum("codes")).first()[0] or 0) / CALL_CODES))
+    placed = members.join(groups, "grp").selectExpr("grp", "digest", "comp", "blocks", "pmod(xxhash64(digest, 7), blocks) AS own")
+    return placed.selectExpr(
+        "grp", "digest", "comp", "blocks", "own", "explode(sequence(0, blocks - 1)) AS other").selectExpr(
+        "digest", "comp", "IF(own = other, 2, IF(own < other, 0, 1)) AS side",
+        "xxhash64(grp, least(own, other), greatest(own, other)) AS tile",
+        f"IF(blocks = 1, pmod(xxhash64(grp), {calls}L), xxhash64(grp, least(own, other), greatest(own, other))) AS call")
 
 
-def hub_pairs(entries: DataFrame, order: str) -> DataFrame:
-    """Pairs of each list's hub, the member first in ``order``, with its members of other components."""
-    hubs = entries.groupBy("key").agg(F.min(F.expr(f"struct({order}, digest, n, rest, comp)")).alias("hub"),
-                                      F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    hubs = hubs.where("lo <> hi").select("key", "hub").alias("y")
-    return (entries.alias("x").join(hubs, F.expr("x.key = y.key AND x.comp <> y.hub.comp AND " + possible("x", "y.hub")))
-            .selectExpr("least(x.digest, y.hub.digest) AS a", "greatest(x.digest, y.hub.digest) AS b"))
+def tile_links(comp: np.ndarray, n: np.ndarray, side: np.ndarray, flat: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int]]:
+    """Links between the sets of one tile that connect different components: a forest.
 
+    Every set of the first block is counted against all of the second, by an inverted index of the second.
+    """
+    right = np.flatnonzero(side != 0)
+    size = bounds[1:] - bounds[:-1]
+    count = size[right]
+    take = np.repeat(bounds[right] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+    owner = np.repeat(np.arange(len(right)), count)
+    codes = flat[take]
+    order = np.argsort(codes, kind="stable")
+    codes, owner = codes[order], owner[order]
+    heads = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])[:len(codes)])
+    keys, ends = codes[heads], np.append(heads[1:], len(codes))
+    label = comp.copy()
+    n_right, out = n[right], []
+    for x in np.flatnonzero(side != 1).tolist():
+        apart = (label[right] != label[x]) & (100 * np.minimum(n_right, n[x]) >= PCT * np.maximum(n_right, n[x]))
+        if not apart.any():
+            continue
+        mine = flat[bounds[x]:bounds[x + 1]]
+        at = np.minimum(np.searchsorted(keys, mine), len(keys) - 1)
+        at = at[keys[at] == mine]
+        held = ends[at] - heads[at]
+        met = owner[np.repeat(heads[at] - (np.cumsum(held) - held), held) + np.arange(held.sum())]
+        common = np.bincount(met, minlength=len(right))
+        for y in right[apart & (100 * common >= PCT * (n_right + n[x] - common))].tolist():
+            if label[y] != label[x]:
+                out.append((x, y))
+                label[label == label[y]] = label[x]
+    return out
 
-def list_pairs(entries: DataFrame) -> DataFrame:
-    """Every pair of different components that meets under a key and may link."""
-    def named(roles: str, name: str) -> DataFrame:
-        return entries.where(f"role IN ({roles})").alias(name)
 
-    order = "(x.n < y.n OR (x.n = y.n AND x.digest < y.digest))"
-    new = "x.p1 <> y.p1 AND x.p1 <> y.p2 AND x.p2 <> y.p1 AND x.p2 <> y.p2"
-    found = None
-    for left, right in (("1", "1, 2"), ("0", "0")):
-        part = (named(left, "x").join(named(right, "y"), F.expr(
-            f"x.key = y.key AND x.comp <> y.comp AND {order} AND {new} AND " + possible("x", "y")))
-            .selectExpr("x.key AS key", "least(x.digest, y.digest) AS a", "greatest(x.digest, y.digest) AS b"))
-        found = part if found is None else found.unionByName(part)
-    return found
+def check_tiles(table: pa.Table) -> pa.Table:
+    """The links that the tiles of one call add."""
+    table = table.sort_by("tile").combine_chunks()
+    digest, tile, comp, n, side = (table.column(c).to_numpy() for c in ("digest", "tile", "comp", "n", "side"))
+    codes = table.column("codes").combine_chunks()
+    codes = codes.chunk(0) if isinstance(codes, pa.ChunkedArray) else codes
+    flat, bounds = codes.values.to_numpy(), codes.offsets.to_numpy().astype(np.int64)
+    cuts = np.append(np.flatnonzero(np.append(True, tile[1:] != tile[:-1])[:len(tile)]), len(tile))
+    out = []
+    for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        out += [(digest[i + x], digest[i + y]) for x, y in
+                tile_links(comp[i:j], n[i:j], side[i:j], flat, bounds[i:j + 1])]
+    return pa.table({"a": pa.array([int(min(r)) for r in out], pa.int64()), "b": pa.array([int(max(r)) for r in out], pa.int64())})
 
 
 def links_to_components(sets: DataFrame) -> DataFrame:
     """``node, component`` of all classes that link with another."""
     spark = sets.sparkSession
-    first = (sets.selectExpr("digest", "n", SHARE, "digest AS comp", "size(codes) AS m",
+    first = (sets.selectExpr("digest", "n", SHARE, "size(codes) AS m",
                              f"posexplode(slice(codes, 1, CAST(least(q, {FIRST_KEYS}) AS INT))) AS (i, key)")
-             .selectExpr("key", "digest", "n", "share", "comp", "m - i AS rest"))
+             .selectExpr("key", "digest", "n", "share", "m - i AS rest"))
     edges = staged(spark, verified_hubs(hub_pairs(first, "share").distinct(), sets), "jaccard-links")
     groups = components(edges)
-    limit = boundary(sets)
-    for round_no in range(HUB_ROUNDS + 1):
-        named = (sets.join(groups, F.col("digest") == F.col("node"), "left")
-                 .withColumn("comp", F.coalesce("component", "digest")).select(*sets.columns, "comp"))
-        entries = list_entries(named, limit)
-        spans = entries.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-        entries = staged(spark, entries.join(spans.select("key"), "key", "left_semi"), "jaccard-lists")
-        held, left = entries.groupBy("key").agg(F.count("*").cast("double").alias("n")).agg(
-            F.sum("n"), F.sum(F.col("n") * F.col("n"))).first()
-        if not held:
-            break
-        last = round_no == HUB_ROUNDS or left <= MANY_PAIRS * held
-        if last:
-            new = verified(list_pairs(entries), sets)
-        else:
-            new = verified_hubs(hub_pairs(entries, f"xxhash64(comp, {round_no}), share").distinct(), sets)
-        new = staged(spark, new, "jaccard-links")
-        if not new.isEmpty():
-            edges = edges.unionByName(new)
-            groups = components(edges)
-        if last:
-            break
-    return groups
+    named = (sets.join(groups, F.col("digest") == F.col("node"), "left")
+             .withColumn("comp", F.coalesce("component", "digest")).select(*sets.columns, "comp"))
+    members = staged(spark, meeting_groups(list_entries(named, boundary(sets))), "jaccard-members")
+    rows = tiles(members).join(sets.select("digest", "n", "codes"), "digest")
+    new = staged(spark, rows.groupBy("call").applyInArrow(tidy_group(check_tiles), "a long, b long"), "jaccard-links")
+    return groups if new.isEmpty() else components(edges.unionByName(new))
 
 
 def group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -31,11 +31,12 @@ def near_copies(seed, groups=25):
     return rows + [(90001, None), (90002, ""), (90003, " \n\t ")]
 
 
-@pytest.mark.parametrize("many, rounds", [(64, 3), (0, 2)])
-def test_jaccard_groups_equal_brute_force(spark, monkeypatch, many, rounds):
-    monkeypatch.setattr(jaccard_join, "MANY_PAIRS", many)
-    monkeypatch.setattr(jaccard_join, "HUB_ROUNDS", rounds)
-    rows = near_copies(many + 33)
+@pytest.mark.parametrize("seed, block, first", [(97, 500_000, 3), (33, 120, 1)])
+def test_jaccard_groups_equal_brute_force(spark, monkeypatch, seed, block, first):
+    """With blocks of 120 shingles most groups are cut into many tiles."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_CODES", block)
+    monkeypatch.setattr(jaccard_join, "FIRST_KEYS", first)
+    rows = near_copies(seed)
     out = jaccard_join.group(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == brute.jaccard_groups(rows)
 
@@ -49,6 +50,21 @@ def test_jaccard_edges(spark):
     assert jaccard_join.group(df.limit(0)).collect() == []
 
 
+def test_a_chain_of_copies_just_above_and_below_the_threshold(spark, monkeypatch):
+    """Many copies of one text, each with some words changed: most pairs are near 80 %, on both sides of it."""
+    rnd = random.Random(8)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for k in range(150):
+        words = list(base)
+        for _ in range(rnd.choice([0, 1, 1, 2])):
+            words[rnd.randrange(60)] = f"z{rnd.randrange(400)}"
+        rows.append((k, " ".join(words)))
+    monkeypatch.setattr(jaccard_join, "BLOCK_CODES", 2000)
+    out = jaccard_join.group(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == brute.jaccard_groups(rows)
+
+
 def test_small_and_large_sets_both_occur(spark):
     rows = near_copies(5, 60)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
