@@ -14,8 +14,8 @@ with one 64-bit digest; the join runs over classes.
    boundary) enumerate the 2-subsets of the prefix one longer, and meet where
    they share a whole subset; large sets meet in the inverted lists of single
    shingles.  The boundary is the power of two with the least summed cost:
-   subsets made for small sets, list entries scanned for large ones (each entry
-   of a set's prefix scans its whole list).  Sets from 80 % of the boundary on
+   subsets made for small sets; for large ones list entries made, and entries
+   scanned, as an entry of a set's prefix scans its whole list in a tile.  Sets from 80 % of the boundary on
    take part in the lists too, so pairs across the boundary are not lost.
 3. *Scan.*  First the sets meet in the lists of their ``FIRST_KEYS`` rarest shared
    shingles, each with one hub of the list, the set with the smallest unshared
@@ -59,6 +59,8 @@ PARTITION_SHINGLES = 2_000_000
 CODE_BITS = 46
 #: lists of a set where it first meets hubs
 FIRST_KEYS = 3
+#: cost of scanning a list entry in a tile, where making an entry or a subset (a row to shuffle) costs 1
+SCAN_COST = 0.001
 #: shingles of a block of sets, about, and of the tiles that a task checks in one call
 BLOCK_CODES = 500_000
 CALL_CODES = 1_000_000
@@ -189,7 +191,7 @@ def boundary(sets: DataFrame) -> int:
     """Largest size of a small set: the power of two with the least cost (0: none is small)."""
     costs = sets.groupBy(F.expr("CAST(ceil(log2(n)) AS INT) AS size_class")).agg(
         F.sum(F.expr("CAST(q AS DOUBLE) * (q + 1) / 2")).alias("subsets"),
-        F.sum(F.expr(f"aggregate(slice(codes, 1, CAST(q AS INT)), 0D, (a, c) -> a + shiftright(c, {CODE_BITS}))"))
+        F.sum(F.expr(f"aggregate(slice(codes, 1, CAST(q AS INT)), 0D, (a, c) -> a + 1 + {SCAN_COST}D * shiftright(c, {CODE_BITS}))"))
         .alias("scanned")).collect()  # one row for each power of two
     best = min(range(-1, 1 + max([c.size_class for c in costs], default=-1)), key=lambda k: sum(
         c.subsets if c.size_class <= k else c.scanned for c in costs))
