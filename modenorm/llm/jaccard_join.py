@@ -44,7 +44,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modenorm.llm.common import U64, mix64, narrow, staged, text_slices, tidy, tidy_group
@@ -239,10 +239,9 @@ def hub_pairs(entries: DataFrame, order: str) -> DataFrame:
 
 def meeting_groups(entries: DataFrame) -> DataFrame:
     """``grp, digest, comp, size``: the members of all lists that span components, by the member with the least hash."""
-    own = Window.partitionBy("key")
-    spans = (entries.withColumn("lo", F.min("comp").over(own)).withColumn("hi", F.max("comp").over(own))
-             .withColumn("grp", F.min(F.expr("struct(xxhash64(digest) AS h, digest AS d)")).over(own)).where("lo <> hi"))
-    return spans.selectExpr("grp.d AS grp", "digest", "comp", "size").distinct()
+    lists = entries.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                       F.min_by("digest", F.xxhash64("digest")).alias("grp"))
+    return entries.join(lists.where("lo <> hi"), "key").select("grp", "digest", "comp", "size").distinct()
 
 
 def tiles(members: DataFrame) -> DataFrame:
