@@ -7,6 +7,8 @@
   python -m modenorm stream SRC DST --model-path P --col Amount [--checkpoint C]
   python -m modenorm encode SRC DST --key id --continuous a,b --mixed c:0|-9999999 --categorical d [--lossless]
 
+``--partition-mb N`` before the command sizes input partitions (and exchanges, through AQE) to N MB.
+
 The session comes from ``spark-submit`` / the environment (``MODENORM_MASTER``
 for a local run); checkpoints go to the cluster's ``spark.checkpoint.dir``.
 """
@@ -19,6 +21,7 @@ import sys
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="modenorm")
+    p.add_argument("--partition-mb", type=float, default=None, help="size of input partitions; default: the session's")
     sub = p.add_subparsers(dest="cmd", required=True)
 
     n = sub.add_parser("normalize", help="sample -> fit -> score every row -> Parquet")
@@ -82,6 +85,10 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         from modenorm.session import get_spark
 
         spark = get_spark()
+    if args.partition_mb:
+        from modenorm.sources.io import set_partition_bytes
+
+        set_partition_bytes(spark, int(args.partition_mb * 1024 * 1024))
     if args.cmd == "normalize":
         from modenorm.plans.jobs import normalize_job
 

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from modenorm.session import checkpoint_dir
+from modenorm.sources.io import sized_partitions
 
 # Offsets tables up to this many rows are broadcast; beyond it they are shuffle-joined.
 BROADCAST_OFFSET_ROWS = 1_000_000
@@ -37,13 +38,14 @@ def dense_index(df: DataFrame, order_by: Sequence[str | Column], group_by: Seque
     """0-based index of each row in ``order_by`` order, restarting per ``group_by`` group.
 
     Ties in ``order_by`` are broken arbitrarily (give a unique key for a
-    deterministic index).
+    deterministic index).  The number of partitions follows the rows' measured
+    bytes unless given.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     groups = [F.col(g) for g in group_by]
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = partitions or sized_partitions(df)
     tb = F.rand(seed)
     s = (df.withColumn("__tb", tb)
          .repartitionByRange(n_parts, *groups, *order, F.col("__tb"))

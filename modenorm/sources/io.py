@@ -7,6 +7,7 @@ afterwards reach the Parquet scan through Catalyst (``ReadSchema`` /
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterable, Sequence
 from contextlib import contextmanager
@@ -130,15 +131,49 @@ def list_sources(df: DataFrame) -> DataFrame:
     return df.select(source_name(df).alias("file_name")).groupBy("file_name").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def set_partition_bytes(spark: SparkSession, nbytes: int = 50 * 1024 * 1024) -> None:
-    """Size-targeted input partitions (the reference used 50 MB).
+# Size-targeted partitions (the reference's size).
+PARTITION_BYTES = 50 * 1024 * 1024
+
+
+def set_partition_bytes(spark: SparkSession, nbytes: int = PARTITION_BYTES) -> None:
+    """Size-targeted input partitions.
 
     Applies to file scans; after a shuffle AQE coalesces to the advisory size.
+    Exchanges with a partition number of their own take it from :func:`sized_partitions`.
     """
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(int(nbytes)))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(int(nbytes)))
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes a row takes in an exchange: 8 a column, and what strings, binaries and lists hold."""
+    def held(c: Column, t: T.DataType) -> Column | None:
+        if isinstance(t, (T.StringType, T.BinaryType)):
+            return F.octet_length(c)
+        if isinstance(t, T.ArrayType) and isinstance(t.elementType, (T.StringType, T.BinaryType)):
+            return F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + 8 + F.coalesce(F.octet_length(x), F.lit(0)))
+        if isinstance(t, (T.ArrayType, T.MapType)):
+            return F.size(c) * (16 if isinstance(t, T.MapType) else 8)
+        return None
+
+    parts = [held(F.col(f"`{f.name}`"), f.dataType) for f in df.schema]
+    total = F.lit(8 * (1 + len(parts))).cast("long")
+    for p in parts:
+        if p is not None:
+            total = total + F.coalesce(p, F.lit(0))
+    return total
+
+
+def sized_partitions(df: DataFrame, nbytes: int | None = None) -> int:
+    """Partition number for an exchange of ``df`` whose partitions hold about ``nbytes``.
+
+    Measured by one aggregate over the rows.  At least the session's number of shuffle partitions.
+    """
+    total = df.agg(F.sum(row_bytes(df))).first()[0] or 0
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, math.ceil(total / (nbytes or PARTITION_BYTES)))
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "snappy",
                 partition_by: Sequence[str] | None = None, max_records_per_file: int | None = None) -> None:
     """Parquet sink, snappy, no index column."""

@@ -152,3 +152,38 @@ def test_checkpoint_folder_is_needed_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_dir(Session())
+
+
+def test_exchanges_are_sized_by_measured_bytes(spark, monkeypatch):
+    from modenorm.operators.ordstats import dense_index
+    from modenorm.sources import io
+
+    df = spark.range(4000).select("id", F.repeat(F.lit("x"), 1000).alias("s"), F.array(F.lit("yy"), F.lit(None)).alias("a"))
+    own = 8 * 4 + 1000 + 18
+    assert df.agg(F.sum(io.row_bytes(df))).first()[0] == 4000 * own
+    assert io.sized_partitions(df) == 8  # the session's number, at least
+    assert io.sized_partitions(df, 100_000) == math.ceil(4000 * own / 100_000)
+    assert io.sized_partitions(df.limit(0)) == 8
+    monkeypatch.setattr(io, "PARTITION_BYTES", 100_000)
+    rows = dense_index(df, ["id"]).select("id", "idx", F.spark_partition_id().alias("p"), F.length("s").alias("n")).collect()
+    assert all(r.id == r.idx for r in rows) and len(rows) == 4000
+    held = {}
+    for r in rows:
+        held[r.p] = held.get(r.p, 0) + r.n
+    assert len(held) > 30 and max(held.values()) < 200_000
+
+
+def test_command_line_sizes_input_partitions(spark, tmp_dir):
+    from modenorm.__main__ import main
+
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = [spark.conf.get(k) for k in keys]
+    spark.range(200_000).select("id", F.rand(1).alias("Amount")).coalesce(1).write.option("parquet.block.size", 1 << 18).parquet(tmp_dir + "/t")
+    try:
+        n = spark.read.parquet(tmp_dir + "/t").rdd.getNumPartitions()
+        assert main(["--partition-mb", "0.25", "profile", tmp_dir + "/t"], spark) == 0
+        assert spark.conf.get(keys[0]) == str(1 << 18)
+        assert spark.read.parquet(tmp_dir + "/t").rdd.getNumPartitions() > n
+    finally:
+        for k, v in zip(keys, before):
+            spark.conf.set(k, v)
