@@ -47,10 +47,6 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 #: rows of an Arrow batch where the session has Spark's default: texts may be long
 BATCH_ROWS = 2000
 

@@ -8,8 +8,9 @@ documents in curve order into sequences of ``LENGTH`` ids, cutting wherever a
 sequence is full.  What is left at the end of a partition is cut into
 sequences whose lengths are powers of two, which need no padding.
 
-The hash of the id follows the key in the sort, so copies (equal keys) spread
-over partitions however many there are.
+The hash of the id follows the key in the sort, then the row's place, so copies
+(equal keys) and repeated rows spread over partitions however many there are.
+The number of partitions follows the measured bytes of the ids.
 
 Defined results: a null or empty text is one end id.  Repeated rows are packed
 each.  Very long texts run through as many sequences as they need.  An empty
@@ -25,8 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modenorm.llm.common import narrow, shuffle_partitions, staged, text_slices, tidy
+from modenorm.llm.common import narrow, staged, text_slices, tidy
 from modenorm.llm.word_ids import send_vocabulary, text_arrays, with_end, worker_ids
+from modenorm.sources.io import sized_partitions
 
 LENGTH = 1024
 BUCKETS = 256
@@ -153,8 +155,9 @@ def pack(df: DataFrame, tokenizer_path: str, end_id: int = 0, length: int = LENG
     """Pieces of all documents: where each lies in its document and in its sequence."""
     spark = df.sparkSession
     docs = staged(spark, keyed(df, tokenizer_path, end_id, id_col, text_col), "curve-keys")
-    order = ["key", F.xxhash64("doc_id"), "doc_id", F.crc32("ids")]
-    ordered = (docs.repartitionByRange(shuffle_partitions(spark), *order[:2]).sortWithinPartitions(*order)
+    order = ["key", F.xxhash64("doc_id"), F.crc32("ids")]  # and rows of one id and text by their place
+    placed = docs.withColumn("place", F.monotonically_increasing_id())
+    ordered = (placed.repartitionByRange(sized_partitions(docs), *order, "place").sortWithinPartitions(*order, "place")
                .select("doc_id", "ids", F.spark_partition_id().alias("part")))
 
     def run(batches):

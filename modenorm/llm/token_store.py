@@ -14,7 +14,7 @@ ids, lengths, word offsets, words.  Spark's writer commits whole tasks, so a
 lost executor leaves no half file, and any store Spark reaches will do.
 
 Defined results: a null or empty text is one end id; documents with a null id
-come first; repeated rows are all kept, equal ids in order of their text;
+come first; repeated rows are all kept, equal ids in order of their text's hash;
 very long texts make a segment of their own.  An empty table gives empty files.
 """
 
@@ -25,8 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from modenorm.llm.common import narrow, shuffle_partitions, tidy
+from modenorm.llm.common import narrow, tidy
 from modenorm.llm.word_ids import send_vocabulary, text_arrays, with_end, worker_ids
+from modenorm.sources.io import sized_partitions
 
 # Fixed values of the Simple-8b layout: ids in a word, by selector, and bits of each.
 COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
@@ -145,8 +146,11 @@ def write_tokens(df: DataFrame, path: str, tokenizer_path: str, end_id: int, low
     """Encode every text, append ``end_id``, and write the files in ascending document order."""
     spark = df.sparkSession
     sent = send_vocabulary(spark, tokenizer_path)
-    ordered = (narrow(df, id_col, text_col).repartitionByRange(shuffle_partitions(spark), "doc_id")
-               .sortWithinPartitions("doc_id", "text").withColumn("part", F.spark_partition_id()))
+    docs = narrow(df, id_col, text_col)
+    # rows of one id spread over partitions, too: by text, equal ones by their place in the input
+    order = ["doc_id", F.xxhash64("text").alias("text_hash"), F.monotonically_increasing_id().alias("place")]
+    ordered = (docs.select("text", *order).repartitionByRange(sized_partitions(docs), "doc_id", "text_hash", "place")
+               .sortWithinPartitions("doc_id", "text_hash", "place").withColumn("part", F.spark_partition_id()))
 
     def run(batches):
         words = worker_ids(sent, lowered)

@@ -198,3 +198,28 @@ def test_copies_spread_over_partitions_and_neighbours_meet(spark):
                           public_tokenizers.path("byte_bpe_50k.json")).collect()
     assert len({r.sequence_id >> 33 for r in out}) > 4
     assert sum(r.length for r in out) == 3000 * out[0].doc_tokens
+
+
+@pytest.mark.parametrize("name", ["op4", "op6"])
+def test_partitions_follow_measured_bytes_and_a_hot_id_spreads(spark, monkeypatch, tmp_dir, name):
+    from modenorm.sources import io
+
+    monkeypatch.setattr(io, "PARTITION_BYTES", 20_000)
+    rows = [(7 if k % 3 == 0 else k, "the same words again " * 5 + str(k if k % 2 else "")) for k in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    path = public_tokenizers.path("word_bpe_49k.json" if name == "op4" else "byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    n_ids = sum(len(library.encode(t, add_special_tokens=False).ids) + 1 for _, t in rows)
+    if name == "op4":
+        token_store.write_tokens(df, f"{tmp_dir}/store", path, 1)
+        held = spark.read.parquet(f"{tmp_dir}/store").groupBy("part").agg({"n_ids": "sum"}).collect()
+        got = token_store.read_tokens(spark, f"{tmp_dir}/store").selectExpr("doc_id", "start", "octet_length(ids) DIV 4 AS n").collect()
+        ends = sorted((r.start, r.start + r.n) for r in got)
+        assert ends[0][0] == 0 and all(a[1] == b[0] for a, b in zip(ends, ends[1:]))
+        by_place = [r.doc_id for r in sorted(got, key=lambda r: r.start)]
+        assert by_place == sorted(d for d, _ in rows)
+    else:
+        out = curve_pack.pack(df, path).selectExpr("sequence_id >> 33 AS part", "length")
+        held = out.groupBy("part").agg({"length": "sum"}).collect()
+    sizes = [r[1] for r in held]
+    assert sum(sizes) == n_ids and len(sizes) > 8 and max(sizes) < n_ids / 6
