@@ -17,6 +17,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,7 @@ SLICE_BYTES = 12 << 20
 #: Latin letters, and marks after them, which always make a token run of their own (an apostrophe may not)
 _PLAIN = re.compile(r"(\n?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 _PLAIN_LOWER = re.compile(r"()([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_UNMET = object()
 
 
 def byte_letters() -> list[str]:
@@ -75,17 +77,20 @@ class WordIds:
             text = self.letters[32] + text[1:]
         return array("I", [t.id for t in self.tokenizer.model.tokenize(text)]).tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        """Ids of the words that no slice has met."""
+    def _learn(self, words: list[str]) -> list[bytes | None]:
+        """Ids of the words that no slice has met; None for a word with white space at its edge."""
         match = (_PLAIN_LOWER if self.lowered else _PLAIN).fullmatch
         space = "" if self.lowered else " "
-        token, marks, hot, odd = self._token, self.marks, self.hot, []
+        token, marks, out, whole = self._token, self.marks, [], []
         feed = b"" if self.lowered else self.library(["\n"])[0]
         stems: dict[str, bytes] = {}
         for w in words:
             found = match(w)
             if not found:
-                odd.append(w)
+                core = w[1:] if w[:1] == "\n" else w
+                if self.lowered or core and not core[0].isspace() and not core[-1].isspace():
+                    whole.append(len(out))
+                out.append(None)  # white space beside white space: the text goes whole
                 continue
             lead, stem, mark = found.groups()
             stem = stem if lead else space + stem
@@ -94,35 +99,35 @@ class WordIds:
                 ids = stems[stem] = token(stem)
             if mark not in marks:
                 marks[mark] = token(mark) if len(mark) < 64 else self.library([mark])[0]
-            hot[w] = (feed + ids if lead else ids) + marks[mark]
+            out.append((feed + ids if lead else ids) + marks[mark])
         if len(marks) > WORD_CACHE:
             self.marks = {"": b""}
-        whole = []
-        for w in odd:
-            core = w[1:] if w[:1] == "\n" else w
-            if not self.lowered and (not core or core[0].isspace() or core[-1].isspace()):
-                hot[w] = None  # white space beside white space: the text goes whole
-            else:
-                whole.append(w)
-        hot.update(zip(whole, self.library([w if w[:1] == "\n" else space + w for w in whole])))
+        odd = [words[i] for i in whole]
+        for i, ids in zip(whole, self.library([w if w[:1] == "\n" else space + w for w in odd])):
+            out[i] = ids
+        return out
 
     def _known(self, words: list[str]) -> list[bytes | None]:
         hot, fresh = self.hot, self.fresh
         if len(hot) > WORD_CACHE:
             hot.clear()
-        rest = [w for w in words if w not in hot]
-        new = []
-        for w in rest:
-            if w in fresh:
-                hot[w] = fresh.pop(w)
-            else:
-                new.append(w)
-        self._learn(new)
-        out = list(map(hot.__getitem__, words))
+        out = list(map(hot.get, words, repeat(_UNMET)))
+        at, new = [], []
+        for i, k in enumerate(out):
+            if k is _UNMET:
+                w = words[i]
+                k = fresh.pop(w, _UNMET)
+                if k is _UNMET:
+                    at.append(i)
+                    new.append(w)
+                else:
+                    hot[w] = out[i] = k
+        learned = self._learn(new)
         if len(fresh) > WORD_CACHE:
             fresh.clear()
-        for w in new:
-            fresh[w] = hot.pop(w)
+        fresh.update(zip(new, learned))
+        for i, k in zip(at, learned):
+            out[i] = k
         return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -148,9 +153,10 @@ class WordIds:
         bounds = bounds - bounds[0]
         words = coded.dictionary.to_pylist()
         known = self._known(words)
-        ids = np.frombuffer(b"".join([k or b"" for k in known]), "<u4")
-        size = np.array([len(k) // 4 if k else 0 for k in known], np.int64)
-        start = np.cumsum(size) - size
+        filled = known if None not in known else [k or b"" for k in known]
+        ids = np.frombuffer(b"".join(filled), "<u4")
+        size = np.fromiter(map(len, filled), np.int32, len(filled)) // 4
+        start = (np.cumsum(size) - size).astype(np.int32)  # a slice has less than 2 GB
         begin, count = start[index], size[index]
         whole = {i: np.frombuffer(g, "<u4") for i, g in special.items()}
         if not self.lowered:
@@ -164,9 +170,9 @@ class WordIds:
                 whole = {int(i): np.frombuffer(g, "<u4") for i, g in zip(owner, got)} | whole
                 for i in owner:
                     count[bounds[i]:bounds[i + 1]] = 0
-        ends = np.cumsum(count)
-        out = ids[np.repeat(begin - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)]
-        at = np.append(0, ends)[bounds]
+        ends = np.cumsum(count, dtype=np.int32)
+        out = ids[np.repeat(begin - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)]
+        at = np.append(0, ends)[bounds].astype(np.int64)
         if whole:
             parts = [whole.get(i, out[a:b]) for i, (a, b) in enumerate(zip(at.tolist(), at[1:].tolist()))]
             at = np.append(0, np.cumsum([len(p) for p in parts]))
