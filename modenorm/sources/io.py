@@ -164,12 +164,12 @@ def row_bytes(df: DataFrame) -> Column:
     return total
 
 
-def sized_partitions(df: DataFrame, nbytes: int | None = None) -> int:
+def sized_partitions(df: DataFrame, nbytes: int | None = None, held: Column | None = None) -> int:
     """Partition number for an exchange of ``df`` whose partitions hold about ``nbytes``.
 
-    Measured by one aggregate over the rows.  At least the session's number of shuffle partitions.
+    Measured by one aggregate over the rows (of ``held``, a row's bytes, if given).  At least the session's number of shuffle partitions.
     """
-    total = df.agg(F.sum(row_bytes(df))).first()[0] or 0
+    total = df.agg(F.sum(row_bytes(df) if held is None else held)).first()[0] or 0
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(least, math.ceil(total / (nbytes or PARTITION_BYTES)))
 
