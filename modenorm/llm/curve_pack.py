@@ -131,7 +131,7 @@ PIECE = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 
 def keyed(df: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, key, ids`` of every document (ids as 16-bit integers where the vocabulary allows)."""
+    """``doc_id, key, ids, size`` of every document (ids as 16-bit integers where the vocabulary allows; their bytes)."""
     sent = send_vocabulary(df.sparkSession, tokenizer_path)
 
     def run(batches):
@@ -144,10 +144,11 @@ def keyed(df: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text_col
                 cut = (at * size).tolist()
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(i, j - i), pa.array(document_keys(ids, at), pa.int64()),
-                     pa.array([raw[p:q] if short else b"\xff" + raw[p:q] for p, q in zip(cut, cut[1:])], pa.binary())],
-                    names=["doc_id", "key", "ids"])
+                     pa.array([raw[p:q] if short else b"\xff" + raw[p:q] for p, q in zip(cut, cut[1:])], pa.binary()),
+                     pa.array(np.diff(at) * size, pa.int64())],
+                    names=["doc_id", "key", "ids", "size"])
 
-    return narrow(df, id_col, text_col).mapInArrow(tidy(run), "doc_id long, key long, ids binary")
+    return narrow(df, id_col, text_col).mapInArrow(tidy(run), "doc_id long, key long, ids binary, size long")
 
 
 def pack(df: DataFrame, tokenizer_path: str, end_id: int = 0, length: int = LENGTH, id_col: str = "doc_id",
@@ -155,10 +156,10 @@ def pack(df: DataFrame, tokenizer_path: str, end_id: int = 0, length: int = LENG
     """Pieces of all documents: where each lies in its document and in its sequence."""
     spark = df.sparkSession
     docs = staged(spark, keyed(df, tokenizer_path, end_id, id_col, text_col), "curve-keys")
-    order = ["key", F.xxhash64("doc_id"), F.crc32("ids")]  # and rows of one id and text by their place
+    order = ["key", F.xxhash64("doc_id"), "place"]
     placed = docs.withColumn("place", F.monotonically_increasing_id())
-    ordered = (placed.repartitionByRange(sized_partitions(docs), *order, "place").sortWithinPartitions(*order, "place")
-               .select("doc_id", "ids", F.spark_partition_id().alias("part")))
+    ordered = (placed.repartitionByRange(sized_partitions(docs, held=F.col("size") + 24), *order)
+               .sortWithinPartitions(*order).select("doc_id", "ids", F.spark_partition_id().alias("part")))
 
     def run(batches):
         packer = None
