@@ -1,8 +1,8 @@
 """A small convolutional text network in numpy: embeddings, several filter widths, max pooling, softmax heads.
 
 A text is a sequence of items (bytes, words); an item is the sum of the
-embeddings of its features.  Training runs on a bounded sample in the driver;
-scoring uses per-item tables (embedding times filter slice), so a filter
+embeddings of its features.  Training starts on bounded rows in the driver and
+goes on over all rows in Spark's tasks (:mod:`conv_shards`); scoring uses per-item tables (embedding times filter slice), so a filter
 response is a sum of table rows.
 """
 
@@ -45,26 +45,20 @@ class ConvText:
                       for k, c in heads.items()}
 
     # ------------------------------------------------------------ training
+    def dense(self) -> list[np.ndarray]:
+        """Every array but the embeddings."""
+        return [self.b, *self.w.values(), *(x for h in self.heads.values() for x in h)]
+
     def fit(self, features: np.ndarray, texts: list[np.ndarray], labels: dict[str, np.ndarray], epochs: int,
-            batch: int = 48, rate: float = 0.01, drop_first: float = 0.0, seed: int = 11) -> None:
+            batch: int = 48, rate: float = 0.01, drop_first: float = 0.0, seed: int = 11) -> Trainer:
         """``features``: (items, k) feature ids, -1 for none.  ``texts``: item ids.  ``labels``: class or -1 by head."""
-        rng = np.random.default_rng(seed)
-        dense = [self.b, *self.w.values(), *(x for h in self.heads.values() for x in h)]
-        m, v, step = [np.zeros_like(x) for x in dense], [np.zeros_like(x) for x in dense], 0
-        seen = np.full(len(self.emb), 1e-6, np.float32)
+        trainer = Trainer(self, rate, drop_first, seed)
         for _ in range(epochs):
-            order = rng.permutation(len(texts))
+            order = trainer.rng.permutation(len(texts))
             for part in (p for at in range(0, len(order), batch)
                          for p in bounded(order[at:at + batch], texts, STEP_ITEMS)):
-                grads, rows, d_rows = self._gradients(features, [texts[i] for i in part],
-                                                      {k: y[part] for k, y in labels.items()}, rng, drop_first)
-                step += 1
-                for x, g, a, c in zip(dense, grads, m, v):
-                    a += 0.1 * (g - a)
-                    c += 0.01 * (g * g - c)
-                    x -= rate * (a / (1 - 0.9 ** step)) / (np.sqrt(c / (1 - 0.99 ** step)) + 1e-7)
-                seen[rows] += (d_rows * d_rows).mean(axis=1)
-                self.emb[rows] -= 3 * rate * d_rows / np.sqrt(seen[rows])[:, None]
+                trainer.step(features, [texts[i] for i in part], {k: y[part] for k, y in labels.items()})
+        return trainer
 
     def _gradients(self, features, texts, labels, rng, drop_first):
         sizes = np.array([len(t) for t in texts])
@@ -128,3 +122,25 @@ class ConvText:
     def head(self, name: str, pooled: np.ndarray) -> np.ndarray:
         a, c = self.heads[name]
         return softmax(np.maximum(pooled + self.b, 0).astype(float) @ a + c)
+
+
+class Trainer:
+    """Steps of Adam for the dense arrays and of Adagrad for the embeddings; a pickled trainer goes on where it was."""
+
+    def __init__(self, net: ConvText, rate: float = 0.01, drop_first: float = 0.0, seed: int = 11):
+        self.net, self.rate, self.drop_first, self.rng = net, rate, drop_first, np.random.default_rng(seed)
+        self.m, self.v, self.steps = [np.zeros_like(x) for x in net.dense()], [np.zeros_like(x) for x in net.dense()], 0
+        self.seen = np.full(len(net.emb), 1e-6, np.float32)
+
+    def step(self, features, texts: list[np.ndarray], labels: dict[str, np.ndarray]) -> np.ndarray:
+        """Learn from some texts; the rows of the embeddings that took part."""
+        net, rate = self.net, self.rate
+        grads, rows, d_rows = net._gradients(features, texts, labels, self.rng, self.drop_first)
+        self.steps += 1
+        for x, g, a, c in zip(net.dense(), grads, self.m, self.v):
+            a += 0.1 * (g - a)
+            c += 0.01 * (g * g - c)
+            x -= rate * (a / (1 - 0.9 ** self.steps)) / (np.sqrt(c / (1 - 0.99 ** self.steps)) + 1e-7)
+        self.seen[rows] += (d_rows * d_rows).mean(axis=1)
+        net.emb[rows] -= 3 * rate * d_rows / np.sqrt(self.seen[rows])[:, None]
+        return rows

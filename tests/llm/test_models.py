@@ -157,3 +157,25 @@ def test_every_language_is_learnable(spark):
     assert sorted(r.lang for r in sample) == sorted(r[2] for r in rows)
     langs, net = byte_lang.fit(df)
     assert langs == sorted({r[2] for r in rows}) and net.heads["lang"][0].shape[1] == 1100
+
+
+def test_every_labelled_text_is_learned_and_every_fold_calibrates(spark, monkeypatch):
+    """A toxic word that only documents beyond the first rows hold; the same model whatever the partitions."""
+    rows, labels = toxic_rows(1500)
+    late = [(3000 + k, " ".join([*rows[k % 1500][1].replace("grobz", "mor").split()[:30], *["zwirk"] * (k % 2), "vinio"]), "cc", "s")
+            for k in range(2000)]
+    docs = spark.createDataFrame(rows + late, "doc_id long, text string, lang string, source string")
+    marks = spark.createDataFrame(labels + [(r[0], 1, r[0] % 2) for r in late], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(toxic_cnn.conv_shards, "SHARD_BYTES", 300_000)
+    first = toxic_cnn.label_marks(marks, F.lit(True)).withColumn("toxic", F.when(F.col("doc_id") < 3000, F.col("toxic")).otherwise(0))
+    some, _ = toxic_cnn.first_rows(docs.where("doc_id < 3000"), first, 200)
+    monkeypatch.setattr(toxic_cnn, "first_rows", lambda *_: (some, False))
+    model = toxic_cnn.fit(docs, marks, per_class=200)
+    assert model.langs == ["aa", "bb", "cc"]
+    assert set(toxic_cnn.features("zwirk")) - {-1} <= set(model.met.tolist())
+    new = spark.createDataFrame([(k, f"telen das{'en' if k % 2 else 'ust'} {'zwirk ' if k < 20 else ''}vinio mora")
+                                 for k in range(40)], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxic_cnn.score(new, model).collect()}
+    assert sum((got[k] >= 0.7) == (k < 20) for k in got) >= 38, got
+    again = toxic_cnn.fit(docs.repartition(7), marks.repartition(3), per_class=200)
+    assert np.array_equal(again.net.emb, model.net.emb) and np.array_equal(again.shift, model.shift)
