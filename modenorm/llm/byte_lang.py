@@ -1,8 +1,9 @@
 """Language identification with a byte convolutional network.
 
 The network (byte embeddings, filters of widths 2, 3 and 4, max pooling over
-a window, softmax) is trained in numpy on a bounded sample of labelled whole
-texts: ``PER_LANG`` documents a language by smallest hash, fewer where they
+a window, softmax) starts in numpy on a bounded number of labelled whole
+texts and, where there are more, learns from every labelled text in one pass of Spark's tasks (:mod:`conv_shards`).
+It starts with ``PER_LANG`` documents a language by smallest hash, fewer where they
 hold more than ``LANG_BYTES`` or, with many languages, their part of
 ``ALL_BYTES``; a language's shortest document is always among them.  A text to
 learn from or to predict is cut into windows of ``WINDOW`` bytes (the last one padded), all windows of a slice run as one batch,
@@ -26,6 +27,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from modenorm.llm import conv_shards
 from modenorm.llm.common import carried, share, shared, staged, text_slices, tidy
 from modenorm.llm.conv_text import ConvText
 
@@ -36,6 +38,8 @@ WIDTHS = (2, 3, 4)
 FILTERS = 8
 EPOCHS = 4
 SLICE_BYTES = 1 << 20
+#: windows of a training step, and characters whose windows are mixed
+BATCH, CHUNK_BYTES = 48, 1 << 18
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -83,10 +87,48 @@ def fit(df: DataFrame, learnable=None, id_col: str = "doc_id", text_col: str = "
     windows, count = windows_of([r.text.lower().encode() for r in sample])
     y = np.repeat([place[r.lang] for r in sample], count)
     net = ConvText(256, {"lang": len(langs)}, 8, FILTERS, WIDTHS)
-    net.fit(np.arange(256)[:, None], list(windows), {"lang": y}, EPOCHS)
+    trainer = net.fit(np.arange(256)[:, None], list(windows), {"lang": y}, EPOCHS)
+    every = (df.where(F.col(lang_col).isNotNull() & (F.lit(True) if learnable is None else learnable))
+             .select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"),
+                     F.col(text_col).cast("string").alias("text"))
+             .where(F.col("text").rlike(r"\p{L}")).withColumn("size", F.octet_length("text").cast("long")))
+    total = every.agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("size")).first()
+    if total.rows > len(sample):
+        learn_all(every, max(1, -(-total["size"] // conv_shards.SHARD_BYTES)), trainer, place)
     return langs, net
 
 
+def learn_all(rows: DataFrame, shards: int, trainer, place: dict[str, int]) -> None:
+    """One pass over all texts; ``place``: languages' numbers."""
+    key = F.xxhash64("id", "text")
+    dealt = rows.select(F.pmod(key, F.lit(shards)).cast("int").alias("shard"), "text", "lang", "id", key.alias("key"))
+
+    def lessons(batches):
+        held, size, at = [], 0, None
+
+        def steps():
+            windows, count = windows_of([t.lower().encode() for t, _ in held])
+            y = np.repeat([place[lang] for _, lang in held], count)
+            order = np.random.default_rng(len(windows)).permutation(len(windows))
+            for k in range(0, len(order), BATCH):
+                own = order[k:k + BATCH]
+                yield at, np.arange(256)[:, None], list(windows[own]), {"lang": y[own]}, None
+
+        for b in batches:
+            for i, j, texts in text_slices(b, 1, SLICE_BYTES):
+                for shard, text, lang in zip(b.column(0).slice(i, j - i).to_pylist(), texts, b.column(2).slice(i, j - i).to_pylist()):
+                    if held and (shard != at or size >= CHUNK_BYTES):
+                        yield from steps()
+                        held, size = [], 0
+                    at = shard
+                    held.append((text, lang))
+                    size += len(text)
+        if held:
+            yield from steps()
+
+    conv_shards.learn(dealt, shards, ["key", "id", "lang"], trainer, lessons)
+
+
 class Scorer:
     """Response tables of byte pairs and single bytes for one network."""
 

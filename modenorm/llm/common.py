@@ -67,6 +67,7 @@ def worker_cache(name: str, token, build):
     state = sys.modules.setdefault("_modenorm_llm_worker", types.ModuleType("_modenorm_llm_worker")).__dict__
     if state.get("key") != (name, token):
         state["key"] = state["value"] = None
+        trim()  # what the last operator held, before the next one's is built
         state["value"] = build()
         state["key"] = (name, token)
     return state["value"]

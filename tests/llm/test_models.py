@@ -179,3 +179,21 @@ def test_every_labelled_text_is_learned_and_every_fold_calibrates(spark, monkeyp
     assert sum((got[k] >= 0.7) == (k < 20) for k in got) >= 38, got
     again = toxic_cnn.fit(docs.repartition(7), marks.repartition(3), per_class=200)
     assert np.array_equal(again.net.emb, model.net.emb) and np.array_equal(again.shift, model.shift)
+
+
+def test_every_text_with_a_language_is_learned(spark, monkeypatch):
+    rows = [(k, ("lorem ipsum dolor " if k % 2 else "straße über grün ") * 4 + str(k), "aa" if k % 2 else "bb") for k in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = []
+    real = byte_lang.conv_shards.learn
+
+    def spy(dealt, *rest):
+        learned.extend(r.id for r in dealt.collect())
+        return real(dealt, *rest)
+
+    monkeypatch.setattr(byte_lang.conv_shards, "learn", spy)
+    monkeypatch.setattr(byte_lang.conv_shards, "SHARD_BYTES", 5000)
+    langs, net = byte_lang.fit(df, per_lang=20)
+    assert sorted(map(int, learned)) == list(range(300)) and langs == ["aa", "bb"]
+    assert all(r.lang_pred == ("aa" if r.doc_id % 2 else "bb") for r in byte_lang.predict(df, (langs, net)).collect())
+    assert np.array_equal(net.emb, byte_lang.fit(df.repartition(5), per_lang=20)[1].emb)
