@@ -203,14 +203,28 @@ OPEN_WRITERS = 64
 
 
 @contextmanager
-def _open_writers(spark: SparkSession):
-    key = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, str(OPEN_WRITERS))
+def _settings(spark: SparkSession, values: dict[str, int]):
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, str(value))
     try:
         yield
     finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def _open_writers(spark: SparkSession):
+    return _settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": OPEN_WRITERS})
+
+
+# Above any input file's size: a file is not cut, and no two share a scan task.
+WHOLE_FILE = 1 << 42
+
+
+def _whole_files(spark: SparkSession):
+    """Scans with one task for each input file."""
+    return _settings(spark, {"spark.sql.files.maxPartitionBytes": WHOLE_FILE, "spark.sql.files.openCostInBytes": WHOLE_FILE})
 
 
 def write_per_source(df: DataFrame, path: str, prefix: str = "transformed_", mode: str = "overwrite") -> None:
@@ -221,10 +235,13 @@ def write_per_source(df: DataFrame, path: str, prefix: str = "transformed_", mod
 
 
 # --------------------------------------------------------------------------- named files
-def write_named(df: DataFrame, path: str, name: Column, mode: str = "overwrite", compression: str = "snappy") -> list[str]:
+def write_named(df: DataFrame, path: str, name: Column, mode: str = "overwrite", compression: str = "snappy",
+                by_file: bool = False) -> list[str]:
     """Parquet files of given names: all rows with one ``name`` (a string column) go to ``path/<name>``.
 
-    Rows are dealt by name, so that a name is one task and one file.  The files are written to a staging folder
+    Rows are dealt by name, so that a name is one task and one file.  With ``by_file`` a name's rows come from one
+    input file: the task that scans the file writes them without an exchange, and they are only dealt where ``df``
+    reads a file in several tasks (a join, a union with itself).  The files are written to a staging folder
     beside ``path`` and renamed there; only when all have their names does the folder become ``path``, in one
     rename.  A job that fails leaves ``path`` as it was.  Returns the names.
     """
@@ -239,14 +256,25 @@ def write_named(df: DataFrame, path: str, name: Column, mode: str = "overwrite",
     if mode == "error" and fs.exists(final):
         raise FileExistsError(target)
     try:
-        with _open_writers(spark):
-            write_table(df.withColumn("__name", name).repartition(F.col("__name")), staging, compression=compression,
-                        partition_by=["__name"])
+        named = df.withColumn("__name", name)
+
+        def parts_of(folder) -> list:
+            return [f.getPath() for f in fs.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-")]
+
+        def folders() -> list:
+            return [s for s in fs.listStatus(at) if s.isDirectory()]
+
+        if by_file:
+            with _open_writers(spark), _whole_files(spark):
+                write_table(named, staging, compression=compression, partition_by=["__name"])
+        if not by_file or any(len(parts_of(folder)) > 1 for folder in folders()):
+            with _open_writers(spark):
+                write_table(named.repartition(F.col("__name")), staging, compression=compression, partition_by=["__name"])
         names = []
-        for folder in [s for s in fs.listStatus(at) if s.isDirectory()]:
+        for folder in folders():
             own = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(
                 folder.getPath().getName().partition("=")[2])
-            parts = [f.getPath() for f in fs.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-")]
+            parts = parts_of(folder)
             if len(parts) != 1 or not fs.rename(parts[0], hadoop.Path(at, own)):
                 raise OSError(f"{own}: {len(parts)} parts, or no rename")
             fs.delete(folder.getPath(), True)
@@ -271,7 +299,7 @@ def write_chunk_files(df: DataFrame, path: str, chunk_col: str = "chunk", mode:
 
 def write_source_files(df: DataFrame, path: str, prefix: str = "transformed_", mode: str = "overwrite") -> list[str]:
     """A10 with a file for each input file: ``<prefix><name>`` (see :func:`source_name`)."""
-    return write_named(df, path, F.concat(F.lit(prefix), source_name(df)), mode)
+    return write_named(df, path, F.concat(F.lit(prefix), source_name(df)), mode, by_file=True)
 
 
 def balanced(df: DataFrame, min_fraction: float = 0.5) -> tuple[DataFrame, bool]:

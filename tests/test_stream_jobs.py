@@ -128,3 +128,38 @@ def test_csv_schema_and_no_schema_agree(spark, tmp_dir):
     free = [tuple(r) for r in read_csv(spark, f"{tmp_dir}/t.csv").collect()]
     typed = [tuple(r) for r in read_csv(spark, f"{tmp_dir}/t.csv", schema="a double, b double").collect()]
     assert free == typed == [(1.0, None), (None, 2.5), (3.0, None), (None, None)]
+
+
+def test_an_input_file_is_written_by_the_task_that_scans_it(spark, tmp_dir, monkeypatch):
+    from modenorm.sources import io
+
+    spark.range(4000).select("id", (F.col("id") * 7).alias("v")).coalesce(1).write.option("parquet.block.size", "4096").parquet(f"{tmp_dir}/raw")
+    part = next(f for f in os.listdir(f"{tmp_dir}/raw") if f.startswith("part-"))
+    os.makedirs(f"{tmp_dir}/in")
+    for n in ("a.parquet", "b.parquet"):
+        os.link(f"{tmp_dir}/raw/{part}", f"{tmp_dir}/in/{n}")
+    plans, write = [], io.write_table
+
+    def seen(df, *args, **more):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        write(df, *args, **more)
+
+    monkeypatch.setattr(io, "write_table", seen)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")  # several scan tasks a file
+    try:
+        df = spark.read.parquet(f"{tmp_dir}/in")
+        assert df.rdd.getNumPartitions() > 4
+        names = ["transformed_a.parquet", "transformed_b.parquet"]
+        assert io.write_source_files(df, f"{tmp_dir}/out") == names
+        assert len(plans) == 1 and "Exchange" not in plans[0]
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "2048"
+        for n in names:
+            assert sorted(map(tuple, spark.read.parquet(f"{tmp_dir}/out/{n}").collect())) == [(k, k * 7) for k in range(4000)]
+        # rows of a file that several tasks hold still end in one file
+        tagged = df.withColumn("__file", io.source_name(df))
+        assert io.write_named(tagged.unionByName(tagged), f"{tmp_dir}/twice", F.col("__file"), by_file=True) == ["a.parquet", "b.parquet"]
+        assert len(plans) == 3 and "Exchange" in plans[2]
+        assert sorted(r.id for r in spark.read.parquet(f"{tmp_dir}/twice/a.parquet").collect()) == [k // 2 for k in range(8000)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
