@@ -49,6 +49,8 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 #: rows of an Arrow batch where the session has Spark's default: texts may be long
 BATCH_ROWS = 2000
+#: bytes of one (its last row may go beyond them)
+BATCH_BYTES = 2 << 20
 
 
 def text_batches(spark: SparkSession) -> None:
@@ -56,6 +58,9 @@ def text_batches(spark: SparkSession) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(key) == "10000":
         spark.conf.set(key, str(BATCH_ROWS))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 def worker_cache(name: str, token, build):
@@ -73,6 +78,14 @@ def worker_cache(name: str, token, build):
     return state["value"]
 
 
+def forget(name: str | None) -> None:
+    """Drop what :func:`worker_cache` holds for another operator than ``name``."""
+    state = sys.modules.setdefault("_modenorm_llm_worker", types.ModuleType("_modenorm_llm_worker")).__dict__
+    if state.get("key") is not None and state["key"][0] != name:
+        state["key"] = state["value"] = None
+        trim()
+
+
 def trim() -> None:
     """Give memory that is free inside this worker back to the system."""
     pa.default_memory_pool().release_unused()
@@ -81,9 +94,10 @@ def trim() -> None:
         libc.malloc_trim(0)
 
 
-def tidy(run):
-    """``run`` over a task's batches, then :func:`trim`."""
+def tidy(run, cache: str | None = None):
+    """``run`` over a task's batches, then :func:`trim`; only the cache that ``run`` uses stays in the worker."""
     def wrapped(batches):
+        forget(cache)
         yield from run(batches)
         trim()
 
@@ -91,8 +105,9 @@ def tidy(run):
 
 
 def tidy_group(run):
-    """``run`` over a group's table, then :func:`trim`."""
+    """``run`` over a group's table, then :func:`trim`; no other operator's cache stays in the worker."""
     def wrapped(table):
+        forget(None)
         out = run(table)
         trim()
         return out

@@ -148,7 +148,7 @@ def keyed(df: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text_col
                      pa.array(np.diff(at) * size, pa.int64())],
                     names=["doc_id", "key", "ids", "size"])
 
-    return narrow(df, id_col, text_col).mapInArrow(tidy(run), "doc_id long, key long, ids binary, size long")
+    return narrow(df, id_col, text_col).mapInArrow(tidy(run, "word ids"), "doc_id long, key long, ids binary, size long")
 
 
 def pack(df: DataFrame, tokenizer_path: str, end_id: int = 0, length: int = LENGTH, id_col: str = "doc_id",

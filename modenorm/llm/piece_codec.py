@@ -288,7 +288,7 @@ def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str
                     out.append(pa.array([model.decode_ids(np.frombuffer(x, "<u4")) for x in ids], pa.string()))
                 yield pa.RecordBatch.from_arrays(out, names=["doc_id", "ids", "text"][:len(out)])
 
-    return narrow(df, id_col, text_col).mapInArrow(tidy(run), "doc_id long, ids binary" + ", text string" * decoded)
+    return narrow(df, id_col, text_col).mapInArrow(tidy(run, "pieces"), "doc_id long, ids binary" + ", text string" * decoded)
 
 
 def decode(df: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -304,7 +304,7 @@ def decode(df: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str
                                                   pa.array(text, pa.string())], names=["doc_id", "ids", "text"])
 
     return (df.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids"))
-            .mapInArrow(tidy(run), "doc_id long, ids binary, text string"))
+            .mapInArrow(tidy(run, "pieces"), "doc_id long, ids binary, text string"))
 
 
 def digests(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -172,7 +172,7 @@ def write_tokens(df: DataFrame, path: str, tokenizer_path: str, end_id: int, low
                         names=["part", "seq", "start_in_part", "n_ids", "doc_ids", "lengths", "offsets", "words"])
                     seq, before, k = seq + 1, before + n, stop
 
-    ordered.select("doc_id", "text", "part").mapInArrow(tidy(run), SEGMENT).write.option("compression", "zstd").parquet(path)
+    ordered.select("doc_id", "text", "part").mapInArrow(tidy(run, "word ids"), SEGMENT).write.option("compression", "zstd").parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:

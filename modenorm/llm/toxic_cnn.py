@@ -56,6 +56,8 @@ MIN_HELD, FOLDS = 50, 4
 CUT = 0.7
 WORD_ROWS = 120_000
 SLICE_BYTES = 1 << 20
+#: bytes of texts that are scored at once
+SCORE_BYTES = 1 << 18
 #: new words whose rows are made at once; texts of a task, and their characters, that are mixed when learned
 ITEM_ROWS = 8192
 CHUNK_TEXTS, CHUNK_SIZE = 480, 1 << 20
@@ -210,7 +212,10 @@ def first_rows(docs: DataFrame, marks: DataFrame, per_class: int) -> tuple[list,
             .where("nth = 1").orderBy(key, "doc_id").collect())
     held = [r for r in rows if r["size"]]
     rows = fitting(held)
-    wanted = docs.sparkSession.createDataFrame(sorted({(r.doc_id, r.text_key) for r in rows}), "doc_id long, wanted long")
+    wanted = sorted({(r.doc_id, r.text_key) for r in rows})
+    # as an Arrow table: a list of rows would start Python workers of its own kind beside the others
+    wanted = docs.sparkSession.createDataFrame(
+        pa.table([pa.array([w[k] for w in wanted], pa.int64()) for k in (0, 1)], ["doc_id", "wanted"]), "doc_id long, wanted long")
     found = (texts.join(F.broadcast(wanted), "doc_id").where(text_key == F.col("wanted"))
              .groupBy("doc_id", "wanted").agg(F.first("text").alias("text")).collect())
     whole = {(r.doc_id, r.wanted): r.text for r in found}
@@ -357,6 +362,7 @@ def learn_all(texts: DataFrame, marks: DataFrame, shards: int, trainer: Trainer,
             own = [np.fromiter(map(index.__getitem__, ws), np.int32, len(ws)) for ws in words]
             toxic, lang = np.array([c for _, c, _ in held]), np.array([place.get(k, -1) for _, _, k in held])
             rng, clean = np.random.default_rng(len(need)), np.flatnonzero(toxic == 0)
+            del words, need
             parts = [part_of(own[i], rng) for i in clean]
             own, toxic, lang = own + parts, np.append(toxic, toxic[clean]), np.append(lang, lang[clean])
             order = rng.permutation(len(own))
@@ -456,7 +462,7 @@ def responses(df: DataFrame, model: ToxicModel | None, id_col: str, text_col: st
 
         words = worker_cache("toxic words", token, table)
         for b in batches:
-            for i, j, texts in text_slices(b, 1, SLICE_BYTES):
+            for i, j, texts in text_slices(b, 1, SCORE_BYTES):
                 if words is None:
                     got = [pa.array(np.zeros(j - i))]
                 elif raw:
@@ -468,7 +474,7 @@ def responses(df: DataFrame, model: ToxicModel | None, id_col: str, text_col: st
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), *got, *rest],
                                                  names=["doc_id", *made, *names])
 
-    found = docs.mapInArrow(tidy(run), "doc_id long, " + ("z double, read int" if raw else "score double") + kinds)
+    found = docs.mapInArrow(tidy(run, "toxic words"), "doc_id long, " + ("z double, read int" if raw else "score double") + kinds)
     return found.toDF("doc_id", *made, *keep) if keep else found
 
 

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from modenorm.llm import byte_lang, queries, toxic_cnn
@@ -197,3 +198,49 @@ def test_every_text_with_a_language_is_learned(spark, monkeypatch):
     assert sorted(map(int, learned)) == list(range(300)) and langs == ["aa", "bb"]
     assert all(r.lang_pred == ("aa" if r.doc_id % 2 else "bb") for r in byte_lang.predict(df, (langs, net)).collect())
     assert np.array_equal(net.emb, byte_lang.fit(df.repartition(5), per_lang=20)[1].emb)
+
+
+def test_a_task_drops_another_operators_cache():
+    from modenorm.llm import common
+
+    def held():
+        return common.worker_cache("one", 1, lambda: "new")
+
+    for wrapped in (common.tidy(iter), common.tidy(iter, "two")):
+        common.worker_cache("one", 1, lambda: "old")
+        list(common.tidy(iter, "one")([]))
+        assert held() == "old"
+        list(wrapped([]))
+        assert held() == "new"
+        common.worker_cache("two", 1, lambda: None)
+    common.worker_cache("one", 1, lambda: "old")
+    common.tidy_group(lambda t: t)(None)
+    assert held() == "new"
+
+
+def test_arrow_batches_are_bounded_in_bytes(spark):
+    from modenorm.llm import common
+
+    df = spark.range(0, 40, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x "), 100_000).alias("text"))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"])
+
+    found = [r.n for r in common.narrow(df, "doc_id", "text").mapInArrow(sizes, "n long").collect()]
+    assert sum(found) == 40 and max(found) * 200_000 <= common.BATCH_BYTES + 200_000
+
+
+def test_the_first_texts_start_no_python_worker(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, f"telen mora {k}", "aa") for k in range(20)], "doc_id long, text string, lang string")
+    marks = toxic_cnn.label_marks(spark.createDataFrame([(k, k % 2) for k in range(20)], "doc_id long, toxic int"), F.lit(True))
+    made, make = [], type(spark).createDataFrame
+
+    def seen(self, *args, **more):
+        made.append(make(self, *args, **more))
+        return made[-1]
+
+    monkeypatch.setattr(type(spark), "createDataFrame", seen)
+    rows, fitted = toxic_cnn.first_rows(docs, marks, 100)
+    assert fitted and sorted(r[0] for r in rows) == sorted(f"telen mora {k}" for k in range(20))
+    assert len(made) == 1 and "ExistingRDD" not in made[0]._jdf.queryExecution().executedPlan().toString()
