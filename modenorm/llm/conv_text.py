@@ -103,7 +103,11 @@ class ConvText:
         used = feats >= 0
         rows, inv_rows = np.unique(feats[used], return_inverse=True)
         d_rows = np.zeros((len(rows), e.shape[1]), np.float32)
-        np.add.at(d_rows, inv_rows, np.repeat(d_item, used.sum(axis=1), axis=0))
+        place = np.full(feats.shape, -1, inv_rows.dtype)
+        place[used] = inv_rows
+        picked = np.flatnonzero(d_item.any(axis=1))  # the others, most items, change no sum
+        place = place[picked]
+        np.add.at(d_rows, place[place >= 0], np.repeat(d_item[picked], (place >= 0).sum(axis=1), axis=0))
         return grads + head_grads, rows, d_rows
 
     def _respond(self, x: np.ndarray, w: int) -> np.ndarray:

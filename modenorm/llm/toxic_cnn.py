@@ -29,6 +29,8 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from collections import defaultdict
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -61,11 +63,43 @@ SCORE_BYTES = 1 << 18
 #: new words whose rows are made at once; texts of a task, and their characters, that are mixed when learned
 ITEM_ROWS = 8192
 CHUNK_TEXTS, CHUNK_SIZE = 480, 1 << 20
+#: response of a place without a word; places of a text that are pooled together
+VOID, BLOCK = -np.inf, 8
 #: words of training texts that are pooled at once
 POOL_WORDS = 100_000
 _STRIP = ".,;:!?\"'()[]{}<>*#$%&|-_…«»“”‘’¡¿"
 
 
+#: words of more bytes are hashed one by one
+LONG_WORD = 48
+_ONES = np.uint32(0xFFFFFFFF)
+
+
+def _crc_table() -> np.ndarray:
+    c = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        c = np.where(c & 1, (c >> 1) ^ np.uint32(0xEDB88320), c >> 1)
+    return c
+
+
+_CRC = _crc_table()
+
+
+def _turns(length: int) -> np.ndarray:
+    """What turns the state after a word's first bytes (by their number) into the hash of a prefix of ``length``.
+
+    A CRC is linear: only the state that the bytes start from differs, and a state is carried on without them.
+    """
+    s, out = np.uint32(zlib.crc32(f"{length}:".encode())), []  # the two states' difference
+    for _ in range(4 * length + 1):
+        out.append(s ^ _ONES)
+        s = _CRC[s & 255] ^ (s >> 8)
+    return np.array(out, np.uint32)
+
+
+_TURNS = [_turns(n) for n in PREFIXES]
+
+
 def features(word: str) -> list[int]:
     """Hashes below ``conv_shards.SLOTS`` of a word and its prefixes, -1 where it has none."""
     w = word.strip(_STRIP).lower()
@@ -76,9 +110,38 @@ def features(word: str) -> list[int]:
 
 
 def hashes(words) -> np.ndarray:
-    out = np.empty((len(words), 1 + len(PREFIXES)), np.int64)
-    for k, w in enumerate(words):
-        out[k] = features(w)
+    """:func:`features` of every word (none holds a line end): a place of all words at a time, not a word."""
+    words = list(words)
+    parts = [_hashes(words[k:k + ITEM_ROWS]) for k in range(0, len(words), ITEM_ROWS)]
+    return np.concatenate(parts) if parts else np.empty((0, 1 + len(PREFIXES)), np.int64)
+
+
+def _hashes(words: list[str]) -> np.ndarray:
+    text = np.frombuffer(("\n".join([w.strip(_STRIP) for w in words]).lower() + "\n").encode(), np.uint8)
+    chars = np.flatnonzero((text & 0xC0) != 0x80)  # where characters begin
+    ends = np.flatnonzero(text[chars] == 10)
+    n = np.diff(ends, prepend=-1) - 1  # characters of a word
+    begins = ends - n
+    start = chars[begins]
+    size = chars[ends] - start
+    order = np.argsort(-size, kind="stable")  # so that the words that go on come first
+    order = order[size[order] <= LONG_WORD]
+    states = np.empty((LONG_WORD + 1, len(words)), np.uint32)
+    states[0] = _ONES
+    going = np.searchsorted(-size[order], -np.arange(LONG_WORD), side="left")  # words of more bytes than the place
+    for k, m in enumerate(going[going > 0]):
+        own = order[:m]
+        s = states[k, own]
+        states[k + 1, own] = _CRC[(s ^ text[start[own] + k]) & 255] ^ (s >> 8)
+    out = np.full((len(words), 1 + len(PREFIXES)), -1, np.int64)
+    has = np.flatnonzero((size > 0) & (size <= LONG_WORD))
+    out[has, 0] = (states[size[has], has] ^ _ONES) % conv_shards.SLOTS
+    for j, (length, turn) in enumerate(zip(PREFIXES, _TURNS), 1):
+        own = has[n[has] >= length]
+        stop = chars[begins[own] + length] - start[own]
+        out[own, j] = (states[stop, own] ^ turn[stop]) % conv_shards.SLOTS
+    for k in np.flatnonzero(size > LONG_WORD):
+        out[k] = features(words[k])
     return out
 
 
@@ -102,23 +165,22 @@ class ToxicModel:
         return np.where(known, codes % BUCKETS, -1)
 
     def pooled(self, rows: np.ndarray, idx: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Max responses of texts given as item indexes ``idx`` into item table ``rows``."""
+        """Max responses of texts given as places ``idx`` in item table ``rows``, whose place 0 is :data:`VOID`.
+
+        A text takes whole blocks of places, filled up with void ones, so that the maximum goes over blocks at once and
+        no filter reaches into the next text.
+        """
         f, out, k = self.net.filters, [], 0
-        starts = np.cumsum(sizes) - sizes
+        room = -(-(sizes + max(self.net.widths) - 1) // BLOCK) * BLOCK
+        starts = np.cumsum(room) - room
+        at = np.zeros(room.sum(), idx.dtype)
+        at[np.arange(len(idx)) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)] = idx
         for w in self.net.widths:
-            best = np.full((len(sizes), f), -1, np.float32)
-            if (sizes >= w).any():
-                r = np.take(rows[k], idx, axis=0)
-                for j in range(1, w):
-                    r[:-j] += np.take(rows[k + j], idx[j:], axis=0)
-                if w > 1:  # starts whose words reach into the next text
-                    for j in range(1, w):
-                        late = (starts + sizes - j)[sizes >= j]
-                        r[late] = -np.inf
-                has = np.flatnonzero(sizes > 0)
-                most = np.maximum.reduceat(r, starts[has])
-                long = sizes[has] >= w
-                best[has[long]] = most[long]
+            r = rows[k].take(at, axis=0)
+            for j in range(1, w):
+                r[:-j] += rows[k + j].take(at[j:], axis=0)
+            best = np.maximum.reduceat(r.reshape(-1, BLOCK * f), starts // BLOCK).reshape(-1, BLOCK, f).max(axis=1)
+            best[sizes < w] = -1
             out.append(best)
             k += w
         return np.concatenate(out, axis=1)
@@ -135,44 +197,61 @@ class ToxicModel:
         return np.log(p / (1 - p)), lang
 
 
+def places(first: int) -> dict[str, int]:
+    """Places of words from ``first`` on; a word that is looked up for the first time gets the next."""
+    return defaultdict(count(first).__next__)
+
+
+def newest(index: dict[str, int], n: int) -> list[str]:
+    """The ``n`` words that came last, in their order."""
+    return list(islice(reversed(index), n))[::-1]
+
+
 class WordTable:
     """Item rows of the words met so far; emptied when full."""
 
     def __init__(self, model: ToxicModel):
-        self.model, self.index, self.rows = model, {}, None
-        self.known = np.zeros(0, bool)
-        self.n = sum(model.net.widths)
+        self.model, self.n, self.rows, self.known = model, sum(model.net.widths), None, np.zeros(1, bool)
+        self.clear()
+
+    def clear(self) -> None:
+        self.index = places(1)
+        if self.rows is None or self.rows.shape[1] > 1 + WORD_ROWS:
+            self.rows = np.full((self.n, 1, self.model.net.filters), VOID, np.float32)
 
     def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         words = [t.split() for t in texts]
-        need = {w for ws in words for w in ws}
-        if len(self.index) + len(need) > WORD_ROWS:
-            self.index, self.rows, self.known = {}, None, self.known[:0]
-        need = list(need - self.index.keys())
-        if need:
-            feats = self.model.buckets(hashes(need))
-            at = len(self.index)
-            self.known = np.append(self.known, (feats >= 0).any(axis=1))
-            self.index.update(zip(need, range(at, at + len(need))))
-            if self.rows is None or self.rows.shape[1] < len(self.index):
-                rows = np.zeros((self.n, max(WORD_ROWS, len(self.index)), self.model.net.filters), np.float32)
-                if self.rows is not None:
-                    rows[:, :at] = self.rows[:, :at]
-                self.rows = rows
-            for k in range(0, len(need), ITEM_ROWS):
-                new = self.model.net.item_rows(feats[k:k + ITEM_ROWS])
-                self.rows[:, at + k:at + k + len(new)] = new.reshape(len(new), self.n, -1).transpose(1, 0, 2)
         sizes = np.array([len(ws) for ws in words])
-        get = self.index.__getitem__
-        idx = np.fromiter((i for ws in words for i in map(get, ws)), np.int64, sizes.sum())
+
+        def numbers():
+            return np.fromiter(map(self.index.__getitem__, chain.from_iterable(words)), np.int64, sizes.sum())
+
+        at = len(self.index)
+        idx = numbers()
+        if at and len(self.index) > WORD_ROWS:
+            self.clear()
+            at, idx = 0, numbers()
+        need = newest(self.index, len(self.index) - at)
+        if need:
+            self.add(need, at + 1)
         empty = np.ones(len(sizes), bool)
         has = np.flatnonzero(sizes)
         if len(has):
             empty[has] = ~np.logical_or.reduceat(self.known[idx], (np.cumsum(sizes) - sizes)[has])
-        if self.rows is None:
-            self.rows = np.zeros((self.n, 1, self.model.net.filters), np.float32)
         return self.model.pooled(self.rows, idx, sizes), empty
 
+    def add(self, words: list[str], at: int) -> None:
+        """Item rows of new words, from place ``at`` on."""
+        feats = self.model.buckets(hashes(words))
+        if self.rows.shape[1] < at + len(words):
+            rows = np.zeros((self.n, 1 + max(WORD_ROWS, at + len(words) - 1), self.model.net.filters), np.float32)
+            rows[:, :at] = self.rows[:, :at]
+            self.rows = rows
+        self.known = np.append(self.known[:at], (feats >= 0).any(axis=1))
+        for k in range(0, len(words), ITEM_ROWS):
+            new = self.model.net.item_rows(feats[k:k + ITEM_ROWS])
+            self.rows[:, at + k:at + k + len(new)] = new.reshape(len(new), self.n, -1).transpose(1, 0, 2)
+
 
 def label_marks(labels: DataFrame, learnable) -> DataFrame:
     """``doc_id, toxic`` once a document: the labels that may be learned; ``fold`` parts them evenly."""
@@ -347,19 +426,18 @@ def learn_all(texts: DataFrame, marks: DataFrame, shards: int, trainer: Trainer,
                      key.alias("key"), F.xxhash64("text").alias("text_key")))
 
     def lessons(batches):
-        index, feats = {}, np.zeros((0, 1 + len(PREFIXES)), np.int32)
+        index, feats = places(0), np.zeros((0, 1 + len(PREFIXES)), np.int32)
         held, size, at, marked = [], 0, None, None
 
         def steps():
             nonlocal index, feats
             words = [t.split() for t, _, _ in held]
             if len(index) > WORD_ROWS:
-                index, feats = {}, feats[:0]
-            need = list(dict.fromkeys(w for ws in words for w in ws if w not in index))
-            index.update(zip(need, range(len(index), len(index) + len(need))))
+                index, feats = places(0), feats[:0]
+            own = [np.fromiter(map(index.__getitem__, ws), np.int32, len(ws)) for ws in words]
+            need = newest(index, len(index) - len(feats))
             codes = hashes(need)
             feats = np.concatenate([feats, np.where(codes >= 0, codes % BUCKETS, -1).astype(np.int32)])
-            own = [np.fromiter(map(index.__getitem__, ws), np.int32, len(ws)) for ws in words]
             toxic, lang = np.array([c for _, c, _ in held]), np.array([place.get(k, -1) for _, _, k in held])
             rng, clean = np.random.default_rng(len(need)), np.flatnonzero(toxic == 0)
             del words, need
@@ -387,7 +465,7 @@ def learn_all(texts: DataFrame, marks: DataFrame, shards: int, trainer: Trainer,
                         yield from steps()
                         held, size = [], 0
                     if shard != at:
-                        index, feats, at = {}, feats[:0], shard
+                        index, feats, at = places(0), feats[:0], shard
                     held.append((text, c, lang))
                     size += len(text)
         if held:
@@ -411,7 +489,8 @@ def pool(model: ToxicModel, feats: np.ndarray, texts: list[np.ndarray]) -> np.nd
     for own in bounded(range(len(texts)), texts, POOL_WORDS):
         items, idx = np.unique(np.concatenate([texts[i] for i in own]), return_inverse=True)
         table = model.net.item_rows(feats[items]).reshape(len(items), sum(WIDTHS), -1).transpose(1, 0, 2)
-        out.append(model.pooled(table, idx, np.array([len(texts[i]) for i in own])))
+        table = np.concatenate([np.full_like(table, VOID, shape=(len(table), 1, table.shape[2])), table], axis=1)
+        out.append(model.pooled(table, idx + 1, np.array([len(texts[i]) for i in own])))
     return np.concatenate(out)
 
 

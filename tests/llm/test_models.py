@@ -244,3 +244,68 @@ def test_the_first_texts_start_no_python_worker(spark, monkeypatch):
     rows, fitted = toxic_cnn.first_rows(docs, marks, 100)
     assert fitted and sorted(r[0] for r in rows) == sorted(f"telen mora {k}" for k in range(20))
     assert len(made) == 1 and "ExistingRDD" not in made[0]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_are_hashed_together_as_one_by_one(monkeypatch):
+    rnd = random.Random(4)
+    words = ["", ".", "«»", "x", "abcd.", "ABCDEF", "x" * 48, "x" * 49, "漢" * 16, "漢" * 17, "İ" * 6, "ΑΣ.", "'ΣΑ", "a\x00b", "😀é"]
+    words += ["".join(rnd.choice("aZß.É#漢ΣİΑ'…😀x9-_\x00«") for _ in range(rnd.randint(0, 20))) for _ in range(3000)]
+    words *= 3  # more than are hashed at once
+    want, alone, one = [toxic_cnn.features(w) for w in words], [], toxic_cnn.features
+    monkeypatch.setattr(toxic_cnn, "features", lambda w: alone.append(w) or one(w))
+    assert toxic_cnn.hashes(words).tolist() == want
+    assert toxic_cnn.hashes([]).shape == (0, 4)
+    assert all(len(w.encode()) > 40 for w in alone) and len(alone) < len(words) / 50
+
+
+def test_a_full_word_table_and_texts_of_all_sizes(monkeypatch):
+    net = toxic_cnn.ConvText(toxic_cnn.BUCKETS, {"toxic": 2, "lang": 1}, 16, toxic_cnn.FILTERS, toxic_cnn.WIDTHS)
+    words = [f"word{k}" for k in range(60)] + ["new"]
+    model = toxic_cnn.ToxicModel(net, [], np.unique(toxic_cnn.hashes(words[:60])))
+    texts = [" ".join(words[k % 7:k % 7 + n]) for k, n in enumerate([*range(0, 20), 0, 60, 1, 2, 0])] + ["..", "new", "other"]
+    pooled, empty = toxic_cnn.WordTable(model).texts(texts)
+    feats = model.buckets(toxic_cnn.hashes(words))
+    item = {w: net.item_rows(feats[k:k + 1]).reshape(6, -1) for k, w in enumerate(words)}
+    for text, got in zip(texts[:-3], pooled):
+        own, want, first = text.split(), [], 0
+        for w in net.widths:
+            at = [sum(item[own[i + j]][first + j] for j in range(w)) for i in range(len(own) - w + 1)]
+            want.append(np.max(at, axis=0) if at else np.full(toxic_cnn.FILTERS, -1))
+            first += w
+        assert np.allclose(got, np.concatenate(want), atol=1e-6)
+    assert [k for k, e in enumerate(empty) if e] == [0, 20, 24, 25, 26, 27]
+    monkeypatch.setattr(toxic_cnn, "WORD_ROWS", 20)
+    table = toxic_cnn.WordTable(model)
+    for k in range(0, len(texts), 3):
+        some, none = table.texts(texts[k:k + 3])
+        assert np.array_equal(some, pooled[k:k + 3]) and np.array_equal(none, empty[k:k + 3])
+        assert table.rows.shape[1] <= 1 + max(20, 60)
+
+
+def test_items_that_no_filter_picked_are_not_added(monkeypatch):
+    """The gradient of the embeddings is the plain sum, from the picked items alone."""
+    rng = np.random.default_rng(3)
+    net = toxic_cnn.ConvText(50, {"toxic": 2}, 4, 2, (1, 2))
+    feats = rng.integers(-1, 50, (400, 3))
+    texts = [rng.integers(0, 400, n) for n in (150, 1, 90)]
+    added, add = [], np.add
+
+    class Add:
+        def __getattr__(self, name):
+            return getattr(add, name)
+
+        def at(self, out, places, rows):
+            added.append((out, rows.copy()))
+            add.at(out, places, rows)
+
+    monkeypatch.setattr(np, "add", Add())
+    *_, rows, got = net._gradients(feats, texts, {"toxic": np.array([0, 1, 1])}, rng, 0.0)
+    monkeypatch.undo()
+    d_item, items = added[0][0], np.unique(np.concatenate(texts))
+    want = np.zeros((50, 4))
+    for i, d in zip(items, d_item):
+        for f in feats[i][feats[i] >= 0]:
+            want[f] += d
+    assert rows.tolist() == np.unique(feats[items][feats[items] >= 0]).tolist()
+    assert np.allclose(got, want[rows], atol=1e-6) and got.any()
+    assert added[-1][1].any(axis=1).all()
